@@ -1,0 +1,253 @@
+"""Personal data by weak supervision.
+
+Wide patterns propose spans; labelers vote on each, for (1), against (-1) or not at all (0): its checksum
+or form, gazetteers, the words before it, and how it is set off from its surroundings. Spark counts the
+vote patterns of each kind over all documents; expectation-maximisation over these counts, of which there
+are at most kinds x 3^labelers x shapes whatever the input, estimates how reliable each labeler is, and the
+posteriors train the final classifier, a logistic regression on votes and shape. Spans of the four base
+kinds always stay; the classifier decides the others.
+
+Proposals are made in one pass over whole texts and stored, so that the second pass reads spans, not
+texts. The only thing that reaches the driver is the table of pattern counts.
+
+Cases: null counts as empty text; a text of any length is searched in linear time; repeated rows are
+searched each; an empty table gives no rows and trains nothing; other columns are ignored.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from twinfold.llm.shared import stored
+
+#: The base kinds in the contract's order, then those that the method adds.
+BASE = ("email", "ip", "card", "phone")
+KINDS = (*BASE, "written_email", "local_phone", "ssn", "iban", "name")
+LABELERS = ("form", "gazetteer", "context", "setting")
+
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
+CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+WRITTEN_EMAIL = re.compile(r"\b[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63} ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,24}\b")
+LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9.-])")
+SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+IBAN = re.compile(r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])")
+NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra|Sr)\b\.? [A-Z][a-zà-ÿ]{1,30}(?: [A-Z][a-zà-ÿ]{1,30})?")
+
+# Gazetteers.
+TLDS = frozenset("com org net edu gov info io co de fr es uk us eu ch at it nl be pl ru cn jp br in au ca mx ar example test".split())
+DIAL_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 60 61 62 63 64 65 66 81 82 84 86 90 91 92 351 352 353 358 380 420".split())
+CARD_STARTS = ("4", "51", "52", "53", "54", "55", "34", "37", "6011", "65", "35", "2")
+IBAN_COUNTRIES = frozenset("AT BE CH CZ DE DK ES FI FR GB GR HU IE IT LU NL NO PL PT SE".split())
+FIRST_NAMES = frozenset("anna maria john james mary robert michael linda david emma peter paul thomas laura carlos juan jose pierre marie jean hans karl claudia sofia luis ana julia max lena".split())
+CUES = {
+    "email": ("mail", "contact", "write", "kontakt", "correo"), "written_email": ("mail", "contact", "write", "kontakt", "correo"),
+    "ip": ("ip", "host", "server", "address", "from", "login"), "card": ("card", "visa", "credit", "karte", "tarjeta", "carte"),
+    "phone": ("phone", "tel", "call", "fax", "mobile", "whatsapp"), "local_phone": ("phone", "tel", "call", "fax", "mobile", "whatsapp"),
+    "ssn": ("ssn", "social", "security", "tax"), "iban": ("iban", "account", "konto", "bank", "cuenta", "compte"), "name": ("dear", "by", "name", "from", "contact", "liebe", "estimad"),
+}
+COUNTER_CUES = ("version", "order", "isbn", "page", "figure", "article", "invoice", "sku", "build", "no.")
+CUE_WINDOW = 40
+
+SPAN = "kind int, start long, end long, votes int, shape int"
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for k, x in enumerate(reversed(digits)):
+        d = ord(x) - 48
+        total += d if k % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d)
+    return total % 10 == 0
+
+
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Each match has one "@": its local part reaches back as far as it can, its domain forward."""
+    at, last = text.find("@"), 0
+    while at >= 0:
+        start = at
+        while start > last and text[start - 1] in LOCAL:
+            start -= 1
+        m = DOMAIN.match(text, at + 1) if start < at else None
+        if m:
+            yield start, m.end()
+            last = m.end()
+        else:
+            last = at + 1
+        at = text.find("@", last)
+
+
+def small(part: str) -> bool:
+    part = part.lstrip("0") or "0"
+    return len(part) <= 3 and int(part) <= 255
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of the base kinds, by kind and start."""
+    out = [(0, a, b) for a, b in emails(text)] if "@" in text else []
+    out += [(1, *m.span()) for m in IP.finditer(text) if all(map(small, m[0].split(".")))]
+    for m in CARD.finditer(text):
+        if m.end() - m.start() >= 13:
+            digits = m[0].replace(" ", "").replace("-", "")
+            if 13 <= len(digits) <= 19 and luhn(digits):
+                out.append((2, *m.span()))
+    if "+" in text:
+        out += [(3, *m.span()) for m in PHONE.finditer(text) if 9 <= sum(x.isdigit() for x in m[0]) <= 15]
+    return out
+
+
+def more_spans(text: str) -> list[tuple[int, int, int]]:
+    """Proposals of the further kinds."""
+    out = []
+    lower_at = " at " in text or "at]" in text or "at)" in text
+    if lower_at and (" dot " in text or "dot]" in text or "dot)" in text):
+        out += [(4, *m.span()) for m in WRITTEN_EMAIL.finditer(text)]
+    for kind, pattern in ((5, LOCAL_PHONE), (6, SSN), (7, IBAN), (8, NAME)):
+        out += [(kind, *m.span()) for m in pattern.finditer(text)]
+    return out
+
+
+def iban_valid(value: str) -> bool:
+    value = value.replace(" ", "")
+    return 15 <= len(value) <= 34 and int("".join(str(int(x, 36)) for x in value[4:] + value[:4])) % 97 == 1
+
+
+def vote(text: str, kind: int, start: int, end: int) -> list[int]:
+    """The labelers' votes on one span."""
+    name, value = KINDS[kind], text[start:end]
+    digits = "".join(x for x in value if "0" <= x <= "9")
+    if name in ("email", "written_email"):
+        tld = re.split(r"[^A-Za-z0-9]+", value)[-1].lower()
+        form, gazetteer = (1 if tld.isalpha() and 2 <= len(tld) <= 24 else -1), (1 if tld in TLDS else 0)
+    elif name == "ip":
+        form, gazetteer = (1 if all(p == "0" or not p.startswith("0") for p in value.split(".")) else -1), (-1 if digits.startswith("0") else 0)
+    elif name == "card":
+        form, gazetteer = (1 if len(digits) >= 15 else 0), (1 if digits.startswith(CARD_STARTS) else -1)
+    elif name in ("phone", "local_phone"):
+        form = 1 if 10 <= len(digits) <= 13 else 0
+        gazetteer = (1 if any(digits[:k] in DIAL_CODES for k in (1, 2, 3)) else -1) if name == "phone" else (-1 if digits[0] in "01" else 1)
+    elif name == "ssn":
+        form, gazetteer = (-1 if value[:3] in ("000", "666") or value[0] == "9" or value[4:6] == "00" or value[7:] == "0000" else 1), 0
+    elif name == "iban":
+        form, gazetteer = (1 if iban_valid(value) else -1), (1 if value[:2] in IBAN_COUNTRIES else -1)
+    else:
+        form, gazetteer = (1 if value.count(" ") >= 2 else 0), (1 if any(w.lower() in FIRST_NAMES for w in value.split()) else 0)
+    before = text[max(0, start - CUE_WINDOW) : start].lower()
+    context = 1 if any(c in before for c in CUES[name]) else -1 if any(c in before for c in COUNTER_CUES) else 0
+    apart = (start == 0 or not text[start - 1].isalnum()) and (end == len(text) or not text[end].isalnum())
+    return [form, gazetteer, context, 1 if apart else -1]
+
+
+def propose(text: str) -> list[tuple[int, int, int, int, int]]:
+    """(kind, start, end, votes in base 3, shape) of all proposals; further kinds give way to base spans."""
+    base = base_spans(text)
+    taken = sorted((a, b) for _, a, b in base)
+    out = list(base)
+    for kind, a, b in sorted(more_spans(text), key=lambda x: (x[1], -x[2])):
+        if all(b <= c or d <= a for c, d in taken):
+            out.append((kind, a, b))
+            taken.append((a, b))
+    full = []
+    for kind, a, b in sorted(out):
+        votes = 0
+        for v in vote(text, kind, a, b):
+            votes = votes * 3 + v + 1
+        full.append((kind, a, b, votes, min(3, (b - a) // 10)))
+    return full
+
+
+def vote_list(code: int) -> list[int]:
+    out = []
+    for _ in LABELERS:
+        out.append(code % 3 - 1)
+        code //= 3
+    return out[::-1]
+
+
+def reliabilities(patterns: list[tuple[int, int, int]], rounds: int = 50) -> dict[tuple[int, int], float]:
+    """EM over (kind, votes, count): the probability that a span of this kind with these votes is personal.
+
+    For each kind and labeler, P(vote | true) and P(vote | false), with a prior that leans to the vote.
+    """
+    out: dict[tuple[int, int], float] = {}
+    for kind in {p[0] for p in patterns}:
+        rows = [(v, n) for k, v, n in patterns if k == kind]
+        votes = np.array([vote_list(v) for v, _ in rows]) + 1
+        counts = np.array([n for _, n in rows], float)
+        weight = min(50.0, counts.sum())
+        lean = {True: np.array([0.15, 0.35, 0.5]), False: np.array([0.5, 0.35, 0.15])}
+        prior, table = 0.5, {y: np.tile(lean[y], (len(LABELERS), 1)) for y in (True, False)}
+        for _ in range(rounds):
+            logs = {y: np.log(p) + sum(np.log(table[y][k][votes[:, k]]) for k in range(len(LABELERS))) for y, p in ((True, prior), (False, 1 - prior))}
+            post = 1 / (1 + np.exp(np.clip(logs[False] - logs[True], -50, 50)))
+            prior = (1 + (counts * post).sum()) / (2 + counts.sum())
+            for y, share in ((True, post), (False, 1 - post)):
+                for k in range(len(LABELERS)):
+                    seen = np.array([(counts * share)[votes[:, k] == v].sum() for v in range(3)])
+                    table[y][k] = (seen + weight * lean[y]) / (seen.sum() + weight)
+        out |= {(kind, v): float(p) for (v, _), p in zip(rows, post)}
+    return out
+
+
+def features(kind: int, votes: int, shape: int) -> list[float]:
+    """Kind, votes (for and against apart) and length class."""
+    v = vote_list(votes)
+    return [float(k == kind) for k in range(len(KINDS))] + [float(x == 1) for x in v] + [float(x == -1) for x in v] + [float(k == shape) for k in range(4)]
+
+
+def train_classifier(patterns: list[tuple[int, int, int, int]], steps: int = 400, rate: float = 0.5, decay: float = 1e-3) -> list[float]:
+    """Logistic regression on (kind, votes, shape, count) patterns with EM posteriors as soft labels."""
+    if not patterns:
+        return []
+    merged: dict[tuple[int, int], int] = {}
+    for kind, votes, _, n in patterns:
+        merged[kind, votes] = merged.get((kind, votes), 0) + n
+    soft = reliabilities([(k, v, n) for (k, v), n in sorted(merged.items())])
+    x = np.array([features(k, v, s) for k, v, s, _ in patterns])
+    y = np.array([soft[k, v] for k, v, _, _ in patterns])
+    by_kind = {k: sum(n for kk, _, _, n in patterns if kk == k) for k in {p[0] for p in patterns}}
+    w = np.array([n / by_kind[k] for k, _, _, n in patterns])  # each kind counts alike
+    theta = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-x @ theta))
+        theta -= rate * (x.T @ (w * (p - y)) / w.sum() * len(by_kind) + decay * theta)
+    return [float(t) for t in theta]
+
+
+def probability(theta: list[float], kind: int, votes: int, shape: int) -> float:
+    return 1 / (1 + math.exp(-sum(a * b for a, b in zip(theta, features(kind, votes, shape))))) if theta else 0.0
+
+
+def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = 0.5) -> DataFrame:
+    """One row per row of docs: id, spans (array of kind name, start, end; by kind, then start)."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("votes", pa.int32()), ("shape", pa.int32())]))
+        for batch in batches:
+            found = [[dict(zip(("kind", "start", "end", "votes", "shape"), s)) for s in propose(x.as_py() or "")] for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, kind)], names=["id", "spans"])
+
+    proposed = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(search, f"id {id_type}, spans array<struct<kind:int,start:bigint,end:bigint,votes:int,shape:int>>"), "proposals")
+    counted = proposed.select(F.explode("spans").alias("s")).groupBy("s.kind", "s.votes", "s.shape").count().orderBy("kind", "votes", "shape").collect()
+    patterns = [(r["kind"], r["votes"], r["shape"], r["count"]) for r in counted]
+    theta = train_classifier(patterns)
+    taken = sorted((k, v, s) for k, v, s, _ in patterns if k < len(BASE) or probability(theta, k, v, s) >= accept)
+    code = lambda k, v, s: (k * 3 ** len(LABELERS) + v) * 4 + s
+    codes = F.array(*[F.lit(code(*t)) for t in taken]) if taken else F.array().cast("array<int>")
+    names = F.array(*map(F.lit, KINDS))
+    kept = F.filter("spans", lambda s: F.array_contains(codes, code(s["kind"], s["votes"], s["shape"])))
+    return proposed.select("id", F.transform(kept, lambda s: F.struct(F.get(names, s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
+
+
+def digest_of(spans: list[tuple[str, int, int]]) -> str:
+    return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()

@@ -32,6 +32,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"), MIX_WEIGHTS).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "finish_time")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from twinfold.llm.html_text import extract_pages
+
+    return extract_pages(read_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from twinfold.llm.exact_dedup import exact_groups
 
@@ -39,23 +45,40 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from twinfold.llm.bpe import encode_documents
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from twinfold.llm.quality import judge_quality
 
-    return encode_documents(read_table(spark, sf_dir, "documents"), default_vocabulary()).withColumnRenamed("id", "doc_id")
+    return judge_quality(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 def _is(value: str) -> Callable[[Column], Column]:
     return lambda x: x == value
 
 
+def _count_kinds(kinds: tuple[str, ...]) -> list[Column]:
+    return [F.size(F.filter(F.transform("spans", lambda s: s["kind"]), _is(k))).cast("long").alias(f"n_{k}") for k in kinds]
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from twinfold.llm.pii import BASE, find_personal
+    from twinfold.llm.secret_scan import span_list
+
+    found = find_personal(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), *_count_kinds(BASE), F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*BASE))), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from twinfold.llm.bpe import encode_documents
+
+    return encode_documents(read_table(spark, sf_dir, "documents"), default_vocabulary()).withColumnRenamed("id", "doc_id")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from twinfold.llm.secret_scan import scan_paths, span_list
 
     found = scan_paths(read_table(spark, sf_dir, "documents"))
     base = ("assign", "access", "hex")
-    counts = [F.size(F.filter(F.transform("spans", lambda s: s["kind"]), _is(k))).cast("long").alias(f"n_{k}") for k in base]
-    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
+    return found.select(F.col("id").alias("doc_id"), *_count_kinds(base), F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_mixing, op6_exact_dedup, op9_bpe, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_url_filter, op2_mixing, op5_html_text, op6_exact_dedup, op7_quality, op8_personal_data, op9_bpe, op10_secret_scan)}
 
 
 #: Texts with A-Z in lower case; DuckDB's translate changes nothing else.
