@@ -32,6 +32,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"), MIX_WEIGHTS).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "finish_time")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from twinfold.llm.ngram_lm import score_documents
+
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 1
+    return score_documents(read_table(spark, sf_dir, "documents"), held_out).withColumnRenamed("id", "doc_id")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from twinfold.llm.near_dedup import near_groups
 
@@ -94,7 +101,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_mixing, op4_near_dedup, op5_html_text, op6_exact_dedup, op7_quality, op8_personal_data, op9_bpe, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_lm_score, op4_near_dedup, op5_html_text, op6_exact_dedup, op7_quality, op8_personal_data, op9_bpe, op10_secret_scan)}
 
 
 #: Texts with A-Z in lower case; DuckDB's translate changes nothing else.
