@@ -1 +1,111 @@
-QUERIES, ORACLES = {}, {}
+"""Queries of the individual rules, the survivor rules and the first generation's filters."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from twinfold.functions import exprs as X
+from twinfold.operators import catalog as C
+from twinfold.operators import rules as L
+from twinfold.operators import survivors as V
+from twinfold.operators.grouping import component_groups
+from twinfold.operators.similarity import similar_pairs
+from twinfold.plans.register import Registry
+from twinfold.sources.scratch import stored
+
+R = Registry()
+
+
+def _like(*parts: str) -> str:
+    """Some path holds a part, whatever the case, as DuckDB SQL over paths."""
+    return "(" + " OR ".join(f"len(list_filter(paths, lambda p: contains(lower(p), '{x.lower()}'))) > 0".replace("'s child", "''s child") for x in parts) + ")"
+
+
+_STEM = r"regexp_replace(split_part(p, '/', -1), '(.)\.[^.]+$', '\1')"
+_FIRST_MATCH = [
+    ("FATHER_IN_LAW", "separate", _like("/tor/Pictures/2013/03/03/", "/Thumbnails/2013/03/03/", "/Tor's childhood/")),
+    ("PHOTOBOOTH", "separate", _like("Photo Booth Library/Originals/", "Photo Booth Library/Pictures/")),
+    ("HUE_ANIMATION", "separate", _like("HUE Animation")),
+    ("MINECRAFT_TEXTURE", "reject", _like("minecraft")),
+    ("ICHAT_ICON", "reject", _like("/iChat Icons/", "/Messages/", "/Skype/") + " AND greatest(width, height) < 200"),
+    ("WEB_ASSET", "reject", "companion"),
+    ("FACE_CROP", "reject", f"len(list_filter(paths, lambda p: contains(lower({_STEM}), '_face'))) > 0 OR ({_like('/modelresources/')} AND greatest(width, height) <= 500 AND abs(width / height - 1) <= CAST(0.1 AS DOUBLE))"),
+    ("STOCK_GREETING", "reject", f"len(list_filter(paths, lambda p: contains(p, '20140223-155504') AND regexp_full_match(replace({_STEM}, '_1024', ''), '[0-9]{{3}}'))) > 0"),
+    ("FLAG_ICON", "reject", _like("20121223-175144")),
+    ("FLIP_VIDEO_THUMB", "reject", _like("/FlipShare Data/Previews/", "/My Flip Video Prefs/")),
+    ("VIDEO_THUMBNAIL", "reject", "len(list_filter(paths, lambda p: starts_with(upper(split_part(p, '/', -1)), 'MVI_') OR ends_with(upper(p), '.THM'))) > 0"),
+    ("APP_RESOURCE", "reject", _like(".app/Contents/")),
+    ("TRASHES", "reject", _like("/.Trashes/")),
+    ("TINY_ICON", "reject", "width * height < 5000"),
+]
+_WHEN = " ".join(f"WHEN {w} THEN '{d}:{n}'" for n, d, w in _FIRST_MATCH)
+_COMPANION = r"photos.id IN (SELECT photo_id FROM paths JOIN (SELECT DISTINCT regexp_replace(path, '\.html?$', '') AS base FROM inventory WHERE regexp_matches(path, '\.html?$')) i ON i.base = regexp_extract(source_path, '(.+)_files/', 1))"
+R.add(
+    "individual_rules",
+    lambda c: L.decide(c.bare, c.paths, c.inventory),
+    f"SELECT photo_id, split_part(hit, ':', 1) AS decision, split_part(hit, ':', 2) AS rule_name FROM (SELECT id AS photo_id, CASE {_WHEN} END AS hit FROM (SELECT photos.*, listed.paths, {_COMPANION} AS companion FROM photos JOIN listed ON listed.photo_id = photos.id)) WHERE hit IS NOT NULL", "photos", "listed", "inventory",
+)
+R.add("f19_companions", lambda c: L.with_companions(c.bare, c.paths, c.inventory).filter("companion").select("id"), f"SELECT id FROM photos WHERE {_COMPANION}", "photos", "paths", "inventory")
+_CATS = " ".join(f"WHEN {' OR '.join(f'''contains(lower(source_path), '{p.lower()}')''' for p in parts) if parts != [''] else 'true'}{'' if most is None else f' AND width * height <= {most}'} THEN '{name}'" for name, parts, most in L.LEGACY_CATEGORIES)
+R.add(
+    "r11_legacy_categories",
+    lambda c: c.paths.join(c.bare, F.col("photo_id") == F.col("id")).select("path_id", L.legacy_category(F.col("source_path"), X.resolution(F.col("width"), F.col("height"))).alias("category")),
+    f"SELECT path_id, CASE {_CATS} END AS category FROM paths JOIN photos ON id = photo_id", "photos", "paths",
+)
+
+
+def _members(c):
+    """Members of the groups that similar hashes make, with all that the rules look at."""
+    groups = component_groups(stored(similar_pairs(c.hashes), "near"))
+    return stored(C.members_with_paths(groups, c.photos.select("id", "width", "height", "file_size", "phash", "dhash", "exif_make", "L"), c.paths), "members")
+
+
+def _coarse(c):
+    """Members by plain arithmetic, with eight-bit hashes and names without numbers, so that every rule has work."""
+    photos = c.photos.select("id", "width", "height", "file_size", F.col("phash").bitwiseAND(F.lit(255)).alias("phash"), F.col("dhash").bitwiseAND(F.lit(255)).alias("dhash"))
+    return stored(C.members_with_paths(c.small("members"), photos, c.paths.withColumn("source_path", F.regexp_replace("source_path", "[0-9]{2,}", "x"))), "members")
+
+
+_FACTS = r"""SELECT g.group_id, p.id, p.width * p.height AS res, p.file_size, h.*, len(list_filter(l.paths, lambda x: contains(lower(x), '/thumbnails/') OR starts_with(lower(split_part(x, '/', -1)), 'thumb_'))) > 0 AS thumb, len(list_filter(l.paths, lambda x: contains(lower(x), '/thumbnails/'))) > 0 AS folder,
+    list_transform(l.paths, lambda x: regexp_replace(regexp_replace(lower(regexp_replace(split_part(x, '/', -1), '(.)\.[^.]+$', '\1')), '_\d+$', ''), '^thumb_', '')) AS bases, len(list_filter(l.paths, lambda x: contains(lower(x), '/previews/'))) > 0 AS preview, lower(split_part(l.paths[1], '/', -1)) AS first_name,
+    len(list_filter(l.paths, lambda x: contains(lower(x), '.photolibrary/'))) > 0 AS iphoto, len(list_filter(l.paths, lambda x: contains(lower(x), '.photoslibrary/'))) > 0 AS photos_app FROM comp_groups g JOIN photos p ON p.id = g.photo_id JOIN (SELECT id AS hid, p_hi, p_lo, d_hi, d_lo FROM hashes) h ON h.hid = p.id JOIN listed l ON l.photo_id = p.id"""
+_DP, _DD = "(bit_count(xor(a.p_hi, b.p_hi)) + bit_count(xor(a.p_lo, b.p_lo)))", "(bit_count(xor(a.d_hi, b.d_hi)) + bit_count(xor(a.d_lo, b.d_lo)))"
+_SAME = f"({_DP} <= 2 OR ({_DP} <= 6 AND {_DD} = 0))"
+_HITS = {
+    "THUMBNAIL": f"a.thumb AND NOT b.thumb AND b.res > a.res AND ({_SAME} OR (a.folder AND list_has_any(a.bases, b.bases)))",
+    "PREVIEW": "a.preview AND NOT b.preview AND a.first_name = b.first_name AND b.file_size > a.file_size",
+    "IPHOTO_COPY": f"a.photos_app AND b.iphoto AND {_SAME}",
+    "DERIVATIVE": f"a.id <> b.id AND b.res > a.res AND a.res < CAST(0.9 AS DOUBLE) * b.res AND {_SAME}",
+}
+#: Each step: the rejected of one rule among those left, in groups with two left at least.
+_CHAIN = "left0 AS (SELECT * FROM facts)" + "".join(
+    f", alive{k} AS (SELECT * FROM left{k} QUALIFY count(*) OVER (PARTITION BY group_id) >= 2), hit{k} AS (SELECT DISTINCT a.id, a.group_id FROM alive{k} a JOIN alive{k} b ON a.group_id = b.group_id AND {cond}), left{k + 1} AS (SELECT * FROM left{k} WHERE id NOT IN (SELECT id FROM hit{k}))" for k, cond in enumerate(_HITS.values())
+)
+_COARSE = (
+    _FACTS.replace("FROM comp_groups g", "FROM members g")
+    .replace("SELECT id AS hid, p_hi, p_lo, d_hi, d_lo FROM hashes", "SELECT id AS hid, 0 AS p_hi, p_lo & 255 AS p_lo, 0 AS d_hi, d_lo & 255 AS d_lo FROM hashes")
+    .replace("JOIN listed l ON", "JOIN (SELECT photo_id, list(regexp_replace(source_path, '[0-9]{2,}', 'x', 'g') ORDER BY path_id) AS paths FROM paths GROUP BY 1) l ON")
+)
+_SETS = " UNION ALL ".join(f"SELECT id AS photo_id, group_id, '{name}' AS rule_name FROM hit{k}" for k, name in enumerate(_HITS))
+R.add("r1_r4_survivor_rules", lambda c: V.reject_in_groups(_coarse(c)).filter("rule_name <> 'SAME_RES_DUPLICATE'"), f"SELECT * FROM (WITH facts AS ({_COARSE}), {_CHAIN} {_SETS})", "members", "hashes", "paths")
+R.add("r5_all_survivor_rules", lambda c: V.reject_in_groups(_coarse(c)))
+R.add("r6_r7_originals", lambda c: _originals(c))
+
+
+def _originals(c):
+    members = _coarse(c)
+    return V.originals(members, stored(V.reject_in_groups(members), "rejections"))
+
+
+R.add("r8_groups_with_rejections", lambda c: c.small("rejections").filter("rule_name = 'THUMBNAIL'").select("group_id").distinct().orderBy("group_id").offset(5).limit(10), "SELECT DISTINCT group_id FROM rejections WHERE rule_name = 'THUMBNAIL' ORDER BY 1 LIMIT 10 OFFSET 5", "rejections")
+R.add("r9_legacy_rejections", lambda c: V.legacy_rejections(_coarse(c).withColumn("content_md5", F.md5(F.col("id")))))
+R.add("r10_best_of_base", lambda c: V.best_of_base(_members(c)))
+_RANK = "SELECT photo_id, group_id, q AS quality_score, CAST(row_number() OVER (PARTITION BY group_id ORDER BY q DESC, photo_id) AS INT) AS rank_in_group, count(*) OVER (PARTITION BY group_id) AS group_size FROM (SELECT photo_id, group_id, CAST(floor(width * height * ((L % 101) / 100.0::DOUBLE)) AS BIGINT) AS q FROM members JOIN photos ON id = photo_id)"
+R.add(
+    "w3_legacy_rank",
+    lambda c: V.legacy_rank(c.small("members").join(c.bare.withColumn("score", F.col("L") % 101), F.col("photo_id") == F.col("id")).drop("photo_id")),
+    f"SELECT *, rank_in_group = 1 AS is_suggested_keeper FROM ({_RANK})", "members", "photos",
+)
+R.add("r12_planned_rank", lambda c: V.planned_rank(_members(c)).select("photo_id", "group_id", "rank"), "SELECT id AS photo_id, group_id, CAST(row_number() OVER (PARTITION BY group_id ORDER BY f.res DESC, file_size DESC, thumb, has DESC, id) AS INT) AS rank FROM (SELECT f.*, p.exif_make IS NOT NULL AS has FROM (" + _FACTS + ") f JOIN photos p ON p.id = f.id) f", "comp_groups", "listed")
+
+QUERIES, ORACLES = R.queries, R.oracles
