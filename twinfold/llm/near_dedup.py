@@ -8,15 +8,16 @@ from how many registers are larger, smaller and equal, given the set sizes; what
 verified on the full sets, with integers.
 
 Documents with equal sets are one class and meet the buckets once. Only the connected components are
-wanted, so a bucket never emits all its pairs. In each round it compares its members with one of
-them, its hub, and components are formed; members that are still apart meet another hub. Buckets whose
-components stay apart are at last compared in full across components, which is exact, and cheap because
-by then only chance neighbours are left. Nothing is capped or dropped: the losses are those of banding
-(at similarity 0.8 a pair shares no band with probability 3e-6) and of the estimate's margin of five
-standard errors.
+wanted, so a bucket never emits all its pairs. The member of a bucket that meets most others in all its
+buckets is its hub; the buckets of one hub are its star. First each member is compared with its hubs
+alone, and components are formed. Two members of one bucket that are still apart are members of one star of
+which at least one, a stray, is outside the hub's component: so the strays of each star are then compared
+with all its members, as a query set against rows, in blocks of bounded bytes; first by estimate, then on
+full sets. Nothing is capped or dropped: the losses are those of banding (at similarity 0.8 a pair shares no
+band with probability 3e-6) and of the estimate's margin of five standard errors.
 
-Full sets travel only for documents in candidate pairs, once per hub; a hub with many members is dealt out
-over several groups with a copy of its own set in each.
+Full sets travel only for documents in candidate pairs, once per hub or block; a hub with many members is
+dealt out over several groups with a copy of its own set in each.
 
 Cases: null text is empty; a text without words has no set and is linked with nothing; one with fewer
 words than a shingle is one shingle; documents of any length are taken whole; repeated rows are equal
@@ -42,7 +43,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE = 1.02, 20.0
 #: Members that meet one copy of their hub's set.
 STAR = 200
-MAX_ROUNDS = 6
+#: Bytes of sets, and the most classes, on either side of a block.
+BLOCK_BYTES, BLOCK_ROWS = 4_000_000, 1024
 _P = np.uint64(0x9E3779B97F4A7C15)
 _A = np.uint64(0xBF58476D1CE4E5B9)
 _B = np.uint64(0x94D049BB133111EB)
@@ -144,10 +146,11 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, width: int) ->
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def likely(pairs: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
-    """The pairs (a, b, ...) whose joint estimate reaches floor."""
+def likely(pairs: DataFrame, classes: DataFrame, floor: float, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes allow the similarity and whose joint estimate reaches floor."""
     side = lambda s: classes.select(F.col("class_key").alias(s), F.col("n").alias(f"n_{s}"), F.col("regs").alias(f"regs_{s}"))
     full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
+    full = full.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,6 +212,87 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str,
     return sent.repartition("hub", "part").sortWithinPartitions("hub", "part", "member").mapInArrow(compare, "src long, dst long")
 
 
+def star_table(buckets: DataFrame) -> DataFrame:
+    """hub, class_key: who shares a bucket with which hub (bucket, class_key); hubs are members of their stars."""
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    degrees = buckets.join(sizes, "bucket").groupBy("class_key").agg(F.sum("size").alias("degree"))
+    ranked = stored(buckets.join(degrees, "class_key").select("bucket", "class_key", "degree"), "ranked")
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("degree", F.col("class_key").alias("hub"))).alias("x")).select("bucket", "x.hub")
+    return ranked.join(hubs, "bucket").select("hub", "class_key").distinct()
+
+
+def verified_strays(star: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, percent: int, floor: float) -> DataFrame:
+    """Edges (src, dst) between the strays of each star and its members, in blocks.
+
+    star: hub, class_key, component, stray. Each block (hub, i, j) holds the j-th part of the strays and the
+    i-th part of the members.
+    """
+    size = classes.select(F.col("class_key").alias("hub"), F.col("n").alias("hub_n"))
+    room = F.greatest(F.lit(8), F.least(F.lit(BLOCK_ROWS), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("hub_n")))))
+    counts = star.groupBy("hub").agg(F.count(F.lit(1)).alias("k"), F.count_if("stray").alias("s")).filter("s > 0").join(size, "hub")
+    blocks = counts.select("hub", F.ceil(F.col("k") / room).cast("int").alias("rows"), F.ceil(F.col("s") / room).cast("int").alias("queries"))
+    dealt = star.join(blocks, "hub").withColumn("h", F.xxhash64("class_key"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = lambda n: F.array(F.pmod("h", n).cast("int"))
+    as_row = dealt.select("class_key", "hub", "component", "stray", F.lit(1).alias("role"), own("rows").alias("i"), upto("queries").alias("j"))
+    as_query = dealt.filter("stray").select("class_key", "hub", "component", "stray", F.lit(0).alias("role"), upto("rows").alias("i"), own("queries").alias("j"))
+    wanted = as_row.unionByName(as_query).groupBy("class_key").agg(F.collect_list(F.struct("hub", "component", "stray", "role", "i", "j")).alias("groups"))
+    wanted = wanted.join(classes.select("class_key", "rep", "regs"), "class_key")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("text", "class_key", "regs", "groups")
+    schema = pa.schema([("hub", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("role", pa.int32()), ("class_key", pa.int64()), ("component", pa.int64()), ("stray", pa.bool_()), ("regs", pa.binary()), ("items", pa.binary())])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, bytes_held = [], 0
+            for text, key, regs, groups in zip(*(batch.column(c) for c in ("text", "class_key", "regs", "groups"))):
+                items = shingle_set(text.as_py(), width)
+                if not len(items) or class_key(items) != key.as_py():
+                    continue  # another row with the same identifier
+                data = items.tobytes()
+                for g in groups.as_py():
+                    for i in g["i"]:
+                        for j in g["j"]:
+                            rows.append({"hub": g["hub"], "i": i, "j": j, "role": g["role"], "class_key": key.as_py(), "component": g["component"], "stray": g["stray"], "regs": regs.as_py(), "items": data})
+                            bytes_held += len(data)
+                            if bytes_held > 16_000_000:
+                                yield pa.RecordBatch.from_pylist(rows, schema)
+                                rows, bytes_held = [], 0
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, queries, matrix = None, [], None
+        for batch in batches:
+            src, dst = [], []
+            for row in batch.to_pylist():
+                if (row["hub"], row["i"], row["j"]) != block:
+                    block, queries, matrix = (row["hub"], row["i"], row["j"]), [], None
+                items, regs = np.frombuffer(row["items"], np.uint64), np.frombuffer(row["regs"], np.uint16)
+                if row["role"] == 0:
+                    queries.append((row["class_key"], row["component"], items, regs))
+                    continue
+                if not queries:
+                    continue
+                if matrix is None:
+                    matrix = (np.stack([q[3] for q in queries]), np.array([len(q[2]) for q in queries], float), np.array([q[0] for q in queries]), np.array([q[1] for q in queries]))
+                n = len(items)
+                ok = (matrix[3] != row["component"]) & (100 * np.minimum(matrix[1], n) >= percent * np.maximum(matrix[1], n))
+                if row["stray"]:
+                    ok &= matrix[2] < row["class_key"]  # two strays meet once
+                at = np.flatnonzero(ok)
+                at = at[(matrix[0][at] == regs).mean(axis=1) >= floor - 0.1] if len(at) else at
+                if len(at):
+                    near = joint_estimate(matrix[0][at], np.broadcast_to(regs, (len(at), REGISTERS)), matrix[1][at], np.full(len(at), float(n))) >= floor
+                    for k in at[near]:
+                        shared = len(np.intersect1d(queries[k][2], items, assume_unique=True))
+                        if 100 * shared >= percent * (len(queries[k][2]) + n - shared):
+                            src.append(queries[k][0])
+                            dst.append(row["class_key"])
+            yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
+
+    sent = texts.mapInArrow(send, "hub long, i int, j int, role int, class_key long, component long, stray boolean, regs binary, items binary")
+    return sent.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", "role").mapInArrow(compare, "src long, dst long")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs: id, n_shingles, component_id (the smallest identifier reachable), kept.
 
@@ -216,48 +300,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     sketches = stored(sketch_documents(docs, id_col, text_col, width), "sketches")
     classes = stored(sketches.filter("n > 0").groupBy("class_key").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("regs").alias("regs")), "classes")
-    spread = classes.select("class_key", "n", F.explode("bands").alias("bucket"))
+    spread = classes.select("class_key", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").count().filter("count > 1").select("bucket")
-    buckets = stored(spread.join(shared, "bucket"), "buckets")
+    star = stored(star_table(stored(spread.join(shared, "bucket"), "buckets")), "stars")
     similarity = percent / 100
     floor = max(0.0, similarity - 5 * (similarity * (1 - similarity) / REGISTERS) ** 0.5)
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    edges, labels = None, None
-
-    def link(pairs: DataFrame) -> bool:
-        """Verify pairs (a, b) and take their edges into the components. False if there were none."""
-        nonlocal edges, labels
-        found = stored(likely(pairs, classes, floor), "likely-pairs")
-        if found.isEmpty():
-            return False
-        fresh = stored(verified(found, docs, classes, id_col, text_col, width, percent), "links")
-        edges = fresh if edges is None else edges.unionByName(fresh)
-        labels = connected_components(edges)
-        return True
-
-    def labelled() -> DataFrame:
-        named = buckets.withColumn("component", F.col("class_key"))
-        return named if labels is None else relabel(named, "component", labels)
-
-    apart = stored(labelled(), "apart")
-    for turn in range(MAX_ROUNDS):
-        order = F.xxhash64("class_key", F.lit(turn))
-        hubs = apart.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("class_key").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))).alias("hub"))
-        members = apart.withColumnRenamed("class_key", "a").withColumnRenamed("n", "n_a").join(hubs.select("bucket", "hub.b", "hub.n_b", "hub.component_b"), "bucket")
-        link(members.filter((F.col("component") != F.col("component_b")) & fits).select("a", "b").distinct())
-        named = labelled()
-        split = named.groupBy("bucket").agg((F.min("component") != F.max("component")).alias("split"), F.count(F.lit(1)).alias("rows")).filter("split").select("bucket", "rows")
-        apart = stored(named.join(split, "bucket"), "apart")
-        size = apart.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"), F.sum("k").alias("rows")).agg(F.sum("pairs").alias("pairs"), F.sum("rows").alias("rows")).first()
-        if not size["rows"] or size["pairs"] <= 4 * size["rows"]:
-            break
-        apart = apart.drop("rows")
-    if size["rows"]:
-        one, two = apart.select("bucket", F.col("class_key").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a")), apart.select("bucket", F.col("class_key").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-        link(one.join(two, "bucket").filter((F.col("a") > F.col("b")) & (F.col("c_a") != F.col("c_b")) & fits).select("a", "b").distinct())
-    named = classes.select("class_key", "rep").withColumn("component", F.col("class_key"))
-    if labels is not None:
-        named = relabel(named, "component", labels)
+    to_hub = star.filter("hub <> class_key").select(F.col("class_key").alias("a"), F.col("hub").alias("b"))
+    near_hub = stored(likely(to_hub, classes, floor, percent), "likely-pairs")
+    edges = stored(verified(near_hub, docs, classes, id_col, text_col, width, percent), "links")
+    labels = connected_components(edges)
+    placed = relabel(relabel(star.withColumn("component", F.col("class_key")).withColumn("main", F.col("hub")), "component", labels), "main", labels)
+    strays = stored(placed.select("hub", "class_key", "component", (F.col("component") != F.col("main")).alias("stray")), "placed")
+    more = stored(verified_strays(strays, docs, classes, id_col, text_col, width, percent, floor), "stray-links")
+    if not more.isEmpty():
+        labels = connected_components(edges.unionByName(more))
+    named = relabel(classes.select("class_key", "rep").withColumn("component", F.col("class_key")), "component", labels)
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     final = named.join(smallest, "component").select("class_key", "component_id")
     out = sketches.select("id", F.col("n").alias("n_shingles"), "class_key").join(final, "class_key", "left")
