@@ -195,11 +195,14 @@ def train(texts: DataFrame, folder: str, shards: int) -> dict[str, int]:
 
 
 def discounts(counts: list[int]) -> list[float]:
-    """For 1, 2, 3 and more, from the numbers of n-grams that occur once to four times."""
+    """For 1, 2, 3 and more, from the numbers of n-grams that occur once to four times.
+
+    None is below a tenth, so that every context leaves something to words that it wasn't seen with.
+    """
     if min(counts) <= 0:
         return [0.5, 1.0, 1.5]
     y = counts[0] / (counts[0] + 2 * counts[1])
-    return [min(max(k - (k + 1) * y * counts[k] / counts[k - 1], 0.0), float(k)) for k in (1, 2, 3)]
+    return [min(max(k - (k + 1) * y * counts[k] / counts[k - 1], 0.1), float(k)) for k in (1, 2, 3)]
 
 
 class MappedModel:
