@@ -64,7 +64,7 @@ def complete_linkage(edges: DataFrame, src: str = "id_1", dst: str = "id_2", key
     def run(group: pd.DataFrame) -> pd.DataFrame:
         rows = [(i, j, tuple(k), True) for i, j, *k in group[["i", "j", *names]].itertuples(index=False, name=None)]
         out = [(n, c[0]) for c in link_completely(rows) for n in c]
-        return pd.DataFrame(out, columns=["photo_id", "cluster_id"])
+        return pd.DataFrame(out, columns=["photo_id", "cluster_id"], dtype=object)
 
     return component.groupBy("component").applyInPandas(run, "photo_id string, cluster_id string")
 
@@ -110,6 +110,6 @@ def single_linkage_extend(members: DataFrame, strict: DataFrame, relaxed: DataFr
         grouped = own[own["cluster_id"].notna()].groupby("cluster_id")["photo_id"].apply(set).tolist()
         singles = sorted(own[own["cluster_id"].isna()]["photo_id"])
         out = [(n, min(c)) for c in extend_singly(grouped, singles, links) for n in sorted(c)]
-        return pd.DataFrame(out, columns=["photo_id", "cluster_id"])
+        return pd.DataFrame(out, columns=["photo_id", "cluster_id"], dtype=object)
 
     return node.unionByName(edge).groupBy("component").applyInPandas(run, "photo_id string, cluster_id string")

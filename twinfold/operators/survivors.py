@@ -66,7 +66,7 @@ def _same_resolution(left: DataFrame) -> DataFrame:
                 if p.bit_count() <= 2 or p.bit_count() <= 6 and d == 0:
                     worse = max(one, two, key=lambda r: (r["library_made"], -r["file_size"], r["id"]))
                     lost.append(worse["id"])
-        return pd.DataFrame([(x, int(rows[0]["group_id"])) for x in lost], columns=["id", "group_id"])
+        return pd.DataFrame([(x, int(rows[0]["group_id"])) for x in lost], columns=["id", "group_id"], dtype=object)
 
     kind = left.schema["group_id"].dataType.simpleString()
     text = left.select("id", "group_id", F.col("phash").cast("string"), F.col("dhash").cast("string"), "file_size", "res", "library_made")

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from twinfold.functions import dates as D
 from twinfold.functions import exprs as X
 from twinfold.operators import fusion
+from twinfold.operators.survivors import legacy_rank
 from twinfold.plans.register import Registry
-from twinfold.sources import ingest
+from twinfold.sources import ingest, legacy
 
 R = Registry()
 _HEX = "printf('%08x%08x', p_hi, p_lo)"
@@ -191,4 +192,32 @@ R.add(
 )
 R.add("x29_text_hashes", lambda c: c.hashes.select("id", X.long_to_hex(F.col("phash")).alias("phash"), X.long_to_hex(F.col("dhash")).alias("dhash")), "SELECT id, printf('%08x%08x', p_hi, p_lo) AS phash, printf('%08x%08x', d_hi, d_lo) AS dhash FROM hashes", "hashes")
 
+_LEGACY = "coalesce(" + ", ".join(
+    f"CASE WHEN try_strptime({v}, '%Y-%m-%d') IS NOT NULL THEN {v} END"
+    for v in (f"regexp_replace(regexp_extract(filename, '{p}'), '{p}', '\\1-\\2-\\3')" for p in (rf"((?:19|20)\d{{2}}){g}(\d{{2}}){g}(\d{{2}})" for g in ("", "-", r"\.", "_")))
+) + ")"
+R.add("x27_legacy_dates", lambda c: c.paths.select("path_id", legacy.legacy_filename_date(F.col("filename")).alias("date_value")), f"SELECT path_id, {_LEGACY} AS date_value FROM paths", "paths")
+R.add(
+    "x26_legacy_thumbnails",
+    lambda c: c.paths.join(c.bare, F.col("photo_id") == F.col("id")).select("path_id", legacy.is_thumbnail_legacy(F.col("source_path"), F.col("width"), F.col("height")).alias("thumb")),
+    "SELECT path_id, regexp_matches(lower(source_path), '/thumbnails?/|/thumbs/|/cache/') OR regexp_matches(lower(filename), '^thumb_|_thumb[.]') OR (width < 200 AND height < 200) AS thumb FROM paths JOIN photos ON id = photo_id", "paths", "photos",
+)
+
+
+def _scored(c):
+    first = c.paths.groupBy(F.col("photo_id").alias("id")).agg(F.min_by("source_path", "path_id").alias("path"))
+    return c.bare.join(first, "id").select("id", "path", (F.col("L") % 101).alias("score"), F.when(F.col("L") % 4 == 0, "tiny").alias("reason"))
+
+
+_FIRST = "(SELECT photo_id, arg_min(source_path, path_id) AS path FROM paths GROUP BY 1) f JOIN photos ON id = photo_id"
+_BUCKET = "CASE WHEN L % 101 >= 70 THEN 'high' WHEN L % 101 >= 40 THEN 'medium' ELSE 'low' END"
+R.add("s18_bucket_plan", lambda c: legacy.bucket_plan(_scored(c)), rf"SELECT photo_id, path AS src, {_BUCKET} AS bucket, concat('images/', {_BUCKET}, '/', photo_id, lower(regexp_extract(path, '\.[^.]+$'))) AS dest FROM {_FIRST}", "paths", "photos")
+R.add("s19_move_plan", lambda c: legacy.move_plan(_scored(c)), f"SELECT photo_id, path AS src, concat('filtered/tiny/', {_BUCKET}, '/', split_part(path, '/', -1)) AS dest FROM {_FIRST} WHERE L % 4 = 0", "paths", "photos")
+R.add(
+    "s20_export_names",
+    lambda c: legacy.export_names(legacy_rank(c.small("members").join(c.bare.withColumn("score", F.col("L") % 101), F.col("photo_id") == F.col("id")).drop("photo_id")).join(c.bare.selectExpr("id AS photo_id", "width", "height"), "photo_id").withColumn("filename", F.substring("photo_id", 1, 8))),
+    "SELECT photo_id, group_id, printf('%04d_%s%dx%d_q%d_%s', n, CASE WHEN n = 1 THEN 'KEEPER_' ELSE '' END, width, height, q, substr(photo_id, 1, 8)) AS link FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY q DESC, photo_id) AS n FROM (SELECT photo_id, group_id, width, height, CAST(floor(width * height * ((L % 101) / 100.0::DOUBLE)) AS BIGINT) AS q FROM members JOIN photos ON id = photo_id))", "members", "photos",
+)
+R.add("x30_same_bytes", lambda c: legacy.same_pixels(c.table("documents").selectExpr("doc_id AS id", "encode(coalesce(text, ''), 'UTF-8') AS content")), "SELECT m.id_1, d.doc_id AS id_2 FROM documents d JOIN (SELECT coalesce(text, '') AS t, min(doc_id) AS id_1 FROM documents GROUP BY 1) m ON m.t = coalesce(d.text, '') WHERE m.id_1 < d.doc_id")
+
 QUERIES, ORACLES = R.queries, R.oracles

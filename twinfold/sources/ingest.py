@@ -32,7 +32,7 @@ EXIF = "exif_make string, exif_model string, exif_software string, exif_datetime
 def exif_fields(content: pd.Series) -> pd.DataFrame:
     """The six EXIF fields of JPEG and TIFF contents; nulls where there are none or they are malformed."""
     names = [x.split()[0] for x in EXIF.split(", ")]
-    return pd.DataFrame([tiff_tags(bytes(c)) if c is not None else {} for c in content], columns=names)
+    return pd.DataFrame([tiff_tags(bytes(c)) if c is not None else {} for c in content], columns=names, dtype=object)
 
 
 _TAGS = {0x010F: "exif_make", 0x0110: "exif_model", 0x0131: "exif_software", 0x0132: "exif_datetime", 0x9003: "exif_datetime_original", 0x9004: "exif_datetime_digitized"}
@@ -155,7 +155,7 @@ def make_links(plan: DataFrame) -> DataFrame:
                     out.append((photo, False, None))
                 except OSError as error:
                     out.append((photo, False, str(error)))
-            yield pd.DataFrame(out, columns=["photo_id", "done", "error"])
+            yield pd.DataFrame(out, columns=["photo_id", "done", "error"], dtype=object)
 
     return plan.mapInPandas(run, "photo_id string, done boolean, error string")
 
