@@ -60,8 +60,8 @@ def mix_sources(docs: DataFrame, weights: list[float], budget_ratio: float = 1.5
     start is the number of the source's shuffled words before the document; finish_time its virtual
     finish time in the first epoch; taken the words the mix takes of it over all epochs.
     """
-    spread = F.xxhash64(F.lit(seed), F.col(id_col))
-    sized = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), spread.alias("h")).withColumn("slice", F.shiftright("h", 64 - SLICE_BITS).cast("int")), "sizes")
+    spread = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"))), 1, 15), 16, 10).cast("long")  # 60 bits
+    sized = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), spread.alias("h")).withColumn("slice", F.shiftright("h", 60 - SLICE_BITS).cast("int")), "sizes")
     slices = sized.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     slices = slices.withColumn("before", F.coalesce(F.sum("slice_size").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget_ratio, max_epochs)

@@ -118,5 +118,21 @@ FROM t JOIN g ON t.norm = g.norm
 """
 
 
+_OP2 = r"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+                  ('0x' || substr(md5(concat_ws(':', '7', CAST(doc_id AS VARCHAR))), 1, 15))::BIGINT AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
+w AS (SELECT *, CAST([5, 2, 1][1 + (rank - 1) % 3] AS DOUBLE) AS weight, CAST(2 * source_size AS DOUBLE) AS cap FROM s),
+l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT source, source_size, weight, least(cap, weight * max(CASE WHEN level * weight <= cap THEN level END) OVER ()) AS target FROM l),
+p AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.weight,
+             CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, source, upto / weight AS finish_time,
+       greatest(0, least(size, CAST(floor(target) AS BIGINT) - (upto - size))) + greatest(0, least(size, CAST(floor(target) AS BIGINT) - source_size - (upto - size))) AS taken
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": _OP6}
+    return {"op2_mixing": _OP2, "op6_exact_dedup": _OP6}

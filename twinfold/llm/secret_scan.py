@@ -40,7 +40,7 @@ RULES = [
     SecretRule("hex", r"[0-9a-f]{16,}+", 16),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", 24),
     SecretRule("forge", r"(?:gh[pousr]_[A-Za-z0-9]++|glpat-[A-Za-z0-9_-]++|xox[abprs]-[A-Za-z0-9-]++|sk_live_[A-Za-z0-9]++)", 20),
-    SecretRule("private_key", r"-----BEGIN (?:[A-Z]++ )*+PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END (?:[A-Z]++ )*+PRIVATE KEY-----)?", 27),
+    SecretRule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?", 27),
 ]
 
 LEDGER = "blob binary, rule string, version int, findings array<struct<start:long,end:long>>"
