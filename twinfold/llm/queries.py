@@ -134,5 +134,36 @@ FROM p
 """
 
 
+def _op1_sql(depth: int = 4, max_children: int = 50, min_share: float = 0.5, z: float = 2.58, prior: float = 5.0, min_labels: int = 5, reject_at: float = 0.8) -> str:
+    """op1 in SQL, level by level. Look-around is beyond its patterns, so long hexadecimal names are plain there."""
+    ranked = sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [(a, h + p, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')") for a, h, p in ranked]
+    shape = r"regexp_replace(regexp_replace(regexp_replace(s, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}', '{uuid}'), '[0-9]{4}-[0-9]{2}-[0-9]{2}', '{date}', 'g'), '[0-9]+', '{n}', 'g')"
+    parts = "list_filter(string_split(path, '/'), lambda s: s <> '')"
+    steps = [
+        f"""u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+r AS (SELECT *, CASE {' '.join(f"WHEN {f} THEN '{n}'" for _, n, f in fits)} END AS rule, CASE {' '.join(f"WHEN {f} THEN '{a}'" for a, _, f in fits)} END AS ruled, {parts} AS parts FROM u),
+k AS (SELECT *, list_transform(CASE WHEN len(parts) > {depth} THEN list_append(parts[1:{depth - 1}], array_to_string(parts[{depth}:], '/')) ELSE parts END, lambda s: {shape}) AS shapes FROM r),
+t0 AS (SELECT host, shapes, count(ruled) AS l, count(*) FILTER (ruled = 'block') AS b, count(*) AS n, '' AS template FROM k GROUP BY host, shapes)"""
+    ]
+    for d in range(1, depth + 1):
+        steps.append(
+            f"""c{d} AS (SELECT *, coalesce(shapes[{d}], '') AS child FROM t{d - 1}),
+n{d} AS (SELECT host, template, child, sum(l) AS l, sum(b) AS b, sum(n) AS n FROM c{d} GROUP BY 1, 2, 3),
+p{d} AS (SELECT *, sum(l) OVER w AS pl, sum(b) OVER w AS pb, sum(n) OVER w AS pn, count(*) OVER w AS kids FROM n{d} WINDOW w AS (PARTITION BY host, template)),
+s{d} AS (SELECT host, template, child, CASE WHEN child = '' THEN '' WHEN (kids > {max_children} AND kids >= {min_share} * pn) OR NOT (l > 0 AND pl - l > 0
+    AND abs(b / nullif(l, 0) - (pb - b) / nullif(pl - l, 0)) > {z} * sqrt((pb / nullif(pl, 0)) * (1 - pb / nullif(pl, 0)) * (1 / nullif(l, 0) + 1 / nullif(pl - l, 0)))) THEN '/*' ELSE '/' || child END AS step FROM p{d}),
+t{d} AS (SELECT c.host, c.shapes, c.l, c.b, c.n, c.template || s.step AS template FROM c{d} c JOIN s{d} s ON s.host = c.host AND s.template = c.template AND s.child = c.child)"""
+        )
+    steps.append(
+        f"""g AS (SELECT coalesce(sum(b), 0) / greatest(coalesce(sum(l), 0), 1) AS share FROM t{depth}),
+j AS (SELECT host, template, sum(l) AS l, (sum(b) + {prior} * (SELECT share FROM g)) / (sum(l) + {prior}) AS purity FROM t{depth} GROUP BY 1, 2)"""
+    )
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT k.page_id, k.host, k.path, k.rule, coalesce(k.ruled, CASE WHEN j.purity >= {reject_at} AND j.l >= {min_labels} THEN 'block' ELSE 'allow' END) AS verdict, t.template, j.purity
+FROM k JOIN t{depth} t ON t.host = k.host AND t.shapes = k.shapes JOIN j ON j.host = t.host AND j.template = t.template
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": _OP2, "op6_exact_dedup": _OP6}
+    return {"op1_url_filter": _op1_sql(), "op2_mixing": _OP2, "op6_exact_dedup": _OP6}
