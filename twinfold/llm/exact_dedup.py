@@ -100,17 +100,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     index.compact()
     mixed = stored(_mixed_digests(texts, index), "mixed-digests")
     groups = index.table().select("digest", F.col(keep).alias("keep_id"), F.col("copies").alias("group_size"))
+    # Rows that repeat both identifier and text are counted, and come back one by one at the end.
     if mixed.isEmpty():
-        out = rows.join(groups, "digest")
-        key = ["digest", "id"]
+        out = rows.groupBy("digest", "id").agg(F.count(F.lit(1)).alias("times")).join(groups, "digest")
     else:
-        plain = rows.join(mixed, "digest", "left_anti").join(groups, "digest").withColumn("text", F.lit(None).cast("string"))
-        odd = texts.join(mixed, "digest", "left_semi").select("digest", "id", "text")
-        same = odd.groupBy("digest", "text").agg((F.min if keep == "smallest" else F.max)("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        out = plain.unionByName(odd.join(same, ["digest", "text"]))
-        key = ["digest", "text", "id"]
-    turn = F.row_number().over(Window.partitionBy(*key).orderBy("group_size"))
-    return out.withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")) & (turn == 1)).select("id", "digest", "keep_id", "group_size", "kept")
+        plain = rows.join(mixed, "digest", "left_anti").groupBy("digest", "id").agg(F.count(F.lit(1)).alias("times")).join(groups, "digest")
+        odd = texts.join(mixed, "digest", "left_semi").groupBy("digest", "text", "id").agg(F.count(F.lit(1)).alias("times"))
+        same = odd.groupBy("digest", "text").agg((F.min if keep == "smallest" else F.max)("id").alias("keep_id"), F.sum("times").alias("group_size"))
+        out = plain.unionByName(odd.join(same, ["digest", "text"]).drop("text"))
+    each = out.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return each.select("id", "digest", "keep_id", "group_size", (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("turn") == 1)).alias("kept"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
