@@ -19,20 +19,21 @@ from twinfold.functions import exprs as X
 
 
 def _blocks(df: DataFrame, key: str, blocks: int, left: bool) -> DataFrame:
-    """df once per block pair (lo, hi) that a row takes part in on this side."""
+    """df once per block pair i <= j that a row takes part in: on the left its own block is i, on the right j."""
     own = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    spread = df.withColumn("__own", own).withColumn("__other", other)
-    pair = (F.col("__own"), F.col("__other")) if left else (F.col("__other"), F.col("__own"))
-    return spread.withColumn("__i", pair[0]).withColumn("__j", pair[1]).drop("__own", "__other")
+    spread = df.withColumn("__own", own)
+    if left:
+        return spread.withColumn("__j", F.explode(F.sequence(F.col("__own"), F.lit(blocks - 1)))).withColumnRenamed("__own", "__i")
+    return spread.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__own")))).withColumnRenamed("__own", "__j")
 
 
 def block_join(rows: DataFrame, key: str, condition: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], blocks: int = 8) -> DataFrame:
-    """All pairs a.key < b.key of rows that meet the condition, with columns prefixed a_ and b_."""
+    """Each pair of rows that meets the (symmetric) condition once, in either order, with columns prefixed a_ and b_."""
     side = lambda p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in rows.columns])
     a, b = _blocks(side("a"), f"a_{key}", blocks, True), _blocks(side("b"), f"b_{key}", blocks, False)
     test = condition(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))
-    return a.join(b, ["__i", "__j"]).filter((F.col(f"a_{key}") < F.col(f"b_{key}")) & test).drop("__i", "__j")
+    once = (F.col("__i") < F.col("__j")) | (F.col(f"a_{key}") < F.col(f"b_{key}"))
+    return a.join(b, ["__i", "__j"]).filter(once & test).drop("__i", "__j")
 
 
 def similar_pairs(photos: DataFrame, blocks: int = 8) -> DataFrame:
@@ -66,8 +67,8 @@ def all_pairs(photos: DataFrame, blocks: int = 8) -> DataFrame:
     """
     wide = F.aggregate(F.zip_with("a_phash_16", "b_phash_16", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
     return block_join(photos.select("id", "group_id", "phash", "dhash", "phash_16", "colorhash"), "id", lambda a, b: F.lit(True), blocks).select(
-        F.col("a_id").alias("photo_id_1"),
-        F.col("b_id").alias("photo_id_2"),
+        F.least("a_id", "b_id").alias("photo_id_1"),
+        F.greatest("a_id", "b_id").alias("photo_id_2"),
         F.coalesce((F.col("a_group_id") == F.col("b_group_id")).cast("int"), F.lit(0)).alias("same_primary_group"),
         X.hamming(F.col("a_phash"), F.col("b_phash")).alias("phash_dist"),
         X.hamming(F.col("a_dhash"), F.col("b_dhash")).alias("dhash_dist"),

@@ -123,8 +123,8 @@ R.add(
 )
 R.add(
     "j10_expand_groups",
-    lambda c: expand_to_groups(c.bare.filter("L % 9 = 0").selectExpr("id AS entity", "id AS photo_id"), c.small("members")),
-    "SELECT DISTINCT entity, photo_id FROM (SELECT id AS entity, id AS photo_id FROM photos WHERE L % 9 = 0 UNION ALL SELECT p.id, m2.photo_id FROM photos p JOIN members m ON m.photo_id = p.id JOIN members m2 ON m2.group_id = m.group_id WHERE L % 9 = 0)", "photos", "members",
+    lambda c: expand_to_groups(c.bare.selectExpr("id AS entity", "id AS photo_id"), c.small("members")),
+    "SELECT DISTINCT entity, photo_id FROM (SELECT id AS entity, id AS photo_id FROM photos UNION ALL SELECT p.id, m2.photo_id FROM photos p JOIN members m ON m.photo_id = p.id JOIN members m2 ON m2.group_id = m.group_id)", "photos", "members",
 )
 R.add(
     "j13_doubtful_doubles",

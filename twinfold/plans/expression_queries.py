@@ -35,13 +35,15 @@ R.add(
 )
 
 
+_N = 10_000  # enough rows for any order key as the number of a pair
+
+
 def _index(c):
-    n = 50
-    i, j = X.pair_from_index(F.col("k"), n)
-    return c.table("orders").filter(f"o_orderkey < {n * (n - 1) // 2}").selectExpr("o_orderkey AS k").distinct().select("k", i.alias("i"), j.alias("j"))
+    i, j = X.pair_from_index(F.col("k"), _N)
+    return c.table("orders").selectExpr("o_orderkey AS k").select("k", i.alias("i"), j.alias("j"))
 
 
-R.add("x8_pair_index", _index, "SELECT k, i, j FROM (SELECT i, j, row_number() OVER (ORDER BY i, j) - 1 AS k FROM range(50) a(i) JOIN range(50) b(j) ON i < j) WHERE k IN (SELECT o_orderkey FROM orders)")
+R.add("x8_pair_index", _index, f"SELECT o.k, r.i, o.k - r.before + r.i + 1 AS j FROM (SELECT o_orderkey AS k FROM orders) o ASOF JOIN (SELECT i, i * {_N} - i * (i + 1) // 2 AS before FROM range({_N - 1}) t(i)) r ON o.k >= r.before")
 _VALID = "try_strptime({v}, '{f}') IS NOT NULL AND substr({v}, 1, 4) BETWEEN '1990' AND '2030'"
 
 
@@ -172,8 +174,8 @@ R.add(
 )
 R.add(
     "s10_first_of_each_photo",
-    lambda c: ingest.photos_of(ingest.new_paths(c.paths.select(F.col("photo_id").alias("id"), "source_path", "filename", F.lit(0).alias("mtime"), "path_id"), c.paths.filter("path_id % 10 = 3"))).select("id", "path_id"),
-    "SELECT photo_id AS id, arg_min(path_id, source_path) AS path_id FROM paths WHERE path_id % 10 <> 3 GROUP BY 1", "paths",
+    lambda c: ingest.photos_of(ingest.new_paths(c.paths.select(F.col("photo_id").alias("id"), "source_path", "filename", F.lit(0).alias("mtime"), "path_id"), c.paths.filter("source_path LIKE '/Camera/%'"))).select("id", "path_id"),
+    "SELECT photo_id AS id, arg_min(path_id, source_path) AS path_id FROM paths WHERE source_path NOT LIKE '/Camera/%' GROUP BY 1", "paths",
 )
 R.add(
     "s11_numbered_paths",
@@ -187,8 +189,8 @@ R.add(
 )
 R.add(
     "s15_import_hashes",
-    lambda c: ingest.import_hashes(c.bare.select("id", F.when(F.col("L") % 2 == 0, F.lit("own")).alias("perceptual_hash")), c.bare.filter("L % 3 = 0").select("id", F.lit("theirs").alias("perceptual_hash"))),
-    "SELECT id, CASE WHEN L % 2 = 0 THEN 'own' WHEN L % 3 = 0 THEN 'theirs' END AS perceptual_hash FROM photos", "photos",
+    lambda c: ingest.import_hashes(c.bare.select("id", F.when(F.col("L") % 2 == 0, F.lit("own")).alias("perceptual_hash")), c.bare.filter("exif_make IS NOT NULL").select("id", F.lit("theirs").alias("perceptual_hash"))),
+    "SELECT id, CASE WHEN L % 2 = 0 THEN 'own' WHEN exif_make IS NOT NULL THEN 'theirs' END AS perceptual_hash FROM photos", "photos",
 )
 R.add("x29_text_hashes", lambda c: c.hashes.select("id", X.long_to_hex(F.col("phash")).alias("phash"), X.long_to_hex(F.col("dhash")).alias("dhash")), "SELECT id, printf('%08x%08x', p_hi, p_lo) AS phash, printf('%08x%08x', d_hi, d_lo) AS dhash FROM hashes", "hashes")
 

@@ -128,8 +128,8 @@ R.add(
 )
 R.add(
     "j12_pair_lookup",
-    lambda c: C.pair_lookup(S.similar_pairs(c.hashes).withColumnsRenamed({"id_1": "photo_id_1", "id_2": "photo_id_2"}), S.similar_pairs(c.hashes).filter("phash_dist % 2 = 0").selectExpr("id_2 AS x", "id_1 AS y")),
-    "SELECT id_1 AS photo_id_1, id_2 AS photo_id_2, phash_dist, dhash_dist FROM near WHERE phash_dist % 2 = 0", "near",
+    lambda c: C.pair_lookup(S.similar_pairs(c.hashes).withColumnsRenamed({"id_1": "photo_id_1", "id_2": "photo_id_2"}), S.similar_pairs(c.hashes).selectExpr("id_2 AS x", "id_1 AS y")),
+    "SELECT id_1 AS photo_id_1, id_2 AS photo_id_2, phash_dist, dhash_dist FROM near", "near",
 )
 R.add(
     "w10_first_pair_per_groups",
@@ -148,11 +148,11 @@ def _limits(c, kind=None):
 
 R.add("x5_boundary", _limits, _LIMIT, "photos")
 R.add("x5_pairs_within", lambda c: G.within(S.all_pairs(_wide(c)), _limits(c, "complete")).select("photo_id_1", "photo_id_2", "phash16_dist", "colorhash_dist"), f"SELECT photo_id_1, photo_id_2, phash16_dist, colorhash_dist FROM ({_WIDE}) JOIN (SELECT * FROM ({_LIMIT}) WHERE kind = 'complete') USING (colorhash_dist) WHERE phash16_dist <= max_phash16", "hashes", "members")
-_ZONE = f"SELECT r.colorhash_dist, coalesce(s.max_phash16 + 1, 0) AS lo, r.max_phash16 AS hi FROM (SELECT * FROM ({_LIMIT}) WHERE kind = 'complete') r LEFT JOIN (SELECT * FROM ({_LIMIT}) WHERE kind = 'single' AND max_phash16 % 3 > 0) s ON s.colorhash_dist = r.colorhash_dist WHERE r.max_phash16 >= coalesce(s.max_phash16 + 1, 0)"
+_ZONE = f"SELECT r.colorhash_dist, coalesce(s.max_phash16 + 1, 0) AS lo, r.max_phash16 AS hi FROM (SELECT * FROM ({_LIMIT}) WHERE kind = 'complete') r LEFT JOIN (SELECT * FROM ({_LIMIT}) WHERE kind = 'single') s ON s.colorhash_dist = r.colorhash_dist WHERE r.max_phash16 >= coalesce(s.max_phash16 + 1, 0)"
 
 
 def _zone(c):
-    return G.review_zone(_limits(c, "complete"), _limits(c, "single").filter("max_phash16 % 3 > 0"))
+    return G.review_zone(_limits(c, "complete"), _limits(c, "single"))
 
 
 R.add("x6_review_zone", _zone, _ZONE, "photos")
@@ -160,7 +160,7 @@ R.add("j11_pairs_in_zone", lambda c: G.pairs_in_zone(S.all_pairs(_wide(c)), _zon
 
 
 def _second(c):
-    pairs = stored(S.all_pairs(_wide(c)).filter("phash16_dist <= 120"), "pairs")
+    pairs = stored(S.all_pairs(_wide(c)).filter("phash16_dist <= 90"), "pairs")  # no limit below goes beyond 90
     relaxed = c.spark.createDataFrame([(k, 60) for k in range(8)], "colorhash_dist int, max_phash16 int")
     strict = c.spark.createDataFrame([(k, 90) for k in range(4)], "colorhash_dist int, max_phash16 int")
     return pairs, relaxed, strict
@@ -177,6 +177,6 @@ def _cells_linked(c):
     return K.complete_linkage(near, "photo_id_1", "photo_id_2", ("phash16_dist", "colorhash_dist"))
 
 
-R.add("g10_composite_groups", lambda c: G.composite_groups(c.small("members").filter("group_id % 7 = 0"), c.small("second").filter("group_id % 11 = 0"), C.without(c.bare, c.small("decisions"))))
+R.add("g10_composite_groups", lambda c: G.composite_groups(G.component_groups(_near(c)), G.second_groups(*_second(c)), C.without(c.bare, c.small("decisions"))))
 
 QUERIES, ORACLES = R.queries, R.oracles
