@@ -24,14 +24,17 @@ import hashlib
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: The split before the merges that byte-level vocabularies of this kind share.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words kept with their encodings, and transitions, in one worker; beyond that the table starts anew.
-TABLE_LIMIT = 600_000
+#: Transitions, and words with their encodings in one generation of two, that a worker keeps.
+TABLE_LIMIT, WORD_LIMIT = 300_000, 150_000
+#: Tokens that a worker holds before it hands a batch of rows on.
+HAND_ON = 400_000
 NEVER = 1 << 60
 
 
@@ -156,18 +159,19 @@ class Encoder:
     def __init__(self, automaton: TokenAutomaton):
         import regex
 
-        self.automaton, self.words = automaton, {}
+        self.automaton, self.words, self.older = automaton, {}, {}
         self.split = regex.compile(SPLIT)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(automaton.special, key=len, reverse=True))) + ")") if automaton.special else None
 
     def _word(self, word: str) -> str:
-        found = self.words.get(word)
+        """The encoding of a word that the newer generation lacks; a full one becomes the older."""
+        found = self.words.get(word) or self.older.get(word)
         if found is None:
-            if len(self.words) > TABLE_LIMIT:
-                self.words.clear()
             found = ",".join(map(str, self.automaton.encode_word(word.encode())))
-            if len(word) <= 64:
-                self.words[word] = found
+        if len(word) <= 64:
+            if len(self.words) >= WORD_LIMIT:
+                self.words, self.older = {}, self.words
+            self.words[word] = found
         return found
 
     def encode(self, text: str) -> str:
@@ -179,8 +183,9 @@ class Encoder:
             if part in special:
                 out.append(str(special[part]))
             elif part:
-                known = self.words.get
-                out.extend([known(w) or self._word(w) for w in self.split.findall(part)])
+                for at in range(0, len(pieces := self.split.findall(part)), 50_000):
+                    known = self.words.get  # the generation may change between two slices
+                    out.extend([known(w) or self._word(w) for w in pieces[at : at + 50_000]])
         return ",".join(out)
 
 
@@ -201,8 +206,9 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
         encoder = worker_encoder(vocabulary)
         labels = {str(i): b for i, b in encoder.automaton.labels.items()}
         for batch in batches:
+            start, held = 0, 0
             counts, hashes, backs, all_ids, texts = [], [], [], [], []
-            for text in batch.column("text"):
+            for row, text in enumerate(batch.column("text")):
                 joined = encoder.encode(text.as_py() or "")
                 ids = joined.split(",") if joined else []
                 decoded = b"".join(map(labels.__getitem__, ids)).decode("utf-8", "replace")
@@ -210,12 +216,17 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 hashes.append(hashlib.sha256(joined.encode()).hexdigest())
                 backs.append(hashlib.sha256(decoded.encode()).hexdigest())
                 if with_ids:
-                    all_ids.append(list(map(int, ids)))
+                    all_ids.append(np.array(ids, dtype=np.int32))
                     texts.append(decoded)
-            columns = [batch.column("id"), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(backs, pa.string())]
-            names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns, names = [*columns, pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], [*names, "ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                held += len(ids)
+                if held < HAND_ON and row + 1 < batch.num_rows:
+                    continue
+                columns = [batch.column("id").slice(start, len(counts)), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(backs, pa.string())]
+                names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    columns, names = [*columns, pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], [*names, "ids", "decoded"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+                start, held = row + 1, 0
+                counts, hashes, backs, all_ids, texts = [], [], [], [], []
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
