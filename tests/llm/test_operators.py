@@ -243,6 +243,23 @@ def test_ledger_scans_only_what_is_new(spark, docs, tmp_path):
     assert ledger.table().filter("version = 2").count() == blobs.select("blob").distinct().count()
 
 
+def test_ledger_is_kept_per_blob_and_rule_version(spark, tmp_path):
+    a1, b1 = SecretRule("a", r"x+", 1), SecretRule("b", r"y+", 1)
+    a2 = SecretRule("a", r"x+", 1, version=2)
+    both = spark.createDataFrame([(bytearray(b"X"), "xy"), (bytearray(b"Y"), "yyx"), (bytearray(b"Y"), "yyx")], "blob binary, text string")
+    x, y = both.filter("text = 'xy'"), both.filter("text = 'yyx'")
+
+    def kinds(ledger, rules):
+        return {bytes(r["blob"]): sorted(s["kind"] for s in r["spans"]) for r in ledger.findings(rules).collect()}
+
+    other_rule = BlobLedger(spark, f"file://{tmp_path}/rule")
+    assert [other_rule.scan(x, [a1]), other_rule.scan(y, [a1, b1]), other_rule.scan(both, [a1, b1])] == [1, 2, 1]
+    assert kinds(other_rule, [a1, b1]) == {b"X": ["a", "b"], b"Y": ["a", "b"]} and other_rule.table().count() == 4
+    other_version = BlobLedger(spark, f"file://{tmp_path}/version")
+    assert [other_version.scan(x, [a1]), other_version.scan(y, [a2]), other_version.scan(both, [a2]), other_version.scan(both, [a2])] == [1, 1, 1, 0]
+    assert kinds(other_version, [a2]) == {b"X": ["a"], b"Y": ["a"]} and other_version.table().count() == 3
+
+
 def test_mixing(docs, rows, none):
     out = mix_sources(docs, [5.0, 2.0, 1.0]).collect()
     assert len(out) == len(rows)

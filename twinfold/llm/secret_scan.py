@@ -76,22 +76,23 @@ class BlobLedger:
     def scan(self, blobs: DataFrame, rules: list[SecretRule]) -> int:
         """Scan what of blobs (blob, text; blobs may repeat) x rules the ledger lacks. Returns the number of rules that ran.
 
-        A blob counts as seen by a rule version once it was scanned, with findings or without.
+        A blob counts as seen by a rule version once that version scanned it, with findings or without; what other
+        rules or versions scanned doesn't count. A rule runs where it scans one blob at least.
         """
-        done = {(r["rule"], r["version"]) for r in self.table().select("rule", "version").distinct().collect()} if self.runs else set()
-        fresh = [r for r in rules if (r.kind, r.version) not in done]
-        known = [r for r in rules if (r.kind, r.version) in done]
-        for group in filter(None, (fresh, known)):
-            todo = blobs
-            if group is known:
-                seen = self.table().filter(F.col("rule").isin([r.kind for r in known])).select("blob").distinct()
-                todo = blobs.join(seen, "blob", "left_anti")
-            once = todo.groupBy("blob").agg(F.any_value("text").alias("text"))
-            found = once.select("blob", F.explode(F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), rule_spans(F.col("text"), r).alias("findings")) for r in group])).alias("x"))
-            run = f"{self.path}/run-{len(self.runs):05d}"
-            found.select("blob", "x.rule", "x.version", "x.findings").write.parquet(run)
-            self.runs.append(run)
-        return len(fresh)
+        once = blobs.groupBy("blob").agg(F.any_value("text").alias("text"))
+        ran = [F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), rule_spans(F.col("text"), r).alias("findings")) for r in rules]
+        if self.runs:
+            # One row per blob with all that it has, so that its text is read once for all rules.
+            keys = [f"{r.kind}:{r.version}" for r in rules]
+            key = F.concat_ws(":", "rule", "version")
+            have = self.table().filter(key.isin(keys)).groupBy("blob").agg(F.collect_set(key).alias("have"))
+            once = once.join(have, "blob", "left").filter(F.coalesce(F.size("have"), F.lit(0)) < len(set(keys)))
+            ran = [F.when(~F.coalesce(F.array_contains("have", k), F.lit(False)), x) for k, x in zip(keys, ran)]
+        found = once.select("blob", F.explode(F.filter(F.array(*ran), lambda x: x.isNotNull())).alias("x"))
+        run = f"{self.path}/run-{len(self.runs):05d}"
+        found.select("blob", "x.rule", "x.version", "x.findings").write.parquet(run)
+        self.runs.append(run)
+        return self.spark.read.schema(LEDGER).parquet(run).select("rule", "version").distinct().count()
 
     def findings(self, rules: list[SecretRule]) -> DataFrame:
         """blob -> spans: array<struct<start,rank,end,kind>> in order, for blobs with any."""
