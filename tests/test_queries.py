@@ -1,5 +1,6 @@
 """Every registered query over the smallest tables, against its SQL where it has one."""
 
+import hashlib
 import math
 import os
 
@@ -40,5 +41,12 @@ def test_query(spark, duck, name):
         assert got == sorted(tuple(plain(r[k]) for k in order) for r in found.fetchall())
 
 
+def test_unique_in_order_takes_whole_texts(spark, duck):
+    texts = [t for (t,) in duck.sql("SELECT DISTINCT coalesce(text, '') FROM documents").fetchall()]
+    assert max(map(len, texts)) > 60
+    want = sorted((hashlib.sha256(t.encode()).hexdigest(), " ".join(dict.fromkeys(t.split(" ")))) for t in texts)
+    assert sorted((r["id"], r["words"]) for r in registry.queries()["x21_unique_in_order"](spark, SF).collect()) == want
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() >= 0
