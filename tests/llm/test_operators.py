@@ -174,6 +174,29 @@ def test_language_model(docs, rows, none):
     assert untrained["train_tokens"] == 0 and untrained["score"] == 0
 
 
+def test_language_model_tells_words_of_equal_low_hash_bits_apart(spark):
+    import xxhash
+
+    seen = {}
+    for k in range(400_000):
+        low = xxhash.xxh3_64_intdigest(b"w%d" % k) & 0xFFFFFFFF
+        if low in seen:
+            break
+        seen[low] = k
+    else:
+        pytest.fail("no two words of equal low bits")
+    often, rare = f"w{seen[low]}", f"w{k}"
+
+    def scores(rare):
+        texts = [(0, f"{often} follows " * 1000, False), (2, f"{rare} once", False), (1, f"{rare} follows", True)]
+        table = spark.createDataFrame(texts, "doc_id long, text string, held boolean")
+        return {r["id"]: r["score"] for r in score_documents(table, F.col("held")).collect()}
+
+    # The name of a word doesn't matter, whatever its hash.
+    apart, same = scores("other"), scores(rare)
+    assert same == pytest.approx(apart, rel=1e-9) and max(same.values()) < 0
+
+
 def test_bpe_agrees_with_the_library(docs, rows, none):
     from tokenizers import Tokenizer
 

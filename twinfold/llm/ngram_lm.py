@@ -14,7 +14,7 @@ for that; they are written under another name and renamed, so a repeated task do
 The order is two: on text with as many new words as the check's, distinct trigrams are three quarters of
 all, and their counts and arrays alone would take more disk than the inputs several times over.
 
-Words are 64-bit hashes, first words of bigrams 32-bit hashes, bigrams 64-bit hashes.
+Words, first words of bigrams and bigrams are 64-bit hashes: counts of a first word and its total have one key.
 
 Cases: null text is empty and has one token, its end; a null identifier counts as the empty text's and
 trains; no training text gives every token probability 1 / (V + 1) with V = 0; long texts are whole;
@@ -37,7 +37,6 @@ from twinfold.llm.near_dedup import mixed
 from twinfold.llm.shared import new_path
 
 _P = np.uint64(0x9E3779B97F4A7C15)
-_LOW = np.uint64(0xFFFFFFFF)
 #: Tokens that a task counts before it combines, and that it scores at a time.
 COUNT_AT, SCORE_AT = 4_000_000, 1_000_000
 
@@ -70,7 +69,7 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def bigram_hash(first: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mixed((first & _LOW) * _P + word)
+    return mixed(first * _P + word)
 
 
 def summed(keys: np.ndarray, *columns: np.ndarray, apart: bool = True) -> tuple[np.ndarray, ...]:
@@ -144,24 +143,24 @@ def train(texts: DataFrame, folder: str, shards: int) -> dict[str, int]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 first, word, _ = flat(batch.column("text").slice(at, 2000))
-                held.append((first & _LOW, word, np.ones(len(word), np.int64)))
+                held.append((first, word, np.ones(len(word), np.int64)))
                 room += len(word)
                 if room > COUNT_AT:
                     part = merged()
                     held[:], room = [part], 0
                     if len(part[0]) > COUNT_AT:
-                        yield blobs((part[1] % np.uint64(shards)).astype(np.int32), shards, part[0].astype(np.uint32), part[1], part[2].astype(np.uint32))
+                        yield blobs((part[1] % np.uint64(shards)).astype(np.int32), shards, part[0], part[1], part[2].astype(np.uint32))
                         held.clear()
         if held:
             part = merged()
-            yield blobs((part[1] % np.uint64(shards)).astype(np.int32), shards, part[0].astype(np.uint32), part[1], part[2].astype(np.uint32))
+            yield blobs((part[1] % np.uint64(shards)).astype(np.int32), shards, part[0], part[1], part[2].astype(np.uint32))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = mounted(folder)
         os.makedirs(where, exist_ok=True)
         for shard, parts in sorted(by_shard(batches).items()):
-            first, word, n = (np.concatenate(x) for x in zip(*(unpacked(p, np.uint32, np.uint64, np.uint32) for p in parts)))
-            hashes, first, word, n = summed(bigram_hash(first.astype(np.uint64), word), first, word, n.astype(np.int64))
+            first, word, n = (np.concatenate(x) for x in zip(*(unpacked(p, np.uint64, np.uint64, np.uint32) for p in parts)))
+            hashes, first, word, n = summed(bigram_hash(first, word), first, word, n.astype(np.int64))
             save(where, f"bigram-{shard}", hashes)
             save(where, f"count-{shard}", np.minimum(n, 0xFFFFFFFF).astype(np.uint32))
             words, tokens, before = summed(word, n, np.ones(len(n), np.int64), apart=False)
@@ -170,7 +169,7 @@ def train(texts: DataFrame, folder: str, shards: int) -> dict[str, int]:
             save(where, f"before-{shard}", before)
             kinds = [np.int64(n == 1), np.int64(n == 2), np.int64(n > 2)]
             follow = summed(first, *kinds, apart=False)
-            yield blobs((follow[0] % np.uint32(shards)).astype(np.int32), shards, follow[0], *(x.astype(np.uint32) for x in follow[1:]))
+            yield blobs((follow[0] % np.uint64(shards)).astype(np.int32), shards, follow[0], *(x.astype(np.uint32) for x in follow[1:]))
             totals = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [int((before == k).sum()) for k in (1, 2, 3, 4)] + [len(n), int(n.sum()), len(words)]
             yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([packed(np.array(totals, np.int64))], pa.binary())], names=["shard", "data"])
 
@@ -181,7 +180,7 @@ def train(texts: DataFrame, folder: str, shards: int) -> dict[str, int]:
             if shard < 0:
                 totals += sum(unpacked(p, np.int64)[0] for p in parts)
                 continue
-            columns = [np.concatenate(x) for x in zip(*(unpacked(p, np.uint32, np.uint32, np.uint32, np.uint32) for p in parts))]
+            columns = [np.concatenate(x) for x in zip(*(unpacked(p, np.uint64, np.uint32, np.uint32, np.uint32) for p in parts))]
             first, *kinds = summed(columns[0], *(c.astype(np.int64) for c in columns[1:]), apart=False)
             save(where, f"context-{shard}", first)
             save(where, f"kinds-{shard}", np.stack(kinds, axis=1))
@@ -243,8 +242,7 @@ class MappedModel:
         count, continued = (x[inverse] for x in self.look_up(known, (known % n).astype(np.int64), "word", "tokens", "before"))
         base = np.log10((count + 0.5) / (t["tokens"] + 0.5 * (t["words"] + 1)))
         firsts, at = np.unique(before, return_inverse=True)
-        low = (firsts & _LOW).astype(np.uint32)
-        kinds = self.look_up(low, (low % np.uint32(self.shards)).astype(np.int64), "context", "kinds")[0]
+        kinds = self.look_up(firsts, (firsts % n).astype(np.int64), "context", "kinds")[0]
         total = self.look_up(firsts, (firsts % n).astype(np.int64), "word", "tokens")[0]
         total = np.where(firsts == np.uint64(start_hash()), self.texts(), total)
         pairs, back = np.unique(bigram_hash(before, words), return_inverse=True)
