@@ -351,3 +351,10 @@ def test_html(spark):
     assert extract_pages(pages.filter("false")).count() == 0
     deep = "<div>" * 20_000 + "x" + "<p>" * 20_000
     assert main_text(deep) in ("", "x")
+
+
+def test_html_without_decided_content_keeps_what_is_unclear():
+    short = "<html><body><nav><a href='/'>Home</a></nav><h1>News</h1><p>It rained.</p><p>Then the sun came.</p><p><a href='/x'>Elsewhere</a></p><p>All went home.</p><footer>Us</footer></body></html>"
+    assert main_text(short) == "News\nIt rained.\nThen the sun came.\nAll went home."
+    polish = ["Wczoraj wieczorem mieszkańcy miasta spotkali się przed ratuszem, aby rozmawiać o nowym moście.", "Burmistrz obiecał odpowiedź przed końcem miesiąca, lecz wielu obecnych nadal miało wątpliwości."]
+    assert main_text("<div>" + "".join(f"<p>{x}</p>" for x in polish) + "</div>") == "\n".join(polish)

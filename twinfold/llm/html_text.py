@@ -6,6 +6,8 @@ those in menus, footers, asides, forms, comments, adverts and the like are boile
 that are mostly links; blocks inside an article or main element, and long blocks with enough stop words,
 are content. The second pass lets the short or unclear blocks that are left inherit the label of their
 nearest decided neighbours on both sides; content wins only where both agree, or where a heading leads it.
+Where the first pass finds no content at all (short paragraphs, or a language without stop words here),
+nothing tells the unclear blocks from it, and all of them are kept.
 
 Pages are taken one by one, in time and room linear in the page; nothing is shuffled.
 
@@ -167,6 +169,8 @@ def decide(blocks: list[Block], long: int, link_share: float, stop_share: float)
             words = [w.strip(".,;:!?\"'()").lower() for w in b.text.split()]
             share = sum(w in STOP_WORDS for w in words) / max(1, len(words))
             labels.append(True if len(b.text) >= long and share >= stop_share else None)
+    if True not in labels:
+        return [x is None for x in labels]
     before: list[bool | None] = []
     last: bool | None = None
     for x in labels:
