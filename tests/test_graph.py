@@ -1,12 +1,14 @@
 """Components, clustering and extension on small graphs, and invariants on random ones."""
 
+import os
 import random
 
 import pytest
 
 from twinfold.operators.cluster import complete_linkage, extend_singly, link_completely
 from twinfold.operators.components import connected_components
-from twinfold.operators.similarity import banded_pairs, similar_pairs
+from twinfold.operators.similarity import banded_pairs, compared_pairs, sampled, sampled_pairs, similar_pairs
+from twinfold.plans import registry
 
 
 def components(spark, edges):
@@ -107,3 +109,30 @@ def test_joins_agree_with_all_pairs(spark):
     assert len(got) == len(set(got)) and set(got) == want
     want = {(a[0], b[0], dist(a[1], b[1])) for a in rows for b in rows if a[1] is not None and b[1] is not None and a[0] < b[0] and dist(a[1], b[1]) <= 6}
     assert {tuple(r) for r in banded_pairs(df, 6).collect()} == want
+
+
+def test_samples_keep_near_and_border_pairs(spark):
+    rng = random.Random(12)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows = []
+    for k in range(300):
+        p = rng.choice([0, 0x0F0F0F0F0F0F0F0F])
+        for _ in range(rng.randrange(12)):
+            p ^= 1 << rng.randrange(64)
+        rows.append((f"{k:03d}", signed(p), signed(rng.getrandbits(64))))
+    df = spark.createDataFrame([*rows, ("x", None, 1), ("y", 0, None)], "id string, phash long, dhash long")
+    dist = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    part = sampled(df, 120)
+    ids = {r["id"] for r in part.collect()}
+    assert len(ids) == 120 and ids == {r["id"] for r in sampled(df.repartition(7), 120).collect()}
+    full = {(a[0], b[0]): (dist(a[1], b[1]), dist(a[2], b[2])) for a in rows for b in rows if a[0] < b[0] and {a[0], b[0]} <= ids}
+    pairs = lambda df: [tuple(r) for r in df.collect() if not {r["id_1"], r["id_2"]} & {"x", "y"}]
+    assert sorted(pairs(sampled_pairs(part))) == sorted((*k, p) for k, (p, _) in full.items() if p <= 20)
+    assert sorted(pairs(sampled_pairs(part, "dhash"))) == sorted((*k, d) for k, (_, d) in full.items() if d <= 20)
+    assert sorted(pairs(compared_pairs(part))) == sorted((*k, p, d) for k, (p, d) in full.items() if 10 <= p <= 14)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables here")
+def test_registered_samples_have_the_published_size(spark):
+    histogram = registry.queries()["j3_sampled_distances"](spark, "/root/testdata/sf0.1")
+    assert histogram.agg({"pairs": "sum"}).first()[0] == 5000 * 4999 // 2

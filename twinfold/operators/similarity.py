@@ -88,11 +88,29 @@ def distance_histogram(photos: DataFrame, column: str = "phash", blocks: int = 8
     return block_join(photos.select("id", column), "id", lambda a, b: F.lit(True), blocks).groupBy(dist.alias("dist")).agg(F.count(F.lit(1)).alias("pairs"))
 
 
+#: Fixed value: photos in a published sample.
+SAMPLE_SIZE = 5000
+
+
 def sampled(photos: DataFrame, size: int) -> DataFrame:
     """A sample that doesn't depend on partitioning: the rows with the smallest hashes of their ids."""
     return photos.orderBy(F.xxhash64("id"), "id").limit(size)
 
 
+def sampled_pairs(sample: DataFrame, column: str = "phash", most: int = 20, blocks: int = 8) -> DataFrame:
+    """id_1, id_2, dist of the pairs of a sample that are at most so far apart by one hash."""
+    dist = X.hamming(F.col(f"a_{column}"), F.col(f"b_{column}"))
+    rows = sample.filter(F.col(column).isNotNull()).select("id", column)
+    return block_join(rows, "id", lambda a, b: dist <= most, blocks).select(F.least("a_id", "b_id").alias("id_1"), F.greatest("a_id", "b_id").alias("id_2"), dist.alias("dist"))
+
+
+def compared_pairs(sample: DataFrame, low: int = 10, high: int = 14, blocks: int = 8) -> DataFrame:
+    """id_1, id_2, phash_dist, dhash_dist of the pairs of a sample at the border of a scene by phash, to be laid out by dhash."""
+    p, d = X.hamming(F.col("a_phash"), F.col("b_phash")), X.hamming(F.col("a_dhash"), F.col("b_dhash"))
+    rows = sample.filter("phash is not null and dhash is not null").select("id", "phash", "dhash")
+    return block_join(rows, "id", lambda a, b: p.between(low, high), blocks).select(F.least("a_id", "b_id").alias("id_1"), F.greatest("a_id", "b_id").alias("id_2"), p.alias("phash_dist"), d.alias("dhash_dist"))
+
+
 def pairs_between(members: DataFrame, condition: Column, keep: int | None = None) -> DataFrame:
     """For group pairs (g1, g2) with members (g1, g2, side, id, phash, dhash): pairs across that meet condition.
 

@@ -44,6 +44,17 @@ R.add("a6_heatmap", lambda c: C.heatmap(S.pair_summary(S.all_pairs(_wide(c)))),
 R.add("a7_first_distances", lambda c: C.first_distances(S.all_pairs(_wide(c)), "phash_dist"), f"SELECT phash_dist AS dist, count(*) AS n FROM ({_WIDE}) WHERE same_primary_group = 0 GROUP BY 1 ORDER BY 1 LIMIT 10", "hashes", "members")
 R.add("w8_nearest_cells", lambda c: C.nearest_cells(S.all_pairs(_wide(c)), 128, 7, reach=2).select("photo_id_1", "photo_id_2", "off"), f"SELECT photo_id_1, photo_id_2, CAST(abs(phash16_dist - 128) + abs(colorhash_dist - 7) AS INT) AS off FROM ({_WIDE}) WHERE abs(phash16_dist - 128) + abs(colorhash_dist - 7) <= 2 ORDER BY off, photo_id_1, photo_id_2 LIMIT 24", "hashes", "members")
 R.add("j3_sampled_histogram", lambda c: S.distance_histogram(c.hashes.orderBy(F.sha2(F.concat(F.lit("s"), "id"), 256)).limit(300)), f"SELECT {_P} AS dist, count(*) AS pairs FROM s a JOIN s b ON a.id < b.id GROUP BY 1".replace(" s a JOIN s b", " (SELECT * FROM hashes ORDER BY sha256('s' || id) LIMIT 300) a JOIN (SELECT * FROM hashes ORDER BY sha256('s' || id) LIMIT 300) b"), "hashes")
+
+
+def _sample(c):
+    """The published sample: of the photos that no rule decided."""
+    return stored(S.sampled(C.without(c.hashes, c.small("decisions")), S.SAMPLE_SIZE), "sample")
+
+
+R.add("j3_sampled_distances", lambda c: S.distance_histogram(_sample(c)))
+R.add("j3_sampled_pairs", lambda c: S.sampled_pairs(_sample(c)))
+R.add("j3_sampled_pairs_dhash", lambda c: S.sampled_pairs(_sample(c), "dhash"))
+R.add("j3_compared_pairs", lambda c: S.compared_pairs(_sample(c)))
 R.add("a20_histogram", lambda c: S.distance_histogram(c.hashes), f"SELECT {_P} AS dist, count(*) AS pairs FROM hashes a JOIN hashes b ON a.id < b.id GROUP BY 1", "hashes")
 R.add(
     "a20_distance_context",
