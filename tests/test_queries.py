@@ -48,5 +48,10 @@ def test_unique_in_order_takes_whole_texts(spark, duck):
     assert sorted((r["id"], r["words"]) for r in registry.queries()["x21_unique_in_order"](spark, SF).collect()) == want
 
 
+def test_shortest_path_lists_no_paths(spark):
+    plan = registry.queries()["x19_shortest_path"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" in plan and "collect_list" not in plan
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() >= 0

@@ -86,7 +86,7 @@ R.add(
 )
 R.add(
     "x19_shortest_path",
-    lambda c: c.paths.groupBy("photo_id").agg(X.shortest(F.transform(F.array_sort(F.collect_list(F.struct("path_id", "source_path"))), lambda x: x["source_path"])).alias("path")),
+    lambda c: c.paths.groupBy("photo_id").agg(F.min_by("source_path", F.struct(F.length("source_path"), "path_id")).alias("path")),
     "SELECT photo_id, source_path AS path FROM paths QUALIFY row_number() OVER (PARTITION BY photo_id ORDER BY length(source_path), path_id) = 1", "paths",
 )
 R.add("x21_unique_in_order", lambda c: c.bare.select("id", F.array_join(F.array_distinct(F.split("text", " ")), " ").alias("words")))
