@@ -4,9 +4,10 @@ Within its source each document stands in a shuffled order (by a seeded hash). I
 time is the source's words up to and with it, divided by the source's weight; a source may be passed
 through several times, so a document has one item per epoch. Serving the items of all sources in the
 order of virtual time and stopping when the budget is used up gives every source a share in
-proportion to its weight, and leaves what exhausted sources can't use to the others. The virtual time
-at which the budget ends follows from the totals of the sources, so the truncation is a comparison,
-and the result is range-sorted by virtual finish time over the whole cluster.
+proportion to its weight, and leaves what exhausted sources can't use to the others. That is served in
+the fluid limit: the totals of the sources give each source a quota of words, and its running total is
+cut there. Finish times, of the first epoch, decide no row; they range-sort the result over the whole
+cluster.
 
 The running totals are sums of two levels: totals of (source, slice of the hash range), which Spark
 combines before its shuffle, and a window inside one slice. A source that holds a third of all rows is
