@@ -1,12 +1,13 @@
-"""Components, clustering and extension on small graphs, and invariants on random ones."""
+"""Components, clustering, extension and similarity joins against brute force on generated graphs."""
 
 import os
 import random
 
 import pytest
 
-from twinfold.operators.cluster import complete_linkage, extend_singly, link_completely
+from twinfold.operators.cluster import complete_linkage, link_completely, single_linkage_extend
 from twinfold.operators.components import connected_components
+from twinfold.operators.grouping import legacy_groups
 from twinfold.operators.similarity import banded_pairs, compared_pairs, sampled, sampled_pairs, similar_pairs
 from twinfold.plans import registry
 
@@ -19,29 +20,44 @@ def components(spark, edges):
     return out
 
 
-@pytest.mark.parametrize("edges", [[(0, 1), (1, 2), (2, 3)], [(2, 3), (0, 1), (1, 2)], [(3, 2), (2, 1), (1, 0), (1, 0)]])
-def test_chain_is_one_component_in_any_order(spark, edges):
-    assert components(spark, edges) == {0: {0, 1, 2, 3}}
+def brute_components(edges):
+    parent = {n: n for e in edges for n in e}
 
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
 
-def test_components_mixed_star_and_none(spark):
-    assert components(spark, [(0, 1), (2, 3), (3, 4)]) == {0: {0, 1}, 2: {2, 3, 4}}
-    assert components(spark, [(0, k) for k in range(1, 5)]) == {0: {0, 1, 2, 3, 4}}
-    assert components(spark, [(None, 1), (5, 5)]) == {}
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    out = {}
+    for n in parent:
+        out.setdefault(root(n), set()).add(n)
+    return out
 
 
-def test_long_chain(spark):
-    order = list(range(200))
-    random.Random(3).shuffle(order)
-    assert components(spark, [(order[k], order[k + 1]) for k in range(199)]) == {0: set(range(200))}
+def test_components_of_random_graphs(spark):
+    rng = random.Random(8)
+    for n, m in ((60, 40), (300, 260)):
+        edges = [tuple(rng.sample(range(n), 2)) for _ in range(m)]
+        assert components(spark, edges) == brute_components(edges)
+    assert components(spark, [(None, 1), (5, 5)]) == {}
 
 
-def edges(distances, ok=lambda d: True):
-    return [(str(i), str(j), d, ok(d)) for (i, j), d in distances.items()]
+@pytest.mark.parametrize("order", ["up", "down", "shuffled"])
+def test_chain_of_ten_thousand(spark, order):
+    n = 10_000
+    names = list(range(n)) if order == "up" else list(range(n))[::-1]
+    if order == "shuffled":
+        random.Random(3).shuffle(names)
+    assert components(spark, list(zip(names, names[1:]))) == {0: set(range(n))}
 
 
-def sets(found):
-    return sorted([{int(x) for x in c} for c in found], key=min)
+def test_star_of_chains(spark):
+    rays, length = 100, 100
+    edges = [(0 if k == 0 else 1 + r * length + k - 1, 1 + r * length + k) for r in range(rays) for k in range(length)]
+    assert components(spark, edges) == {0: set(range(1 + rays * length))}
 
 
 def near(d):
@@ -49,45 +65,106 @@ def near(d):
     return p <= 10 or p <= 12 and q < 22 or p <= 14 and q <= 17
 
 
-def test_complete_linkage_cases():
-    assert sets(link_completely(edges({(0, 1): (5, 5), (1, 2): (5, 5), (0, 2): (5, 5)}))) == [{0, 1, 2}]
-    chain = sets(link_completely(edges({(0, 1): (8, 8), (1, 2): (8, 8), (0, 2): (20, 20)}, near)))
-    assert not any({0, 2} <= c for c in chain)
-    ring = sets(link_completely(edges({(0, 1): (8, 8), (0, 3): (8, 8), (1, 2): (8, 8), (2, 3): (8, 8)})))
-    assert not any({0, 2} <= c or {1, 3} <= c for c in ring)
-    hub = sets(link_completely(edges({(0, k): (5, 5) for k in (1, 2, 3, 4)})))
-    assert max(map(len, hub)) == 2
-    assert sets(link_completely(edges({(0, 1): (3, 3), (0, 2): (5, 5), (1, 2): (14, 17)}, near))) == [{0, 1, 2}]
-    assert {2} in sets(link_completely(edges({(0, 1): (3, 3), (0, 2): (5, 5), (1, 2): (15, 20)}, near)))
-    assert link_completely([]) == []
-
-
-def test_complete_linkage_invariant_and_partitions(spark):
+def brute_linkage(distances):
+    """The published order, spelled out: of all pairs of clusters that may merge, the closest, then the smallest numbers."""
+    clusters = {n: [n] for e in distances for n in e}
+    apart = lambda a, b: distances.get((min(a, b), max(a, b)))
+    while True:
+        best = None
+        for a in clusters:
+            for b in clusters:
+                if a < b:
+                    across = [apart(x, y) for x in clusters[a] for y in clusters[b]]
+                    if None not in across and all(map(near, across)):
+                        best = min(x for x in (best, (max(across), a, b)) if x)
+        if best is None:
+            return sorted(sorted(c) for c in clusters.values())
+        clusters[best[1]] += clusters.pop(best[2])
+
+
+def tied_graph(rng, n, kinds, density):
+    """Distances out of a few values only, so that ties are the rule."""
+    values = [(rng.randrange(16), rng.randrange(26)) for _ in range(kinds)]
+    return {(i, j): rng.choice(values) for i in range(n) for j in range(i + 1, n) if rng.random() < density}
+
+
+def test_complete_linkage_follows_the_published_order_of_ties():
+    four = {(0, 1): (5, 5), (0, 2): (5, 5), (1, 2): (5, 5), (2, 3): (5, 5)}
+    assert link_completely([(i, j, d) for (i, j), d in four.items()]) == [[0, 1, 2], [3]]  # the smaller number stays, so 0 goes on first
     rng = random.Random(42)
-    d = {(f"{i:02d}", f"{j:02d}"): (rng.randrange(21), rng.randrange(30)) for i in range(14) for j in range(i + 1, 14)}
-    rows = [(i, j, *x) for (i, j), x in d.items() if near(x)]
-    df = spark.createDataFrame(rows, "id_1 string, id_2 string, phash_dist int, dhash_dist int")
-    one = {r["photo_id"]: r["cluster_id"] for r in complete_linkage(df).collect()}
-    two = {r["photo_id"]: r["cluster_id"] for r in complete_linkage(df.repartition(7)).collect()}
-    assert one == two
-    for a in one:
-        for b in one:
-            if a < b and one[a] == one[b]:
-                assert near(d[a, b])
-
-
-def extend(clusters, singles, links):
-    return sorted([{int(x) for x in c} for c in extend_singly([{str(x) for x in c} for c in clusters], [str(s) for s in singles], {(str(min(a, b)), str(max(a, b))) for a, b in links})], key=min)
+    for turn in range(3000):
+        graph = tied_graph(rng, rng.randrange(2, 10), rng.randrange(1, 5), rng.choice((0.3, 0.6, 0.9, 1.0)))
+        links = [(i, j, d) for (i, j), d in graph.items() if near(d)]
+        rng.shuffle(links)
+        want = brute_linkage({k: d for k, d in graph.items() if near(d)})
+        assert sorted(link_completely(links)) == want, graph
+    assert link_completely([]) == []
 
 
-def test_single_linkage_extension():
-    assert extend([{0, 1}], [2], [(1, 2)]) == [{0, 1, 2}]
-    assert extend([{0, 1}], [2], []) == [{0, 1}]
-    assert extend([{0, 1}, {2, 3}], [4], [(1, 4), (3, 4)]) == [{0, 1, 2, 3, 4}]
-    assert extend([{0, 1}, {2, 3}], [], [(1, 2)]) == [{0, 1, 2, 3}]
-    assert extend([{0}], [1, 2, 3], [(0, 1), (1, 2), (2, 3)]) == [{0, 1, 2, 3}]
-    assert extend([{0}], [1, 2, 3], [(0, 3), (2, 3), (1, 2)]) == [{0, 3}]  # one pass: 1 and 2 came too early
-    assert extend([{0}, {1}, {2}], [3], [(0, 3), (1, 3), (2, 3)]) == [{0, 1, 2, 3}]
+def test_linkage_in_rounds_is_linkage_in_tasks(spark):
+    rng = random.Random(43)
+    rows, want, at = [], [], 0
+    for _ in range(16):
+        n = rng.randrange(2, 12)
+        graph = {(i + at, j + at): d for (i, j), d in tied_graph(rng, n, rng.randrange(1, 4), rng.choice((0.4, 0.7, 1.0))).items()}
+        want += brute_linkage({k: d for k, d in graph.items() if near(d)})
+        rows += [(f"{i:03d}", f"{j:03d}", *d, near(d)) for (i, j), d in graph.items()]
+        at += n
+    df = spark.createDataFrame(rows, "id_1 string, id_2 string, phash_dist int, dhash_dist int, ok boolean").repartition(5)
+    for most in (200_000, 12, 0):  # all in tasks, large components in rounds, all in rounds
+        found = {}
+        for r in complete_linkage(df, ok="ok", task_edges=most).collect():
+            found.setdefault(r["cluster_id"], []).append(int(r["photo_id"]))
+        assert {int(k) for k in found} == {min(c) for c in found.values()}
+        assert sorted(map(sorted, found.values())) == sorted(want)
+
+
+def brute_extension(clusters, singles, links):
+    linked = lambda a, b: any((min(x, y), max(x, y)) in links for x in a for y in b)
+    found = [set(c) for c in clusters]
+    merged = True
+    while merged:
+        merged = False
+        for a in found:
+            for b in found:
+                if a is not b and linked(a, b) and not merged:
+                    found = [c for c in found if c is not a and c is not b] + [a | b]
+                    merged = True
+    for s in sorted(singles):
+        hit = [c for c in found if linked({s}, c)]
+        if hit:
+            found = [c for c in found if c not in hit] + [{s}.union(*hit)]
+    return {min(c): c for c in found}
+
+
+def test_single_linkage_extension_visits_singles_once_in_order(spark):
+    rng = random.Random(5)
+    members, edges, want, at = [], [], {}, 0
+    for turn in range(60):
+        n = rng.randrange(4, 16)
+        nodes = list(range(at, at + n))
+        at += n
+        rng.shuffle(nodes)
+        clusters, singles = [], []
+        while nodes:
+            take = min(len(nodes), rng.choice((1, 1, 1, 2, 3)))
+            part, nodes = nodes[:take], nodes[take:]
+            clusters, singles = (clusters + [part], singles) if take > 1 else (clusters, singles + part)
+        links = {tuple(sorted(rng.sample(range(at - n, at), 2))) for _ in range(rng.randrange(n))} | ({(k, k + 1) for k in range(at - n, at - 1)} if turn % 8 == 0 else set())
+        members += [(x, min(c)) for c in clusters for x in c] + [(s, None) for s in singles]
+        edges += links
+        want |= brute_extension(clusters, singles, links)
+    got = {}
+    for r in single_linkage_extend(spark.createDataFrame(members, "photo_id long, cluster_id long"), spark.createDataFrame(edges, "id_1 long, id_2 long")).collect():
+        got.setdefault(r["cluster_id"], set()).add(r["photo_id"])
+    assert got == want
+
+
+def groups_of(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["group_id"], set()).add(r["photo_id"])
+    return {frozenset(c) for c in out.values()}
 
 
 def test_joins_agree_with_all_pairs(spark):
@@ -105,10 +182,15 @@ def test_joins_agree_with_all_pairs(spark):
     full = [r for r in rows if r[1] is not None and r[2] is not None]
     dist = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
     want = {(a[0], b[0]) for a in full for b in full if a[0] < b[0] and near((dist(a[1], b[1]), dist(a[2], b[2])))}
-    got = [(r["id_1"], r["id_2"]) for r in similar_pairs(df, blocks=3).collect()]
-    assert len(got) == len(set(got)) and set(got) == want
+    for band_from in (0, 10**6):  # out of bands, out of blocks
+        got = [(r["id_1"], r["id_2"]) for r in similar_pairs(df, band_from=band_from).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
     want = {(a[0], b[0], dist(a[1], b[1])) for a in rows for b in rows if a[1] is not None and b[1] is not None and a[0] < b[0] and dist(a[1], b[1]) <= 6}
-    assert {tuple(r) for r in banded_pairs(df, 6).collect()} == want
+    got = [tuple(r) for r in banded_pairs(df, 6).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    ends = sorted({(a, b) for a, b, d in want if d <= 2})
+    groups = brute_components(ends)
+    assert {frozenset(c) for c in groups.values()} == groups_of(legacy_groups(df, threshold=2))
 
 
 def test_samples_keep_near_and_border_pairs(spark):

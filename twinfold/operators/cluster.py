@@ -1,8 +1,11 @@
 """Clustering inside components: complete linkage and the ordered single-linkage extension.
 
-Both are sequential by definition inside one component and independent across components, so each
-component is one group of applyInPandas. The order of work inside a component is fixed: nodes count by
-ascending id, ties by that order.
+Complete linkage merges the closest two clusters again and again; equal distances go by the clusters'
+numbers, and a merged cluster keeps the smaller number. An edge that is smallest among all edges of both its
+ends stays so until it merges: merging elsewhere never brings an edge to the front (the new distance is the
+larger of two, under the smaller number). So all such edges may merge at once, in rounds of Spark joins, with
+the same result. Components with few edges are finished in one task each; large ones take rounds until what
+is left of them is small.
 """
 
 from __future__ import annotations
@@ -14,102 +17,111 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.operators.components import connected_components, relabel
+from twinfold.sources.scratch import stored
 
+#: Edges of a component that one task may hold.
+TASK_EDGES = 200_000
 
-def link_completely(edges: list[tuple[str, str, tuple, bool]]) -> list[list[str]]:
-    """Complete linkage over edges (i, j, key, mergeable): closest clusters first, a missing pair forbids.
 
-    The distance of two clusters is the largest key across them; when two merge, the distance to a third is
-    the larger of both, or none if either has none.
+def link_completely(edges: list[tuple[str, str, tuple]]) -> list[list[str]]:
+    """Complete linkage over edges (i, j, key): closest clusters first, a missing pair forbids.
+
+    The distance of two clusters is the largest key across them. Clusters are numbered by their smallest
+    member, and among equal keys the pair with the smallest numbers merges first.
     """
-    nodes = sorted({n for e in edges for n in e[:2]})
-    rank = {n: k for k, n in enumerate(nodes)}
-    apart: dict[int, dict[int, tuple]] = {k: {} for k in range(len(nodes))}
-    for i, j, key, ok in edges:
-        if ok:
-            a, b = rank[i], rank[j]
-            apart[a][b] = apart[b][a] = key
-    members = {k: [k] for k in range(len(nodes))}
+    apart: dict[str, dict[str, tuple]] = {}
+    for i, j, key in edges:
+        apart.setdefault(i, {})[j] = key
+        apart.setdefault(j, {})[i] = key
+    members = {n: [n] for n in apart}
     heap = [(key, a, b) for a, near in apart.items() for b, key in near.items() if a < b]
     heapq.heapify(heap)
-    fresh = len(nodes)
     while heap:
         key, a, b = heapq.heappop(heap)
-        if a not in members or b not in members:
-            continue  # an entry of clusters that merged since
-        near_a, near_b = apart.pop(a), apart.pop(b)
-        members[fresh] = members.pop(a) + members.pop(b)
-        joint = {c: max(near_a[c], near_b[c]) for c in near_a.keys() & near_b.keys()}
-        for c in (near_a.keys() | near_b.keys()) - {a, b}:
-            apart[c].pop(a, None)
-            apart[c].pop(b, None)
-        apart[fresh] = joint
-        for c, k in joint.items():
-            apart[c][fresh] = k
-            heapq.heappush(heap, (k, min(c, fresh), max(c, fresh)))
-        fresh += 1
-    return [sorted(nodes[k] for k in m) for m in members.values()]
-
-
-def complete_linkage(edges: DataFrame, src: str = "id_1", dst: str = "id_2", keys: tuple[str, ...] = ("phash_dist", "dhash_dist"), ok: str | None = None) -> DataFrame:
+        if a not in apart or apart[a].get(b) != key:
+            continue  # an entry that a merger has overtaken
+        gone, mine = apart.pop(b), apart[a]
+        members[a] += members.pop(b)
+        del mine[b]
+        for c in gone:
+            if c != a:
+                del apart[c][b]
+        for c in list(mine):
+            if c not in gone:
+                del mine[c], apart[c][a]
+            elif gone[c] > mine[c]:
+                mine[c] = apart[c][a] = gone[c]
+                heapq.heappush(heap, (gone[c], min(a, c), max(a, c)))
+    return [sorted(m) for m in members.values()]
+
+
+def _merge_round(edges: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(edges after the round, mergers (node, label)); edges: i < j and keys."""
+    order = F.struct(*names, "i", "j")
+    first = edges.select(F.col("i").alias("n"), order.alias("e")).unionByName(edges.select(F.col("j").alias("n"), order.alias("e"))).groupBy("n").agg(F.min("e").alias("e"))
+    # An edge that is the first of both its ends turns up twice.
+    mutual = first.groupBy("e").agg(F.count(F.lit(1)).alias("ends")).filter("ends = 2")
+    mergers = stored(mutual.select(F.col("e.j").alias("node"), F.col("e.i").alias("label")), "mergers")
+    size = mergers.select(F.col("label").alias("__n"), F.lit(2).alias("__size"))
+    moved = relabel(relabel(edges, "i", mergers), "j", mergers).filter("i <> j")
+    pairs = moved.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), F.struct(*names).alias("key")).groupBy("i", "j").agg(F.max("key").alias("key"), F.count(F.lit(1)).alias("links"))
+    sized = pairs.join(size.toDF("i", "size_i"), "i", "left").join(size.toDF("j", "size_j"), "j", "left")
+    whole = sized.filter(F.col("links") == F.coalesce("size_i", F.lit(1)) * F.coalesce("size_j", F.lit(1)))
+    return stored(whole.select("i", "j", *[F.col(f"key.{k}").alias(k) for k in names]), "merged-edges"), mergers
+
+
+def complete_linkage(edges: DataFrame, src: str = "id_1", dst: str = "id_2", keys: tuple[str, ...] = ("phash_dist", "dhash_dist"), ok: str | None = None, task_edges: int = TASK_EDGES) -> DataFrame:
     """photo_id, cluster_id (smallest member) for every node with a mergeable edge; ok names that flag.
 
-    Edges that aren't mergeable count as missing, which forbids a merger just the same.
+    Edges that aren't mergeable count as missing, which forbids a merger just the same. A pair counts once.
     """
-    flat = (edges.filter(ok) if ok else edges).select(F.col(src).alias("i"), F.col(dst).alias("j"), *[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)])
-    labels = connected_components(flat, "i", "j")
-    component = flat.join(labels.select(F.col("node").alias("i"), F.col("label").alias("component")), "i")
     names = [f"k{n}" for n in range(len(keys))]
+    flat = (edges.filter(ok) if ok else edges).select(F.least(src, dst).alias("i"), F.greatest(src, dst).alias("j"), *[F.col(k).alias(n) for n, k in zip(names, keys)])
+    left = stored(flat.filter("i is not null and j is not null and i <> j").dropDuplicates(["i", "j"]), "linkage")
+    nodes = stored(left.select(F.col("i").alias("photo_id")).unionByName(left.select(F.col("j").alias("photo_id"))).distinct().withColumn("cluster_id", F.col("photo_id")), "linkage-nodes")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows = [(i, j, tuple(k), True) for i, j, *k in group[["i", "j", *names]].itertuples(index=False, name=None)]
+        rows = [(i, j, tuple(k)) for i, j, *k in group[["i", "j", *names]].itertuples(index=False, name=None)]
         out = [(n, c[0]) for c in link_completely(rows) for n in c]
-        return pd.DataFrame(out, columns=["photo_id", "cluster_id"], dtype=object)
-
-    return component.groupBy("component").applyInPandas(run, "photo_id string, cluster_id string")
-
-
-def extend_singly(clusters: list[set[str]], singles: list[str], links: set[tuple[str, str]]) -> list[set[str]]:
-    """Merge clusters joined by a link; then visit singles in order: each joins, or joins up, the clusters it links to."""
-    found: list[set[str]] = []
-    for c in clusters:
-        hit = [f for f in found if any((min(x, y), max(x, y)) in links for x in c for y in f)]
-        found = [f for f in found if f not in hit] + [set(c).union(*hit)]
-    changed = True
-    while changed:
-        changed = False
-        for k, f in enumerate(found):
-            hit = [g for g in found[k + 1 :] if any((min(x, y), max(x, y)) in links for x in f for y in g)]
-            if hit:
-                found = [g for g in found if g is not f and g not in hit] + [f.union(*hit)]
-                changed = True
-                break
-    for s in singles:
-        hit = [f for f in found if any((min(s, y), max(s, y)) in links for y in f)]
-        if hit:
-            found = [f for f in found if f not in hit] + [set().union({s}, *hit)]
-    return found
-
-
-def single_linkage_extend(members: DataFrame, strict: DataFrame, relaxed: DataFrame) -> DataFrame:
-    """photo_id, cluster_id after extension.
-
-    members: photo_id, cluster_id or null for singles; strict, relaxed: edges (id_1, id_2). Everything that
-    edges of either kind or a cluster hold together is one group. Singles that stay single get no row.
+        return pd.DataFrame(out, columns=["node", "label"], dtype=object)
+
+    while not left.isEmpty():
+        labels = connected_components(left, "i", "j").select(F.col("node").alias("i"), F.col("label").alias("component"))
+        placed = stored(left.join(labels, "i"), "linkage-components")
+        big = stored(placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > task_edges).select("component"), "linkage-big")
+        small = placed.join(F.broadcast(big) if big.isEmpty() else big, "component", "left_anti")
+        kind = left.schema["i"].dataType.simpleString()
+        done = small.groupBy("component").applyInPandas(run, f"node {kind}, label {kind}")
+        nodes = stored(relabel(nodes, "cluster_id", done), "linkage-nodes")
+        if big.isEmpty():
+            break
+        left, mergers = _merge_round(placed.join(big, "component", "left_semi").drop("component"), names)
+        nodes = stored(relabel(nodes, "cluster_id", mergers), "linkage-nodes")
+    return nodes
+
+
+def single_linkage_extend(members: DataFrame, strict: DataFrame) -> DataFrame:
+    """photo_id, cluster_id after extension. Singles that stay single get no row.
+
+    members: photo_id, cluster_id (its smallest member) or null for singles; strict: links (id_1, id_2).
+    Clusters joined by a link merge. Then singles are visited once, in order of their ids, and each joins, or
+    joins up, the clusters it has a link to by then. So a single is reached when it links to a member of a
+    cluster, or to a smaller single that is reached; and among what is reached, links make components.
     """
-    star = members.filter("cluster_id is not null").select(F.col("photo_id").alias("src"), F.col("cluster_id").alias("dst"))
-    joined = strict.select(F.col("id_1").alias("src"), F.col("id_2").alias("dst")).unionByName(relaxed.select(F.col("id_1").alias("src"), F.col("id_2").alias("dst"))).unionByName(star)
-    labels = connected_components(joined)
-    node = relabel(members.withColumn("component", F.col("photo_id")), "component", labels).select("component", "photo_id", "cluster_id", F.lit(None).cast("string").alias("other"))
-    edge = strict.join(labels, F.col("id_1") == F.col("node")).select(F.col("label").alias("component"), F.col("id_1").alias("photo_id"), F.lit(None).cast("string").alias("cluster_id"), F.col("id_2").alias("other"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        edges = group[group["other"].notna()]
-        links = {(min(a, b), max(a, b)) for a, b in zip(edges["photo_id"], edges["other"])}
-        own = group[group["other"].isna()]
-        grouped = own[own["cluster_id"].notna()].groupby("cluster_id")["photo_id"].apply(set).tolist()
-        singles = sorted(own[own["cluster_id"].isna()]["photo_id"])
-        out = [(n, min(c)) for c in extend_singly(grouped, singles, links) for n in sorted(c)]
-        return pd.DataFrame(out, columns=["photo_id", "cluster_id"], dtype=object)
-
-    return node.unionByName(edge).groupBy("component").applyInPandas(run, "photo_id string, cluster_id string")
+    known = stored(members.select("photo_id", "cluster_id"), "extend-members")
+    side = lambda k: known.select(F.col("photo_id").alias(f"id_{k}"), F.col("cluster_id").alias(f"c_{k}"))
+    once = strict.select("id_1", "id_2").filter("id_1 <> id_2").join(side(1), "id_1").join(side(2), "id_2")
+    links = stored(once.unionByName(once.select(F.col("id_2").alias("id_1"), F.col("id_1").alias("id_2"), F.col("c_2").alias("c_1"), F.col("c_1").alias("c_2"))), "extend-links")
+    onward = links.filter("c_1 is null and c_2 is null and id_2 < id_1").select("id_1", "id_2")
+    front = stored(links.filter("c_1 is null and c_2 is not null").select(F.col("id_1").alias("reached")).distinct(), "reached")
+    reached = front
+    while not front.isEmpty():
+        more = onward.join(front, onward["id_2"] == front["reached"], "left_semi").select(F.col("id_1").alias("reached")).distinct()
+        front = stored(more.join(reached, "reached", "left_anti"), "reached")
+        reached = stored(reached.unionByName(front), "reached-all")
+    node = lambda k: F.coalesce(f"c_{k}", f"id_{k}").alias(f"n_{k}")
+    hit = lambda k: reached.select(F.col("reached").alias(f"id_{k}"), F.lit(True).alias(f"hit_{k}"))
+    live = links.filter("id_1 < id_2").join(hit(1), "id_1", "left").join(hit(2), "id_2", "left").filter("(c_1 is not null or hit_1) and (c_2 is not null or hit_2)")
+    labels = connected_components(live.select(node(1), node(2)), "n_1", "n_2")
+    start = known.join(reached, known["photo_id"] == reached["reached"], "left").filter("cluster_id is not null or reached is not null").select("photo_id", F.coalesce("cluster_id", "photo_id").alias("cluster_id"))
+    return relabel(start, "cluster_id", labels)

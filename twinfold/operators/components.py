@@ -21,28 +21,36 @@ def relabel(table: DataFrame, column: str, labels: DataFrame) -> DataFrame:
     return found.withColumn(column, F.coalesce("__label", column)).drop("__node", "__label")
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100) -> DataFrame:
+def followed(step: DataFrame) -> DataFrame:
+    """node -> the end of its way, where step (node, label) leads each node to itself or a smaller one.
+
+    The way doubles with each pass, so a chain of n nodes takes log2 n of them.
+    """
+    while True:
+        ahead = step.select(F.col("node").alias("__node"), F.col("label").alias("__next"))
+        far = F.coalesce("__next", "label")
+        jumped = stored(step.join(ahead, step["label"] == ahead["__node"], "left").select("node", far.alias("label"), (far != F.col("label")).alias("moved")), "jumps")
+        step = jumped.select("node", "label")
+        if jumped.filter("moved").isEmpty():
+            return step
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """node -> label, the smallest node of its component, for every node with an edge.
 
-    Each round moves every node to the smallest of its neighbourhood and merges nodes that meet, so
-    the graph shrinks by its local minima's surroundings; rounds are stored, and the loop ends when no
-    edge between different nodes is left. Null ends and loops are ignored; no edges give no rows.
+    Each round points every node to the smallest of its neighbourhood, follows the pointers to their ends,
+    which are local minima, and contracts the graph to these. Every node that is left has an edge, and of two
+    neighbours one is no local minimum, so at least half of the nodes go in each round, whatever the order of
+    ids. Rounds are stored; the loop ends when no edge between different nodes is left. Null ends and loops
+    are ignored; no edges give no rows.
     """
-    left = stored(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).filter("src is not null and dst is not null and src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "edges")
+    tidy = lambda e: e.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    left = stored(tidy(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).filter("src is not null and dst is not null and src <> dst")), "edges")
     labels = None
-    for _ in range(max_rounds):
-        if left.isEmpty():
-            break
-        step = stored(hop(left), "hop")
-        if labels is None:
-            labels = step
-        else:
-            moved = relabel(labels, "label", step)
-            labels = stored(moved, "labels")
-        merged = relabel(relabel(left, "src", step), "dst", step).filter("src <> dst")
-        left = stored(merged.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "edges")
-    else:
-        raise RuntimeError("components did not settle")
+    while not left.isEmpty():
+        step = followed(stored(hop(left), "hop"))
+        labels = step if labels is None else stored(relabel(labels, "label", step), "labels")
+        left = stored(tidy(relabel(relabel(left, "src", step), "dst", step).filter("src <> dst")), "edges")
     if labels is None:
         return left.select(F.col("src").alias("node"), F.col("dst").alias("label"))
     return labels

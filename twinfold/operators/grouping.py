@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from twinfold.operators.cluster import complete_linkage, single_linkage_extend
 from twinfold.operators.components import connected_components
+from twinfold.operators.similarity import banded_pairs
 
 
 def numbered(clusters: DataFrame, min_size: int = 2) -> DataFrame:
@@ -24,8 +25,17 @@ def primary_groups(pairs: DataFrame) -> DataFrame:
     return numbered(complete_linkage(pairs))
 
 
+#: Fixed value: the most bits between two linked photos of the first generation.
+LEGACY_THRESHOLD = 8
+
+
+def legacy_groups(photos: DataFrame, threshold: int = LEGACY_THRESHOLD) -> DataFrame:
+    """photo_id, group_id: the first generation's single linkage, on one hash alone; photos need id, phash."""
+    return component_groups(banded_pairs(photos, threshold))
+
+
 def component_groups(pairs: DataFrame) -> DataFrame:
-    """photo_id, group_id by plain connectivity (the first generation's single linkage)."""
+    """photo_id, group_id by plain connectivity."""
     return numbered(connected_components(pairs, "id_1", "id_2").select(F.col("node").alias("photo_id"), F.col("label").alias("cluster_id")))
 
 
@@ -105,7 +115,7 @@ def second_groups(pairs: DataFrame, relaxed: DataFrame, strict: DataFrame, inclu
     else:
         known = members.select("photo_id")
         tight = tight.join(known.withColumnRenamed("photo_id", "id_1"), "id_1", "left_semi").join(known.withColumnRenamed("photo_id", "id_2"), "id_2", "left_semi")
-    return numbered(single_linkage_extend(members, tight, near.select("id_1", "id_2")))
+    return numbered(single_linkage_extend(members, tight))
 
 
 def composite_groups(primary: DataFrame, second: DataFrame, kept: DataFrame) -> DataFrame:
@@ -124,5 +134,3 @@ def expand_to_groups(photos: DataFrame, groups: DataFrame) -> DataFrame:
     """entity, photo_id: each entity's photos and all members of their groups."""
     mates = photos.join(groups, "photo_id").join(groups.select(F.col("group_id"), F.col("photo_id").alias("mate")), "group_id").select("entity", F.col("mate").alias("photo_id"))
     return photos.select("entity", "photo_id").unionByName(mates).distinct()
-
-

@@ -1,21 +1,29 @@
 """Hamming self-joins over 64-bit hashes.
 
-At the thresholds in use (14 of 64 bits) every pair shares some band of four bits, so banding can't prune;
-all distinct hashes meet each other. They do so in blocks: each row belongs to one of B blocks by hash and
-is sent to the B block pairs it takes part in; a block pair is the key of a plain equi-join, so the work is
-spread evenly, no side is broadcast, and no partition grows beyond rows / B whatever the ids are. Equal
-hashes are collapsed first, so copies don't multiply the pairs that are compared. Smaller thresholds use
-bands: with t differing bits at most, one of t + 1 bands is equal.
+Where every pair counts, rows meet in blocks: each row belongs to one of B blocks by hash and is sent to the
+B block pairs it takes part in; a block pair is the key of a plain equi-join, so the work is spread evenly, no
+side is broadcast, and B follows from the number of rows, so that no task meets more than PAIRS_PER_TASK.
+
+Where a threshold holds and rows are many, bands prune. With t differing bits at most, one of b bands differs in t // b bits at
+most. Rows look up, in each band, all values within that reach of their own; a pair counts in the first band
+that brings it together, so nothing has to be made distinct. Equal hashes are collapsed first, so copies
+don't multiply what is compared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinfold.functions import exprs as X
+from twinfold.sources.scratch import stored
+
+#: Pairs that one task of a full join meets.
+PAIRS_PER_TASK = 20_000_000
 
 
 def _blocks(df: DataFrame, key: str, blocks: int, left: bool) -> DataFrame:
@@ -27,62 +35,144 @@ def _blocks(df: DataFrame, key: str, blocks: int, left: bool) -> DataFrame:
     return spread.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__own")))).withColumnRenamed("__own", "__j")
 
 
-def block_join(rows: DataFrame, key: str, condition: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], blocks: int = 8) -> DataFrame:
-    """Each pair of rows that meets the (symmetric) condition once, in either order, with columns prefixed a_ and b_."""
+def block_join(rows: DataFrame, key: str, condition: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], blocks: int | None = None) -> DataFrame:
+    """Each pair of rows that meets the (symmetric) condition once, in either order, with columns prefixed a_ and b_.
+
+    The rows are stored first. blocks defaults to what keeps the pairs of a task bounded, and to enough for
+    the cores there are.
+    """
+    rows = stored(rows, "block-rows")
+    if blocks is None:
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        blocks = max(math.ceil(rows.count() / math.sqrt(PAIRS_PER_TASK)), math.ceil(math.sqrt(8 * cores)), 1)
+    tasks = blocks * (blocks + 1) // 2
     side = lambda p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in rows.columns])
-    a, b = _blocks(side("a"), f"a_{key}", blocks, True), _blocks(side("b"), f"b_{key}", blocks, False)
+    a = _blocks(side("a"), f"a_{key}", blocks, True).repartition(tasks, "__i", "__j")
+    b = _blocks(side("b"), f"b_{key}", blocks, False).repartition(tasks, "__i", "__j")
     test = condition(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))
     once = (F.col("__i") < F.col("__j")) | (F.col(f"a_{key}") < F.col(f"b_{key}"))
     return a.join(b, ["__i", "__j"]).filter(once & test).drop("__i", "__j")
 
 
-def similar_pairs(photos: DataFrame, blocks: int = 8) -> DataFrame:
+def bands_of(bits: int, bands: int) -> list[tuple[int, int]]:
+    """(first bit, width) of each band."""
+    ends = [round(k * bits / bands) for k in range(bands + 1)]
+    return [(a, b - a) for a, b in zip(ends, ends[1:])]
+
+
+def band_join(rows: DataFrame, column: str, threshold: int, bands: int, bits: int = 64) -> DataFrame:
+    """Pairs of rows with distinct values of column that are at most threshold bits apart, once each, in either order.
+
+    Columns are prefixed a_ and b_. rows must be stored, or cheap to read twice.
+    """
+    reach, places = threshold // bands, bands_of(bits, bands)
+    part = lambda c, at, width: F.shiftrightunsigned(c, at).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))
+
+    def ball(k: int, at: int, width: int) -> Column:
+        centre, masks = part(F.col(f"b_{column}"), at, width), [sum(1 << i for i in x) for n in range(reach + 1) for x in combinations(range(width), n)]
+        return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: F.struct(F.lit(k).alias("band"), centre.bitwiseXOR(m).alias("value")))
+
+    own = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), part(F.col(f"a_{column}"), *p).alias("value")) for k, p in enumerate(places)]))
+    side = lambda p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in rows.columns])
+    a = side("a").withColumn("k", own).select("*", "k.band", "k.value").drop("k")
+    b = side("b").withColumn("k", F.explode(F.concat(*[ball(k, *p) for k, p in enumerate(places)]))).select("*", "k.band", "k.value").drop("k")
+    diff = F.col(f"a_{column}").bitwiseXOR(F.col(f"b_{column}"))
+    first = F.lit(None).cast("int")
+    for k, p in reversed(list(enumerate(places))):
+        first = F.when(F.bit_count(part(diff, *p)) <= reach, F.lit(k)).otherwise(first)
+    once = (F.col(f"a_{column}") < F.col(f"b_{column}")) & (F.bit_count(diff) <= threshold) & (first == F.col("band"))
+    # Sizes are estimated before the explosion, so a broadcast of the probes must be ruled out here.
+    return a.join(b.hint("merge"), ["band", "value"]).filter(once).drop("band", "value")
+
+
+#: The most bits of phash between two photos of one scene, and the bands that find them.
+SCENE_BITS, SCENE_BANDS = 14, 5
+#: Distinct hashes from which looking up bands costs less than meeting all pairs (460 probes a row).
+BAND_FROM = 50_000
+
+
+def _scene() -> tuple[Column, Column]:
+    return X.hamming(F.col("a_phash"), F.col("b_phash")), X.hamming(F.col("a_dhash"), F.col("b_dhash"))
+
+
+def similar_hashes(hashed: DataFrame, band_from: int = BAND_FROM) -> DataFrame:
+    """a_phash, a_dhash, b_phash, b_dhash, phash_dist, dhash_dist of all pairs of distinct hashes in one scene.
+
+    hashed (phash, dhash; without nulls) must be stored. Few hashes meet in blocks; from band_from distinct
+    ones on, pairs of unequal phash come out of bands, and those of equal phash out of one join on it.
+    """
+    p, d = _scene()
+    both = stored(hashed.select("phash", "dhash").distinct(), "distinct-hashes")
+    if both.count() < band_from:
+        rows = both.withColumn("key", F.struct("phash", "dhash"))
+        return block_join(rows, "key", lambda a, b: X.is_same_scene(p, d)).select("a_phash", "a_dhash", "b_phash", "b_dhash", p.alias("phash_dist"), d.alias("dhash_dist"))
+    one = stored(both.select("phash").distinct(), "distinct-phash")
+    near = band_join(one, "phash", SCENE_BITS, SCENE_BANDS)
+    left, right = both.toDF("a_phash", "a_dhash"), both.toDF("b_phash", "b_dhash")
+    apart = near.join(left, "a_phash").join(right, "b_phash")
+    equal = left.join(right.withColumn("a_phash", F.col("b_phash")), "a_phash").filter("a_dhash < b_dhash")
+    found = apart.select("a_phash", "a_dhash", "b_phash", "b_dhash").unionByName(equal.select("a_phash", "a_dhash", "b_phash", "b_dhash"))
+    return found.filter(X.is_same_scene(p, d)).select("*", p.alias("phash_dist"), d.alias("dhash_dist"))
+
+
+def similar_pairs(photos: DataFrame, band_from: int = BAND_FROM) -> DataFrame:
     """id_1 < id_2, phash_dist, dhash_dist of all pairs in the same scene; photos need id, phash, dhash."""
-    hashed = photos.filter("phash is not null and dhash is not null").select("id", "phash", "dhash")
-    distinct = hashed.groupBy("phash", "dhash").agg(F.min("id").alias("id"))
-    p, d = X.hamming(F.col("a_phash"), F.col("b_phash")), X.hamming(F.col("a_dhash"), F.col("b_dhash"))
-    near = block_join(distinct, "id", lambda a, b: X.is_same_scene(p, d), blocks).select("a_phash", "a_dhash", "b_phash", "b_dhash", p.alias("phash_dist"), d.alias("dhash_dist"))
+    hashed = stored(photos.filter("phash is not null and dhash is not null").select("id", "phash", "dhash"), "hashed")
     one, two = hashed.select(F.col("id").alias("x"), F.col("phash").alias("a_phash"), F.col("dhash").alias("a_dhash")), hashed.select(F.col("id").alias("y"), F.col("phash").alias("b_phash"), F.col("dhash").alias("b_dhash"))
-    across = near.join(one, ["a_phash", "a_dhash"]).join(two, ["b_phash", "b_dhash"]).select(F.least("x", "y").alias("id_1"), F.greatest("x", "y").alias("id_2"), "phash_dist", "dhash_dist")
+    across = similar_hashes(hashed, band_from).join(one, ["a_phash", "a_dhash"]).join(two, ["b_phash", "b_dhash"]).select(F.least("x", "y").alias("id_1"), F.greatest("x", "y").alias("id_2"), "phash_dist", "dhash_dist")
     same = one.alias("l").join(two.alias("r"), (F.col("l.a_phash") == F.col("r.b_phash")) & (F.col("l.a_dhash") == F.col("r.b_dhash")) & (F.col("x") < F.col("y"))).select(F.col("x").alias("id_1"), F.col("y").alias("id_2"), F.lit(0).alias("phash_dist"), F.lit(0).alias("dhash_dist"))
     return across.unionByName(same)
 
 
 def banded_pairs(photos: DataFrame, threshold: int, column: str = "phash", bits: int = 64) -> DataFrame:
     """id_1 < id_2, dist of all pairs at most threshold bits apart, out of threshold + 1 bands."""
-    bands = threshold + 1
-    edges = [round(k * bits / bands) for k in range(bands + 1)]
-    keys = F.array(*[F.struct(F.lit(k).alias("band"), F.shiftrightunsigned(F.col(column), edges[k]).bitwiseAND(F.lit((1 << (edges[k + 1] - edges[k])) - 1 if edges[k + 1] - edges[k] < 64 else -1)).alias("part")) for k in range(bands)])
-    rows = photos.filter(F.col(column).isNotNull()).select("id", F.col(column).alias("h"), F.explode(keys).alias("k")).select("id", "h", "k.band", "k.part")
-    a, b = rows.toDF("id_1", "h_1", "band", "part"), rows.toDF("id_2", "h_2", "band", "part")
-    dist = X.hamming(F.col("h_1"), F.col("h_2"))
-    met = a.join(b, ["band", "part"]).filter((F.col("id_1") < F.col("id_2")) & (dist <= threshold))
-    return met.select("id_1", "id_2", dist.alias("dist")).distinct()
+    hashed = stored(photos.filter(F.col(column).isNotNull()).select("id", column), "hashed")
+    near = band_join(hashed.select(column).distinct(), column, threshold, threshold + 1, bits)
+    a, b = f"a_{column}", f"b_{column}"
+    one, two = hashed.toDF("x", a), hashed.toDF("y", b)
+    dist = X.hamming(F.col(a), F.col(b))
+    across = near.join(one, a).join(two, b).select(F.least("x", "y").alias("id_1"), F.greatest("x", "y").alias("id_2"), dist.alias("dist"))
+    same = one.join(two, F.col(a) == F.col(b)).filter("x < y").select(F.col("x").alias("id_1"), F.col("y").alias("id_2"), F.lit(0).alias("dist"))
+    return across.unionByName(same)
 
 
-def all_pairs(photos: DataFrame, blocks: int = 8) -> DataFrame:
+def all_pairs(photos: DataFrame, blocks: int | None = None, words: int = 4) -> DataFrame:
     """photo_id_1 < photo_id_2, same_primary_group, and four distances of every pair of photos.
 
-    Photos need id, group_id (or null), phash, dhash, phash_16 (array of words) and colorhash.
+    Photos need id, group_id (or null), phash, dhash, phash_16 (array of so many words) and colorhash.
     """
-    wide = F.aggregate(F.zip_with("a_phash_16", "b_phash_16", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    return block_join(photos.select("id", "group_id", "phash", "dhash", "phash_16", "colorhash"), "id", lambda a, b: F.lit(True), blocks).select(
+    spread = photos.select("id", "group_id", "phash", "dhash", *[F.get("phash_16", F.lit(k)).alias(f"w{k}") for k in range(words)], "colorhash")
+    apart = lambda c: X.hamming(F.col(f"a_{c}"), F.col(f"b_{c}"))
+    wide = sum((apart(f"w{k}") for k in range(1, words)), apart("w0"))
+    return block_join(spread, "id", lambda a, b: F.lit(True), blocks).select(
         F.least("a_id", "b_id").alias("photo_id_1"),
         F.greatest("a_id", "b_id").alias("photo_id_2"),
         F.coalesce((F.col("a_group_id") == F.col("b_group_id")).cast("int"), F.lit(0)).alias("same_primary_group"),
-        X.hamming(F.col("a_phash"), F.col("b_phash")).alias("phash_dist"),
-        X.hamming(F.col("a_dhash"), F.col("b_dhash")).alias("dhash_dist"),
+        apart("phash").alias("phash_dist"),
+        apart("dhash").alias("dhash_dist"),
         wide.alias("phash16_dist"),
-        X.hamming(F.col("a_colorhash"), F.col("b_colorhash")).alias("colorhash_dist"),
+        apart("colorhash").alias("colorhash_dist"),
     )
 
 
-def pair_summary(pairs: DataFrame) -> DataFrame:
-    """The five-dimensional histogram of a pair table."""
-    return pairs.groupBy("phash16_dist", "colorhash_dist", "phash_dist", "dhash_dist", "same_primary_group").agg(F.count(F.lit(1)).alias("count"))
+#: Fields of a pair table's histogram and their bits in a packed key; distances stay below 2^10.
+SUMMARY = {"phash16_dist": 10, "colorhash_dist": 10, "phash_dist": 10, "dhash_dist": 10, "same_primary_group": 1}
 
 
-def distance_histogram(photos: DataFrame, column: str = "phash", blocks: int = 8) -> DataFrame:
+def pair_summary(pairs: DataFrame) -> DataFrame:
+    """The five-dimensional histogram of a pair table, counted under one packed key. Rows with a null distance count too."""
+    key, at, fields = F.lit(0).cast("long"), 0, []
+    for name, bits in SUMMARY.items():
+        # One more than the distance, so that 0 is null.
+        key = key.bitwiseOR(F.shiftleft(F.coalesce(F.col(name) + 1, F.lit(0)).cast("long"), at))
+        value = F.shiftrightunsigned("key", at).bitwiseAND(F.lit((1 << bits + 1) - 1)).cast("int")
+        fields.append(F.nullif(value, F.lit(0)).alias(name))
+        at += bits + 1
+    counted = pairs.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("count"))
+    return counted.select(*[(f - 1).alias(name) for f, name in zip(fields, SUMMARY)], "count")
+
+
+def distance_histogram(photos: DataFrame, column: str = "phash", blocks: int | None = None) -> DataFrame:
     """dist -> pairs over all pairs, without writing any pair."""
     dist = X.hamming(F.col(f"a_{column}"), F.col(f"b_{column}"))
     return block_join(photos.select("id", column), "id", lambda a, b: F.lit(True), blocks).groupBy(dist.alias("dist")).agg(F.count(F.lit(1)).alias("pairs"))
@@ -97,16 +187,16 @@ def sampled(photos: DataFrame, size: int) -> DataFrame:
     return photos.orderBy(F.xxhash64("id"), "id").limit(size)
 
 
-def sampled_pairs(sample: DataFrame, column: str = "phash", most: int = 20, blocks: int = 8) -> DataFrame:
+def sampled_pairs(sample: DataFrame, column: str = "phash", most: int = 20, blocks: int | None = None) -> DataFrame:
     """id_1, id_2, dist of the pairs of a sample that are at most so far apart by one hash."""
     dist = X.hamming(F.col(f"a_{column}"), F.col(f"b_{column}"))
     rows = sample.filter(F.col(column).isNotNull()).select("id", column)
     return block_join(rows, "id", lambda a, b: dist <= most, blocks).select(F.least("a_id", "b_id").alias("id_1"), F.greatest("a_id", "b_id").alias("id_2"), dist.alias("dist"))
 
 
-def compared_pairs(sample: DataFrame, low: int = 10, high: int = 14, blocks: int = 8) -> DataFrame:
+def compared_pairs(sample: DataFrame, low: int = 10, high: int = 14, blocks: int | None = None) -> DataFrame:
     """id_1, id_2, phash_dist, dhash_dist of the pairs of a sample at the border of a scene by phash, to be laid out by dhash."""
-    p, d = X.hamming(F.col("a_phash"), F.col("b_phash")), X.hamming(F.col("a_dhash"), F.col("b_dhash"))
+    p, d = _scene()
     rows = sample.filter("phash is not null and dhash is not null").select("id", "phash", "dhash")
     return block_join(rows, "id", lambda a, b: p.between(low, high), blocks).select(F.least("a_id", "b_id").alias("id_1"), F.greatest("a_id", "b_id").alias("id_2"), p.alias("phash_dist"), d.alias("dhash_dist"))
 
@@ -116,8 +206,6 @@ def pairs_between(members: DataFrame, condition: Column, keep: int | None = None
 
     keep takes the worst few of each group pair, by distance.
     """
-    from pyspark.sql import Window
-
     a = members.filter("side = 1").select("g1", "g2", F.col("id").alias("id_1"), F.col("phash").alias("p1"), F.col("dhash").alias("d1"))
     b = members.filter("side = 2").select("g1", "g2", F.col("id").alias("id_2"), F.col("phash").alias("p2"), F.col("dhash").alias("d2"))
     met = a.join(b, ["g1", "g2"]).withColumn("phash_dist", X.hamming(F.col("p1"), F.col("p2"))).withColumn("dhash_dist", X.hamming(F.col("d1"), F.col("d2"))).filter(condition)
