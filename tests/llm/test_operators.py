@@ -358,3 +358,59 @@ def test_html_without_decided_content_keeps_what_is_unclear():
     assert main_text(short) == "News\nIt rained.\nThen the sun came.\nAll went home."
     polish = ["Wczoraj wieczorem mieszkańcy miasta spotkali się przed ratuszem, aby rozmawiać o nowym moście.", "Burmistrz obiecał odpowiedź przed końcem miesiąca, lecz wielu obecnych nadal miało wątpliwości."]
     assert main_text("<div>" + "".join(f"<p>{x}</p>" for x in polish) + "</div>") == "\n".join(polish)
+
+
+PROSE = "The house of the man is in the town and it was on the hill, with the road to the sea below it."
+
+
+def test_html_marks_are_evidence_not_switches():
+    wrapped = f'<body class="sidebar"><div class="layout has-sidebar"><article><h1>Head</h1><p>{PROSE}</p><p>Short.</p></article></div></body>'
+    assert main_text(wrapped) == f"Head\n{PROSE}\nShort."
+    mention = f'<div class="sidebar-layout"><article><p>{PROSE}</p><p class="notice-period">{PROSE}</p><p class="notice-period">Short.</p><p>{PROSE}</p></article></div>'
+    assert main_text(mention) == "\n".join([PROSE, PROSE, "Short.", PROSE])
+    linked = f'<article><p>{PROSE}</p><p><a href="/">See the whole report on this.</a></p><p>{PROSE}</p></article>'
+    assert main_text(linked) == "\n".join([PROSE, "See the whole report on this.", PROSE])
+    comments = f'<article><p>{PROSE}</p><p>End.</p></article><div class="comment-list"><article><p>{PROSE}</p><p>Agreed.</p></article></div><div class="comments"><p>{PROSE}</p></div>'
+    assert main_text(comments) == f"{PROSE}\nEnd."
+    advert = f'<article><p>{PROSE}</p><div class="ad-box">Buy.</div><p>Short.</p><aside><p>{PROSE}</p></aside><p>Last.</p></article><footer>{PROSE}</footer>'
+    assert main_text(advert) == f"{PROSE}\nShort.\nLast."
+    bare = f"<div>Menu</div><div><a href='/'>one two</a></div><h2>Head</h2><p>{PROSE}</p><p>Between.</p><p>{PROSE}</p><p>After</p><p><a href='/'>three four</a></p>"
+    assert main_text(bare) == "\n".join(["Head", PROSE, "Between.", PROSE])  # densities and neighbours alone
+
+
+def test_html_second_pass_against_the_rule_spelled_out():
+    from twinfold.llm.html_text import BODY, Block, decide
+
+    rng = random.Random(21)
+    kinds = [(PROSE, 0), ("Short.", 0), (PROSE, 90), ("Short.", 6)]
+    for _ in range(4000):
+        blocks = [Block(*rng.choice(kinds), rng.choice((0.0, 0.0, BODY, -0.75, -2.0, BODY - 2.0)), rng.random() < 0.2) for _ in range(rng.randrange(1, 9))]
+        totals = [b.around + (-1.5 if b.linked else 1.0 if b.text == PROSE else 0.0) for b in blocks]
+        label = lambda t: "content" if t >= 1 else "boilerplate" if t <= -1 else "open"
+        want = []
+        for k, b in enumerate(blocks):
+            if label(totals[k]) != "open":
+                want.append(label(totals[k]) == "content")
+                continue
+            if not any(t >= 1 for t in totals):
+                want.append(totals[k] > 0 or not any(0 < t < 1 for t in totals))
+                continue
+            counts = lambda j: label(totals[j]) == "content" or label(totals[j]) == "boilerplate" and blocks[j].around > -1
+            up = next((label(totals[j]) for j in range(k - 1, -1, -1) if counts(j)), None)
+            down = next((label(totals[j]) for j in range(k + 1, len(blocks)) if counts(j)), None)
+            if totals[k] > 0:
+                want.append("content" in (up, down))
+            elif b.heading:
+                want.append(down == "content")
+            else:
+                want.append(up == down == "content")
+        assert decide(blocks) == want
+
+
+@pytest.mark.parametrize("page", ["<a " * 200_000, "<div>" * 100_000 + "</span>" * 200_000, "<a '" * 200_000 + ">", "<b>" * 50_000 + "<p>x</p>" * 50_000, '<a "><a \'>' * 50_000, "<" * 300_000], ids=["open", "stack", "quotes", "inline", "mixed", "signs"])
+def test_html_is_linear_in_the_page(page):
+    import time
+
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 5

@@ -1,24 +1,29 @@
 """Main text of web pages by block rules in two passes.
 
-A page is cut into blocks (paragraphs, headings, list items, cells ...), each with its text, the share of
-it that stands in links, the share of stop words, and what it stands in. The first pass decides blocks:
-those in menus, footers, asides, forms, comments, adverts and the like are boilerplate, as are blocks
-that are mostly links; blocks inside an article or main element, and long blocks with enough stop words,
-are content. The second pass lets the short or unclear blocks that are left inherit the label of their
-nearest decided neighbours on both sides; content wins only where both agree, or where a heading leads it.
-Where the first pass finds no content at all (short paragraphs, or a language without stop words here),
-nothing tells the unclear blocks from it, and all of them are kept.
+A page is cut into blocks (paragraphs, headings, list items, cells ...). What a block stands in is evidence,
+not a switch: an article or main element counts for it, menus, headers, footers, asides, forms and class names
+such as "comments" or "ad" count against it, a name that only mentions such a word ("notice-period") less than
+one that is made of them, and one that states a layout ("has-sidebar") not at all. The first pass adds to that
+what the text says of itself: many words with enough stop words among them count for a block, links that make
+up most of it against it. Blocks at or above CONTENT, or at or below BOILERPLATE, are decided. The second pass
+lets the short or unclear blocks that are left inherit the label of the nearest decided neighbours on both
+sides: one that leans to content needs one such neighbour of content, any other needs two, or, for a heading,
+the one that follows. Blocks that only their surroundings condemned (an advert inside an article) are no
+neighbours. Where the first pass finds no content at all (short paragraphs, or a language without stop words
+here), nothing tells unclear blocks from it: those that lean to content are kept, or all if none does.
 
 Pages are taken one by one, in time and room linear in the page; nothing is shuffled.
 
 Cases: null or empty html gives an empty text; markup that is never closed ends where an enclosing element
-does; repeated rows are extracted each; an empty table gives no rows; other columns are ignored.
+does; a "<" without any ">" after it is text; repeated rows are extracted each; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +36,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead title tr ul".split())
 CLOSES_P = BLOCK - frozenset(["option", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "legend", "head", "body", "html"])
-NEVER = frozenset("nav footer aside form button select option textarea input iframe noscript script style template svg math canvas audio video object embed dialog menu head title label fieldset".split())
+SILENT = frozenset("button select option textarea input iframe noscript script style template svg math canvas audio video object embed head title label".split())
+AGAINST = frozenset("nav footer aside form dialog menu fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Parts of class, id and role names that mark boilerplate.
 MARKS = frozenset(
@@ -47,151 +53,250 @@ STOP_WORDS = frozenset(
     "el los las y del que una por con no su para es al lo como más o pero sus este sí porque esta entre cuando muy sin sobre también me hasta hay donde".split()
 )
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/)?(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+GENERIC = frozenset("area bar block body box button btn col column container content count div field footer form group header head heading icon inner item items label left link links list main message meta middle module outer panel pane right row section slot text title top unit wrap wrapper zone".split())
+STATES = frozenset("has no with without is".split())
+
+#: Evidence: for the elements and marks that a block stands in, and for its text.
+BODY, ELEMENT, MARK, MENTION, HEADER = 0.75, -3.0, -2.0, -0.75, -2.0
+PROSE, LINKED = 1.0, -1.5
+CONTENT, BOILERPLATE = 1.0, -1.0
+
+OPEN = re.compile(r"<(?:(/)?([A-Za-z][A-Za-z0-9:-]*)|!--|!\[CDATA\[|[!?])")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+STOP = re.compile(r"[>\"']")
 
 
 @dataclass
 class Block:
+    """text, its linked characters, the evidence of its surroundings, and whether it is a heading."""
+
     text: str
     linked: int
-    zone: bool
-    body: bool
+    around: float
     heading: bool
 
 
-def marks_of(attrs: str) -> set[str]:
-    found: set[str] = set()
-    for m in NAMES.finditer(attrs):
-        found.update(x.lower() for x in PIECES.findall(m[1] or m[2] or m[3] or ""))
-    return found
+def name_weight(token: str, marks: frozenset[str]) -> float:
+    """What one class, id or role name says: MARK if it is made of marks, MENTION if it only mentions one."""
+    pieces = [x.lower() for x in PIECES.findall(token)]
+    if not any(x in marks for x in pieces) or pieces[0] in STATES:
+        return 0.0
+    return MARK if all(x in marks or x in GENERIC or x.isdigit() for x in pieces) else MENTION
+
+
+def marks_weight(attrs: str, marks: frozenset[str] = MARKS) -> float:
+    tokens = [t for m in NAMES.finditer(attrs) for t in (m[1] or m[2] or m[3] or "").split()]
+    return min((name_weight(t, marks) for t in tokens), default=0.0)
+
+
+class TagEnds:
+    """Where tags of one page end: at the first ">" outside quotes.
+
+    Once a tag runs to the end of the page that way, quotes count for nothing in the rest of it, and a sign
+    that isn't found once is not looked for again, so the time for all tags is linear.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.quotes, self.last = page, True, page.rfind(">")
+
+    def after(self, at: int) -> int:
+        """The place of the tag's ">" at or after at, or -1 where there is none."""
+        if self.last < at:
+            return -1
+        where = at
+        while self.quotes:
+            m = STOP.search(self.page, where)
+            if m and m[0] == ">":
+                return m.start()
+            close = self.page.find(m[0], m.end()) if m else -1
+            if close < 0:
+                self.quotes = False
+            where = close + 1
+        return self.page.find(">", at)
+
+
+class OpenElements:
+    """The stack of open elements: name, evidence, whether inside article or main, inside a link, silent."""
+
+    #: A paragraph or list item is closed from inside these no further.
+    BOUNDS = (BLOCK - frozenset(["p", "li", "dt", "dd", "td", "th", "tr"])) | frozenset(["ul", "ol", "menu", "dl", "table"])
+
+    def __init__(self):
+        self.stack: list[tuple[str, float, bool, bool, bool]] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.bounds: list[int] = []
+        self.blocks: list[int] = []
+
+    def top(self) -> tuple[float, bool, bool, bool]:
+        return self.stack[-1][1:] if self.stack else (0.0, False, False, False)
+
+    def push(self, name: str, around: float, body: bool, link: bool, silent: bool) -> None:
+        at = len(self.stack)
+        self.stack.append((name, around, body, link, silent))
+        self.places[name].append(at)
+        if name in self.BOUNDS:
+            self.bounds.append(at)
+        if name in BLOCK:
+            self.blocks.append(at)
+
+    def cut(self, at: int) -> bool:
+        """Close the elements from a place on; whether a block was among them."""
+        for name, *_ in self.stack[at:]:
+            self.places[name].pop()
+        del self.stack[at:]
+        while self.bounds and self.bounds[-1] >= at:
+            self.bounds.pop()
+        had = bool(self.blocks and self.blocks[-1] >= at)
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
+        return had
+
+    def last(self, *names: str) -> int:
+        """The place of the innermost of the elements, if no bound stands inside it, else -1."""
+        at = max((self.places[n][-1] for n in names if self.places[n]), default=-1)
+        return at if at > (self.bounds[-1] if self.bounds else -1) else -1
+
+
+SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 
 def page_blocks(page: str) -> Iterator[Block]:
     """The blocks of a page that have text, in order."""
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, boilerplate, inside article or main, inside a link
+    tree, ends = OpenElements(), TagEnds(page)
     parts: list[str] = []
-    linked = [0]
+    linked = 0
     heading = False
     at, size, lower = 0, len(page), None
 
     def flush() -> Block | None:
-        nonlocal heading
+        nonlocal heading, linked
         text = " ".join("".join(parts).split())
-        block = Block(text, linked[0], *(stack[-1][1:3] if stack else (False, False)), heading) if text else None
+        block = Block(text, linked, tree.top()[0], heading) if text else None
         parts.clear()
-        linked[0], heading = 0, False
+        linked, heading = 0, False
         return block
 
     def add(raw: str) -> None:
-        if not (stack and stack[-1][1]):
+        nonlocal linked
+        _, _, link, silent = tree.top()
+        if not silent:
             text = html_lib.unescape(raw)
             parts.append(text)
-            if stack and stack[-1][3]:
-                linked[0] += len("".join(text.split()))
+            if link:
+                linked += len("".join(text.split()))
 
     while at < size:
-        start = page.find("<", at)
-        m = TOKEN.match(page, start) if start >= 0 else None
-        if start < 0:
+        m = OPEN.search(page, at)
+        if m is None:
             add(page[at:])
             break
-        if m is None:
-            add(page[at : start + 1])
-            at = start + 1
-            continue
+        start = m.start()
         if start > at:
             add(page[at:start])
-        at = m.end()
-        if m["cdata"] is not None:
-            add(m["cdata"])
-        name = (m["name"] or "").lower()
-        if not name:
+        if m[2] is None:
+            if m[0] == "<!--":
+                end = page.find("-->", start + 4)
+                at = size if end < 0 else end + 3
+            elif m[0] == "<![CDATA[":
+                end = page.find("]]>", start + 9)
+                add(page[start + 9 : size if end < 0 else end])
+                at = size if end < 0 else end + 3
+            else:
+                end = page.find(">", start)
+                at = size if end < 0 else end + 1
             continue
-        if name in BLOCK or name in ("br", "button"):
-            if name == "br":
-                parts.append(" ")
-            elif block := flush():
-                yield block
-        if m["close"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if any(x[0] in BLOCK for x in stack[k:]) and (block := flush()):
-                        yield block
-                    del stack[k:]
-                    break
+        end = ends.after(m.end())
+        if end < 0:
+            add(page[start:])
+            break
+        at, name, attrs = end + 1, m[2].lower(), page[m.end() : end]
+        if name == "br":
+            parts.append(" ")
+        elif (name in BLOCK or name == "button") and (block := flush()):
+            yield block
+        if m[1]:
+            if tree.places[name]:
+                if tree.blocks and tree.blocks[-1] >= tree.places[name][-1] and (block := flush()):
+                    yield block
+                tree.cut(tree.places[name][-1])
             continue
-        if name in CLOSES_P or name in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            same = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}.get(name, ())
-            bound = ("ul", "ol", "menu", "dl", "table")
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" and name in CLOSES_P or stack[k][0] in same:
-                    del stack[k:]
-                    break
-                if stack[k][0] in bound or stack[k][0] in BLOCK and stack[k][0] not in ("p", "li", "dt", "dd", "td", "th", "tr"):
-                    break
-        attrs = m["attrs"]
-        zone, body, link = stack[-1][1:] if stack else (False, False, False)
-        if not zone:
-            marks = marks_of(attrs) if "=" in attrs else set()
-            inner = body or name in ("article", "main") or "main" in marks and name == "div"
-            zone = name in NEVER or (name not in ("body", "html", "article", "main") and bool(marks & MARKS)) or (not body and (name == "header" or name not in ("body", "html", "article", "main") and bool(marks & TOP_MARKS))) or bool(attrs and HIDDEN.search(attrs))
-            body = inner and not zone
+        if name in CLOSES_P and (k := tree.last("p")) >= 0:
+            tree.cut(k)
+        elif name in SAME and (k := tree.last(*SAME[name])) >= 0:
+            tree.cut(k)
+        around, body, link, silent = tree.top()
+        if not silent:
+            if name in ("article", "main") and not body:
+                body, around = True, around + BODY if around <= MARK else BODY  # a mere mention further out counts no more
+            said = 0.0
+            if name in AGAINST:
+                said = ELEMENT
+            elif name not in ("body", "html", "article", "main"):
+                said = marks_weight(attrs) if "=" in attrs else 0.0
+                if not body:
+                    said = min(said, HEADER if name == "header" else 0.0, marks_weight(attrs, TOP_MARKS) if "=" in attrs else 0.0)
+            around = min(around, (BODY if body else 0.0) + said) if said else around
+            silent = name in SILENT or bool(attrs and HIDDEN.search(attrs))
         heading = name in HEADINGS or heading
         if name in RAW:
             if lower is None:
                 lower = page.lower()
-            end = lower.find(f"</{name}", at) if len(lower) == size else page.find(f"</{name}", at)
-            if end < 0:
-                at = size
-                continue
-            close = page.find(">", end)
+            close = lower.find(f"</{name}", at) if len(lower) == size else page.find(f"</{name}", at)
+            close = page.find(">", close) if close >= 0 else -1
             at = size if close < 0 else close + 1
             continue
         if name not in VOID and not attrs.endswith("/"):
-            stack.append((name, zone, body, link or name == "a"))
+            tree.push(name, around, body, link or name == "a", silent)
     if block := flush():
         yield block
 
 
-def decide(blocks: list[Block], long: int, link_share: float, stop_share: float) -> list[bool]:
+def evidence(block: Block, long: int, words: int, link_share: float, stop_share: float) -> float:
+    """What speaks for a block: its surroundings, and the density of its stop words and links."""
+    total = block.around
+    if block.linked > link_share * max(1, len(block.text.replace(" ", ""))):
+        return total + LINKED
+    if len(block.text) >= long:
+        found = [w.strip(".,;:!?\"'()").lower() for w in block.text.split()]
+        if len(found) >= words and sum(w in STOP_WORDS for w in found) >= stop_share * len(found):
+            total += PROSE
+    return total
+
+
+def decide(blocks: list[Block], long: int = 70, words: int = 8, link_share: float = 0.5, stop_share: float = 0.2) -> list[bool]:
     """Which blocks are content."""
-    labels: list[bool | None] = []
-    for b in blocks:
-        letters = max(1, len(b.text.replace(" ", "")))
-        if b.zone or b.linked > link_share * letters:
-            labels.append(False)
-        elif b.body:
-            labels.append(True)
-        else:
-            words = [w.strip(".,;:!?\"'()").lower() for w in b.text.split()]
-            share = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            labels.append(True if len(b.text) >= long and share >= stop_share else None)
+    totals = [evidence(b, long, words, link_share, stop_share) for b in blocks]
+    labels = [True if t >= CONTENT else False if t <= BOILERPLATE else None for t in totals]
     if True not in labels:
-        return [x is None for x in labels]
+        leaning = [x is None and t > 0 for x, t in zip(labels, totals)]
+        return leaning if any(leaning) else [x is None for x in labels]
+    # What its surroundings alone condemn is no neighbour.
+    seen = [None if x is False and b.around <= BOILERPLATE else x for x, b in zip(labels, blocks)]
     before: list[bool | None] = []
     last: bool | None = None
-    for x in labels:
+    for x in seen:
         before.append(last)
         last = last if x is None else x
     out, following = [], None
     for k in range(len(blocks) - 1, -1, -1):
         x = labels[k]
         if x is None:
-            sides = {y for y in (before[k], following) if y is not None}
-            x = following is True if blocks[k].heading else sides == {True}
-        else:
-            following = x
+            sides = [y for y in (before[k], following) if y is not None]
+            if totals[k] > 0:
+                x = True in sides
+            else:
+                x = following is True if blocks[k].heading else sides == [True, True]
+        following = following if seen[k] is None else seen[k]
         out.append(x)
     return out[::-1]
 
 
-def main_text(page: str | None, long: int = 70, link_share: float = 0.5, stop_share: float = 0.2) -> str:
+def main_text(page: str | None) -> str:
     """The content blocks of a page, joined by line breaks."""
     blocks = list(page_blocks(page or ""))
-    return "\n".join(b.text for b, keep in zip(blocks, decide(blocks, long, link_share, stop_share)) if keep)
+    return "\n".join(b.text for b, keep in zip(blocks, decide(blocks)) if keep)
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
