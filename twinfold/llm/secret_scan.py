@@ -6,7 +6,9 @@ the ledger lacks, appends them, and joins all findings back to every path that h
 texts are scanned once, a new rule version rescans only itself, and copies cost one row of findings.
 
 Positions come from two functions that see the same matches: the matches themselves and the pieces
-between them; the lengths before a match add up to its start, in code points.
+between them; the lengths before a match add up to its start, in code points. They are added up in chunks
+of matches, so a text's time grows as its length, and the square of its chunks' number, which is tiny.
+A blob with very many paths is dealt over SALTS tasks when findings are joined back to paths.
 
 Cases: a null text is the empty blob; null paths and repeated rows get a row each; empty tables give no
 rows; other columns are ignored.
@@ -14,6 +16,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,9 +43,12 @@ RULES = [
     SecretRule("hex", r"[0-9a-f]{16,}+", 16),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", 24),
     SecretRule("forge", r"(?:gh[pousr]_[A-Za-z0-9]++|glpat-[A-Za-z0-9_-]++|xox[abprs]-[A-Za-z0-9-]++|sk_live_[A-Za-z0-9]++)", 20),
-    SecretRule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?", 27),
+    SecretRule("private_key", r"-----BEGIN (?:(?!PRIVATE KEY)[A-Z]++ )*+PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END (?:(?!PRIVATE KEY)[A-Z]++ )*+PRIVATE KEY-----)?", 27),
 ]
 
+#: Matches that are placed one after the other, and tasks that share a blob's paths.
+CHUNK, SALTS = 256, 16
+
 LEDGER = "blob binary, rule string, version int, findings array<struct<start:long,end:long>>"
 
 
@@ -54,14 +60,32 @@ def rule_spans(text: Column, rule: SecretRule) -> Column:
     gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
     lengths, sizes = F.transform(whole, F.length), F.transform(part, F.length)
     steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(whole)), F.arrays_zip(lengths.alias("n"), sizes.alias("m")), lambda gap, x: F.struct(gap.alias("gap"), x["n"].alias("n"), x["m"].alias("m")))
-    empty = F.from_json(F.lit('{"at":0,"found":[]}'), "at long, found array<struct<start:long,end:long>>")
+    none = F.from_json(F.lit("[]"), "array<struct<start:long,end:long>>")
+    return F.when(text.rlike(rule.pattern), bound(steps, lambda s: placed(s, rule.least, none))).otherwise(none)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def placed(steps: Column, least: int, none: Column) -> Column:
+    """The spans of steps (gap before a match, its length n, its measured length m) whose m is at least least."""
+    piece = lambda k: F.slice(steps, k * CHUNK + 1, F.lit(CHUNK))
+    chunks = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / CHUNK).cast("int"))
+    long = F.transform(chunks, lambda k: F.aggregate(piece(k), F.lit(0).cast("long"), lambda acc, x: acc + x["gap"] + x["n"]))
+    starts = F.aggregate(long, F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         span = F.array(F.struct(start.alias("start"), (start + x["n"]).alias("end")))
-        return F.struct((start + x["n"]).alias("at"), F.when(x["m"] >= rule.least, F.concat(acc["found"], span)).otherwise(acc["found"]).alias("found"))
+        return F.struct((start + x["n"]).alias("at"), F.when(x["m"] >= least, F.concat(acc["found"], span)).otherwise(acc["found"]).alias("found"))
+
+    def spans(at: Column, k: Column) -> Column:
+        return F.aggregate(piece(k), F.struct(at.alias("at"), none.alias("found")), step, lambda acc: acc["found"])
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(steps, empty, step, lambda acc: acc["found"])).otherwise(empty["found"])
+    # The last start is the text's end and has no matches after it.
+    return F.flatten(bound(starts, lambda all_starts: F.transform(chunks, lambda k: spans(F.get(all_starts, k), k))))
 
 
 class BlobLedger:
@@ -112,7 +136,9 @@ def scan_paths(docs: DataFrame, rules: list[SecretRule] | None = None, ledger: B
     ledger.scan(blobs.select("blob", "text"), rules)
     paths = stored(blobs.select("id", "blob"), "paths")
     none = F.from_json(F.lit("[]"), "array<struct<start:long,rank:int,end:long,kind:string>>")
-    return paths.join(ledger.findings(rules), "blob", "left").select("id", "blob", F.coalesce("spans", none).alias("spans"))
+    salted = paths.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    found = ledger.findings(rules).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(found, ["blob", "salt"], "left").select("id", "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def span_list(spans: Column) -> Column:
