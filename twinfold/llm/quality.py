@@ -64,15 +64,15 @@ def measure(text: str) -> dict:
     spaces = len(data) - len(data.translate(None, b" \t\n\r\x0b\x0c"))
     chars = len(text) - spaces
     seen: set[bytes] = set()
-    dup_lines = dup_line_bytes = 0
+    dup_lines = dup_line_chars = 0
     for line in data.split(b"\n"):
         if line and not line.isspace():
             if line in seen:
                 dup_lines += 1
-                dup_line_bytes += len(line)
+                dup_line_chars += len(line.decode())
             else:
                 seen.add(line)
-    out = {"n_words": len(words), "word_chars": chars, "n_symbols": len(data) - len(data.translate(None, SYMBOLS)), "n_dup_lines": dup_lines, "n_repeat_words": 0, "line_coverage": dup_line_bytes / max(1, len(data))}
+    out = {"n_words": len(words), "word_chars": chars, "n_symbols": len(data) - len(data.translate(None, SYMBOLS)), "n_dup_lines": dup_lines, "n_repeat_words": 0, "line_coverage": dup_line_chars / max(1, len(text))}
     out |= {f"coverage_{n}": 0.0 for n in COVERAGE_LIMITS}
     if len(words) < 3:
         return out
