@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from twinfold.sources.scratch import new_path, scratch_dir, stored
 
-__all__ = ["LOWER", "UPPER", "WORD", "lower_az", "new_path", "read_table", "scratch_dir", "stored"]
+__all__ = ["LOWER", "UPPER", "WORD", "free_name", "lower_az", "new_path", "read_table", "scratch_dir", "stored"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word, everywhere in this subpackage: a run without ASCII white space.
@@ -19,5 +19,13 @@ def lower_az(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def free_name(table: DataFrame, name: str) -> str:
+    """name, lengthened until no column of the table has it, whatever the case."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
