@@ -460,3 +460,53 @@ def test_quality_coverages_against_brute_force():
                 chars += len(line) * (line in lines)
                 lines.add(line)
         assert m["line_coverage"] == pytest.approx(chars / max(1, len(text)))
+
+
+def test_digest_index_merges_by_size_and_looks_up_through_filters(spark, tmp_path):
+    from twinfold.llm.exact_dedup import DigestIndex, digest_filter, may_hold
+
+    rng = random.Random(4)
+    index, known = DigestIndex(spark, f"file://{tmp_path}/index"), defaultdict(list)
+    digest = lambda k: bytearray(hashlib.sha256(str(k).encode()).digest())
+    for batch in range(9):
+        rows = [(rng.randrange(1000), rng.randrange(120)) for _ in range(40)]
+        hits = {bytes(r["digest"]) for r in index.append(spark.createDataFrame([(i, digest(k)) for i, k in rows], "id long, digest binary")).collect()}
+        counts = Counter(k for _, k in rows)
+        assert hits == {bytes(digest(k)) for k in counts if counts[k] > 1 or k in known}
+        for i, k in rows:
+            known[k].append(i)
+    assert 1 < len(index.runs) < 9
+    asked = spark.createDataFrame([(digest(k),) for k in range(0, 200, 3)], "digest binary")
+    want = {(bytes(digest(k)), min(v), max(v), len(v)) for k, v in known.items() if k % 3 == 0}
+    assert {(bytes(r["digest"]), r["smallest"], r["largest"], r["copies"]) for r in index.lookup(asked).collect()} == want
+    index.compact()
+    assert len(index.runs) == 1 and index.table().count() == len(known)
+    assert {(bytes(r["digest"]), r["smallest"], r["largest"], r["copies"]) for r in index.lookup(asked).collect()} == want
+    passed = may_hold(asked, digest_filter(index.table())).filter("may_hold")
+    assert passed.count() < len(known) // 3 + 10 and {w[0] for w in want} <= {bytes(r["digest"]) for r in passed.collect()}
+
+
+def test_columns_of_any_name_survive(spark):
+    names = ["doc_id", "text", "source", "__turn", "__digest", "__id", "__times", "__mix_id", "digest", "turn", "may_hold", "row", "payload", "slice", "h", "id", "salt", "word", "slot"]
+    rows = [(k, f"word{k % 7} and more", f"s{k % 2}", *[f"{c}{k}" for c in names[3:]]) for k in range(14)]
+    rows += [(3, "same id, other text " * 9, "s1", *["x"] * (len(names) - 3))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in names[3:]))
+    kept = {tuple(r) for r in drop_copies(df, keep="largest").collect()}
+    assert kept == set(rows[7:])
+    mixed = mixed_rows(df, [5.0, 2.0, 1.0])
+    assert mixed.columns == names and {tuple(r) for r in mixed.collect()} <= set(rows)
+    near = keep_one(df)
+    assert near.columns == names and {tuple(r) for r in near.collect()} <= set(rows)
+    good = keep_quality(df)
+    assert good.columns == names and good.count() == 0
+
+
+def test_mixed_rows_take_each_row_for_itself(spark):
+    rows = [(1, "a " * 30, "s0"), (1, "b " * 70, "s0"), (1, "b " * 70, "s0"), (None, "c " * 40, "s1"), (None, "d " * 10, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = mix_sources(df, [5.0, 2.0, 1.0]).collect()
+    want = Counter()
+    for r in taken:
+        want[r["id"], r["size"], r["source"]] += round(r["taken"] / r["size"] + 1e-9)
+    got = Counter((r["doc_id"], len(r["text"].split()), r["source"]) for r in mixed_rows(df, [5.0, 2.0, 1.0]).collect())
+    assert got == +want

@@ -4,10 +4,9 @@ Within its source each document stands in a shuffled order (by a seeded hash). I
 time is the source's words up to and with it, divided by the source's weight; a source may be passed
 through several times, so a document has one item per epoch. Serving the items of all sources in the
 order of virtual time and stopping when the budget is used up gives every source a share in
-proportion to its weight, and leaves what exhausted sources can't use to the others. That is served in
-the fluid limit: the totals of the sources give each source a quota of words, and its running total is
-cut there. Finish times, of the first epoch, decide no row; they range-sort the result over the whole
-cluster.
+proportion to its weight, and leaves what exhausted sources can't use to the others. Sources are served at
+once, each at the rate of its weight, so the virtual time at which the budget ends follows from the sources'
+totals, and an item is taken if its finish time lies before it. The result is range-sorted by finish time.
 
 The running totals are sums of two levels: totals of (source, slice of the hash range), which Spark
 combines before its shuffle, and a window inside one slice. A source that holds a third of all rows is
@@ -55,35 +54,48 @@ def source_targets(sources: DataFrame, weights: list[float], budget_ratio: float
     return level.withColumn("level", F.coalesce(final, F.max(F.col("cap") / F.col("weight")).over(whole))).select("source", "source_size", "weight", "level", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: list[float], budget_ratio: float = 1.5, max_epochs: int = 2, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id, source, size, source_size, target, start, finish_time, taken.
+def _placed(docs: DataFrame, weights: list[float], budget_ratio: float, max_epochs: int, seed: int, id_col: str, source_col: str, text_col: str, payload: list[Column]) -> DataFrame:
+    """payload columns, id, source, size, source_size, weight, target, start, taken of each row of docs.
 
-    start is the number of the source's shuffled words before the document; finish_time its virtual
-    finish time in the first epoch; taken the words the mix takes of it over all epochs.
+    An item is a row in one epoch. Its virtual finish time, times its source's weight, is the number of the
+    source's words up to and with it; the budget ends at the virtual time at which target words of the source
+    have been served. Items that finish by then are taken whole, those that start later not at all, and the one
+    that is being served in part.
     """
     spread = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"))), 1, 15), 16, 10).cast("long")  # 60 bits
-    sized = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), spread.alias("h")).withColumn("slice", F.shiftright("h", 60 - SLICE_BITS).cast("int")), "sizes")
+    full = docs.select(F.struct(*payload).alias("payload"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), spread.alias("h")).withColumn("slice", F.shiftright("h", 60 - SLICE_BITS).cast("int"))
+    sized = stored(full.drop("payload"), "sizes")
     slices = sized.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     slices = slices.withColumn("before", F.coalesce(F.sum("slice_size").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget_ratio, max_epochs)
     offsets = slices.alias("s").join(targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select("s.source", "slice", "before", "source_size", "weight", "target")
     line = Window.partitionBy("d.source", "d.slice").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        sized.alias("d")
+        (full if payload else sized.withColumn("payload", F.struct()))
+        .alias("d")
         .join(offsets.alias("o"), F.col("d.source").eqNullSafe(F.col("o.source")) & (F.col("d.slice") == F.col("o.slice")))
-        .select("id", "d.source", "size", "source_size", "weight", "target", (F.col("before") + F.sum("size").over(line) - F.col("size")).alias("start"))
+        .select("payload", "id", "d.source", "size", "source_size", "weight", "target", (F.col("before") + F.sum("size").over(line) - F.col("size")).alias("start"))
     )
     served = F.floor("target")
     parts = [F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), served - e * F.col("source_size") - F.col("start"))) for e in range(max_epochs)]
-    taken = sum(parts[1:], parts[0])
-    out = placed.withColumn("taken", taken).withColumn("finish_time", (F.col("start") + F.col("size")) / F.col("weight"))
+    return placed.withColumn("taken", sum(parts[1:], parts[0]))
+
+
+def mix_sources(docs: DataFrame, weights: list[float], budget_ratio: float = 1.5, max_epochs: int = 2, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: id, source, size, source_size, target, start, finish_time, taken.
+
+    start is the number of the source's shuffled words before the document; finish_time its virtual
+    finish time in the first epoch; taken the words the mix takes of it over all epochs.
+    """
+    out = _placed(docs, weights, budget_ratio, max_epochs, seed, id_col, source_col, text_col, []).withColumn("finish_time", (F.col("start") + F.col("size")) / F.col("weight"))
     return out.repartitionByRange("finish_time", "id").sortWithinPartitions("finish_time", "id").select("id", "source", "size", "source_size", "target", "start", "finish_time", "taken")
 
 
 def mixed_rows(docs: DataFrame, weights: list[float], budget_ratio: float = 1.5, max_epochs: int = 2, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """docs as the mix has them: whole documents, each as often as the mix takes it (to the nearest time)."""
-    mark = "__mix_id"
-    taken = mix_sources(docs, weights, budget_ratio, max_epochs, seed, id_col, source_col, text_col)
-    times = taken.filter("taken > 0").groupBy(F.col("id").alias(mark)).agg(F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("__times"))
-    found = docs.join(times.filter("__times > 0"), docs[id_col].eqNullSafe(times[mark]))
-    return found.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    """docs as the mix has them: whole documents, each as often as the mix takes it (to the nearest time).
+
+    Rows travel with their places in the queue, so rows that share an identifier count each for itself.
+    """
+    placed = _placed(docs, weights, budget_ratio, max_epochs, seed, id_col, source_col, text_col, [F.col(c) for c in docs.columns])
+    times = placed.filter("taken > 0").select("payload", F.round(F.col("taken") / F.col("size")).cast("int").alias("times")).filter("times > 0")
+    return times.select("payload", F.explode(F.sequence(F.lit(1), F.col("times")))).select("payload.*")
