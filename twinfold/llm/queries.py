@@ -135,10 +135,15 @@ FROM p
 
 
 def _op1_sql(depth: int = 4, max_children: int = 50, min_share: float = 0.5, z: float = 2.58, prior: float = 5.0, min_labels: int = 5, reject_at: float = 0.8) -> str:
-    """op1 in SQL, level by level. Look-around is beyond its patterns, so long hexadecimal names are plain there."""
+    """op1 in SQL, level by level."""
     ranked = sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
     fits = [(a, h + p, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')") for a, h, p in ranked]
-    shape = r"regexp_replace(regexp_replace(regexp_replace(s, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}', '{uuid}'), '[0-9]{4}-[0-9]{2}-[0-9]{2}', '{date}', 'g'), '[0-9]+', '{n}', 'g')"
+    shape = "s"
+    for pattern, sign, every in (
+        ("^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}", "{uuid}", ""), ("[0-9]{4}-[0-9]{2}-[0-9]{2}", "{date}", ", 'g'"),
+        *[("(^|[^0-9A-Za-z])[0-9a-fA-F]{12,}($|[^0-9A-Za-z])", r"\1{hex}\2", ", 'g'")] * 2, ("[0-9]+", "{n}", ", 'g'"),
+    ):
+        shape = f"regexp_replace({shape}, '{pattern}', '{sign}'{every})"
     parts = "list_filter(string_split(path, '/'), lambda s: s <> '')"
     steps = [
         f"""u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
@@ -150,9 +155,11 @@ t0 AS (SELECT host, shapes, count(ruled) AS l, count(*) FILTER (ruled = 'block')
         steps.append(
             f"""c{d} AS (SELECT *, coalesce(shapes[{d}], '') AS child FROM t{d - 1}),
 n{d} AS (SELECT host, template, child, sum(l) AS l, sum(b) AS b, sum(n) AS n FROM c{d} GROUP BY 1, 2, 3),
-p{d} AS (SELECT *, sum(l) OVER w AS pl, sum(b) OVER w AS pb, sum(n) OVER w AS pn, count(*) OVER w AS kids FROM n{d} WINDOW w AS (PARTITION BY host, template)),
-s{d} AS (SELECT host, template, child, CASE WHEN child = '' THEN '' WHEN (kids > {max_children} AND kids >= {min_share} * pn) OR NOT (l > 0 AND pl - l > 0
-    AND abs(b / nullif(l, 0) - (pb - b) / nullif(pl - l, 0)) > {z} * sqrt((pb / nullif(pl, 0)) * (1 - pb / nullif(pl, 0)) * (1 / nullif(l, 0) + 1 / nullif(pl - l, 0)))) THEN '/*' ELSE '/' || child END AS step FROM p{d}),
+p{d} AS (SELECT *, count(*) OVER w > {max_children} AND count(*) OVER w >= {min_share} * sum(n) OVER w AS variable FROM n{d} WINDOW w AS (PARTITION BY host, template)),
+q{d} AS (SELECT *, lag(l) OVER o AS l0, lag(b) OVER o AS b0 FROM p{d} WHERE l >= {min_labels} AND child <> '' AND NOT variable WINDOW o AS (PARTITION BY host, template ORDER BY b / l, child)),
+k{d} AS (SELECT *, sum(CASE WHEN l0 IS NULL OR abs(b / l - b0 / l0) > {z} * sqrt(((b + b0) / (l + l0)) * (1 - (b + b0) / (l + l0)) * (1 / l + 1 / l0)) THEN 1 ELSE 0 END) OVER (PARTITION BY host, template ORDER BY b / l, child ROWS UNBOUNDED PRECEDING) AS cluster FROM q{d}),
+m{d} AS (SELECT host, template, child, CASE WHEN count(*) OVER g > 1 THEN '/{{like ' || min(child) OVER g || '}}' END AS merged FROM k{d} WINDOW g AS (PARTITION BY host, template, cluster)),
+s{d} AS (SELECT p.host, p.template, p.child, CASE WHEN p.child = '' THEN '' WHEN variable THEN '/*' ELSE coalesce(merged, '/' || p.child) END AS step FROM p{d} p LEFT JOIN m{d} m ON m.host = p.host AND m.template = p.template AND m.child = p.child),
 t{d} AS (SELECT c.host, c.shapes, c.l, c.b, c.n, c.template || s.step AS template FROM c{d} c JOIN s{d} s ON s.host = c.host AND s.template = c.template AND s.child = c.child)"""
         )
     steps.append(

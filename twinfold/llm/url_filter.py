@@ -1,12 +1,13 @@
 """URL verdicts by rules and, where no rule fits, by a tree of path templates. DataFrame functions alone.
 
 Rules name a host and a path prefix; they fit the host and its subdomains, and the longest wins. The
-URLs that rules decide are the labels of the method. Per host, paths become templates in three steps:
-segments that look variable (numbers, hexadecimal, dates, identifiers) turn into wildcards; a position
-with many different children in few rows each turns into a wildcard as a whole; and branches whose
-share of blocked labels doesn't differ from that of their siblings together (two-proportion test;
-branches without labels can't differ) merge into one. A template is rejected when the blocked
-share of its labelled URLs, smoothed towards the share of all hosts, reaches a threshold on enough labels.
+URLs that rules decide are the labels of the method. Per host, paths become templates in three steps, level
+by level from the root: segments that look variable (numbers, hexadecimal, dates, identifiers) turn into
+wildcards; a position with many different children in few rows each turns into a wildcard as a whole; and
+branches with enough labels are put in the order of their blocked share, where those that stand side by side
+and don't differ (two-proportion test) become one. A branch with few labels or none can't be told alike to
+any other, so it stays by itself. A template is rejected when the blocked share of its labelled URLs, smoothed
+towards the share of all hosts, reaches a threshold on enough labels; without labels of its own it is allowed.
 
 All steps aggregate (host, template) counts, which Spark combines before each shuffle, so that a host
 with a third of all rows costs no more than its templates.
@@ -17,13 +18,16 @@ repeated rows are judged each; an empty table gives no rows; other columns are i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinfold.llm.shared import LOWER, UPPER, stored
 
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
+#: Tasks that share the URLs of one template.
+SALTS = 8
+
 Rule = tuple[str, str, str]
 
 
@@ -51,33 +55,45 @@ def segment_shape(segment: Column) -> Column:
     for pattern, sign in (
         (r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}", "{uuid}"),
         (r"[0-9]{4}-[0-9]{2}-[0-9]{2}", "{date}"),
-        (r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[0-9])[0-9a-fA-F]{12,}(?![0-9A-Za-z])", "{hex}"),
+        *[(r"(^|[^0-9A-Za-z])[0-9a-fA-F]{12,}($|[^0-9A-Za-z])", "$1{hex}$2")] * 2,  # again, for those that share a sign between them
         (r"[0-9]+", "{n}"),
     ):
         segment = F.regexp_replace(segment, pattern, sign)
     return segment
 
 
-def path_templates(leaves: DataFrame, depth: int, max_children: int, min_share: float, z: float) -> DataFrame:
+def _steps(nodes: DataFrame, max_children: int, min_share: float, z: float, min_labels: int) -> DataFrame:
+    """host, template, child, step: what the children (host, template, child, l, b, n) of each node add to its template."""
+    node = ["host", "template"]
+    parents = nodes.groupBy(*node).agg(F.sum("n").alias("pn"), F.count(F.lit(1)).alias("kids"))
+    variable = (F.col("kids") > max_children) & (F.col("kids") >= min_share * F.col("pn"))
+    known = nodes.join(parents, node).withColumn("variable", variable)
+    share = F.col("b") / F.col("l")
+    order = Window.partitionBy(*node).orderBy(share, "child")
+    l0, b0 = F.lag("l").over(order), F.lag("b").over(order)
+    pooled = (F.col("b") + b0) / (F.col("l") + l0)
+    differs = l0.isNull() | (F.abs(share - b0 / l0) > z * F.sqrt(pooled * (1 - pooled) * (1 / F.col("l") + 1 / l0)))
+    alike = known.filter((F.col("l") >= min_labels) & (F.col("child") != "") & ~F.col("variable")).withColumn("first", differs.cast("int"))
+    alike = alike.withColumn("cluster", F.sum("first").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    members = Window.partitionBy(*node, "cluster")
+    merged = F.when(F.count(F.lit(1)).over(members) > 1, F.concat(F.lit("/{like "), F.min("child").over(members), F.lit("}")))
+    joint = alike.select(*node, "child", merged.alias("merged"))
+    step = F.when(F.col("child") == "", "").when(F.col("variable"), "/*").otherwise(F.coalesce("merged", F.concat(F.lit("/"), F.col("child"))))
+    return known.join(joint, [*node, "child"], "left").select(*node, "child", step.alias("step"))
+
+
+def path_templates(leaves: DataFrame, depth: int, max_children: int, min_share: float, z: float, min_labels: int) -> DataFrame:
     """host, shapes (array), labelled, blocked, rows -> also template (string), after both tree steps.
 
-    Level by level from the root: children of one node share the template that their parents got.
+    Children of one node share the template that their parents got. Each level is stored: it feeds the next
+    one twice.
     """
     tree = leaves.withColumn("template", F.lit(""))
     for level in range(1, depth + 1):
-        child = F.coalesce(F.get("shapes", F.lit(level - 1)), F.lit(""))
-        tree = tree.withColumn("child", child)
-        nodes = tree.groupBy("host", "template", "child").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.sum("rows").alias("n"))
-        parents = nodes.groupBy("host", "template").agg(F.sum("l").alias("pl"), F.sum("b").alias("pb"), F.sum("n").alias("pn"), F.count(F.lit(1)).alias("kids"))
-        variable = (F.col("kids") > max_children) & (F.col("kids") >= min_share * F.col("pn"))
-        # Two-proportion test of the branch against its siblings together.
-        rest_l, rest_b, pooled = F.col("pl") - F.col("l"), F.col("pb") - F.col("b"), F.col("pb") / F.col("pl")
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("l") + 1 / rest_l))
-        differs = (F.col("l") > 0) & (rest_l > 0) & (F.abs(F.col("b") / F.col("l") - rest_b / rest_l) > z * spread)
-        differs = F.coalesce(F.when((F.col("l") > 0) & (rest_l > 0), differs), F.lit(False))
-        name = F.when(F.col("child") == "", F.lit("")).when(variable | ~differs, F.lit("/*")).otherwise(F.concat(F.lit("/"), F.col("child")))
-        named = nodes.join(parents, ["host", "template"]).select("host", "template", "child", name.alias("step"))
-        tree = tree.join(named, ["host", "template", "child"]).withColumn("template", F.concat("template", "step")).drop("child", "step")
+        tree = tree.withColumn("child", F.coalesce(F.get("shapes", F.lit(level - 1)), F.lit("")))
+        nodes = stored(tree.groupBy("host", "template", "child").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.sum("rows").alias("n")), "url-nodes")
+        named = _steps(nodes, max_children, min_share, z, min_labels)
+        tree = stored(tree.join(named, ["host", "template", "child"]).withColumn("template", F.concat("template", "step")).drop("child", "step"), "url-tree")
     return tree
 
 
@@ -91,11 +107,11 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", id_col
     urls = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rule, verdict = match_rule(F.col("host"), F.col("path"), rules)
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
-    deep = F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth - 1), F.array(F.array_join(F.slice(parts, depth, 100_000), "/")))).otherwise(parts)
+    deep = F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth - 1), F.array(F.array_join(F.slice(parts, F.lit(depth), F.size(parts)), "/")))).otherwise(parts)
     urls = urls.withColumns({"rule": rule, "ruled": verdict, "shapes": F.transform(deep, segment_shape)})
     labelled, blocked = F.count("ruled"), F.count_if(F.col("ruled") == "block")
     leaves = stored(urls.groupBy("host", "shapes").agg(labelled.alias("labelled"), blocked.alias("blocked"), F.count(F.lit(1)).alias("rows")), "url-leaves")
-    tree = stored(path_templates(leaves, depth, max_children, min_share, z), "url-tree")
+    tree = path_templates(leaves, depth, max_children, min_share, z, min_labels)
     total = tree.agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")).first()
     share = (total["blocked"] or 0) / max(total["labelled"] or 0, 1)
     templates = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
@@ -103,4 +119,6 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", id_col
     judged = templates.select("host", "template", purity.alias("purity"), ((purity >= reject_at) & (F.col("labelled") >= min_labels)).alias("rejected"))
     verdicts = tree.join(judged, ["host", "template"]).select("host", "shapes", "template", "purity", "rejected")
     final = F.coalesce("ruled", F.when(F.col("rejected"), F.lit("block")).otherwise(F.lit("allow")))
-    return urls.join(verdicts, ["host", "shapes"]).select("id", "host", "path", "rule", final.alias("verdict"), "template", "purity")
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    salted = urls.withColumn("salt", F.pmod(F.xxhash64("id", "path"), F.lit(SALTS)))
+    return salted.join(verdicts.withColumn("salt", F.explode(salts)), ["host", "shapes", "salt"]).select("id", "host", "path", "rule", final.alias("verdict"), "template", "purity")
