@@ -551,3 +551,71 @@ def test_mixed_rows_take_each_row_for_itself(spark):
         want[r["id"], r["size"], r["source"]] += round(r["taken"] / r["size"] + 1e-9)
     got = Counter((r["doc_id"], len(r["text"].split()), r["source"]) for r in mixed_rows(df, [5.0, 2.0, 1.0]).collect())
     assert got == +want
+
+
+def test_added_personal_spans_against_brute_force():
+    from twinfold.llm import pii
+
+    rng = random.Random(31)
+    pieces = ["call 415-555-2671", "(212) 555-0100", "ssn 123-45-6789", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "Dr. Anna Meyer", "Frau Lena", "anna at example dot com", "x [at] y [dot] org", "a.b@c.de", "10.1.2.3", "+49 30 1234567", "4111 1111 1111 1111", "é 12 words", "of the"]
+    patterns = [(4, pii.WRITTEN_EMAIL), (5, pii.LOCAL_PHONE), (6, pii.SSN), (7, pii.IBAN), (8, pii.NAME)]
+    for _ in range(1500):
+        text = "".join(rng.choice(pieces) + rng.choice((" ", ", ", "", "-")) for _ in range(rng.randrange(8)))
+        base = brute_personal(text)
+        taken, want = [(a, b) for _, a, b in base], list(base)
+        for a, n, kind in sorted((m.start(), -m.end(), k) for k, p in patterns for m in p.finditer(text)):
+            if all(-n <= c or d <= a for c, d in taken):
+                taken.append((a, -n))
+                want.append((kind, a, -n))
+        assert [s[:3] for s in propose(text)] == sorted(want), text
+
+
+def test_many_personal_spans_take_linear_time():
+    import time
+
+    took = []
+    for n in (4000, 16_000):
+        began = time.process_time()
+        assert len(propose("call 415-555-2671 or +1 415 555 2671 now. " * n)) == 2 * n
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0] + 0.5
+
+
+def test_cues_are_words():
+    from twinfold.llm.pii import KINDS, vote
+
+    at = lambda text, value: vote(text, KINDS.index("ip"), text.index(value), text.index(value) + len(value))[2]
+    assert at("the ship 10.1.2.3", "10.1.2.3") == 0
+    assert at("the ip 10.1.2.3", "10.1.2.3") == 1
+    assert at("see version 10.1.2.3", "10.1.2.3") == -1
+
+
+def test_reliabilities_find_who_votes_well():
+    from twinfold.llm.pii import reliabilities
+
+    rng = random.Random(2)
+    skill = (0.95, 0.9, 0.85, 0.5)  # the last labeler guesses
+    seen, truth = Counter(), defaultdict(Counter)
+    for _ in range(20_000):
+        y = rng.random() < 0.6
+        code = 0
+        for s in skill:
+            v = 0 if rng.random() < 0.2 else (1 if (rng.random() < s) == y else -1)
+            code = code * 3 + v + 1
+        seen[code] += 1
+        truth[code][y] += 1
+    found = reliabilities([(8, v, n) for v, n in sorted(seen.items())])
+    right = sum(c[found[8, v] > 0.5] for v, c in truth.items()) / 20_000
+    best = sum(max(c.values()) for c in truth.values()) / 20_000
+    assert right > best - 0.01
+
+
+def test_the_classifier_reads_the_surroundings(spark):
+    rng = random.Random(6)
+    fill = lambda: " ".join(rng.choice(("some", "plain", "words", "here")) for _ in range(6))
+    number = lambda first: f"{first}{rng.randrange(10, 99)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+    good = [f"{fill()} please {'call' if k % 2 else 'try'} {number(4)} today {fill()}" for k in range(150)]  # half without a cue
+    bad = [f"{fill()} {'part model' if k % 2 else 'bin of'} {number(1)}A stock {fill()}" for k in range(150)]
+    docs = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
+    kept = {r["id"] for r in find_personal(docs, train_spans=100).collect() if r["spans"]}
+    assert sum(k < 150 for k in kept) >= 140 and sum(k >= 150 for k in kept) <= 10

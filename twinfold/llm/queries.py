@@ -77,7 +77,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from twinfold.llm.secret_scan import span_list
 
     found = find_personal(read_table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), *_count_kinds(BASE), F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*BASE))), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
+    return found.select(F.col("id").alias("doc_id"), *_count_kinds(BASE), F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*BASE))), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_personal"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
