@@ -619,3 +619,31 @@ def test_the_classifier_reads_the_surroundings(spark):
     docs = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
     kept = {r["id"] for r in find_personal(docs, train_spans=100).collect() if r["spans"]}
     assert sum(k < 150 for k in kept) >= 140 and sum(k >= 150 for k in kept) <= 10
+
+
+def test_near_groups_keep_classes_of_one_key_apart(docs):
+    plain = lambda bits: as_bag((r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_groups(docs, key_bits=bits).collect())
+    assert plain(2) == plain(64)
+
+
+def test_pairs_at_the_threshold_are_found(spark):
+    rng = random.Random(19)
+    rows, near, below = [], 0, 0
+    for k in range(400):
+        w = [f"w{rng.randrange(10**7)}" for _ in range(rng.randrange(60, 300))]
+        other, sets = list(w), lambda x: {tuple(x[i : i + 5]) for i in range(len(x) - 4)}
+        while True:
+            place = rng.randrange(len(w))
+            before, other[place] = other[place], f"e{rng.randrange(10**7)}"
+            a, b = sets(w), sets(other)
+            if 100 * len(a & b) < 80 * len(a | b):
+                if k % 2 == 0:
+                    other[place] = before  # the last state that is still similar enough
+                break
+        a, b = sets(w), sets(other)
+        similar = 100 * len(a & b) >= 80 * len(a | b)
+        near, below = near + similar, below + (not similar)
+        rows += [(2 * k, " ".join(w), similar), (2 * k + 1, " ".join(other), similar)]
+    assert near == below == 200
+    got = {r["id"]: r["component_id"] for r in near_groups(spark.createDataFrame(rows, "doc_id long, text string, similar boolean")).collect()}
+    assert got == {i: i - i % 2 if similar else i for i, _, similar in rows}

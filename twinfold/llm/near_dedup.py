@@ -7,17 +7,22 @@ Bands of registers are hashed into buckets; pairs out of one bucket are estimate
 from how many registers are larger, smaller and equal, given the set sizes; what may reach the threshold is
 verified on the full sets, with integers.
 
-Documents with equal sets are one class and meet the buckets once. Only the connected components are
+Documents with equal sets, by a digest of 128 bits, are one class and meet the buckets once; a class goes by a
+64-bit key, and classes that share one are given others. Only the connected components are
 wanted, so a bucket never emits all its pairs. The member of a bucket that meets most others in all its
 buckets is its hub; the buckets of one hub are its star. First each member is compared with its hubs
 alone, and components are formed. Two members of one bucket that are still apart are members of one star of
 which at least one, a stray, is outside the hub's component: so the strays of each star are then compared
 with all its members, as a query set against rows, in blocks of bounded bytes; first by estimate, then on
 full sets. Nothing is capped or dropped: the losses are those of banding (at similarity 0.8 a pair shares no
-band with probability 3e-6) and of the estimate's margin of five standard errors.
+band with probability 3e-6), of the estimate's margin of five standard errors and, among strays, of a first
+look at the share of equal registers, which is about the similarity and may lie a further EQUAL_MARGIN (two and
+a half standard errors) below.
 
-Full sets travel only for documents in candidate pairs, once per hub or block; a hub with many members is
-dealt out over several groups with a copy of its own set in each.
+Full sets travel only for documents in candidate pairs, once per hub and once per block: a star of k members
+with s strays sends k sets once for each part of its strays and s sets once for each part of its members. A hub
+with many members is dealt out over several groups with a copy of its own set in each. A filter of the
+documents wanted, of bounded size, keeps the texts of all others out of the shuffle.
 
 Cases: null text is empty; a text without words has no set and is linked with nothing; one with fewer
 words than a shingle is one shingle; documents of any length are taken whole; repeated rows are equal
@@ -35,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.shared import stored
+from twinfold.llm.exact_dedup import digest_filter, may_hold
+from twinfold.llm.shared import free_name, stored
 from twinfold.operators.components import connected_components, relabel
 
 BANDS, ROWS = 24, 4
@@ -45,6 +51,8 @@ BASE, RATE = 1.02, 20.0
 STAR = 200
 #: Bytes of sets, and the most classes, on either side of a block.
 BLOCK_BYTES, BLOCK_ROWS = 4_000_000, 1024
+#: How far the share of equal registers of two strays may lie below the floor of the estimate.
+EQUAL_MARGIN = 0.1
 _P = np.uint64(0x9E3779B97F4A7C15)
 _A = np.uint64(0xBF58476D1CE4E5B9)
 _B = np.uint64(0x94D049BB133111EB)
@@ -96,8 +104,10 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def class_key(items: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(items.tobytes(), digest_size=8).digest(), "little", signed=True)
+def class_digest(items: np.ndarray) -> tuple[int, int]:
+    """Two independent 64-bit digests of a set: the key that its class goes by, and the check."""
+    data = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
+    return int.from_bytes(data[:8], "little", signed=True), int.from_bytes(data[8:], "little", signed=True)
 
 
 def joint_estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, steps: int = 30) -> np.ndarray:
@@ -122,34 +132,61 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarra
     return (low + high) / 2
 
 
-def sketch_documents(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """id, n (set size), class_key, bands, regs; the last three are null for empty sets."""
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, n long, class_key long, bands array<long>, regs binary"
+def sketch_documents(docs: DataFrame, id_col: str, text_col: str, width: int, key_bits: int) -> DataFrame:
+    """id, n (set size), class_key, check, bands, regs; all but the first two are null for empty sets."""
+    schema = f"id {docs.schema[id_col].dataType.simpleString()}, n long, class_key long, check long, bands array<long>, regs binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, bands, regs = [], [], [], []
+            sizes, keys, checks, bands, regs = [], [], [], [], []
             for x in batch.column("text"):
                 items = shingle_set(x.as_py(), width)
                 sizes.append(len(items))
                 if len(items):
                     r = registers(items)
-                    keys.append(class_key(items))
+                    key, check = class_digest(items)
+                    keys.append(key if key_bits == 64 else key & (1 << key_bits) - 1)
+                    checks.append(check)
                     bands.append(band_keys(r))
                     regs.append(r.tobytes())
                 else:
                     keys.append(None)
+                    checks.append(None)
                     bands.append(None)
                     regs.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(regs, pa.binary())], names=["id", "n", "class_key", "bands", "regs"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(checks, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(regs, pa.binary())], names=["id", "n", "class_key", "check", "bands", "regs"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
+def keyed_apart(sketches: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables with class keys that no two classes share."""
+    turn = 0
+    while not classes.groupBy("class_key").count().filter("count > 1").isEmpty():
+        turn += 1
+        other = F.when(F.col("class_key").isNotNull(), F.xxhash64("class_key", "check", F.lit(turn)))
+        sketches, classes = sketches.withColumn("class_key", other), stored(classes.withColumn("class_key", other), "classes")
+    return sketches, classes
+
+
+def wanted_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """text and the columns of wanted (rep, ...) for the rows of docs that have its identifiers."""
+    asked = stored(wanted, "wanted")
+    passed = may_hold(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), stored(digest_filter(asked.select(F.col("rep").alias("digest"))), "wanted-filter"), "id").filter("may_hold")
+    return passed.join(asked, F.col("id").eqNullSafe(F.col("rep"))).drop("id", "may_hold")
+
+
 def likely(pairs: DataFrame, classes: DataFrame, floor: float, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes allow the similarity and whose joint estimate reaches floor."""
+    """The pairs (a: member, b: hub) whose sizes allow the similarity and whose joint estimate reaches floor.
+
+    A hub with many members is met by them in several parts.
+    """
     side = lambda s: classes.select(F.col("class_key").alias(s), F.col("n").alias(f"n_{s}"), F.col("regs").alias(f"regs_{s}"))
-    full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
+    large = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("parts")).filter("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = pairs.join(large, "b", "left").withColumn("part", F.pmod(F.xxhash64("a"), parts).cast("int")).drop("parts")
+    hubs = pairs.select("b").distinct().join(side("b"), "b").join(large, "b", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    full = dealt.join(hubs, ["b", "part"]).join(side("a"), "a").select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
     full = full.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,16 +210,16 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str,
     to_hub = pairs.join(parts, "b").select(F.col("a").alias("class_key"), F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), "parts").cast("int").alias("part"))
     own = parts.select(F.col("b").alias("class_key"), F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     wanted = to_hub.unionByName(own).groupBy("class_key").agg(F.collect_list(F.struct("hub", "part")).alias("groups"))
-    wanted = wanted.join(classes.select("class_key", "rep"), "class_key").select(F.col("rep").alias("rep"), "class_key", "groups")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, F.col("id").eqNullSafe(F.col("rep")))
+    wanted = wanted.join(classes.select("class_key", "check", "rep"), "class_key").select("rep", "class_key", "check", "groups")
+    texts = wanted_texts(docs, wanted, id_col, text_col).select("text", "class_key", "check", "groups")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("hub", pa.int64()), ("part", pa.int32()), ("member", pa.bool_()), ("class_key", pa.int64()), ("items", pa.binary())])
         for batch in batches:
             rows, room = [], 0
-            for text, key, groups in zip(batch.column("text"), batch.column("class_key").to_pylist(), batch.column("groups").to_pylist()):
+            for text, key, check, groups in zip(batch.column("text"), batch.column("class_key").to_pylist(), batch.column("check").to_pylist(), batch.column("groups").to_pylist()):
                 items = shingle_set(text.as_py(), width)
-                if not len(items) or class_key(items) != key:
+                if not len(items) or class_digest(items)[1] != check:
                     continue  # another row with the same identifier
                 data = items.tobytes()
                 for g in groups:
@@ -237,16 +274,16 @@ def verified_strays(star: DataFrame, docs: DataFrame, classes: DataFrame, id_col
     as_row = dealt.select("class_key", "hub", "component", "stray", F.lit(1).alias("role"), own("rows").alias("i"), upto("queries").alias("j"))
     as_query = dealt.filter("stray").select("class_key", "hub", "component", "stray", F.lit(0).alias("role"), upto("rows").alias("i"), own("queries").alias("j"))
     wanted = as_row.unionByName(as_query).groupBy("class_key").agg(F.collect_list(F.struct("hub", "component", "stray", "role", "i", "j")).alias("groups"))
-    wanted = wanted.join(classes.select("class_key", "rep", "regs"), "class_key")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("text", "class_key", "regs", "groups")
+    wanted = wanted.join(classes.select("class_key", "check", "rep", "regs"), "class_key")
+    texts = wanted_texts(docs, wanted, id_col, text_col).select("text", "class_key", "check", "regs", "groups")
     schema = pa.schema([("hub", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("role", pa.int32()), ("class_key", pa.int64()), ("component", pa.int64()), ("stray", pa.bool_()), ("regs", pa.binary()), ("items", pa.binary())])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, bytes_held = [], 0
-            for text, key, regs, groups in zip(*(batch.column(c) for c in ("text", "class_key", "regs", "groups"))):
+            for text, key, check, regs, groups in zip(*(batch.column(c) for c in ("text", "class_key", "check", "regs", "groups"))):
                 items = shingle_set(text.as_py(), width)
-                if not len(items) or class_key(items) != key.as_py():
+                if not len(items) or class_digest(items)[1] != check.as_py():
                     continue  # another row with the same identifier
                 data = items.tobytes()
                 for g in groups.as_py():
@@ -279,7 +316,7 @@ def verified_strays(star: DataFrame, docs: DataFrame, classes: DataFrame, id_col
                 if row["stray"]:
                     ok &= matrix[2] < row["class_key"]  # two strays meet once
                 at = np.flatnonzero(ok)
-                at = at[(matrix[0][at] == regs).mean(axis=1) >= floor - 0.1] if len(at) else at
+                at = at[(matrix[0][at] == regs).mean(axis=1) >= floor - EQUAL_MARGIN] if len(at) else at
                 if len(at):
                     near = joint_estimate(matrix[0][at], np.broadcast_to(regs, (len(at), REGISTERS)), matrix[1][at], np.full(len(at), float(n))) >= floor
                     for k in at[near]:
@@ -293,13 +330,15 @@ def verified_strays(star: DataFrame, docs: DataFrame, classes: DataFrame, id_col
     return sent.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", "role").mapInArrow(compare, "src long, dst long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, key_bits: int = 64) -> DataFrame:
     """One row per row of docs: id, n_shingles, component_id (the smallest identifier reachable), kept.
 
-    Two documents are linked when 100 x shared shingles >= percent x shingles of either.
+    Two documents are linked when 100 x shared shingles >= percent x shingles of either. key_bits is the width of
+    the classes' keys, fewer for tests.
     """
-    sketches = stored(sketch_documents(docs, id_col, text_col, width), "sketches")
-    classes = stored(sketches.filter("n > 0").groupBy("class_key").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("regs").alias("regs")), "classes")
+    sketches = stored(sketch_documents(docs, id_col, text_col, width, key_bits), "sketches")
+    classes = stored(sketches.filter("n > 0").groupBy("class_key", "check").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("regs").alias("regs")), "classes")
+    sketches, classes = keyed_apart(sketches, classes)
     spread = classes.select("class_key", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").count().filter("count > 1").select("bucket")
     star = stored(star_table(stored(spread.join(shared, "bucket"), "buckets")), "stars")
@@ -324,5 +363,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each near-duplicate group; its columns are unchanged."""
-    kept = near_groups(docs, id_col, text_col, width, percent).filter("kept").select(F.col("id").alias("__id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["__id"]), "left_semi")
+    mark = free_name(docs, "kept_id")
+    kept = near_groups(docs, id_col, text_col, width, percent).filter("kept").select(F.col("id").alias(mark)).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept[mark]), "left_semi")
