@@ -37,6 +37,8 @@ from twinfold.llm.near_dedup import mixed
 from twinfold.llm.shared import new_path
 
 _P = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of text whose bigrams one shard holds, so that a shard fits in one task whatever the input.
+SHARD_BYTES = 64_000_000
 #: Tokens that a task counts before it combines, and that it scores at a time.
 COUNT_AT, SCORE_AT = 4_000_000, 1_000_000
 
@@ -276,10 +278,12 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     """Train on the rows that aren't held out and score all.
 
     One row per row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score. shards
-    defaults to the session's number of shuffle partitions.
+    defaults to what the size of the texts asks for, and at least the session's number of shuffle partitions.
     """
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if shards is None:
+        size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0)).alias("n")).first()["n"]
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     folder = new_path(spark, "bigram-model")
     rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
     totals = train(rows.filter(~F.col("held_out")), folder, shards)
