@@ -43,20 +43,26 @@ def date_from_filename(name: Column) -> Column:
 
 
 def _month_and_year(path: Column) -> Column:
-    """The first month, in the order of MONTHS, that stands beside a year in range: as year-month."""
-    months = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(f"-{k:02d}").alias("sign")) for name, k in MONTHS])
+    """The first month, in the order of MONTHS, that stands beside a year in range: as year-month.
 
-    def found(before: str, name: Column, after: str, group: int) -> Column:
-        return F.call_function("regexp_extract", path, F.concat(F.lit(before), name, F.lit(after)), F.lit(group))
-
-    def dated(month: Column) -> Column:
-        name, limits = month["name"], (str(FIRST_YEAR), str(LAST_YEAR))
-        after, ahead, two = found(r"(?i)\b(", name, r")\s+(\d{4})\b", 2), found(r"(?i)\b(\d{4})\s+(", name, r")\b", 1), found(r"(?i)\b(", name, r")\s+(\d{2})\b", 2)
-        full = F.when(two != "", F.concat(F.when(two <= "30", F.lit("20")).otherwise(F.lit("19")), two))
-        return F.concat(F.coalesce(*[F.when(y.between(*limits), y) for y in (after, ahead, full)]), month["sign"])
+    Of each month the first place counts, in each of three forms: before a year, after one, before two digits.
+    """
+    names = F.array(*[F.lit(name) for name, _ in MONTHS])
+    numbers = F.array(*[F.lit(f"-{k:02d}") for _, k in MONTHS])
+    any_month = "(" + "|".join(name for name, _ in MONTHS) + ")"
+    limits = (str(FIRST_YEAR), str(LAST_YEAR))
 
-    any_month = r"(?i)\b(" + "|".join(name for name, _ in MONTHS) + r")\b"
-    return F.when(path.rlike(any_month), F.get(F.filter(F.transform(months, dated), lambda x: x.isNotNull()), F.lit(0)))
+    def places(form: int, pattern: str, month: int, year: int) -> Column:
+        taken = F.transform(F.regexp_extract_all(path, F.lit(pattern), F.lit(month)), F.lower)
+        item = lambda name, digits: F.struct(F.array_position(names, name).alias("rank"), F.lit(form).alias("form"), name.alias("name"), digits.alias("digits"))
+        return F.zip_with(taken, F.regexp_extract_all(path, F.lit(pattern), F.lit(year)), item)
+
+    found = F.concat(places(1, rf"(?i)\b{any_month}\s+(\d{{4}})\b", 1, 2), places(2, rf"(?i)\b(\d{{4}})\s+{any_month}\b", 2, 1), places(3, rf"(?i)\b{any_month}\s+(\d{{2}})\b", 1, 2))
+    year = lambda x: F.when(F.length(x["digits"]) == 4, x["digits"]).otherwise(F.concat(F.when(x["digits"] <= "30", F.lit("20")).otherwise(F.lit("19")), x["digits"]))
+    first = F.filter(found, lambda x, k: F.size(F.filter(F.slice(found, F.lit(1), k), lambda y: (y["form"] == x["form"]) & (y["name"] == x["name"]))) == 0)
+    dated = F.filter(F.transform(first, lambda x: F.struct(x["rank"].alias("rank"), x["form"].alias("form"), year(x).alias("year"))), lambda x: x["year"].between(*limits))
+    best = F.array_min(dated)
+    return F.concat(best["year"], F.get(numbers, (best["rank"] - 1).cast("int")))
 
 
 def date_from_path(path: Column) -> Column:

@@ -110,27 +110,66 @@ def shortest(paths: Column) -> Column:
     return F.array_min(F.transform(paths, lambda p, k: F.struct(F.length(p).alias("n"), k.alias("k"), p.alias("path"))))["path"]
 
 
-#: Names that cameras and software give.
-CAMERA_NAMES = (r"^IMG_\d+", r"^DSC[_N]?\d+", r"^DSCF\d+", r"^P\d{7}", r"^MVI_\d+", r"^PICT\d+", r"^SAM_\d+", r"^\d{8}_\d{6}")
-SOFTWARE_NAMES = (r"^Screen ?Shot", r"^Photo on ")
+#: Upper-case stems that cameras give, in the first generation and now, and those that software gives.
+LEGACY_CAMERA_NAMES = (r"^IMG_\d+$", r"^DSC_?\d+$", r"^DSCN?\d+$", r"^P\d{7}$", r"^\d{8}_\d+$")
+CAMERA_NAMES = (r"^IMG_\d+$", r"^IMG_E\d+$", r"^DSC_?\d+$", r"^DSCN?\d+$", r"^P\d{7}$", r"^\d{8}_\d+$", r"^\d{8}-\d+$", r"^PHOTO-\d{4}-\d{2}-\d{2}")
+SOFTWARE_NAMES = (r"^THUMB_", r"_\d+$")
+
+
+def _stem_matches(path: Column, patterns: tuple[str, ...]) -> Column:
+    return F.upper(stem(path)).rlike("|".join(f"(?:{p})" for p in patterns))
 
 
 def is_generated_name(path: Column) -> Column:
-    return reduce(Column.__or__, [stem(path).rlike(f"(?i){p}") for p in CAMERA_NAMES + SOFTWARE_NAMES])
+    """A name that a camera or some software gave, not a person."""
+    return _stem_matches(path, CAMERA_NAMES + SOFTWARE_NAMES)
 
 
-def derivative_base(path: Column) -> Column:
-    """The name that derivatives of one picture share, in upper case."""
-    name = stem(path)
-    for pattern, by in ((r"(?i)^thumb_", ""), (r"(?i)^!cid_", ""), (r"_1024$", ""), (r"(?i)^IMG_E", "IMG_"), (r"[-_\s]+", "_")):
+def is_camera_name(path: Column) -> Column:
+    """The first generation's test for a camera's name."""
+    return _stem_matches(path, LEGACY_CAMERA_NAMES)
+
+
+def _rewritten(name: Column, *steps: tuple[str, str]) -> Column:
+    for pattern, by in steps:
         name = F.regexp_replace(name, pattern, by)
     return F.upper(name)
 
 
-def path_markers(path: Column) -> Column:
-    """Which of the derivative keywords the folders of a path hold."""
-    words = F.array(*[F.lit(x) for x in ("thumb", "cache", "preview", "resized")])
-    return F.filter(words, lambda w: F.contains(F.lower(path), w))
+def derivative_base(path: Column) -> Column:
+    """The name that derivatives of one picture share, in upper case."""
+    return _rewritten(stem(path), ("(?i)^thumb_", ""), ("(?i)^!cid_", ""), ("_1024$", ""), (r"(?i)^(IMG_)E(\d+)$", "$1$2"), (r"[-_\s]+", " "))
+
+
+def marked_base(path: Column) -> Column:
+    """The simpler base that marking of derivatives uses."""
+    return _rewritten(stem(path), ("(?i)^thumb_", ""), ("_1024$", ""))
+
+
+def collision_base(path: Column) -> Column:
+    """The base that the search for equal names inside a group uses."""
+    return _rewritten(stem(path), ("(?i)^thumb_", ""), (r"_\d{3,4}$", ""), ("(?i)_thumb$", ""))
+
+
+#: Words in the names of folders and files that speak of derivatives.
+MARKERS = ("thumb", "cache", "preview", "resized")
+
+
+def path_keywords(path: Column) -> Column:
+    """The parts of a path that hold a marker, as they stand."""
+    return F.filter(F.split(path, "/"), lambda p: F.lower(p).rlike("|".join(MARKERS)))
+
+
+def name_prefixes(path: Column) -> Column:
+    low = F.lower(stem(path))
+    return F.filter(F.array(F.lit("thumb_"), F.lit("img_")), lambda p: F.startswith(low, p))
+
+
+def name_suffixes(path: Column) -> Column:
+    name = stem(path)
+    size = F.regexp_extract(name, r"(_\d{3,4})$", 1)
+    words = F.filter(F.array(F.lit("_thumb"), F.lit("_small")), lambda p: F.endswith(F.lower(name), p))
+    return F.concat(F.filter(F.array(size), lambda x: x != ""), words)
 
 
 # ---- sizes and scores -------------------------------------------------------
@@ -157,19 +196,28 @@ def file_size_text(size: Column) -> Column:
     return out
 
 
-def legacy_confidence(path: Column, width: Column, height: Column, make: Column) -> Column:
-    """The additive score of 0 to 100 of the first generation."""
+#: What the first generation's score looks for in names and folders.
+SCORE_NAMES = ("img_", "dsc", "dscn", "dscf", "p000", "p100")
+SCORE_FOLDERS = ("/pictures/", "/photos/", "/dcim/", "/camera/", "/my pictures/")
+SCORE_REFUSE = ("/cache/", "/temp/", "/.trash")
+SCORE_GENERIC = ("stock", "wallpaper", "icon", "template", "sample")
+
+
+def legacy_confidence(path: Column, width: Column, height: Column, make: Column, model: Column, thumbnail: Column) -> Column:
+    """The additive score of 0 to 100 of the first generation; it starts at 50."""
     low, name = F.lower(path), F.lower(basename(path))
     points = lambda when, n: F.when(when, n).otherwise(0)
+    some = lambda test, values: reduce(Column.__or__, [test(v) for v in values])
     w, h = F.coalesce(width, F.lit(0)), F.coalesce(height, F.lit(0))
     total = (
-        points(make.isNotNull(), 40)
-        + points(name.rlike("^(img|dsc|p[0-9]|mvi|photo)"), 20)
-        + points(low.rlike("pictures|photos|dcim|camera"), 20)
+        F.lit(50)
+        + points((F.coalesce(make, F.lit("")) != "") | (F.coalesce(model, F.lit("")) != ""), 40)
+        + points(some(name.startswith, SCORE_NAMES), 20)
+        + points(some(low.contains, SCORE_FOLDERS), 20)
         + points((w >= 800) & (h >= 800), 10)
-        - points(low.contains("thumb"), 15)
-        - points(low.rlike("cache|temp|trash"), 20)
-        - points(name.rlike("^(image|untitled|picture)[0-9]*[.]"), 20)
+        - points(thumbnail, 15)
+        - points(some(low.contains, SCORE_REFUSE), 20)
+        - points(some(low.contains, SCORE_GENERIC), 20)
         - points((w < 200) | (h < 200), 20)
     )
     return F.greatest(F.lit(0), F.least(F.lit(100), total))
@@ -179,6 +227,11 @@ def confidence_bucket(score: Column) -> Column:
     return F.when(score >= 70, "high").when(score >= 40, "medium").otherwise("low")
 
 
+def bucket_folder(score: Column) -> Column:
+    """The folder of a confidence bucket."""
+    return F.concat(confidence_bucket(score), F.lit("_confidence"))
+
+
 #: Image types by their first bytes, and their suffixes.
 MIME_SUFFIX = {"image/jpeg": ".jpg", "image/png": ".png", "image/gif": ".gif", "image/bmp": ".bmp", "image/tiff": ".tiff", "image/webp": ".webp", "image/heic": ".heic", "image/heif": ".heif"}
 

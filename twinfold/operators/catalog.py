@@ -157,19 +157,34 @@ def hash_copies(photos: DataFrame) -> DataFrame:
 
 
 def uneven_groups(groups: DataFrame, photos: DataFrame, ratio: float = 2.0, least: int = 3, top: int = 50) -> DataFrame:
-    """Groups whose largest member is more than ratio times the smallest in bytes."""
-    sized = groups.join(photos.select(F.col("id").alias("photo_id"), "file_size"), "photo_id")
-    per = sized.groupBy("group_id").agg(F.count(F.lit(1)).alias("size"), F.max("file_size").alias("largest"), F.min("file_size").alias("smallest"))
+    """Groups whose largest member has more than ratio times the pixels of the smallest, the most uneven first."""
+    sized = groups.join(photos.select(F.col("id").alias("photo_id"), X.resolution(F.col("width"), F.col("height")).alias("res")), "photo_id")
+    per = sized.groupBy("group_id").agg(F.count(F.lit(1)).alias("size"), F.max("res").alias("largest"), F.min("res").alias("smallest"))
     return per.filter((F.col("size") >= least) & (F.col("smallest") > 0)).withColumn("ratio", F.col("largest") / F.col("smallest")).filter(F.col("ratio") > ratio).orderBy(F.desc("ratio"), "group_id").limit(top)
 
 
-def marker_counts(paths: DataFrame, top: int = 10) -> DataFrame:
-    return paths.select(F.explode(X.path_markers(F.col("source_path"))).alias("marker")).groupBy("marker").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "marker").limit(top)
+def marker_counts(groups: DataFrame, photos: DataFrame, paths: DataFrame, first: int = 20, top: int = 10) -> DataFrame:
+    """kind (keyword, prefix, suffix), marker, n: what the first paths of the members of the most uneven groups are marked by.
+
+    Of each kind the top most frequent.
+    """
+    worst = uneven_groups(groups, photos).orderBy(F.desc("ratio"), "group_id").limit(first).select("group_id")
+    path = paths.groupBy("photo_id").agg(F.min_by("source_path", "path_id").alias("path"))
+    found = groups.join(worst, "group_id", "left_semi").join(path, "photo_id")
+    kinds = {"keyword": X.path_keywords, "prefix": X.name_prefixes, "suffix": X.name_suffixes}
+    marks = F.concat(*[_marked(kind, make(F.col("path"))) for kind, make in kinds.items()])
+    counted = found.select(F.explode(marks).alias("m")).groupBy("m.kind", "m.marker").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("kind").orderBy(F.desc("n"), "marker")
+    return counted.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= top).drop("turn")
+
+
+def _marked(kind: str, marks: Column) -> Column:
+    return F.transform(marks, lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("marker")))
 
 
 def name_collisions(groups: DataFrame, paths: DataFrame) -> DataFrame:
     """group_id, base, n: file names that several members of a group share."""
-    named = groups.join(paths, "photo_id").select("group_id", X.derivative_base(F.col("source_path")).alias("base"))
+    named = groups.join(paths, "photo_id").select("group_id", X.collision_base(F.col("source_path")).alias("base"))
     return named.groupBy("group_id", "base").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 

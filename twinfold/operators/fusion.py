@@ -18,9 +18,10 @@ def gather(photos: DataFrame, paths: DataFrame, sources: DataFrame | None = None
     mode "code" takes photos' own date_taken and date_source; mode "documented" takes the sources table
     (photo_id, source_type, date_value, confidence), without suspect and unusable ones.
     """
-    names = paths.select("photo_id", D.date_from_filename(F.col("filename")).alias("date_value"), F.lit("filename").alias("source_type"), F.lit("medium").alias("tier"), F.struct(F.lit(1).alias("kind"), F.col("path_id").alias("n")).alias("turn"))
-    found = D.date_from_path(F.col("source_path"))
-    folders = paths.select("photo_id", found.alias("date_value"), F.lit("path_semantic").alias("source_type"), D.path_confidence(found).alias("tier"), F.struct(F.lit(2).alias("kind"), F.col("path_id").alias("n")).alias("turn"))
+    # Dates leave an array, so that no filter on them is pushed below and computes them once more.
+    parsed = lambda kind, found: paths.select("photo_id", F.explode(F.array_compact(F.array(found))).alias("date_value"), F.struct(F.lit(kind).alias("kind"), F.col("path_id").alias("n")).alias("turn"))
+    names = parsed(1, D.date_from_filename(F.col("filename"))).select("photo_id", "date_value", F.lit("filename").alias("source_type"), F.lit("medium").alias("tier"), "turn")
+    folders = parsed(2, D.date_from_path(F.col("source_path"))).select("photo_id", "date_value", F.lit("path_semantic").alias("source_type"), D.path_confidence(F.col("date_value")).alias("tier"), "turn")
     if mode == "documented":
         own = sources.filter(F.col("confidence").isin(*TIERS)).select("photo_id", "date_value", "source_type", F.col("confidence").alias("tier"), F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("n")).alias("turn"))
         return own.unionByName(names).unionByName(folders).filter("date_value is not null")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from twinfold.operators.cluster import complete_linkage, single_linkage_extend
 from twinfold.operators.components import connected_components
 from twinfold.operators.similarity import banded_pairs
+from twinfold.sources.scratch import stored
 
 
 def numbered(clusters: DataFrame, min_size: int = 2) -> DataFrame:
@@ -77,6 +78,29 @@ def merge_by_bridges(unlinked: DataFrame, groups: DataFrame, min_bridges: int =
     return merged, still_unlinked(unlinked, merged)
 
 
+def merge_stats(pairs: DataFrame, unlinked: DataFrame, groups: DataFrame) -> DataFrame:
+    """pairs, merged, targets, removed_pairs, groups, photos: what a merger of group pairs (g1, g2) did, in one row."""
+    mapping = stored(merge_map(pairs), "merges")
+    merged = merge_groups(groups, mapping)
+    gone = _with_groups(unlinked.select("id_1", "id_2"), merged, "inner").filter("g1 = g2")
+    parts = [
+        pairs.agg(F.count(F.lit(1)).alias("pairs")),
+        mapping.agg(F.count(F.lit(1)).alias("merged"), F.countDistinct("new").alias("targets")),
+        gone.agg(F.count(F.lit(1)).alias("removed_pairs")),
+        merged.agg(F.countDistinct("group_id").alias("groups"), F.count(F.lit(1)).alias("photos")),
+    ]
+    return beside(*parts)
+
+
+def beside(*rows: DataFrame) -> DataFrame:
+    """Tables of one row each as one row."""
+    keyed = [r.withColumn("__one", F.lit(1)) for r in rows]
+    out = keyed[0]
+    for r in keyed[1:]:
+        out = out.join(r, "__one")
+    return out.drop("__one")
+
+
 def boundary(cells: DataFrame) -> DataFrame:
     """kind, colorhash_dist, max_phash16 from cells (kind, cell "p,c")."""
     parts = F.split("cell", ",")

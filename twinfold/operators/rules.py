@@ -80,18 +80,27 @@ def decide(photos: DataFrame, paths: DataFrame, inventory: DataFrame, decided: D
     return ready.select(F.col("id").alias("photo_id"), first_match(individual_rules()).alias("m")).filter("m is not null").select("photo_id", "m.decision", "m.rule_name")
 
 
-#: First generation: category, parts of the path, and whether only small pictures count.
+#: The first generation's categories in order: a pattern of the path, whatever the case, or none, and a
+#: condition on the size, or none. The one that knows web assets looks at a flag.
 LEGACY_CATEGORIES = [
-    ("face_crop", ["_face"], None), ("web_asset", ["_files/"], None), ("minecraft", ["minecraft"], None), ("app_resource", [".app/Contents/"], None),
-    ("chat_icon", ["/iChat Icons/", "/Skype/"], None), ("video_thumb", ["/MVI_", ".thm"], None), ("flip_preview", ["/FlipShare Data/"], None), ("trash", ["/.Trashes/", "/Trash/"], None),
-    ("thumbnail", ["/Thumbnails/", "/thumb_"], None), ("preview", ["/Previews/"], None), ("tiny", [""], 5000),
-]
-
-
-def legacy_category(path: Column, pixels: Column) -> Column:
-    """The first category whose path part occurs, whatever the case; the last one needs few pixels (at most)."""
+    ("minecraft", "minecraft", None),
+    ("hue_animation", "HUE Animation", None),
+    ("ichat_icons", "/iChat Icons/", None),
+    ("web_page_asset", None, "companion"),
+    ("flip_video_thumbs", "/My Flip Video Prefs/", None),
+    ("face_detection", ".face[0-9][.]jpg$", "width * height <= 250000"),
+    ("face_detection_10plus", ".face[1-9][0-9][.]jpg$", "width * height <= 250000"),
+    ("flipshare_previews", "/FlipShare Data/Previews/", None),
+    ("tiny_icons", None, "width * height <= 5000"),
+    ("face_detection_modelresources", "/modelresources/", "abs(width - height) <= 10 AND width <= 200"),
+    ("trash", "/[.]Trash", None),
+]
+
+
+def legacy_category(path: str = "source_path") -> Column:
+    """The first category that fits; rows need path, width, height and companion (a web page's asset). Null where none does."""
     out = F.lit(None).cast("string")
-    for name, parts, most in reversed(LEGACY_CATEGORIES):
-        hit = reduce(Column.__or__, [path.ilike(f"%{x}%") for x in (y.replace("_", r"\_") for y in parts)])
-        out = F.when(hit if most is None else hit & (pixels <= most), name).otherwise(out)
+    for name, pattern, condition in reversed(LEGACY_CATEGORIES):
+        tests = ([F.col(path).rlike(f"(?i){pattern}")] if pattern else []) + ([F.expr(condition)] if condition else [])
+        out = F.when(reduce(Column.__and__, tests), name).otherwise(out)
     return out

@@ -1,7 +1,7 @@
 """Which members of a duplicate group survive: five rules in order, each on what the earlier ones left.
 
-The first four are semi-joins inside the group; the last is greedy by definition and runs per group, in
-the order of ids. Members: id, group_id, paths, width, height, file_size, phash, dhash.
+The first four are semi-joins inside the group; the last is greedy by definition, in the order of ids, and
+runs on the pairs that hang together. Members: id, group_id, paths, width, height, file_size, phash, dhash.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinfold.functions import exprs as X
+from twinfold.operators.components import connected_components
+from twinfold.sources.scratch import stored
 
 RULE_ORDER = ("THUMBNAIL", "PREVIEW", "IPHOTO_COPY", "DERIVATIVE", "SAME_RES_DUPLICATE")
 
@@ -49,28 +51,35 @@ def _hit(left: DataFrame, losers: Column, others: Column, beats: Column) -> Data
 
 
 def _same_resolution(left: DataFrame) -> DataFrame:
-    """Greedy: in the order of ids, each pair of one resolution and picture loses its worse member at once."""
+    """Greedy: in the order of ids, each pair of one resolution and picture loses its worse member at once.
+
+    Spark finds the pairs, inside (group, resolution); only pairs that hang together depend on each other, so
+    each component of them is one task's group, and its pairs are taken in order.
+    """
+    rows = stored(left.filter("phash is not null and dhash is not null").select("id", "group_id", "res", "phash", "dhash", F.struct("library_made", -F.col("file_size"), "id").alias("worth")), "same-resolution")
+    a, b = rows.alias("a"), rows.alias("b")
+    met = a.join(b, (F.col("a.group_id") == F.col("b.group_id")) & (F.col("a.res") == F.col("b.res")) & (F.col("a.id") < F.col("b.id")) & _same())
+    pairs = stored(met.select(F.col("a.id").alias("one"), F.col("b.id").alias("two"), (F.col("a.worth") > F.col("b.worth")).alias("one_is_worse"), F.col("a.group_id").alias("group_id")), "same-resolution-pairs")
+    labels = connected_components(pairs, "one", "two")
+    placed = pairs.join(labels.select(F.col("node").alias("one"), "label"), "one")
+    kind = left.schema["group_id"].dataType.simpleString()
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values("id").to_dict("records")
-        lost: list[str] = []
-        known = [r for r in rows if pd.notna(r["phash"]) and pd.notna(r["dhash"])]
-        for k, one in enumerate(known):
-            if one["id"] in lost:
-                continue
-            for two in known[k + 1 :]:
-                if two["id"] in lost or one["res"] != two["res"]:
-                    continue
-                p = (int(one["phash"]) ^ int(two["phash"])) & (1 << 64) - 1
-                d = (int(one["dhash"]) ^ int(two["dhash"])) & (1 << 64) - 1
-                if p.bit_count() <= 2 or p.bit_count() <= 6 and d == 0:
-                    worse = max(one, two, key=lambda r: (r["library_made"], -r["file_size"], r["id"]))
-                    lost.append(worse["id"])
-        return pd.DataFrame([(x, int(rows[0]["group_id"])) for x in lost], columns=["id", "group_id"], dtype=object)
+        return pd.DataFrame([(x, group["group_id"].iloc[0]) for x in greedy_losers(sorted(group[["one", "two", "one_is_worse"]].itertuples(index=False, name=None)))], columns=["id", "group_id"])
 
-    kind = left.schema["group_id"].dataType.simpleString()
-    text = left.select("id", "group_id", F.col("phash").cast("string"), F.col("dhash").cast("string"), "file_size", "res", "library_made")
-    return text.groupBy("group_id").applyInPandas(run, f"id string, group_id {kind}")
+    return placed.groupBy("label").applyInPandas(run, f"id string, group_id {kind}")
+
+
+def greedy_losers(pairs: list[tuple[str, str, bool]]) -> list[str]:
+    """Who loses among pairs (one, two, one is worse) in order. A pair counts unless one had lost before its turn came, or two has lost by now."""
+    lost: dict[str, None] = {}
+    turn, out_before = None, False
+    for one, two, one_is_worse in pairs:
+        if one != turn:
+            turn, out_before = one, one in lost
+        if not out_before and two not in lost:
+            lost[one if one_is_worse else two] = None
+    return list(lost)
 
 
 def reject_in_groups(members: DataFrame, iphoto_exclude_self: bool = False) -> DataFrame:
@@ -121,45 +130,6 @@ def originals(members: DataFrame, rejections: DataFrame) -> DataFrame:
     return all_rows.withColumn("status", status).select("photo_id", "group_id", "rule_name", "status")
 
 
-#: First generation: all rules see the whole cluster, the first that fits names the reason.
-def legacy_rejections(members: DataFrame) -> DataFrame:
-    """photo_id, group_id, reason. Members also need confidence-free fields only: id, group_id, paths, width, height, content_md5."""
-    p = F.col("paths")
-    low = F.transform(p, F.lower)
-    has = lambda part: F.exists(low, lambda x: x.contains(part))
-    base = X.derivative_base(F.coalesce(F.get(p, F.lit(0)), F.lit("")))
-    rows = members.select(
-        "id", "group_id", base.alias("base"), X.resolution(F.col("width"), F.col("height")).alias("res"), F.exists(p, X.is_thumbnail).alias("thumb"), has(".photolibrary/").alias("iphoto"), has(".photoslibrary/").alias("photos_app"),
-        has("photo booth").alias("booth"), has("_face").alias("face"), has("20140223-155504").alias("stock"), has("20121223-175144").alias("flag"), has("/previews/").alias("preview"), "content_md5",
-    )
-    w = Window.partitionBy("group_id", "base")
-    most, kinds = F.max("res").over(w), F.count(F.lit(1)).over(w)
-    any_of = lambda c: F.max(F.col(c).cast("int")).over(w) == 1
-    none_of = lambda c: F.min(F.col(c).cast("int")).over(w) == 0
-    first_same = F.min("id").over(Window.partitionBy("group_id", "base", "content_md5"))
-    reason = (
-        F.when(F.col("thumb") & none_of("thumb"), "thumbnail_with_master")
-        .when(F.col("iphoto") & any_of("photos_app"), "iphoto_duplicate_of_photos")
-        .when(F.col("booth"), "photobooth_filtered")
-        .when(F.col("face"), "face_thumbnail")
-        .when(F.col("stock"), "stock_image")
-        .when(F.col("flag"), "flag_icon")
-        .when((F.col("thumb")) & (F.col("res") < most), "smaller_thumbnail")
-        .when((F.col("res") < 500_000) & (most > 10 * F.col("res")), "tiny_with_large")
-        .when(F.col("preview") & none_of("preview"), "preview_with_original")
-        .when(F.col("id") > first_same, "pixel_duplicate")
-    )
-    return rows.withColumn("reason", reason).withColumn("n", kinds).filter("reason is not null and n > 1").select(F.col("id").alias("photo_id"), "group_id", "reason")
-
-
-def best_of_base(members: DataFrame) -> DataFrame:
-    """photo_id, group_id, base, rank, keep: the best of each file-name cluster by resolution and size."""
-    base = X.derivative_base(F.coalesce(F.get("paths", F.lit(0)), F.lit("")))
-    rows = members.select(F.col("id").alias("photo_id"), "group_id", base.alias("base"), X.resolution(F.col("width"), F.col("height")).alias("res"), "file_size")
-    order = Window.partitionBy("group_id", "base").orderBy(F.desc("res"), F.desc_nulls_last("file_size"), "photo_id")
-    return rows.withColumn("rank", F.row_number().over(order)).select("photo_id", "group_id", "base", "rank", (F.col("rank") == 1).alias("keep"))
-
-
 def legacy_rank(members: DataFrame) -> DataFrame:
     """photo_id, group_id, group_size, rank_in_group, quality_score, is_suggested_keeper; needs score (0-100)."""
     quality = (X.resolution(F.col("width"), F.col("height")) * (F.col("score") / F.lit(100.0))).cast("long")

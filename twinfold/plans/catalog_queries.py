@@ -8,6 +8,7 @@ from twinfold.functions import exprs as X
 from twinfold.operators import catalog as C
 from twinfold.operators.grouping import expand_to_groups
 from twinfold.plans.register import Registry
+from twinfold.sources.legacy import is_thumbnail_legacy
 
 R = Registry()
 _P = ["id", "array_join(paths, '|') AS paths"]
@@ -73,20 +74,27 @@ R.add(
 )
 R.add("a15_top_cameras", lambda c: C.top_cameras(c.bare), "SELECT exif_make || ' ' || exif_model AS camera, count(*) AS n FROM photos WHERE exif_make IS NOT NULL AND exif_model IS NOT NULL GROUP BY 1 ORDER BY n DESC, camera LIMIT 10", "photos")
 R.add("a16_hash_copies", lambda c: C.hash_copies(c.hashes), "SELECT count(*) AS hashed, count(DISTINCT (p_hi, p_lo)) AS distinct_hashes, count(*) - count(DISTINCT (p_hi, p_lo)) AS repeats FROM hashes", "hashes")
+_UNEVEN = "SELECT group_id, count(*) AS size, max(width * height) AS largest, min(width * height) AS smallest, max(width * height) / min(width * height) AS ratio FROM members JOIN photos ON id = photo_id GROUP BY 1 HAVING count(*) >= 3 AND min(width * height) > 0 AND max(width * height) / min(width * height) > 2 ORDER BY ratio DESC, group_id LIMIT 50"
 R.add(
     "a17_uneven_groups",
     lambda c: C.uneven_groups(c.small("members"), c.bare),
-    "SELECT group_id, count(*) AS size, max(file_size) AS largest, min(file_size) AS smallest, max(file_size) / min(file_size) AS ratio FROM members JOIN photos ON id = photo_id GROUP BY 1 HAVING count(*) >= 3 AND min(file_size) > 0 AND max(file_size) / min(file_size) > 2 ORDER BY ratio DESC, group_id LIMIT 50", "members",
+    _UNEVEN, "members",
 )
+_STEM = r"regexp_replace(split_part(path, '/', -1), '(.)\.[^.]+$', '\1')"
 R.add(
     "a18_marker_counts",
-    lambda c: C.marker_counts(c.paths),
-    "SELECT marker, count(*) AS n FROM paths JOIN (VALUES ('thumb'), ('cache'), ('preview'), ('resized')) m(marker) ON contains(lower(source_path), marker) GROUP BY 1 ORDER BY n DESC, marker LIMIT 10", "paths",
+    lambda c: C.marker_counts(c.small("members"), c.bare, c.paths),
+    rf"""SELECT kind, marker, n FROM (SELECT kind, marker, count(*) AS n, row_number() OVER (PARTITION BY kind ORDER BY count(*) DESC, marker) AS turn FROM (
+    SELECT 'keyword' AS kind, marker FROM (SELECT unnest(string_split(path, '/')) AS marker FROM worst) WHERE regexp_matches(lower(marker), 'thumb|cache|preview|resized')
+    UNION ALL SELECT 'prefix', CASE WHEN starts_with(lower({_STEM}), 'img_') THEN 'img_' ELSE 'thumb_' END FROM worst WHERE regexp_matches({_STEM}, '(?i)^(img|thumb)_')
+    UNION ALL SELECT 'suffix', regexp_extract({_STEM}, '_\d\d\d\d?$') FROM worst WHERE regexp_matches({_STEM}, '_\d\d\d\d?$')
+    UNION ALL SELECT 'suffix', lower(regexp_extract({_STEM}, '(?i)_(thumb|small)$')) FROM worst WHERE regexp_matches({_STEM}, '(?i)_(thumb|small)$')) GROUP BY 1, 2) WHERE turn <= 10""".replace("FROM worst", f"FROM (SELECT arg_min(source_path, path_id) AS path FROM paths JOIN members USING (photo_id) WHERE group_id IN (SELECT group_id FROM ({_UNEVEN}) ORDER BY ratio DESC, group_id LIMIT 20) GROUP BY photo_id)"),
+    "paths", "members",
 )
 R.add(
     "a19_name_collisions",
     lambda c: C.name_collisions(c.small("members"), c.paths.withColumn("source_path", F.regexp_replace("source_path", r"\d{2,}", "9"))),
-    r"""SELECT group_id, upper(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(filename, '\d{2,}', '9', 'g'), '(.)\.[^.]+$', '\1'), '^thumb_', '', 'i'), '^!cid_', '', 'i'), '_1024$', ''), '^IMG_E', 'IMG_', 'i'), '[-_\s]+', '_', 'g')) AS base, count(*) AS n
+    r"""SELECT group_id, upper(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(filename, '\d{2,}', '9', 'g'), '(.)\.[^.]+$', '\1'), '^thumb_', '', 'i'), '_\d{3,4}$', ''), '_thumb$', '', 'i')) AS base, count(*) AS n
     FROM members JOIN paths USING (photo_id) GROUP BY 1, 2 HAVING count(*) > 1""", "members", "paths",
 )
 R.add("a22_review_stats", lambda c: C.review_stats(c.small("members"), c.small("reviewed"), c.small("junk")), "SELECT 'total' AS item, count(DISTINCT group_id) AS n FROM members UNION ALL SELECT 'reviewed', count(DISTINCT group_id) FROM members WHERE group_id IN (SELECT group_id FROM reviewed) UNION ALL SELECT 'junk', count(*) FROM junk", "members", "reviewed", "junk")
@@ -131,14 +139,15 @@ R.add(
     lambda c: C.doubtful_doubles(c.small("second"), c.small("members")),
     "SELECT s.group_id, s.a AS photo_1, s.b AS photo_2 FROM (SELECT group_id, min(photo_id) AS a, max(photo_id) AS b FROM second GROUP BY 1 HAVING count(*) = 2) s LEFT JOIN members x ON x.photo_id = s.a LEFT JOIN members y ON y.photo_id = s.b WHERE x.group_id IS NULL OR y.group_id IS NULL OR x.group_id <> y.group_id", "second", "members",
 )
+_FILE = "split_part(source_path, '/', -1)"
+_SCORE = rf"""least(100, greatest(0, 50 + CASE WHEN exif_make IS NOT NULL OR exif_model IS NOT NULL THEN 40 ELSE 0 END + CASE WHEN regexp_matches(lower({_FILE}), '^(img_|dsc|p000|p100)') THEN 20 ELSE 0 END
+    + CASE WHEN regexp_matches(lower(source_path), '/(pictures|photos|dcim|camera|my pictures)/') THEN 20 ELSE 0 END + CASE WHEN width >= 800 AND height >= 800 THEN 10 ELSE 0 END
+    - CASE WHEN regexp_matches(lower(source_path), '/(thumbnails|previews|thumb|[.]thumbnails|cache|[.]cache)/') OR regexp_matches(lower({_FILE}), '^thumb_|_thumb|_1024[.]|_512[.]') THEN 15 ELSE 0 END
+    - CASE WHEN regexp_matches(lower(source_path), '/cache/|/temp/|/[.]trash') THEN 20 ELSE 0 END - CASE WHEN regexp_matches(lower(source_path), 'stock|wallpaper|icon|template|sample') THEN 20 ELSE 0 END - CASE WHEN width < 200 OR height < 200 THEN 20 ELSE 0 END))"""
 R.add(
     "s18_score_bucket_sizes",
-    lambda c: c.paths.join(c.bare, c.paths["photo_id"] == c.bare["id"]).select(X.confidence_bucket(X.legacy_confidence(F.col("source_path"), F.col("width"), F.col("height"), F.col("exif_make"))).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")),
-    r"""SELECT CASE WHEN score >= 70 THEN 'high' WHEN score >= 40 THEN 'medium' ELSE 'low' END AS bucket, count(*) AS n FROM (
-    SELECT least(100, greatest(0, CASE WHEN exif_make IS NOT NULL THEN 40 ELSE 0 END + CASE WHEN regexp_matches(lower(filename), '^(img|dsc|p[0-9]|mvi|photo)') THEN 20 ELSE 0 END
-    + CASE WHEN regexp_matches(lower(source_path), 'pictures|photos|dcim|camera') THEN 20 ELSE 0 END + CASE WHEN width >= 800 AND height >= 800 THEN 10 ELSE 0 END - CASE WHEN lower(source_path) LIKE '%thumb%' THEN 15 ELSE 0 END
-    - CASE WHEN regexp_matches(lower(source_path), 'cache|temp|trash') THEN 20 ELSE 0 END - CASE WHEN regexp_matches(lower(filename), '^(image|untitled|picture)[0-9]*[.]') THEN 20 ELSE 0 END - CASE WHEN width < 200 OR height < 200 THEN 20 ELSE 0 END)) AS score
-    FROM paths JOIN photos ON id = photo_id) GROUP BY 1""", "photos", "paths",
+    lambda c: c.paths.join(c.bare, c.paths["photo_id"] == c.bare["id"]).select(X.bucket_folder(X.legacy_confidence(F.col("source_path"), F.col("width"), F.col("height"), F.col("exif_make"), F.col("exif_model"), is_thumbnail_legacy(F.col("source_path")))).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")),
+    f"SELECT CASE WHEN score >= 70 THEN 'high_confidence' WHEN score >= 40 THEN 'medium_confidence' ELSE 'low_confidence' END AS bucket, count(*) AS n FROM (SELECT {_SCORE} AS score FROM paths JOIN photos ON id = photo_id) GROUP BY 1", "photos", "paths",
 )
 
 QUERIES, ORACLES = R.queries, R.oracles

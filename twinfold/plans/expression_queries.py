@@ -10,6 +10,7 @@ from twinfold.operators import fusion
 from twinfold.operators.survivors import legacy_rank
 from twinfold.plans.register import Registry
 from twinfold.sources import ingest, legacy
+from twinfold.sources.scratch import new_path
 
 R = Registry()
 _HEX = "printf('%08x%08x', p_hi, p_lo)"
@@ -82,24 +83,93 @@ _STEM = rf"regexp_replace({_NAME}, '(.)\.[^.]+$', '\1')"
 R.add(
     "x14_x16_paths",
     lambda c: c.paths.select("path_id", X.stem(F.col("source_path")).alias("stem"), X.suffix(F.col("source_path")).alias("suffix"), X.base_name(F.col("source_path")).alias("base"), X.is_thumbnail(F.col("source_path")).alias("thumb"), X.is_library_made(F.col("source_path")).alias("made"), X.derivative_base(F.col("source_path")).alias("derivative")),
-    rf"SELECT path_id, {_STEM} AS stem, regexp_extract({_NAME}, '.(\.[^.]+)$', 1) AS suffix, regexp_replace(regexp_replace(lower({_STEM}), '_\d+$', ''), '^thumb_', '') AS base, contains(lower(source_path), '/thumbnails/') OR starts_with(lower({_NAME}), 'thumb_') AS thumb, contains(lower(source_path), '/previews/') OR contains(lower(source_path), '/thumbnails/') OR contains(lower(source_path), '/modelresources/') AS made, upper(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_STEM}, '^thumb_', '', 'i'), '_1024$', ''), '^IMG_E', 'IMG_', 'i'), '[-_\s]+', '_', 'g')) AS derivative FROM paths", "paths",
+    rf"SELECT path_id, {_STEM} AS stem, regexp_extract({_NAME}, '.(\.[^.]+)$', 1) AS suffix, regexp_replace(regexp_replace(lower({_STEM}), '_\d+$', ''), '^thumb_', '') AS base, contains(lower(source_path), '/thumbnails/') OR starts_with(lower({_NAME}), 'thumb_') AS thumb, contains(lower(source_path), '/previews/') OR contains(lower(source_path), '/thumbnails/') OR contains(lower(source_path), '/modelresources/') AS made, upper(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_STEM}, '^thumb_', '', 'i'), '^!cid_', '', 'i'), '_1024$', ''), '^(IMG_)E(\d+)$', '\1\2', 'i'), '[-_\s]+', ' ', 'g')) AS derivative FROM paths", "paths",
 )
 R.add(
     "x19_shortest_path",
     lambda c: c.paths.groupBy("photo_id").agg(F.min_by("source_path", F.struct(F.length("source_path"), "path_id")).alias("path")),
     "SELECT photo_id, source_path AS path FROM paths QUALIFY row_number() OVER (PARTITION BY photo_id ORDER BY length(source_path), path_id) = 1", "paths",
 )
-R.add("x21_unique_in_order", lambda c: c.bare.select("id", F.array_join(F.array_distinct(F.split("text", " ")), " ").alias("words")))
 R.add(
-    "x22_generated_names",
-    lambda c: c.paths.select("path_id", X.is_generated_name(F.col("source_path")).alias("generated")),
-    rf"SELECT path_id, regexp_matches({_STEM}, '(?i)^(IMG_\d+|DSC[_N]?\d+|DSCF\d+|P\d{{7}}|MVI_\d+|PICT\d+|SAM_\d+|\d{{8}}_\d{{6}}|Screen ?Shot|Photo on )') AS generated FROM paths", "paths",
+    "x21_unique_in_order",
+    lambda c: c.bare.select("id", F.array_join(F.array_distinct(F.split("text", " ")), " ").alias("words")),
+    "SELECT id, string_agg(w, ' ' ORDER BY pos) AS words FROM (SELECT id, w, min(pos) AS pos FROM (SELECT id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS pos FROM photos) GROUP BY id, w) GROUP BY id", "photos",
 )
+#: Names of pictures in the forms that the tests on names tell apart; {} is the row's number.
+NAMES = [
+    "IMG_{}.jpg", "IMG_E{}.JPG", "img_e{}x.jpg", "DSC_{}.jpg", "DSCN{}.jpg", "DSCF{}.jpg", "P1020304.jpg", "P102030{}.jpg", "20040615_{}.jpg", "20040615-{}.jpg", "photo-2004-06-15-{}.jpg", "thumb_cat.jpg", "cat_{}.jpg",
+    "cat {}.jpg", "!cid_cat-{}.jpg", "cat_1024.jpg", "cat_512.jpg", "cat_small.jpg", "cat_thumb.jpg", "IMG_{}_1024.jpg", "20231225_123456.jpg", "20231225123456_{}.jpg", "20231325.jpg", "20230230_x.jpg", "2023-12-25_{}.jpg", "x19891225_20011225.jpg", "20231225_253456.jpg",
+]
+FOLDERS = ["/Pictures/2004/", "/A/Thumbnails/", "/A/previews/x/", "/dcim/100/", "/stock/", "/x/Temp/", "/home/.Trash-1/", "/a/thumb/", "/b/.cache/", "/My Pictures/icons/", "/Resized files/", "/c/"]
+
+
+def _sample_path() -> str:
+    """A path for each order, by plain arithmetic that both engines read alike."""
+    names = " ".join(f"WHEN {k} THEN " + " || CAST(o_orderkey AS STRING) || ".join(f"'{part}'" for part in n.split("{}")) for k, n in enumerate(NAMES))
+    folders = " ".join(f"WHEN {k} THEN '{f}'" for k, f in enumerate(FOLDERS))
+    return f"CASE CAST(o_orderkey % {len(FOLDERS)} AS INT) {folders} END || CASE CAST(o_orderkey % {len(NAMES)} AS INT) {names} END"
+
+
+_FIELDS = {"w": "CAST(o_orderkey % 7 * 150 AS BIGINT)", "h": "CAST(o_orderkey % 5 * 250 AS BIGINT)", "make": "CASE WHEN o_orderkey % 3 = 0 THEN 'Canon' WHEN o_orderkey % 3 = 1 THEN '' END", "model": "CASE WHEN o_orderkey % 4 = 0 THEN 'M' END"}
+_SAMPLES = f"(SELECT o_orderkey, {_sample_path()} AS path, " + ", ".join(f"{e} AS {c}" for c, e in _FIELDS.items()) + " FROM orders)"
+_PNAME, _PSTEM = "split_part(path, '/', -1)", r"regexp_replace(split_part(path, '/', -1), '(.)\.[^.]+$', '\1')"
+
+
+def _samples(c):
+    return c.table("orders").selectExpr("o_orderkey", f"{_sample_path()} AS path", *[f"{e} AS {n}" for n, e in _FIELDS.items()])
+
+
+R.add(
+    "x22_generated_names",
+    lambda c: _samples(c).select("o_orderkey", X.is_generated_name(F.col("path")).alias("generated")),
+    rf"SELECT o_orderkey, regexp_matches(upper({_PSTEM}), '^IMG_E?\d+$|^DSC[_N]?\d+$|^P\d\d\d\d\d\d\d$|^\d{{8}}[_-]\d+$|^PHOTO-\d{{4}}-\d\d-\d\d|^THUMB_|_\d+$') AS generated FROM {_SAMPLES}",
+)
+R.add(
+    "x23_camera_names",
+    lambda c: _samples(c).select("o_orderkey", X.is_camera_name(F.col("path")).alias("camera")),
+    rf"SELECT o_orderkey, regexp_full_match(upper({_PSTEM}), '(IMG_|DSC_|DSCN|DSC)\d+|P\d{{7}}|\d{{8}}_\d+') AS camera FROM {_SAMPLES}",
+)
+R.add(
+    "x24_bases",
+    lambda c: _samples(c).select("o_orderkey", X.derivative_base(F.col("path")).alias("derivative"), X.marked_base(F.col("path")).alias("marked"), X.collision_base(F.col("path")).alias("collision")),
+    rf"""SELECT o_orderkey, trim(regexp_replace(upper(CASE WHEN regexp_matches(s, '(?i)^IMG_E\d+$') THEN s[1:4] || s[6:] ELSE s END), '[-_ ]+', ' ', 'g'), '') AS derivative,
+    upper(regexp_replace(regexp_replace(st, '^thumb_', '', 'i'), '_1024$', '')) AS marked, upper(regexp_replace(regexp_replace(regexp_replace(st, '^thumb_', '', 'i'), '_\d\d\d\d?$', ''), '_thumb$', '', 'i')) AS collision
+    FROM (SELECT o_orderkey, {_PSTEM} AS st, regexp_replace(regexp_replace({_PSTEM}, '^(thumb_)?(!cid_)?', '', 'i'), '_1024$', '') AS s FROM {_SAMPLES})""",
+)
+_LOW, _LNAME = "lower(path)", "lower(split_part(path, '/', -1))"
+_THUMB = rf"(regexp_matches({_LOW}, '/(thumbnails|previews|thumb|\.thumbnails|cache|\.cache)/') OR starts_with({_LNAME}, 'thumb_') OR regexp_matches({_LNAME}, '_thumb|_1024\.|_512\.'))"
+_SCORE = rf"""least(100, greatest(0, 50 + CASE WHEN coalesce(make, '') <> '' OR coalesce(model, '') <> '' THEN 40 ELSE 0 END + CASE WHEN regexp_matches({_LNAME}, '^(img_|dsc|p000|p100)') THEN 20 ELSE 0 END
+    + CASE WHEN regexp_matches({_LOW}, '/((my )?pictures|photos|dcim|camera)/') THEN 20 ELSE 0 END + CASE WHEN w >= 800 AND h >= 800 THEN 10 ELSE 0 END - CASE WHEN {_THUMB} THEN 15 ELSE 0 END
+    - CASE WHEN regexp_matches({_LOW}, '/cache/|/temp/|/\.trash') THEN 20 ELSE 0 END - CASE WHEN regexp_matches({_LOW}, 'stock|wallpaper|icon|template|sample') THEN 20 ELSE 0 END - CASE WHEN w < 200 OR h < 200 THEN 20 ELSE 0 END))"""
+R.add(
+    "x25_confidence",
+    lambda c: _samples(c).select("o_orderkey", X.legacy_confidence(F.col("path"), F.col("w"), F.col("h"), F.col("make"), F.col("model"), legacy.is_thumbnail_legacy(F.col("path"))).alias("score")),
+    f"SELECT o_orderkey, {_SCORE} AS score FROM {_SAMPLES}",
+)
+R.add("x26_legacy_thumbnails", lambda c: _samples(c).select("o_orderkey", legacy.is_thumbnail_legacy(F.col("path")).alias("thumb")), f"SELECT o_orderkey, {_THUMB} AS thumb FROM {_SAMPLES}")
+
+
+def _legacy_sql(name: str) -> str:
+    tries = []
+    for pattern in (r"(\d{4})(\d{2})(\d{2})[_-]?(\d{2})(\d{2})(\d{2})", r"(\d{4})(\d{2})(\d{2})", r"(\d{4})-(\d{2})-(\d{2})"):
+        form = r"\1-\2-\3T\4:\5:\6" if pattern.count("(") > 3 else r"\1-\2-\3T00:00:00"
+        value = f"regexp_replace(regexp_extract({name}, '{pattern}'), '{pattern}', '{form}')"
+        tries.append(f"CASE WHEN try_strptime({value}, '%Y-%m-%dT%H:%M:%S') BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2030-12-31 23:59:59' THEN {value} END")
+    # The fourth pattern asks for the start of the name; what it finds there the second has found or refused.
+    fourth = r"^(\d{4})(\d{2})(\d{2})"
+    value = rf"regexp_replace(regexp_extract({name}, '{fourth}'), '{fourth}', '\1-\2-\3T00:00:00')"
+    tries.append(f"CASE WHEN try_strptime({value}, '%Y-%m-%dT%H:%M:%S') BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2030-12-31 23:59:59' THEN {value} END")
+    return "coalesce(" + ", ".join(tries) + ")"
+
+
+R.add("x27_legacy_dates", lambda c: _samples(c).select("o_orderkey", legacy.legacy_filename_date(X.basename(F.col("path"))).alias("date_value")), f"SELECT o_orderkey, {_legacy_sql(_PNAME)} AS date_value FROM {_SAMPLES}")
 R.add(
     "x28_path_markers",
-    lambda c: c.paths.select("path_id", F.array_join(X.path_markers(F.col("source_path")), ",").alias("markers")),
-    "SELECT path_id, array_to_string(list_filter(['thumb', 'cache', 'preview', 'resized'], lambda w: contains(lower(source_path), w)), ',') AS markers FROM paths", "paths",
-)
+    lambda c: _samples(c).select("o_orderkey", F.array_join(X.path_keywords(F.col("path")), ",").alias("keywords"), F.array_join(X.name_prefixes(F.col("path")), ",").alias("prefixes"), F.array_join(X.name_suffixes(F.col("path")), ",").alias("suffixes")),
+    rf"""SELECT o_orderkey, array_to_string(list_filter(string_split(path, '/'), lambda p: contains(lower(p), 'thumb') OR contains(lower(p), 'cache') OR contains(lower(p), 'preview') OR contains(lower(p), 'resized')), ',') AS keywords,
+    CASE WHEN {_LNAME} LIKE 'thumb\_%' ESCAPE '\' THEN 'thumb_' WHEN {_LNAME} LIKE 'img\_%' ESCAPE '\' THEN 'img_' ELSE '' END AS prefixes,
+    CASE WHEN regexp_matches({_PSTEM}, '_\d\d\d\d?$') THEN '_' || string_split({_PSTEM}, '_')[-1] WHEN regexp_matches({_PSTEM}, '(?i)_thumb$') THEN '_thumb' WHEN regexp_matches({_PSTEM}, '(?i)_small$') THEN '_small' ELSE '' END AS suffixes FROM {_SAMPLES}""",
+)
 
 
 # ---- dates of entities ------------------------------------------------------
@@ -194,26 +264,14 @@ R.add(
 )
 R.add("x29_text_hashes", lambda c: c.hashes.select("id", X.long_to_hex(F.col("phash")).alias("phash"), X.long_to_hex(F.col("dhash")).alias("dhash")), "SELECT id, printf('%08x%08x', p_hi, p_lo) AS phash, printf('%08x%08x', d_hi, d_lo) AS dhash FROM hashes", "hashes")
 
-_LEGACY = "coalesce(" + ", ".join(
-    f"CASE WHEN try_strptime({v}, '%Y-%m-%d') IS NOT NULL THEN {v} END"
-    for v in (f"regexp_replace(regexp_extract(filename, '{p}'), '{p}', '\\1-\\2-\\3')" for p in (rf"((?:19|20)\d{{2}}){g}(\d{{2}}){g}(\d{{2}})" for g in ("", "-", r"\.", "_")))
-) + ")"
-R.add("x27_legacy_dates", lambda c: c.paths.select("path_id", legacy.legacy_filename_date(F.col("filename")).alias("date_value")), f"SELECT path_id, {_LEGACY} AS date_value FROM paths", "paths")
-R.add(
-    "x26_legacy_thumbnails",
-    lambda c: c.paths.join(c.bare, F.col("photo_id") == F.col("id")).select("path_id", legacy.is_thumbnail_legacy(F.col("source_path"), F.col("width"), F.col("height")).alias("thumb")),
-    "SELECT path_id, regexp_matches(lower(source_path), '/thumbnails?/|/thumbs/|/cache/') OR regexp_matches(lower(filename), '^thumb_|_thumb[.]') OR (width < 200 AND height < 200) AS thumb FROM paths JOIN photos ON id = photo_id", "paths", "photos",
-)
-
-
 def _scored(c):
     first = c.paths.groupBy(F.col("photo_id").alias("id")).agg(F.min_by("source_path", "path_id").alias("path"))
     return c.bare.join(first, "id").select("id", "path", (F.col("L") % 101).alias("score"), F.when(F.col("L") % 4 == 0, "tiny").alias("reason"))
 
 
 _FIRST = "(SELECT photo_id, arg_min(source_path, path_id) AS path FROM paths GROUP BY 1) f JOIN photos ON id = photo_id"
-_BUCKET = "CASE WHEN L % 101 >= 70 THEN 'high' WHEN L % 101 >= 40 THEN 'medium' ELSE 'low' END"
-R.add("s18_bucket_plan", lambda c: legacy.bucket_plan(_scored(c)), rf"SELECT photo_id, path AS src, {_BUCKET} AS bucket, concat('images/', {_BUCKET}, '/', photo_id, lower(regexp_extract(path, '\.[^.]+$'))) AS dest FROM {_FIRST}", "paths", "photos")
+_BUCKET = "CASE WHEN L % 101 >= 70 THEN 'high_confidence' WHEN L % 101 >= 40 THEN 'medium_confidence' ELSE 'low_confidence' END"
+R.add("s18_bucket_plan", lambda c: legacy.bucket_plan(_scored(c)), rf"SELECT photo_id, path AS src, {_BUCKET} AS bucket, concat('images/', {_BUCKET}, '/', photo_id, regexp_extract(path, '\.[^.]+$')) AS dest FROM {_FIRST}", "paths", "photos")
 R.add("s19_move_plan", lambda c: legacy.move_plan(_scored(c)), f"SELECT photo_id, path AS src, concat('filtered/tiny/', {_BUCKET}, '/', split_part(path, '/', -1)) AS dest FROM {_FIRST} WHERE L % 4 = 0", "paths", "photos")
 R.add(
     "s20_export_names",
@@ -222,4 +280,53 @@ R.add(
 )
 R.add("x30_same_bytes", lambda c: legacy.same_pixels(c.table("documents").selectExpr("doc_id AS id", "encode(coalesce(text, ''), 'UTF-8') AS content")), "SELECT m.id_1, d.doc_id AS id_2 FROM documents d JOIN (SELECT coalesce(text, '') AS t, min(doc_id) AS id_1 FROM documents GROUP BY 1) m ON m.t = coalesce(d.text, '') WHERE m.id_1 < d.doc_id")
 
+
+
+def _pictures(c):
+    """Contents in the shape of binaryFile: PNG headers with sizes, TIFF directories with a camera's name, and other bytes."""
+    number = lambda n, digits: F.unhex(F.lpad(F.hex(n), digits, "0"))
+    png = F.concat(F.unhex(F.lit("89504E470D0A1A0A0000000D49484452")), number(F.col("page_id") % 4096, 8), number(F.length("url"), 8))
+    make = F.concat(F.lit(" Maker "), F.col("page_id").cast("string"), F.lit("  "))
+    tiff = F.concat(F.unhex(F.lit("49492A0008000000" + "0100" + "0F010200")), number(F.length(make) + 1, 2), F.unhex(F.lit("000000" + "1A000000" + "00000000")), F.encode(make, "UTF-8"), F.unhex(F.lit("00")))
+    content = F.when(F.col("page_id") % 3 == 0, png).when(F.col("page_id") % 3 == 1, tiff).otherwise(F.encode("html", "UTF-8"))
+    pages = c.table("pages")
+    return pages.select(F.concat(F.lit("/in/"), F.col("page_id").cast("string")).alias("source_path"), F.col("page_id").cast("string").alias("filename"), F.lit(None).cast("timestamp").alias("mtime"), F.lit(0).cast("long").alias("file_size"), content.alias("content"))
+
+
+R.add(
+    "s4_s7_described_files",
+    lambda c: ingest.describe_files(_pictures(c)).select("source_path", "mime_type", "width", "height", "exif_make", "exif_model"),
+    "SELECT '/in/' || page_id AS source_path, CASE page_id % 3 WHEN 0 THEN 'image/png' ELSE 'image/tiff' END AS mime_type, CASE page_id % 3 WHEN 0 THEN page_id % 4096 END AS width, CASE page_id % 3 WHEN 0 THEN CAST(length(url) AS BIGINT) END AS height, CASE page_id % 3 WHEN 1 THEN 'Maker ' || page_id END AS exif_make, CAST(NULL AS VARCHAR) AS exif_model FROM pages WHERE page_id % 3 < 2",
+)
+R.add("s1_s8_scanned_files", lambda c: ingest.scan_files(c.spark, c.dir).select("filename", "file_size", F.col("mtime").isNotNull().alias("timed")))
+
+
+def _config(c):
+    """Cells as a threshold file holds them, written and read back."""
+    cells = c.bare.selectExpr("L % 2 = 0 AS even", "concat(CAST(20 + L % 50 AS STRING), ',', CAST(L % 15 AS STRING)) AS cell").distinct()
+    lists = cells.agg(F.collect_list(F.when(F.col("even"), F.col("cell"))).alias("complete"), F.collect_list(F.when(~F.col("even"), F.col("cell"))).alias("single"))
+    path = new_path(c.spark, "thresholds")
+    lists.write.json(path)
+    return legacy.read_boundaries(c.spark, path)
+
+
+R.add("s16_thresholds", _config, "SELECT DISTINCT CASE WHEN L % 2 = 0 THEN 'complete' ELSE 'single' END AS kind, concat(CAST(20 + L % 50 AS STRING), ',', CAST(L % 15 AS STRING)) AS cell FROM photos", "photos")
+
+
+def _table_file(c):
+    path = new_path(c.spark, "rows")
+    ingest.write_tsv(c.bare.select("id", "exif_make", "L"), path)
+    return c.spark.read.text(path).filter("value <> 'id\texif_make\tL'").select(F.col("value").alias("line"))
+
+
+R.add("s21_table_file", _table_file, r"SELECT id || chr(9) || coalesce(exif_make, '') || chr(9) || L AS line FROM photos", "photos")
+
+
+def _ledger(c):
+    counted = c.small("decisions").groupBy(F.col("rule_name").alias("stage")).agg(F.count(F.lit(1)).alias("photo_count")).withColumn("notes", F.lit(None).cast("string"))
+    return legacy.record_stage(legacy.record_stage(counted, "TINY_ICON", 7, "again"), "export", 1)
+
+
+R.add("f7_stage_ledger", _ledger, "SELECT rule_name AS stage, count(*) AS photo_count, CAST(NULL AS VARCHAR) AS notes FROM decisions WHERE rule_name <> 'TINY_ICON' GROUP BY 1 UNION ALL VALUES ('TINY_ICON', 7, 'again'), ('export', 1, NULL)", "decisions")
+
 QUERIES, ORACLES = R.queries, R.oracles

@@ -119,13 +119,21 @@ def ctes() -> dict[str, str]:
         "near": f"SELECT id_1, id_2, phash_dist, dhash_dist FROM (SELECT a.id AS id_1, b.id AS id_2, {p} AS phash_dist, {d} AS dhash_dist FROM hashes a JOIN hashes b ON a.id < b.id) WHERE phash_dist <= 10 OR (phash_dist <= 12 AND dhash_dist < 22) OR (phash_dist <= 14 AND dhash_dist <= 17)",
         "reach": "SELECT id_1 AS node, id_2 AS other FROM near UNION SELECT id_2, id_1 FROM near UNION SELECT r.node, CASE WHEN n.id_1 = r.other THEN n.id_2 ELSE n.id_1 END FROM reach r JOIN near n ON n.id_1 = r.other OR n.id_2 = r.other",
         "components": "SELECT node, least(node, min(other)) AS label FROM reach GROUP BY node",
+        "near8": f"SELECT a.id AS id_1, b.id AS id_2 FROM hashes a JOIN hashes b ON a.id < b.id WHERE {p} <= 8",
+        "reach8": "SELECT id_1 AS node, id_2 AS other FROM near8 UNION SELECT id_2, id_1 FROM near8 UNION SELECT r.node, CASE WHEN n.id_1 = r.other THEN n.id_2 ELSE n.id_1 END FROM reach8 r JOIN near8 n ON n.id_1 = r.other OR n.id_2 = r.other",
+        "legacy_groups": "SELECT node AS photo_id, CAST(dense_rank() OVER (ORDER BY label) - 1 AS BIGINT) AS group_id FROM (SELECT node, least(node, min(other)) AS label FROM reach8 GROUP BY node)",
+        "unlinked": "SELECT n.*, CASE WHEN a.group_id IS NULL AND b.group_id IS NULL THEN 'both_singleton' WHEN a.group_id IS NULL OR b.group_id IS NULL THEN 'one_singleton' ELSE 'different_groups' END AS reason FROM near n LEFT JOIN members a ON a.photo_id = n.id_1 LEFT JOIN members b ON b.photo_id = n.id_2 WHERE a.group_id IS DISTINCT FROM b.group_id",
+        "bridge": "SELECT DISTINCT least(x.group_id, y.group_id) AS g1, greatest(x.group_id, y.group_id) AS g2 FROM unlinked u JOIN members x ON x.photo_id = u.id_1 JOIN members y ON y.photo_id = u.id_2 WHERE reason = 'different_groups'",
+        "group_reach": "SELECT g1 AS node, g2 AS other FROM bridge UNION SELECT g2, g1 FROM bridge UNION SELECT r.node, CASE WHEN b.g1 = r.other THEN b.g2 ELSE b.g1 END FROM group_reach r JOIN bridge b ON b.g1 = r.other OR b.g2 = r.other",
+        "merges": "SELECT node AS old, min(other) AS new FROM group_reach GROUP BY node HAVING min(other) < node",
+        "merged": "SELECT photo_id, coalesce(new, group_id) AS group_id FROM members LEFT JOIN merges ON old = group_id",
         "firsts": "SELECT label, row_number() OVER (ORDER BY label) - 1 AS group_id FROM (SELECT DISTINCT label FROM components)",
         "comp_groups": "SELECT node AS photo_id, CAST(group_id AS BIGINT) AS group_id FROM components JOIN firsts USING (label)",
     }
     return out | _TABLES
 
 
-NEEDS = {"listed": ["paths"], "inventory": ["paths"], "words": ["photos"], "hashed": ["words"], "hashes": ["hashed"], "near": ["hashes"], "reach": ["near"], "components": ["reach"], "firsts": ["components"], "comp_groups": ["components", "firsts"]} | {t: ["photos"] for t in _TABLES}
+NEEDS = {"listed": ["paths"], "inventory": ["paths"], "words": ["photos"], "hashed": ["words"], "hashes": ["hashed"], "near": ["hashes"], "reach": ["near"], "components": ["reach"], "firsts": ["components"], "comp_groups": ["components", "firsts"], "near8": ["hashes"], "reach8": ["near8"], "legacy_groups": ["reach8"], "unlinked": ["near", "members"], "bridge": ["unlinked"], "group_reach": ["bridge"], "merges": ["group_reach"], "merged": ["merges", "members"]} | {t: ["photos"] for t in _TABLES}
 
 
 def sql(body: str, *tables: str) -> str:
@@ -140,5 +148,5 @@ def sql(body: str, *tables: str) -> str:
 
     for t in tables:
         add(t)
-    recursive = "RECURSIVE " if "reach" in order else ""
+    recursive = "RECURSIVE " if {"reach", "reach8", "group_reach"} & set(order) else ""
     return f"WITH {recursive}" + ",\n".join(f"{n} AS ({ctes()[n]})" for n in order) + "\n" + body if order else body

@@ -16,7 +16,6 @@ from twinfold.sources.scratch import stored
 R = Registry()
 _DIST = "CAST(bit_count(xor(a.{x}_hi, b.{x}_hi)) + bit_count(xor(a.{x}_lo, b.{x}_lo)) AS INT)"
 _P, _D = _DIST.format(x="p"), _DIST.format(x="d")
-#: A pair table on a part of the photos that plain arithmetic names; the summary and heatmaps take all of them.
 _SAME = "CASE WHEN ma.group_id = mb.group_id THEN 1 ELSE 0 END"
 
 
@@ -76,19 +75,28 @@ R.add(
     f"SELECT {_P} AS phash_dist, {_D} AS dhash_dist, count(*) AS pairs FROM hashes a JOIN hashes b ON a.id < b.id WHERE a.id NOT IN (SELECT photo_id FROM members) AND b.id NOT IN (SELECT photo_id FROM members) GROUP BY 1, 2", "hashes", "members",
 )
 R.add("g1_components", lambda c: connected_components(S.similar_pairs(c.hashes), "id_1", "id_2"), "SELECT node, label FROM components", "components")
-R.add("g11_component_groups", lambda c: G.component_groups(_near(c)), "SELECT * FROM comp_groups", "comp_groups")
+R.add("g1_component_groups", lambda c: G.component_groups(_near(c)), "SELECT * FROM comp_groups", "comp_groups")
+R.add("g11_legacy_groups", lambda c: G.legacy_groups(c.hashes), "SELECT * FROM legacy_groups", "legacy_groups")
 R.add("g2_complete_linkage", lambda c: K.complete_linkage(_near(c)))
-R.add("g2_violations", lambda c: _violations(c), "SELECT CAST(0 AS BIGINT) AS violations")
+R.add(
+    "g2_violations",
+    lambda c: _violations(c),
+    "SELECT count(*) AS photos, CAST(0 AS BIGINT) AS violations, CAST(0 AS BIGINT) AS unmerged FROM (SELECT id_1 FROM near UNION SELECT id_2 FROM near)", "near",
+)
 R.add("g5_primary_groups", lambda c: G.primary_groups(_near(c)))
 
 
 def _violations(c):
-    """Pairs inside one cluster that aren't similar: none, whatever the data."""
+    """photos clustered; pairs inside one cluster that aren't similar; pairs of clusters that could still merge."""
     near = _near(c)
     clusters = stored(K.complete_linkage(near), "clusters")
-    one, two = clusters.toDF("id_1", "cluster_id"), clusters.toDF("id_2", "cluster_id")
-    inside = one.join(two, "cluster_id").filter("id_1 < id_2")
-    return inside.join(near, ["id_1", "id_2"], "left_anti").agg(F.count(F.lit(1)).alias("violations"))
+    one, two = clusters.toDF("id_1", "c1"), clusters.toDF("id_2", "c2")
+    inside = one.join(two, F.col("c1") == F.col("c2")).filter("id_1 < id_2")
+    bad = inside.join(near, ["id_1", "id_2"], "left_anti").agg(F.count(F.lit(1)).alias("violations"))
+    sizes = clusters.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    links = near.join(one, "id_1").join(two, "id_2").filter("c1 <> c2").groupBy(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).agg(F.count(F.lit(1)).alias("links"))
+    whole = links.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").filter("links = n_a * n_b").agg(F.count(F.lit(1)).alias("unmerged"))
+    return G.beside(clusters.agg(F.count(F.lit(1)).alias("photos")), bad, whole)
 
 
 _MM = "FROM near n LEFT JOIN members a ON a.photo_id = n.id_1 LEFT JOIN members b ON b.photo_id = n.id_2"
@@ -104,9 +112,37 @@ def _unlinked(c):
 R.add("g6_unlinked_pairs", _unlinked, _UNLINKED, *_UT)
 _BRIDGE = f"SELECT least(x.group_id, y.group_id) AS g1, greatest(x.group_id, y.group_id) AS g2, count(*) AS bridges FROM ({_UNLINKED}) u JOIN members x ON x.photo_id = u.id_1 JOIN members y ON y.photo_id = u.id_2 WHERE reason = 'different_groups' GROUP BY 1, 2 HAVING count(*) >= 1"
 R.add("j6_bridges", lambda c: G.bridges(_unlinked(c), c.small("members"), 1), _BRIDGE, *_UT)
-R.add("a8_bridges_having", lambda c: G.bridges(_unlinked(c), c.small("members"), 2), _BRIDGE.replace(">= 1", ">= 2"), *_UT)
-R.add("g7_merge_map", lambda c: G.merge_map(G.bridges(_unlinked(c), c.small("members"), 1)))
-R.add("g8_merged_groups", lambda c: G.merge_by_bridges(_unlinked(c), c.small("members"), 1)[0])
+
+
+def _wide_unlinked(c):
+    """Pairs at the middle of the distance range that lie in different groups, so that many groups have many bridges."""
+    hashed = stored(c.hashes.filter("phash is not null").select("id", "phash"), "hashed")
+    dist = X.hamming(F.col("a_phash"), F.col("b_phash"))
+    pairs = S.block_join(hashed, "id", lambda a, b: dist <= 28).select(F.least("a_id", "b_id").alias("id_1"), F.greatest("a_id", "b_id").alias("id_2"), dist.alias("phash_dist"))
+    return stored(G.unlinked_pairs(pairs, c.small("members")), "unlinked")
+
+
+R.add(
+    "a8_bridges_having",
+    lambda c: G.bridges(_wide_unlinked(c), c.small("members")),
+    f"SELECT least(x.group_id, y.group_id) AS g1, greatest(x.group_id, y.group_id) AS g2, count(*) AS bridges FROM hashes a JOIN hashes b ON a.id < b.id JOIN members x ON x.photo_id = a.id JOIN members y ON y.photo_id = b.id WHERE {_P} <= 28 AND x.group_id <> y.group_id GROUP BY 1, 2 HAVING count(*) >= 50", "hashes", "members",
+)
+R.add("g7_merge_map", lambda c: G.merge_map(G.bridges(_unlinked(c), c.small("members"), 1)), "SELECT * FROM merges", "merges")
+R.add("g8_merged_groups", lambda c: G.merge_by_bridges(_unlinked(c), c.small("members"), 1)[0], "SELECT * FROM merged", "merged")
+R.add(
+    "a23_merge_stats",
+    lambda c: _merge_stats(c),
+    """SELECT (SELECT count(*) FROM bridge) AS pairs, (SELECT count(*) FROM merges) AS merged, (SELECT count(DISTINCT new) FROM merges) AS targets,
+    (SELECT count(*) FROM unlinked JOIN merged p ON p.photo_id = id_1 JOIN merged q ON q.photo_id = id_2 WHERE p.group_id = q.group_id) AS removed_pairs, (SELECT count(DISTINCT group_id) FROM merged) AS groups, (SELECT count(*) FROM merged) AS photos""", "merged",
+)
+
+
+def _merge_stats(c):
+    unlinked, groups = _unlinked(c), c.small("members")
+    pairs = stored(G.bridges(unlinked, groups, 1), "bridges")
+    return G.merge_stats(pairs, unlinked, groups)
+
+
 R.add("j8_still_unlinked", lambda c: G.still_unlinked(_unlinked(c), c.small("second")), f"SELECT u.* FROM ({_UNLINKED}) u WHERE NOT EXISTS (SELECT 1 FROM second p, second q WHERE p.photo_id = u.id_1 AND q.photo_id = u.id_2 AND p.group_id = q.group_id)", *_UT, "second")
 R.add(
     "a9_bridge_report",
@@ -151,8 +187,8 @@ _CELL = "SELECT CASE WHEN L % 2 = 0 THEN 'complete' ELSE 'single' END AS kind, c
 _LIMIT = f"SELECT kind, CAST(split_part(cell, ',', 2) AS INT) AS colorhash_dist, max(CAST(split_part(cell, ',', 1) AS INT)) AS max_phash16 FROM ({_CELL}) GROUP BY 1, 2"
 
 
-def _limits(c, kind=None):
-    cells = c.bare.selectExpr("CASE WHEN L % 2 = 0 THEN 'complete' ELSE 'single' END AS kind", "concat(CAST(20 + L % 50 AS STRING), ',', CAST(L % 15 AS STRING)) AS cell")
+def _limits(c, kind=None, least=20):
+    cells = c.bare.selectExpr("CASE WHEN L % 2 = 0 THEN 'complete' ELSE 'single' END AS kind", f"concat(CAST({least} + L % 50 AS STRING), ',', CAST(L % 15 AS STRING)) AS cell")
     found = G.boundary(cells)
     return found if kind is None else found.filter(F.col("kind") == kind)
 
@@ -167,7 +203,9 @@ def _zone(c):
 
 
 R.add("x6_review_zone", _zone, _ZONE, "photos")
-R.add("j11_pairs_in_zone", lambda c: G.pairs_in_zone(S.all_pairs(_wide(c)), _zone(c)).select("photo_id_1", "photo_id_2", "phash16_dist", "colorhash_dist"), f"SELECT photo_id_1, photo_id_2, phash16_dist, colorhash_dist FROM ({_WIDE}) p JOIN ({_ZONE}) z USING (colorhash_dist) WHERE phash16_dist BETWEEN lo AND hi", "hashes", "members")
+#: A zone where distances are common: limits of 70 to 119 against 50 to 99.
+_FAR_ZONE = _ZONE.replace(f"({_LIMIT}) WHERE kind = 'complete'", f"({_LIMIT.replace('20 + L', '70 + L')}) WHERE kind = 'complete'").replace(f"({_LIMIT}) WHERE kind = 'single'", f"({_LIMIT.replace('20 + L', '50 + L')}) WHERE kind = 'single'")
+R.add("j11_pairs_in_zone", lambda c: G.pairs_in_zone(S.all_pairs(_wide(c)), G.review_zone(_limits(c, "complete", 70), _limits(c, "single", 50))).select("photo_id_1", "photo_id_2", "phash16_dist", "colorhash_dist"), f"SELECT photo_id_1, photo_id_2, phash16_dist, colorhash_dist FROM ({_WIDE}) p JOIN ({_FAR_ZONE}) z USING (colorhash_dist) WHERE phash16_dist BETWEEN lo AND hi", "hashes", "members")
 
 
 def _second(c):

@@ -128,8 +128,11 @@ def date_sources(rows: DataFrame) -> DataFrame:
 
 
 def import_hashes(photos: DataFrame, other: DataFrame) -> DataFrame:
-    """photos with perceptual_hash filled in from another catalog where it is missing; dhash stays as it is."""
-    theirs = other.filter("perceptual_hash is not null").select(F.col("id").alias("__id"), F.col("perceptual_hash").alias("__hash")).distinct()
+    """photos with perceptual_hash filled in from another catalog where it is missing; dhash stays as it is.
+
+    Where the other catalog has several for an id, the smallest counts.
+    """
+    theirs = other.groupBy(F.col("id").alias("__id")).agg(F.min("perceptual_hash").alias("__hash"))
     joined = photos.join(theirs, photos["id"] == theirs["__id"], "left")
     return joined.withColumn("perceptual_hash", F.coalesce("perceptual_hash", "__hash")).drop("__id", "__hash")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,14 +12,18 @@ from twinfold.functions import exprs as X
 from twinfold.operators.curate import upsert
 
 
+#: Dates in file names, in the order in which they are tried.
+DATE_PATTERNS = (r"(\d{4})(\d{2})(\d{2})[_-]?(\d{2})(\d{2})(\d{2})", r"(\d{4})(\d{2})(\d{2})", r"(\d{4})-(\d{2})-(\d{2})", r"^(\d{4})(\d{2})(\d{2})")
+
+
 def legacy_filename_date(name: Column) -> Column:
-    """The first of four patterns that holds a real date: year month day run together, with dashes, dots or underscores."""
+    """The time in a file name, by the first pattern whose leftmost match is a real one from 1990 to 2030."""
     tries = []
-    for sign in ("", "-", r"\.", "_"):
-        pattern = rf"((?:19|20)\d{{2}}){sign}(\d{{2}}){sign}(\d{{2}})"
-        y, m, d = (F.regexp_extract(name, pattern, k) for k in (1, 2, 3))
-        iso = F.concat_ws("-", y, m, d)
-        tries.append(F.when((y != "") & F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).isNotNull(), iso))
+    for pattern in DATE_PATTERNS:
+        y, mo, d, *clock = (F.regexp_extract(name, pattern, k) for k in range(1, 1 + pattern.count("(")))
+        iso = F.concat(F.concat_ws("-", y, mo, d), F.lit("T"), F.concat_ws(":", *clock) if clock else F.lit("00:00:00"))
+        real = F.try_to_timestamp(iso, F.lit("yyyy-MM-dd'T'HH:mm:ss")).isNotNull()
+        tries.append(F.when(y.between(str(D.FIRST_YEAR), str(D.LAST_YEAR)) & real, iso))
     return F.coalesce(*tries)
 
 
@@ -28,23 +34,27 @@ def legacy_date(exif: Column, name: Column, mtime: Column) -> Column:
     return F.struct(F.coalesce(taken, named, F.date_format(mtime, "yyyy-MM-dd'T'HH:mm:ss")).alias("date_taken"), source.alias("date_source"))
 
 
-def is_thumbnail_legacy(path: Column, width: Column, height: Column) -> Column:
-    """By folder, by name, or by being smaller than 200 either way."""
-    low = F.lower(path)
-    small = (F.coalesce(width, F.lit(200)) < 200) & (F.coalesce(height, F.lit(200)) < 200)
-    return low.rlike("/thumbnails?/|/thumbs/|/cache/") | F.lower(X.basename(path)).rlike("^thumb_|_thumb[.]") | small
+#: Folders and parts of names that the first generation takes for thumbnails.
+THUMB_FOLDERS = ("/thumbnails/", "/previews/", "/thumb/", "/.thumbnails/", "/cache/", "/.cache/")
+THUMB_PARTS = ("_thumb", "_1024.", "_512.")
+
+
+def is_thumbnail_legacy(path: Column) -> Column:
+    """By folder or by name."""
+    low, name = F.lower(path), F.lower(X.basename(path))
+    return reduce(Column.__or__, [low.contains(x) for x in THUMB_FOLDERS] + [name.contains(x) for x in THUMB_PARTS] + [name.startswith("thumb_")])
 
 
 def bucket_plan(photos: DataFrame, root: str = "images") -> DataFrame:
     """photo_id, src, bucket, dest: where each picture goes by its score; photos need id, path, score."""
-    bucket = X.confidence_bucket(F.col("score"))
-    end = F.lower(X.suffix(F.col("path")))
+    bucket = X.bucket_folder(F.col("score"))
+    end = X.suffix(F.col("path"))
     return photos.select(F.col("id").alias("photo_id"), F.col("path").alias("src"), bucket.alias("bucket"), F.concat(F.lit(root + "/"), bucket, F.lit("/"), F.col("id"), F.when(end != "", end).otherwise(".jpg")).alias("dest"))
 
 
 def move_plan(photos: DataFrame, root: str = "filtered") -> DataFrame:
     """photo_id, src, dest of pictures with a reason to go: filtered/reason/bucket/name. Making it true is make_links' work."""
-    dest = F.concat_ws("/", F.lit(root), "reason", X.confidence_bucket(F.col("score")), X.basename(F.col("path")))
+    dest = F.concat_ws("/", F.lit(root), "reason", X.bucket_folder(F.col("score")), X.basename(F.col("path")))
     return photos.filter("reason is not null").select(F.col("id").alias("photo_id"), F.col("path").alias("src"), dest.alias("dest"))
 
 
