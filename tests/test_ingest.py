@@ -83,7 +83,8 @@ def test_stage_ledger(spark):
 def test_rule_order_and_edges(spark):
     cases = [("t1", ["/x/tor/Pictures/2013/03/03/minecraft.png"], 100, 100, "FATHER_IN_LAW"), ("t2", ["/a/MINECRAFT/x"], 1, 1, "MINECRAFT_TEXTURE"), ("t3", ["/a/x.jpg"], 70, 71, "TINY_ICON"), ("t4", ["/a/x.jpg"], 50, 100, None), ("t5", ["/a/x.jpg"], None, None, "TINY_ICON"), ("t6", ["/l/modelresources/x.jpg"], 450, 500, "FACE_CROP"), ("t7", ["/l/modelresources/x.jpg"], 110, 100, None), ("t8", ["/l/modelresources/x.jpg"], 501, 500, None), ("t9", ["/20140223-155504/001_1024.jpg"], 900, 900, "STOCK_GREETING"), ("ta", ["/iChat Icons/x.gif"], 199, 199, "ICHAT_ICON"), ("tb", ["/iChat Icons/x.gif"], 200, 199, None)]
     photos = spark.createDataFrame([(k, p, w, h, False) for k, p, w, h, _ in cases], "id string, paths array<string>, width int, height int, companion boolean")
-    got = {r["id"]: r["m"] and r["m"]["rule_name"] for r in photos.select("id", rules.first_match(rules.individual_rules()).alias("m")).collect()}
+    every = rules.individual_rules()
+    got = {r["id"]: r["m"] and r["m"]["rule_name"] for r in photos.select("id", rules.first_match(every, F.aggregate("paths", F.lit(0).cast("long"), lambda acc, p: acc.bitwiseOR(rules.path_flags(p, every)))).alias("m")).collect()}
     assert got == {c[0]: c[-1] for c in cases}
 
 

@@ -86,10 +86,6 @@ def any_contains(paths: Column, *needles: str) -> Column:
     return F.exists(paths, lambda p: reduce(Column.__or__, [F.contains(F.lower(p), F.lit(n.lower())) for n in needles]))
 
 
-def any_matches(paths: Column, *patterns: str) -> Column:
-    return F.exists(paths, lambda p: reduce(Column.__or__, [p.rlike(f"(?i){x}") for x in patterns]))
-
-
 def is_thumbnail(path: Column) -> Column:
     low = F.lower(path)
     return low.contains("/thumbnails/") | low.startswith("thumb_") | basename(low).startswith("thumb_")

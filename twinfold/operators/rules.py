@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,50 +12,72 @@ from pyspark.sql import functions as F
 from twinfold.functions import exprs as X
 
 
+PathTest = Callable[[Column], Column]
+
+
 @dataclass(frozen=True)
 class Rule:
+    """Holds when, for one of its cases, some path passes the test (None: whatever the paths) and the condition on the photo holds."""
+
     name: str
     decision: str
-    when: Column
+    cases: list[tuple[PathTest | None, Column | None]]
 
 
-def _longest_side() -> Column:
-    return F.greatest(F.coalesce("width", F.lit(0)), F.coalesce("height", F.lit(0)))
+def _holding(*needles: str) -> PathTest:
+    """The path holds one of the needles, whatever the case."""
+    return lambda p: reduce(Column.__or__, [F.contains(F.lower(p), F.lit(n.lower())) for n in needles])
 
 
 def individual_rules() -> list[Rule]:
     """Separations first, then rejections, each in its fixed order.
 
-    They read paths (array of string), width, height and companion (a web page stands beside its _files folder).
+    Conditions on photos read width, height and companion (a web page stands beside its _files folder).
     """
-    p = F.col("paths")
     w, h = F.coalesce("width", F.lit(0)), F.coalesce("height", F.lit(0))
-    small_face = X.any_contains(p, "/modelresources/") & (_longest_side() <= 500) & (w != 0) & (h != 0) & (F.abs(w.cast("double") / F.nullif(h, F.lit(0)) - 1.0) <= F.lit(0.1))
-    greeting = F.exists(p, lambda x: x.contains("20140223-155504") & F.regexp_replace(X.stem(x), "_1024", "").rlike(r"^[0-9]{3}$"))
-    video = F.exists(p, lambda x: F.upper(X.basename(x)).startswith("MVI_") | F.upper(X.basename(x)).endswith(".THM"))
+    longest = F.greatest(w, h)
+    small_square = (longest <= 500) & (w != 0) & (h != 0) & (F.abs(w.cast("double") / F.nullif(h, F.lit(0)) - 1.0) <= F.lit(0.1))
+    greeting = lambda p: p.contains("20140223-155504") & F.regexp_replace(X.stem(p), "_1024", "").rlike(r"^[0-9]{3}$")
+    video = lambda p: F.upper(X.basename(p)).startswith("MVI_") | F.upper(X.basename(p)).endswith(".THM")
     return [
-        Rule("FATHER_IN_LAW", "separate", X.any_matches(p, "/tor/Pictures/2013/03/03/", "/Thumbnails/2013/03/03/") | X.any_contains(p, "/Tor's childhood/")),
-        Rule("PHOTOBOOTH", "separate", X.any_contains(p, "Photo Booth Library/Originals/", "Photo Booth Library/Pictures/")),
-        Rule("HUE_ANIMATION", "separate", X.any_contains(p, "HUE Animation")),
-        Rule("MINECRAFT_TEXTURE", "reject", X.any_contains(p, "minecraft")),
-        Rule("ICHAT_ICON", "reject", X.any_contains(p, "/iChat Icons/", "/Messages/", "/Skype/") & (_longest_side() < 200)),
-        Rule("WEB_ASSET", "reject", F.coalesce("companion", F.lit(False))),
-        Rule("FACE_CROP", "reject", F.exists(p, lambda x: F.lower(X.stem(x)).contains("_face")) | small_face),
-        Rule("STOCK_GREETING", "reject", greeting),
-        Rule("FLAG_ICON", "reject", X.any_contains(p, "20121223-175144")),
-        Rule("FLIP_VIDEO_THUMB", "reject", X.any_contains(p, "/FlipShare Data/Previews/", "/My Flip Video Prefs/")),
-        Rule("VIDEO_THUMBNAIL", "reject", video),
-        Rule("APP_RESOURCE", "reject", X.any_contains(p, ".app/Contents/")),
-        Rule("TRASHES", "reject", X.any_contains(p, "/.Trashes/")),
-        Rule("TINY_ICON", "reject", w.cast("long") * h < 5000),
+        Rule("FATHER_IN_LAW", "separate", [(_holding("/tor/Pictures/2013/03/03/", "/Thumbnails/2013/03/03/", "/Tor's childhood/"), None)]),
+        Rule("PHOTOBOOTH", "separate", [(_holding("Photo Booth Library/Originals/", "Photo Booth Library/Pictures/"), None)]),
+        Rule("HUE_ANIMATION", "separate", [(_holding("HUE Animation"), None)]),
+        Rule("MINECRAFT_TEXTURE", "reject", [(_holding("minecraft"), None)]),
+        Rule("ICHAT_ICON", "reject", [(_holding("/iChat Icons/", "/Messages/", "/Skype/"), longest < 200)]),
+        Rule("WEB_ASSET", "reject", [(None, F.coalesce("companion", F.lit(False)))]),
+        Rule("FACE_CROP", "reject", [(lambda p: F.lower(X.stem(p)).contains("_face"), None), (_holding("/modelresources/"), small_square)]),
+        Rule("STOCK_GREETING", "reject", [(greeting, None)]),
+        Rule("FLAG_ICON", "reject", [(_holding("20121223-175144"), None)]),
+        Rule("FLIP_VIDEO_THUMB", "reject", [(_holding("/FlipShare Data/Previews/", "/My Flip Video Prefs/"), None)]),
+        Rule("VIDEO_THUMBNAIL", "reject", [(video, None)]),
+        Rule("APP_RESOURCE", "reject", [(_holding(".app/Contents/"), None)]),
+        Rule("TRASHES", "reject", [(_holding("/.Trashes/"), None)]),
+        Rule("TINY_ICON", "reject", [(None, w.cast("long") * h < 5000)]),
     ]
 
 
-def first_match(rules: list[Rule]) -> Column:
-    """struct(decision, rule_name) of the first rule that holds, else null."""
-    out = F.lit(None).cast("struct<decision:string,rule_name:string>")
+def path_flags(path: Column, rules: list[Rule]) -> Column:
+    """One bit per case, in order, that is set where the path passes its test."""
+    bits, k = [], 0
+    for rule in rules:
+        for test, _ in rule.cases:
+            if test is not None:
+                bits.append(F.when(test(path), 1 << k).otherwise(0))
+            k += 1
+    return reduce(Column.bitwiseOR, bits).cast("long")
+
+
+def first_match(rules: list[Rule], flags: Column) -> Column:
+    """struct(decision, rule_name) of the first rule that holds, else null; flags are those of all paths of the photo."""
+    out, k = F.lit(None).cast("struct<decision:string,rule_name:string>"), sum(len(r.cases) for r in rules)
     for rule in reversed(rules):
-        out = F.when(F.coalesce(rule.when, F.lit(False)), F.struct(F.lit(rule.decision).alias("decision"), F.lit(rule.name).alias("rule_name"))).otherwise(out)
+        hits = []
+        for test, condition in reversed(rule.cases):
+            k -= 1
+            parts = ([flags.bitwiseAND(F.lit(1 << k)) != 0] if test is not None else []) + ([condition] if condition is not None else [])
+            hits.append(F.coalesce(reduce(Column.__and__, parts), F.lit(False)))
+        out = F.when(reduce(Column.__or__, hits), F.struct(F.lit(rule.decision).alias("decision"), F.lit(rule.name).alias("rule_name"))).otherwise(out)
     return out
 
 
@@ -74,10 +97,16 @@ def with_paths(photos: DataFrame, paths: DataFrame) -> DataFrame:
 
 
 def decide(photos: DataFrame, paths: DataFrame, inventory: DataFrame, decided: DataFrame | None = None) -> DataFrame:
-    """photo_id, decision, rule_name for photos that a rule decides and that have no decision yet."""
+    """photo_id, decision, rule_name for photos that a rule decides and that have no decision yet.
+
+    Paths are tested one by one, and a photo gets the bits of all its paths: no list of paths is made.
+    """
+    rules = individual_rules()
     todo = photos if decided is None else photos.join(decided, photos["id"] == decided["photo_id"], "left_anti")
-    ready = with_companions(with_paths(todo, paths), paths, inventory)
-    return ready.select(F.col("id").alias("photo_id"), first_match(individual_rules()).alias("m")).filter("m is not null").select("photo_id", "m.decision", "m.rule_name")
+    flags = paths.groupBy(F.col("photo_id").alias("__photo")).agg(F.bit_or(path_flags(F.col("source_path"), rules)).alias("__flags"))
+    ready = with_companions(todo, paths, inventory)
+    ready = ready.join(flags, ready["id"] == flags["__photo"], "left").withColumn("__flags", F.coalesce("__flags", F.lit(0)))
+    return ready.select(F.col("id").alias("photo_id"), first_match(rules, F.col("__flags")).alias("m")).filter("m is not null").select("photo_id", "m.decision", "m.rule_name")
 
 
 #: The first generation's categories in order: a pattern of the path, whatever the case, or none, and a
