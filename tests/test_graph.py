@@ -7,7 +7,7 @@ import pytest
 
 from twinfold.operators.cluster import complete_linkage, link_completely, single_linkage_extend
 from twinfold.operators.components import connected_components
-from twinfold.operators.grouping import legacy_groups
+from twinfold.operators.grouping import composite_groups, legacy_groups, second_groups
 from twinfold.operators.similarity import banded_pairs, compared_pairs, sampled, sampled_pairs, similar_pairs
 from twinfold.plans import registry
 
@@ -65,7 +65,7 @@ def near(d):
     return p <= 10 or p <= 12 and q < 22 or p <= 14 and q <= 17
 
 
-def brute_linkage(distances):
+def brute_linkage(distances, ok=near):
     """The published order, spelled out: of all pairs of clusters that may merge, the closest, then the smallest numbers."""
     clusters = {n: [n] for e in distances for n in e}
     apart = lambda a, b: distances.get((min(a, b), max(a, b)))
@@ -75,7 +75,7 @@ def brute_linkage(distances):
             for b in clusters:
                 if a < b:
                     across = [apart(x, y) for x in clusters[a] for y in clusters[b]]
-                    if None not in across and all(map(near, across)):
+                    if None not in across and all(map(ok, across)):
                         best = min(x for x in (best, (max(across), a, b)) if x)
         if best is None:
             return sorted(sorted(c) for c in clusters.values())
@@ -160,6 +160,36 @@ def test_single_linkage_extension_visits_singles_once_in_order(spark):
     assert got == want
 
 
+def test_second_and_composite_groups(spark):
+    rng = random.Random(77)
+    n = 60
+    pairs = {(a, b): (rng.randrange(40, 100), rng.randrange(6)) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.12}
+    relaxed, strict = {k: 90 - 6 * k for k in range(4)}, {0: 60, 1: 95, 4: 99}
+    inside = lambda limits: lambda d: d[1] in limits and d[0] <= limits[d[1]]
+    near_pairs = {k: d for k, d in pairs.items() if inside(relaxed)(d)}
+    kernels = brute_linkage(near_pairs, inside(relaxed))
+    links = {k for k, d in pairs.items() if inside(strict)(d)}
+    ends = {x for k in links for x in k} - {x for c in kernels for x in c}
+    table = spark.createDataFrame([(f"{a:02d}", f"{b:02d}", *d) for (a, b), d in pairs.items()], "photo_id_1 string, photo_id_2 string, phash16_dist int, colorhash_dist int")
+    limits = lambda x: spark.createDataFrame(list(x.items()), "colorhash_dist int, max_phash16 int")
+    for isolated in (False, True):
+        clusters = [c for c in kernels if len(c) > 1]
+        singles = [c[0] for c in kernels if len(c) == 1] + (sorted(ends) if isolated else [])
+        known = {x for c in clusters for x in c} | set(singles)
+        want = {frozenset(c) for c in brute_extension(clusters, singles, {k for k in links if set(k) <= known}).values() if len(c) > 1}
+        second = second_groups(table, limits(relaxed), limits(strict), include_isolated=isolated)
+        rows = second.collect()
+        assert {frozenset(int(x) for x in c) for c in groups_of(second)} == want
+        order = sorted({r["group_id"]: min(x["photo_id"] for x in rows if x["group_id"] == r["group_id"]) for r in rows}.items())
+        assert [g for g, _ in order] == list(range(len(want))) and [f for _, f in order] == sorted(f for _, f in order)
+    first = [(f"{k:02d}", k % 23) for k in range(0, n, 2)]
+    kept = [f"{k:02d}" for k in range(n) if k % 5]
+    both = [(a, b) for a in kept for b in kept if a < b and (dict(first).get(a), True) == (dict(first).get(b, -1), True)]
+    both += [(min(f"{x:02d}" for x in c), f"{y:02d}") for c in want for y in c]
+    composite = composite_groups(spark.createDataFrame(first, "photo_id string, group_id int"), second, spark.createDataFrame([(k,) for k in kept], "id string"))
+    assert groups_of(composite) == {frozenset(c) for c in brute_components([b for b in both if b[0] != b[1]]).values()}
+
+
 def groups_of(df):
     out = {}
     for r in df.collect():
