@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.operators.cluster import complete_linkage, single_linkage_extend
 from twinfold.operators.components import connected_components
+from twinfold.operators.ordering import numbered_rows
 from twinfold.operators.similarity import banded_pairs
 from twinfold.sources.scratch import stored
 
 
 def numbered(clusters: DataFrame, min_size: int = 2) -> DataFrame:
-    """photo_id, group_id from clusters (photo_id, cluster_id): sizes from min_size, numbers by smallest member.
-
-    Only one row per group is sorted as a whole.
-    """
+    """photo_id, group_id from clusters (photo_id, cluster_id): sizes from min_size, numbers by smallest member."""
     groups = clusters.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"), F.min("photo_id").alias("first")).filter(F.col("size") >= min_size)
-    ids = groups.select("cluster_id", (F.row_number().over(Window.orderBy("first")) - 1).cast("long").alias("group_id"))
+    ids = numbered_rows(groups.select("cluster_id", "first"), "first", "group_id").select("cluster_id", "group_id")
     return clusters.join(ids, "cluster_id").select("photo_id", "group_id")
 
 
@@ -130,8 +128,8 @@ def second_groups(pairs: DataFrame, relaxed: DataFrame, strict: DataFrame, inclu
     """
     near = within(pairs, relaxed).select(F.col("photo_id_1").alias("id_1"), F.col("photo_id_2").alias("id_2"), "phash16_dist", "colorhash_dist")
     kernels = complete_linkage(near, keys=("phash16_dist", "colorhash_dist"))
-    size = F.count(F.lit(1)).over(Window.partitionBy("cluster_id"))
-    members = kernels.withColumn("n", size).select("photo_id", F.when(F.col("n") > 1, F.col("cluster_id")).alias("cluster_id"))
+    sizes = kernels.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    members = kernels.join(sizes, "cluster_id").select("photo_id", F.when(F.col("n") > 1, F.col("cluster_id")).alias("cluster_id"))
     tight = within(pairs, strict).select(F.col("photo_id_1").alias("id_1"), F.col("photo_id_2").alias("id_2"))
     if include_isolated:
         ends = tight.select(F.col("id_1").alias("photo_id")).unionByName(tight.select(F.col("id_2").alias("photo_id"))).distinct()
@@ -147,8 +145,8 @@ def composite_groups(primary: DataFrame, second: DataFrame, kept: DataFrame) ->
     live = primary.join(kept.select(F.col("id").alias("photo_id")), "photo_id", "left_semi")
 
     def star(groups: DataFrame) -> DataFrame:
-        hub = F.min("photo_id").over(Window.partitionBy("group_id"))
-        return groups.select(F.col("photo_id").alias("src"), hub.alias("dst"))
+        hubs = groups.groupBy("group_id").agg(F.min("photo_id").alias("dst"))
+        return groups.join(hubs, "group_id").select(F.col("photo_id").alias("src"), "dst")
 
     labels = connected_components(star(live).unionByName(star(second)))
     return numbered(labels.select(F.col("node").alias("photo_id"), F.col("label").alias("cluster_id")))

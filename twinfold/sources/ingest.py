@@ -6,11 +6,12 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinfold.functions import dates as D
 from twinfold.functions import exprs as X
+from twinfold.operators.ordering import numbered_rows
 
 #: Names that operating systems leave behind.
 SKIP_NAMES = (".DS_Store", "Thumbs.db", "desktop.ini", ".picasa.ini")
@@ -90,18 +91,9 @@ def photos_of(rows: DataFrame, known_photos: DataFrame | None = None) -> DataFra
 
 
 def numbered_paths(rows: DataFrame, start: int = 0) -> DataFrame:
-    """path_id, photo_id, source_path, filename, mtime; path_id counts on in the order of paths.
-
-    Counts per range of paths are added up first, so that no task sees all rows.
-    """
-    spread = rows.select(F.col("id").alias("photo_id"), "source_path", "filename", "mtime").repartitionByRange("source_path").withColumn("part", F.spark_partition_id())
-    from twinfold.sources.scratch import stored
-
-    fixed = stored(spread, "paths")
-    sizes = fixed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
-    turn = F.row_number().over(Window.partitionBy("part").orderBy("source_path"))
-    return fixed.join(before, "part").select((F.lit(start) + F.col("before") + turn).alias("path_id"), "photo_id", "source_path", "filename", "mtime")
+    """path_id, photo_id, source_path, filename, mtime; path_id counts on from start in the order of paths."""
+    named = rows.select(F.col("id").alias("photo_id"), "source_path", "filename", "mtime")
+    return numbered_rows(named, "source_path", "path_id", start + 1).select("path_id", "photo_id", "source_path", "filename", "mtime")
 
 
 def date_sources(rows: DataFrame) -> DataFrame:
