@@ -114,3 +114,21 @@ def test_null_texts_in_the_catalog(spark, tmp_path):
     assert c.bare.count() == 2 and c.paths.count() == 4
     assert sorted((r["phash"] is None) for r in c.hashes.collect()) == [False, True]
     assert c.hashes.select(X.long_to_hex(F.col("phash")).alias("h")).filter("h is not null").first()["h"].__len__() == 16
+
+
+def test_selections_are_tables_or_lists(spark):
+    groups = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1), ("d", 2)], "photo_id string, group_id long")
+    rejections = spark.createDataFrame([("a", 1, "THUMBNAIL")], "photo_id string, group_id long, rule_name string")
+    log = spark.createDataFrame([], curate.LOG)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    for picked in (["b", "a"], spark.createDataFrame([("b",), ("a",), ("b",)], "photo_id string")):
+        parts, done = curate.split(groups, log, 1, picked)
+        assert rows(parts) == [("a", 3), ("b", 3), ("c", 1), ("d", 2)] and sorted(done.first()["photo_ids"]) == ["a", "b"]
+        refused, done = curate.reject(rejections, done, 1, picked)
+        assert rows(refused) == [("a", 1, "THUMBNAIL"), ("b", 1, "MANUAL")] and done.count() == 2
+        same, accepted, left = curate.undo(parts, refused, done)
+        assert rows(accepted) == rows(rejections) and rows(same) == rows(parts) and left.count() == 1
+        back, _, none = curate.undo(same, accepted, left)
+        assert rows(back) == rows(groups) and none.count() == 0
+        assert rows(curate.keep_selection(groups, 1, picked)) == [("c", 1)]
+        assert rows(curate.split_composite(groups, 1, picked)) == [("a", 3), ("b", 3), ("d", 2)]

@@ -1,8 +1,8 @@
 """Curation as functions from tables to tables: split, merge, reject, undo, marks. Nothing is changed in place.
 
 Membership tables are (photo_id, group_id); the action log is (action_id, action_type, source_group_id,
-photo_ids, new_group_id). Single actions concern a few rows that a person picked, so their ids are given as
-Python values.
+photo_ids, new_group_id). Selections of photos are tables with a column photo_id, of any size, or lists of ids;
+they are joined, and never pass through the driver. The log lists an action's photos in one row, as published.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+Selection = DataFrame | list[str]
+
 LOG = "action_id long, action_type string, source_group_id long, photo_ids array<string>, new_group_id long"
 
 
@@ -17,34 +19,51 @@ def next_group_id(groups: DataFrame) -> int:
     return groups.agg((F.coalesce(F.max("group_id"), F.lit(0)) + 1).cast("long").alias("n")).first()["n"]
 
 
-def logged(log: DataFrame, action: str, source: int, photo_ids: list[str], new: int | None = None) -> DataFrame:
+def selection(table: DataFrame, picked: Selection) -> DataFrame:
+    """photo_id, once each."""
+    if not isinstance(picked, DataFrame):
+        picked = table.sparkSession.createDataFrame([(p,) for p in picked], "photo_id string")
+    return picked.select("photo_id").distinct()
+
+
+def flagged(groups: DataFrame, picked: Selection) -> DataFrame:
+    """groups plus chosen: whether the selection holds the photo."""
+    marks = selection(groups, picked).withColumn("chosen", F.lit(True))
+    return groups.join(marks, "photo_id", "left").withColumn("chosen", F.coalesce("chosen", F.lit(False)))
+
+
+def logged(log: DataFrame, action: str, source: int, picked: Selection, new: int | None = None) -> DataFrame:
+    """The log with one action more. A list keeps its order, a table is listed by id."""
     turn = log.agg((F.coalesce(F.max("action_id"), F.lit(0)) + 1).alias("action_id"))
-    row = turn.select("action_id", F.lit(action).alias("action_type"), F.lit(source).cast("long").alias("source_group_id"), F.array(*map(F.lit, photo_ids)).cast("array<string>").alias("photo_ids"), F.lit(new).cast("long").alias("new_group_id"))
-    return log.unionByName(row)
+    if isinstance(picked, DataFrame):
+        row = turn.withColumn("__one", F.lit(1)).join(picked.agg(F.array_sort(F.collect_set("photo_id")).alias("photo_ids")).withColumn("__one", F.lit(1)), "__one")
+    else:
+        row = turn.withColumn("photo_ids", F.array(*map(F.lit, picked)).cast("array<string>"))
+    return log.unionByName(row.select("action_id", F.lit(action).alias("action_type"), F.lit(source).cast("long").alias("source_group_id"), "photo_ids", F.lit(new).cast("long").alias("new_group_id")))
 
 
-def split(groups: DataFrame, log: DataFrame, group_id: int, photo_ids: list[str]) -> tuple[DataFrame, DataFrame]:
+def split(groups: DataFrame, log: DataFrame, group_id: int, picked: Selection) -> tuple[DataFrame, DataFrame]:
     """The photos chosen move from their group to a new one."""
     new = next_group_id(groups)
-    moved = F.col("photo_id").isin(photo_ids) & (F.col("group_id") == group_id)
-    return groups.withColumn("group_id", F.when(moved, F.lit(new)).otherwise(F.col("group_id"))), logged(log, "split", group_id, photo_ids, new)
+    moved = F.col("chosen") & (F.col("group_id") == group_id)
+    return flagged(groups, picked).select("photo_id", F.when(moved, F.lit(new)).otherwise(F.col("group_id")).alias("group_id")), logged(log, "split", group_id, picked, new)
 
 
-def split_composite(groups: DataFrame, group_id: int, photo_ids: list[str]) -> DataFrame:
+def split_composite(groups: DataFrame, group_id: int, picked: Selection) -> DataFrame:
     """Move photos out of a composite group: one alone loses its membership, and so does a remainder of one.
 
     Taking all members of the group is an error.
     """
-    size = groups.filter(F.col("group_id") == group_id).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("photo_id").isin(photo_ids)).alias("out")).first()
+    marked = flagged(groups, picked)
+    here = F.col("group_id") == group_id
+    size = marked.filter(here).agg(F.count(F.lit(1)).alias("n"), F.count_if("chosen").alias("out")).first()
     if size["out"] >= size["n"]:
         raise ValueError("a split must leave part of the group")
     new = next_group_id(groups)
-    chosen = F.col("photo_id").isin(photo_ids) & (F.col("group_id") == group_id)
-    rest = (F.col("group_id") == group_id) & ~F.col("photo_id").isin(photo_ids)
-    out = groups.filter(~rest) if size["n"] - size["out"] == 1 else groups
+    left = marked.filter(~here | F.col("chosen")) if size["n"] - size["out"] == 1 else marked
     if size["out"] == 1:
-        return out.filter(~chosen)
-    return out.withColumn("group_id", F.when(chosen, F.lit(new)).otherwise(F.col("group_id")))
+        return left.filter(~(here & F.col("chosen"))).select("photo_id", "group_id")
+    return left.select("photo_id", F.when(here & F.col("chosen"), F.lit(new)).otherwise(F.col("group_id")).alias("group_id"))
 
 
 def merge_entities(groups: DataFrame, group_ids: list[int], photo_ids: list[str]) -> tuple[DataFrame, int]:
@@ -82,27 +101,26 @@ def merge_pairwise(groups: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame
     return groups.withColumn("group_id", F.coalesce(F.try_element_at(table, F.col("group_id")), F.col("group_id")))
 
 
-def reject(rejections: DataFrame, log: DataFrame, group_id: int, photo_ids: list[str]) -> tuple[DataFrame, DataFrame]:
+def reject(rejections: DataFrame, log: DataFrame, group_id: int, picked: Selection) -> tuple[DataFrame, DataFrame]:
     """Rejections (photo_id, group_id, rule_name) with the photos added; those that are there stay as they are.
 
     The published form leaves out the group and so stores nothing; this one stores it.
     """
-    spark = rejections.sparkSession
-    fresh = spark.createDataFrame([(p, group_id, "MANUAL") for p in dict.fromkeys(photo_ids)], rejections.schema)
-    return rejections.unionByName(fresh.join(rejections, "photo_id", "left_anti")), logged(log, "reject", group_id, photo_ids)
+    fresh = selection(rejections, picked).select("photo_id", F.lit(group_id).cast(rejections.schema["group_id"].dataType).alias("group_id"), F.lit("MANUAL").alias("rule_name"))
+    return rejections.unionByName(fresh.join(rejections, "photo_id", "left_anti")), logged(log, "reject", group_id, picked)
 
 
 def undo(groups: DataFrame, rejections: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Take the last action back: split photos return, rejected ones are accepted again."""
-    last = log.orderBy(F.desc("action_id")).first()
+    last = log.orderBy(F.desc("action_id")).select("action_id", "action_type", "source_group_id", "new_group_id").first()
     if last is None:
         return groups, rejections, log
-    chosen = F.col("photo_id").isin(list(last["photo_ids"]))
-    rest = log.filter(F.col("action_id") != last["action_id"])
+    mine = F.col("action_id") == last["action_id"]
+    picked, rest = log.filter(mine).select(F.explode("photo_ids").alias("photo_id")), log.filter(~mine)
     if last["action_type"] == "split":
-        back = chosen & (F.col("group_id") == last["new_group_id"])
-        return groups.withColumn("group_id", F.when(back, F.lit(last["source_group_id"])).otherwise(F.col("group_id"))), rejections, rest
-    return groups, rejections.filter(~(chosen & (F.col("rule_name") == "MANUAL"))), rest
+        back = F.col("chosen") & (F.col("group_id") == last["new_group_id"])
+        return flagged(groups, picked).select("photo_id", F.when(back, F.lit(last["source_group_id"])).otherwise(F.col("group_id")).alias("group_id")), rejections, rest
+    return groups, flagged(rejections, picked).filter(~(F.col("chosen") & (F.col("rule_name") == "MANUAL"))).drop("chosen"), rest
 
 
 def upsert(table: DataFrame, rows: DataFrame, *key: str) -> DataFrame:
@@ -135,13 +153,13 @@ def toggle(cells: DataFrame, picked: DataFrame) -> DataFrame:
     return cells.join(picked, ["kind", "cell"], "left_anti").unionByName(picked.join(cells, ["kind", "cell"], "left_anti"))
 
 
-def keep_selection(groups: DataFrame, group_id: int, keep: list[str]) -> DataFrame:
+def keep_selection(groups: DataFrame, group_id: int, keep: Selection) -> DataFrame:
     """photo_id, group_id of the members of a group that aren't in keep; foreign ids are an error."""
     members = groups.filter(F.col("group_id") == group_id)
-    foreign = members.agg(F.array_except(F.array(*map(F.lit, keep)).cast("array<string>"), F.collect_set(F.when(F.col("photo_id").isin(keep), F.col("photo_id")))).alias("x")).first()["x"]
+    foreign = [r["photo_id"] for r in selection(groups, keep).join(members, "photo_id", "left_anti").take(3)]
     if foreign:
         raise ValueError(f"not in the group: {foreign}")
-    return members.filter(~F.col("photo_id").isin(keep))
+    return members.join(selection(groups, keep), "photo_id", "left_anti").select("photo_id", "group_id")
 
 
 def with_new_columns(table: DataFrame, **defaults: object) -> DataFrame:

@@ -11,9 +11,9 @@ R = Registry()
 _NEXT = "(SELECT coalesce(max(group_id), 0) + 1 FROM members)"
 
 
-def _pick(c, group: int, every: int) -> list[str]:
-    """Some members of one group: a person's selection."""
-    return [r["photo_id"] for r in c.small("members").filter((F.col("group_id") == group) & (F.conv(F.substring("photo_id", 1, 6), 16, 10).cast("int") % every == 0)).collect()]
+def _pick(c, group: int, every: int):
+    """Some members of one group: a person's selection, as a table."""
+    return c.small("members").filter((F.col("group_id") == group) & (F.conv(F.substring("photo_id", 1, 6), 16, 10).cast("int") % every == 0)).select("photo_id")
 
 
 _PICK = "group_id = {g} AND ('0x' || substr(photo_id, 1, 6))::INT % {e} = 0"
@@ -24,7 +24,7 @@ def _log(c):
 
 
 R.add("m1_split", lambda c: M.split(c.small("members"), _log(c), 10, _pick(c, 10, 2))[0], f"SELECT photo_id, CASE WHEN {_PICK.format(g=10, e=2)} THEN {_NEXT} ELSE group_id END AS group_id FROM members", "members")
-R.add("m1_split_log", lambda c: M.split(c.small("members"), _log(c), 10, sorted(_pick(c, 10, 2)))[1].select("action_id", "action_type", "source_group_id", F.array_join("photo_ids", ",").alias("ids"), "new_group_id"), f"SELECT CAST(1 AS BIGINT) AS action_id, 'split' AS action_type, CAST(10 AS BIGINT) AS source_group_id, string_agg(photo_id, ',' ORDER BY photo_id) AS ids, {_NEXT} AS new_group_id FROM members WHERE {_PICK.format(g=10, e=2)}", "members")
+R.add("m1_split_log", lambda c: M.split(c.small("members"), _log(c), 10, _pick(c, 10, 2))[1].select("action_id", "action_type", "source_group_id", F.array_join("photo_ids", ",").alias("ids"), "new_group_id"), f"SELECT CAST(1 AS BIGINT) AS action_id, 'split' AS action_type, CAST(10 AS BIGINT) AS source_group_id, string_agg(photo_id, ',' ORDER BY photo_id) AS ids, {_NEXT} AS new_group_id FROM members WHERE {_PICK.format(g=10, e=2)}", "members")
 R.add("m2_split_composite", lambda c: M.split_composite(c.small("members"), 20, _pick(c, 20, 2)), f"""SELECT photo_id, CASE WHEN {_PICK.format(g=20, e=2)} THEN {_NEXT} ELSE group_id END AS group_id FROM members CROSS JOIN (SELECT count(*) AS n, count(*) FILTER ({_PICK.format(g=20, e=2)}) AS gone FROM members WHERE group_id = 20)
     WHERE group_id <> 20 OR NOT (({_PICK.format(g=20, e=2)} AND gone = 1) OR (NOT ({_PICK.format(g=20, e=2)}) AND n - gone = 1))""", "members")
 R.add("m3_merge", lambda c: M.merge_entities(c.small("members"), [1, 2, 4], [])[0], "SELECT photo_id, CASE WHEN group_id IN (1, 2, 4) THEN (SELECT group_id FROM members WHERE group_id IN (1, 2, 4) GROUP BY 1 ORDER BY count(*) DESC, group_id LIMIT 1) ELSE group_id END AS group_id FROM members", "members")
