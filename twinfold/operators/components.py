@@ -24,12 +24,13 @@ def relabel(table: DataFrame, column: str, labels: DataFrame) -> DataFrame:
 def followed(step: DataFrame) -> DataFrame:
     """node -> the end of its way, where step (node, label) leads each node to itself or a smaller one.
 
-    The way doubles with each pass, so a chain of n nodes takes log2 n of them.
+    A pass looks two steps ahead, so the way trebles, and short ways, the usual ones, end in the first pass.
     """
     while True:
-        ahead = step.select(F.col("node").alias("__node"), F.col("label").alias("__next"))
-        far = F.coalesce("__next", "label")
-        jumped = stored(step.join(ahead, step["label"] == ahead["__node"], "left").select("node", far.alias("label"), (far != F.col("label")).alias("moved")), "jumps")
+        one, two = step.toDF("n1", "x1"), step.toDF("n2", "x2")
+        ahead = step.join(one, step["label"] == one["n1"], "left").select("node", F.coalesce("x1", "label").alias("far"))
+        found = ahead.join(two, ahead["far"] == two["n2"], "left").select("node", "far", F.coalesce("x2", "far").alias("label"))
+        jumped = stored(found.select("node", "label", (F.col("far") != F.col("label")).alias("moved")), "jumps")
         step = jumped.select("node", "label")
         if jumped.filter("moved").isEmpty():
             return step
