@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm.shared import read_table
+from twinfold.llm.shared import WORD, read_table
 
 #: The rules that op1 judges by: action, host, path.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -94,6 +94,49 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), *_count_kinds(base), F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
 
 
+def repeating(docs: DataFrame) -> DataFrame:
+    """doc_id and text of documents, where every tenth, by the hash of its id, repeats a part of its own words from some place on."""
+    words, h = F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    place = "CAST(g % size(words) AS INT)"
+    period = f"CAST(1 + floor((size(words) - {place}) / (3 + g % 8)) AS INT)"
+    changed = F.expr(f"array_join(transform(words, (w, i) -> CASE WHEN i < {place} THEN w ELSE words[{place} + (i - {place}) % {period}] END), ' ')")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).cast("long").alias("g"))
+    rows = rows.withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    return rows.select("doc_id", F.when(F.size("words") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from twinfold.llm.periodic_runs import find_runs
+
+    found = find_runs(repeating(read_table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    rows = found.withColumn("best", best)
+    return rows.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from twinfold.llm.warc import read_records, write_archive
+
+    records = read_records(write_archive(read_table(spark, sf_dir, "pages")))
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from twinfold.llm.prefix_trie import rebuilt, trie_nodes, turn_rows, with_parents
+
+    turns = turn_rows(read_table(spark, sf_dir, "conversations"))
+    lists = rebuilt(turns, F.crc32(F.col("conv").cast("string")) % 9, F.col("conv") - F.col("conv") % 5, most=8)
+    nodes = with_parents(trie_nodes(lists))
+    return nodes.select(
+        F.col("low").alias("conv_id"), "depth", F.col("parent_low").alias("parent_conv_id"), F.col("n").alias("n_convs"), F.col("children").alias("n_children"), F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"), F.coalesce("ends", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,7 +144,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_lm_score, op4_near_dedup, op5_html_text, op6_exact_dedup, op7_quality, op8_personal_data, op9_bpe, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_lm_score, op4_near_dedup, op5_html_text, op6_exact_dedup, op7_quality, op8_personal_data, op9_bpe, op10_secret_scan, op11_periodic_runs, op12_warc, op13_prefix_trie)}
 
 
 #: Texts with A-Z in lower case; DuckDB's translate changes nothing else.
@@ -134,6 +177,40 @@ FROM p
 """
 
 
+_OP12 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS turn, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN n >= 1000 AND turn > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND turn > 1 THEN top END AS refers_to
+FROM r
+"""
+
+
+_CRC_STEP = "xor(c >> 1, 3988292384 * (c & 1))"
+for _ in range(7):
+    _CRC_STEP = f"list_transform([{_CRC_STEP}], lambda c: xor(c >> 1, 3988292384 * (c & 1)))[1]"
+_OP13 = f"""
+WITH t AS (SELECT conv_id AS conv, sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS turn, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY conversations.turn NULLS FIRST, sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS place FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv, conv - conv % 5 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+             lambda a, b: list_transform([xor(a, b)], lambda c: {_CRC_STEP})[1])) % 9 AS head FROM (SELECT DISTINCT conv FROM t)),
+r AS (SELECT c.conv, t.place, t.turn, t.bytes FROM c JOIN t ON t.conv = c.base AND t.place <= c.head UNION ALL SELECT c.conv, t.place, t.turn, t.bytes FROM c JOIN t ON t.conv = c.conv AND t.place > c.head),
+o AS (SELECT conv, turn, bytes, row_number() OVER (PARTITION BY conv ORDER BY place) AS depth FROM r),
+p AS (SELECT conv, 0 AS depth, 'root' AS node, NULL AS parent, 0 AS bytes FROM c UNION ALL
+      SELECT conv, depth, node, coalesce(lag(node) OVER (PARTITION BY conv ORDER BY depth), 'root'), bytes
+      FROM (SELECT conv, depth, bytes, sha256(string_agg(turn, ',') OVER (PARTITION BY conv ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS node FROM o)),
+n AS (SELECT node, any_value(parent) AS parent, min(depth) AS depth, min(conv) AS conv, count(*) AS members, max(bytes) AS bytes FROM p GROUP BY node),
+k AS (SELECT parent AS node, count(*) AS children FROM n GROUP BY 1),
+below AS (SELECT p.node, sum(CASE WHEN k.children IS NULL THEN 1 ELSE 0 END) AS leaves, sum((n.members - 1) * n.bytes) AS saved
+          FROM n LEFT JOIN k ON k.node = n.node JOIN p ON p.conv = n.conv AND p.depth <= n.depth GROUP BY p.node),
+last AS (SELECT conv, arg_max(node, depth) AS node FROM p GROUP BY conv),
+e AS (SELECT node, sha256(string_agg(CAST(conv AS VARCHAR), ',' ORDER BY conv)) AS ends FROM last GROUP BY node)
+SELECT n.conv AS conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv AS parent_conv_id, CAST(n.members AS BIGINT) AS n_convs, CAST(coalesce(k.children, 0) AS BIGINT) AS n_children,
+       CAST(below.leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM n LEFT JOIN n u ON u.node = n.parent LEFT JOIN k ON k.node = n.node JOIN below ON below.node = n.node LEFT JOIN e ON e.node = n.node
+"""
+
+
 def _op1_sql(depth: int = 4, max_children: int = 50, min_share: float = 0.5, z: float = 2.58, prior: float = 5.0, min_labels: int = 5, reject_at: float = 0.8) -> str:
     """op1 in SQL, level by level."""
     ranked = sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
@@ -173,4 +250,4 @@ FROM k JOIN t{depth} t ON t.host = k.host AND t.shapes = k.shapes JOIN j ON j.ho
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _op1_sql(), "op2_mixing": _OP2, "op6_exact_dedup": _OP6}
+    return {"op1_url_filter": _op1_sql(), "op2_mixing": _OP2, "op6_exact_dedup": _OP6, "op12_warc": _OP12, "op13_prefix_trie": _OP13}
