@@ -132,3 +132,25 @@ def test_selections_are_tables_or_lists(spark):
         assert rows(back) == rows(groups) and none.count() == 0
         assert rows(curate.keep_selection(groups, 1, picked)) == [("c", 1)]
         assert rows(curate.split_composite(groups, 1, picked)) == [("a", 3), ("b", 3), ("d", 2)]
+
+
+def test_walk_finds_dotted_folders_and_trashes_are_rejected(spark, tmp_path):
+    data = b"\xff\xd8\xff\xc0\x00\x0b\x08" + struct.pack(">HH", 3000, 4000) + b"\x01\x01\x11\x00"
+    names = ["a/x.jpg", ".Trashes/501/y.jpg", "_p/z.jpg", ".x.jpg", "a/b/c/d/e.jpg", "a/._x.jpg", "a/.DS_Store", "Thumbs.db", "desktop.ini", ".picasa.ini", "é ü/ñ.jpg", "empty.jpg"]
+    for n in names:
+        path = tmp_path / "t" / n
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(data + n.encode() if n != "empty.jpg" else b"")
+    os.symlink(tmp_path / "t/a/x.jpg", tmp_path / "t/link.jpg")
+    os.symlink(tmp_path / "t", tmp_path / "t/a/loop")
+    os.symlink(tmp_path / "nowhere", tmp_path / "t/broken.jpg")
+    files = ingest.scan_files(spark, str(tmp_path / "t"))
+    got = {r["source_path"].removeprefix(f"file:{tmp_path}/t/"): r for r in files.collect()}
+    assert set(got) == {"a/x.jpg", ".Trashes/501/y.jpg", "_p/z.jpg", ".x.jpg", "a/b/c/d/e.jpg", "é ü/ñ.jpg", "empty.jpg", "link.jpg"}
+    assert all(bytes(r["content"]) == (tmp_path / "t" / n).read_bytes() and r["file_size"] == len(r["content"]) and r["filename"] == n.rpartition("/")[2] for n, r in got.items())
+    assert all(abs(r["mtime"].replace(tzinfo=__import__("datetime").timezone.utc).timestamp() - os.stat(tmp_path / "t" / n).st_mtime) < 1 for n, r in got.items())
+    rows = ingest.describe_files(files)
+    paths = ingest.numbered_paths(rows)
+    decided = rules.decide(ingest.photos_of(rows), paths, paths.selectExpr("source_path AS path")).join(paths, "photo_id")
+    assert [(r["filename"], r["decision"], r["rule_name"]) for r in decided.collect()] == [("y.jpg", "reject", "TRASHES")]
+    assert ingest.scan_files(spark, str(tmp_path / "none")).count() == 0

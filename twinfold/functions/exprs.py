@@ -247,16 +247,6 @@ def sniff_mime(content: Column) -> Column:
     )
 
 
-def header_dimensions(content: Column) -> Column:
-    """struct(width, height) from PNG, GIF and BMP headers; nulls otherwise."""
-    number = lambda at, n: F.conv(F.hex(F.substring(content, at, n)), 16, 10).cast("long")
-    little = lambda at, n: sum((F.conv(F.hex(F.substring(content, at + k, 1)), 16, 10).cast("long") * 256**k for k in range(1, n)), F.conv(F.hex(F.substring(content, at, 1)), 16, 10).cast("long"))
-    mime = sniff_mime(content)
-    width = F.when(mime == "image/png", number(17, 4)).when(mime == "image/gif", little(7, 2)).when(mime == "image/bmp", little(19, 4))
-    height = F.when(mime == "image/png", number(21, 4)).when(mime == "image/gif", little(9, 2)).when(mime == "image/bmp", little(23, 4))
-    return F.struct(width.alias("width"), height.alias("height"))
-
-
 def suffix_for(mime: Column, path: Column) -> Column:
     """By type, else by the file's own suffix, else .bin."""
     known = F.create_map(*[F.lit(x) for pair in MIME_SUFFIX.items() for x in pair])

@@ -13,9 +13,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from twinfold.plans import catalog_queries, curation_queries, expression_queries, graph_queries, rule_queries
+    from twinfold.plans import catalog_queries, curation_queries, expression_queries, graph_queries, picture_queries, rule_queries
 
-    return (expression_queries, rule_queries, catalog_queries, graph_queries, curation_queries)
+    return (expression_queries, picture_queries, rule_queries, catalog_queries, graph_queries, curation_queries)
 
 
 def queries() -> dict[str, Query]:

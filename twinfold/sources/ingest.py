@@ -12,56 +12,44 @@ from pyspark.sql import functions as F
 from twinfold.functions import dates as D
 from twinfold.functions import exprs as X
 from twinfold.operators.ordering import numbered_rows
+from twinfold.sources.file_tree import listable, read_contents, walk
+from twinfold.sources.pictures import TEXT_TAGS, exif_entries, picture_size
 
 #: Names that operating systems leave behind.
 SKIP_NAMES = (".DS_Store", "Thumbs.db", "desktop.ini", ".picasa.ini")
 
 
 def scan_files(spark: SparkSession, root: str) -> DataFrame:
-    """source_path, filename, mtime, file_size, content of all regular files below root.
+    """source_path, filename, mtime, file_size, content of all regular files below root, in dotted folders too.
 
-    Spark's listing leaves out names and folders that start with a dot or underscore.
+    Folders are listed by tasks (see walk), and so are contents read. A store that tasks can't list by themselves
+    is left to Spark's own listing, which knows no names that start with a dot or underscore.
     """
+    skipped = F.col("filename").isin(*SKIP_NAMES) | F.col("filename").startswith("._")
+    if listable(root):
+        return read_contents(walk(spark, root).filter(~skipped))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    name = X.basename(F.col("path"))
-    return files.select(F.col("path").alias("source_path"), name.alias("filename"), F.col("modificationTime").alias("mtime"), F.col("length").alias("file_size"), "content").filter(~F.col("filename").isin(*SKIP_NAMES) & ~F.col("filename").startswith("._"))
+    return files.select(F.col("path").alias("source_path"), X.basename(F.col("path")).alias("filename"), F.col("modificationTime").alias("mtime"), F.col("length").alias("file_size"), "content").filter(~skipped)
 
 
 EXIF = "exif_make string, exif_model string, exif_software string, exif_datetime string, exif_datetime_original string, exif_datetime_digitized string"
 
 
-def exif_fields(content: pd.Series) -> pd.DataFrame:
-    """The six EXIF fields of JPEG and TIFF contents; nulls where there are none or they are malformed."""
-    names = [x.split()[0] for x in EXIF.split(", ")]
-    return pd.DataFrame([tiff_tags(bytes(c)) if c is not None else {} for c in content], columns=names, dtype=object)
-
-
-_TAGS = {0x010F: "exif_make", 0x0110: "exif_model", 0x0131: "exif_software", 0x0132: "exif_datetime", 0x9003: "exif_datetime_original", 0x9004: "exif_datetime_digitized"}
+def tiff_tags(data: bytes) -> dict[str, str]:
+    """The text tags of a picture's EXIF data."""
+    return {TEXT_TAGS[t]: v for t, v in exif_entries(data).items() if t in TEXT_TAGS}
 
 
-def tiff_tags(data: bytes) -> dict[str, str]:
-    """Text tags of the first directory and of the EXIF directory that it names."""
-    if data[:2] == b"\xff\xd8":
-        at = data.find(b"Exif\x00\x00")
-        data = data[at + 6 :] if at >= 0 else b""
-    order = {b"II*\x00": "little", b"MM\x00*": "big"}.get(data[:4])
-    if not order:
-        return {}
-    number = lambda at, n: int.from_bytes(data[at : at + n], order)
-    found: dict[str, str] = {}
-    todo = [number(4, 4)]
-    for at in todo:
-        for k in range(min(number(at, 2), 512)):
-            entry = at + 2 + 12 * k
-            tag, kind, size = number(entry, 2), number(entry + 2, 2), number(entry + 4, 4)
-            if tag == 0x8769 and len(todo) < 2:
-                todo.append(number(entry + 8, 4))
-            elif tag in _TAGS and kind == 2 and size:
-                place = entry + 8 if size <= 4 else number(entry + 8, 4)
-                raw = data[place : place + size].split(b"\x00")[0]
-                if raw:
-                    found[_TAGS[tag]] = raw.decode("utf-8", "ignore").strip()
-    return found
+def picture_fields(content: pd.Series) -> pd.DataFrame:
+    """width, height and the six EXIF fields; nulls where there are none or they are malformed."""
+    names = [x.split()[0] for x in EXIF.split(", ")]
+    out = []
+    for c in content:
+        data = bytes(c) if c is not None else b""
+        tags = tiff_tags(data)
+        out.append((*(picture_size(data) or (None, None)), *(tags.get(n) for n in names)))
+    found = pd.DataFrame(out, columns=["width", "height", *names], dtype=object)
+    return found.astype({"width": "Int64", "height": "Int64"})
 
 
 def describe_files(files: DataFrame) -> DataFrame:
@@ -71,11 +59,10 @@ def describe_files(files: DataFrame) -> DataFrame:
     """
     from pyspark.sql.functions import pandas_udf
 
-    read = pandas_udf(exif_fields, EXIF)
+    read = pandas_udf(picture_fields, f"width long, height long, {EXIF}")
     known = files.withColumn("mime_type", X.sniff_mime(F.col("content"))).filter("mime_type is not null")
-    full = known.withColumn("e", read("content")).withColumn("d", X.header_dimensions(F.col("content")))
     fields = [f"e.{x.split()[0]}" for x in EXIF.split(", ")]
-    return full.select(F.sha2("content", 256).alias("id"), "source_path", "filename", "mtime", "file_size", "mime_type", "d.width", "d.height", *fields)
+    return known.withColumn("e", read("content")).select(F.sha2("content", 256).alias("id"), "source_path", "filename", "mtime", "file_size", "mime_type", "e.width", "e.height", *fields)
 
 
 def new_paths(files: DataFrame, known_paths: DataFrame) -> DataFrame:
@@ -183,3 +170,20 @@ def text_hashes(photos: DataFrame, salts: tuple[str, str] = ("", "d:")) -> DataF
 
     words = F.array_distinct(F.filter(F.split(F.lower(F.trim("text")), r"[ \t\n\r\f\x0b]+"), lambda w: w != ""))
     return photos.select("id", words.alias("words")).mapInPandas(run, "id string, phash long, dhash long")
+
+
+def picture_hashes(files: DataFrame, wanted: tuple[str, ...] = ("phash", "dhash", "phash_16", "colorhash", "pixel_digest")) -> DataFrame:
+    """files (content and others) plus the wanted hashes; null where a type has no decoder (JPEG, TIFF, WebP, HEIC) or the file is damaged.
+
+    Pictures are turned upright for the hashes, not for the digest of pixels. The contents end here.
+    """
+    from pyspark.sql.functions import pandas_udf
+
+    def read(content: pd.Series) -> pd.DataFrame:
+        from twinfold.sources.rasters import picture_hashes as hashes
+
+        rows = [hashes(bytes(c) if c is not None else b"", wanted) for c in content]
+        return pd.DataFrame([[r.get(n) for n in wanted] for r in rows], columns=list(wanted), dtype=object)
+
+    found = files.withColumn("__h", pandas_udf(read, ", ".join(f"{n} string" for n in wanted))("content"))
+    return found.select(*[c for c in files.columns if c != "content"], *[f"__h.{n}" for n in wanted])

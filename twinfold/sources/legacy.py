@@ -95,6 +95,15 @@ def pending_stages(state: DataFrame, order: list[str]) -> list[str]:
 
 def same_pixels(contents: DataFrame) -> DataFrame:
     """id_1 < id_2 of files (id, content) with the same bytes, by digest."""
-    digests = contents.select("id", F.sha2("content", 256).alias("digest"))
+    return _with_first(contents.select("id", F.sha2("content", 256).alias("digest")))
+
+
+def same_pictures(hashed: DataFrame) -> DataFrame:
+    """id_1 < id_2 of files (id, pixel_digest) with the same size, channels and pixels, whatever their formats."""
+    return _with_first(hashed.select("id", F.col("pixel_digest").alias("digest")).filter("digest is not null"))
+
+
+def _with_first(digests: DataFrame) -> DataFrame:
+    """Each file with the smallest of its digest, so pairs are as many as files."""
     first = digests.groupBy("digest").agg(F.min("id").alias("id_1"))
     return digests.join(first, "digest").filter("id_1 < id").select("id_1", F.col("id").alias("id_2"))
