@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from twinfold.functions import exprs as X
 from twinfold.operators import first_generation as V1
 from twinfold.operators import rules
-from twinfold.operators.survivors import greedy_losers, reject_in_groups
+from twinfold.operators.survivors import greedy_losers, leading, reject_in_groups, settled
 from twinfold.sources import ingest, legacy
 
 
@@ -173,6 +173,47 @@ def test_same_resolution_rule(spark):
     assert sorted(found) == sorted((i, "SAME_RES_DUPLICATE") for i in want)
 
 
+def test_settling_in_rounds_is_the_greedy_order(spark):
+    rng = random.Random(17)
+    pairs, want, at = [], set(), 0
+    for _ in range(1500):
+        n = rng.randrange(2, 9)
+        worth = {k: rng.randrange(4) * 10 + k for k in range(n)}
+        mine = sorted((f"{at + a:05d}", f"{at + b:05d}", worth[a] > worth[b]) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.6)
+        at += n
+        pairs += mine
+        want |= set(greedy_losers(mine))
+    rng.shuffle(pairs)
+    df = spark.createDataFrame(pairs, "one string, two string, one_is_worse boolean").repartition(4)
+    for most in (200_000, 6, 0):  # all in tasks, some, none
+        found = [r["id"] for r in settled(df, most).collect()]
+        assert len(found) == len(set(found)) and set(found) == want, most
+    assert settled(df.limit(0), 0).count() == 0
+
+
+def test_leading_over_several_tasks(spark):
+    rng = random.Random(3)
+    rows = [(f"{k:04d}", rng.choice("aab"), rng.randrange(5000)) for k in range(2000)]
+    least, want = {}, {}
+    for i, key, worth in rows:
+        want[i] = worth < least.get(key, 10**9)
+        least[key] = min(worth, least.get(key, 10**9))
+    got = {r["id"]: r["leads"] for r in leading(spark.createDataFrame(rows, "id string, key string, worth int"), ["key"]).collect()}
+    assert got == want and 0 < sum(want.values()) < 100
+
+
+def test_equal_hashes_in_one_group(spark):
+    """Copies by hash in a large group: as greedy over all pairs, and with no more pairs than leaders."""
+    rng = random.Random(4)
+    members = [(f"{k:04d}", rng.choice((5, 5, 5, 4, 1 << 40, 3 << 40)), rng.choice((1, 1, 2)), rng.randrange(40)) for k in range(700)]
+    same = lambda a, b: (a[1] ^ b[1]).bit_count() <= 2 or (a[1] ^ b[1]).bit_count() <= 6 and a[2] == b[2]
+    pairs = [(a[0], b[0], (-a[3], a[0]) > (-b[3], b[0])) for k, a in enumerate(members) for b in members[k + 1 :] if same(a, b)]
+    df = spark.createDataFrame([(i, 1, ["/a/x.jpg"], 10, 10, size, p, d) for i, p, d, size in members], "id string, group_id int, paths array<string>, width int, height int, file_size int, phash long, dhash long")
+    for most in (0, 10**6):
+        found = [r["photo_id"] for r in reject_in_groups(df, task_pairs=most).collect()]
+        assert sorted(found) == sorted(greedy_losers(sorted(pairs)))
+
+
 def test_imported_hashes_stay_one_row_each(spark):
     photos = spark.createDataFrame([("a", None), ("b", "own")], "id string, perceptual_hash string")
     other = spark.createDataFrame([("a", "2"), ("a", "1"), ("a", None), ("b", "3")], "id string, perceptual_hash string")

@@ -160,6 +160,39 @@ def test_single_linkage_extension_visits_singles_once_in_order(spark):
     assert got == want
 
 
+def test_extension_with_shortcuts_is_extension_in_tasks(spark):
+    rng = random.Random(6)
+    members, edges, want, at = [], [], {}, 0
+    for _ in range(40):
+        n = rng.randrange(3, 30)
+        first, singles = [at, at + 1], list(range(at + 2, at + n))
+        links = {tuple(sorted(rng.sample(range(at, at + n), 2))) for _ in range(n)} | {(k, k + 2) for k in range(at, at + n - 2)}
+        at += n
+        members += [(x, min(first)) for x in first] + [(s, None) for s in singles]
+        edges += links
+        want |= brute_extension([first], singles, links)
+    df, links = spark.createDataFrame(members, "photo_id long, cluster_id long"), spark.createDataFrame(edges, "id_1 long, id_2 long")
+    for most in (0, 25, 10**6):
+        got = {}
+        for r in single_linkage_extend(df, links, task_edges=most).collect():
+            got.setdefault(r["cluster_id"], set()).add(r["photo_id"])
+        assert got == want
+
+
+def test_extension_along_a_chain_takes_few_rounds(spark):
+    """10,000 singles in a row behind one cluster, with shortcuts alone: rounds go with the logarithm."""
+    n = 10_000
+    members = spark.createDataFrame([(0, 0), (1, 0)] + [(k, None) for k in range(2, n)], "photo_id long, cluster_id long")
+    chain = spark.createDataFrame([(k, k + 1) for k in range(n - 1)], "id_1 long, id_2 long")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("chain", "chain")
+    found = single_linkage_extend(members, chain, task_edges=0)
+    assert [tuple(r) for r in found.groupBy("cluster_id").count().collect()] == [(0, n)]
+    jobs = len(tracker.getJobIdsForGroup("chain"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 400, jobs
+
+
 def test_second_and_composite_groups(spark):
     rng = random.Random(77)
     n = 60

@@ -11,6 +11,7 @@ is left of them is small.
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -100,7 +101,50 @@ def complete_linkage(edges: DataFrame, src: str = "id_1", dst: str = "id_2", key
     return nodes
 
 
-def single_linkage_extend(members: DataFrame, strict: DataFrame) -> DataFrame:
+def reached_singles(onward: DataFrame, front: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
+    """reached: the singles of front (reached), and all that links lead to from there, always to a larger one.
+
+    onward: stored links (id_1 > id_2) between singles. Where few links hang together, one task passes over them
+    in order. Elsewhere shortcuts come first: from each single to its smallest linked one below, and by
+    doubling to the 2nd, 4th, 8th and so on along that way; then the front moves over links and shortcuts, until
+    nothing is new. Shortcuts lead only where links do, so they change the number of rounds alone.
+    """
+    labels = connected_components(onward, "id_1", "id_2").select(F.col("node").alias("id_1"), F.col("label").alias("component"))
+    placed = stored(onward.join(labels, "id_1"), "onward-components")
+    big = stored(placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > task_edges).select("component"), "onward-big")
+    kind = onward.schema["id_1"].dataType.simpleString()
+    seed = front.select(F.col("reached").alias("id_2"), F.lit(True).alias("seed"))
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        reached = set(group.loc[group["seed"], "id_2"])
+        for one, two in sorted(group[["id_1", "id_2"]].itertuples(index=False, name=None)):
+            if two in reached:
+                reached.add(one)
+        return pd.DataFrame({"reached": list(reached)}, dtype=object)
+
+    seeded = placed.join(big, "component", "left_anti").join(seed, "id_2", "left").withColumn("seed", F.coalesce("seed", F.lit(False)))
+    found = [front, seeded.groupBy("component").applyInPandas(run, f"reached {kind}")]
+    if not big.isEmpty():
+        links = placed.join(big, "component", "left_semi").select("id_1", "id_2")
+        jump = stored(links.groupBy("id_1").agg(F.min("id_2").alias("id_2")), "jump")
+        ways = [links]
+        while True:
+            further = jump.select(F.col("id_1").alias("id_2"), F.col("id_2").alias("far"))
+            jump = stored(jump.join(further, "id_2").select("id_1", F.col("far").alias("id_2")), "jump")
+            if jump.isEmpty():
+                break
+            ways.append(jump)
+        ways = stored(reduce(DataFrame.unionByName, ways), "ways")
+        moving = reached = stored(front.join(ways.select(F.col("id_2").alias("reached")).distinct(), "reached", "left_semi"), "reached")
+        while not moving.isEmpty():
+            more = ways.join(moving, ways["id_2"] == moving["reached"], "left_semi").select(F.col("id_1").alias("reached")).distinct()
+            moving = stored(more.join(reached, "reached", "left_anti"), "reached")
+            reached = stored(reached.unionByName(moving), "reached-all")
+        found.append(reached)
+    return stored(reduce(DataFrame.unionByName, found).distinct(), "reached-all")
+
+
+def single_linkage_extend(members: DataFrame, strict: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
     """photo_id, cluster_id after extension. Singles that stay single get no row.
 
     members: photo_id, cluster_id (its smallest member) or null for singles; strict: links (id_1, id_2).
@@ -112,13 +156,9 @@ def single_linkage_extend(members: DataFrame, strict: DataFrame) -> DataFrame:
     side = lambda k: known.select(F.col("photo_id").alias(f"id_{k}"), F.col("cluster_id").alias(f"c_{k}"))
     once = strict.select("id_1", "id_2").filter("id_1 <> id_2").join(side(1), "id_1").join(side(2), "id_2")
     links = stored(once.unionByName(once.select(F.col("id_2").alias("id_1"), F.col("id_1").alias("id_2"), F.col("c_2").alias("c_1"), F.col("c_1").alias("c_2"))), "extend-links")
-    onward = links.filter("c_1 is null and c_2 is null and id_2 < id_1").select("id_1", "id_2")
+    onward = stored(links.filter("c_1 is null and c_2 is null and id_2 < id_1").select("id_1", "id_2").distinct(), "onward")
     front = stored(links.filter("c_1 is null and c_2 is not null").select(F.col("id_1").alias("reached")).distinct(), "reached")
-    reached = front
-    while not front.isEmpty():
-        more = onward.join(front, onward["id_2"] == front["reached"], "left_semi").select(F.col("id_1").alias("reached")).distinct()
-        front = stored(more.join(reached, "reached", "left_anti"), "reached")
-        reached = stored(reached.unionByName(front), "reached-all")
+    reached = reached_singles(onward, front, task_edges)
     node = lambda k: F.coalesce(f"c_{k}", f"id_{k}").alias(f"n_{k}")
     hit = lambda k: reached.select(F.col("reached").alias(f"id_{k}"), F.lit(True).alias(f"hit_{k}"))
     live = links.filter("id_1 < id_2").join(hit(1), "id_1", "left").join(hit(2), "id_2", "left").filter("(c_1 is not null or hit_1) and (c_2 is not null or hit_2)")
