@@ -68,6 +68,20 @@ PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 STOP = re.compile(r"[>\"']")
 
 
+#: Numeric references with more digits than any character needs.
+_LONG_NUMBER = re.compile(r"&#(?:([0-9]{8,})|[xX]([0-9a-fA-F]{8,}));?")
+
+
+def characters(raw: str) -> str:
+    """raw with its character references decoded. Numbers of any length: padding counts for nothing, and what is beyond the last character is U+FFFD."""
+
+    def shortened(m: re.Match[str]) -> str:
+        digits = (m[1] or m[2]).lstrip("0") or "0"
+        return "\ufffd" if len(digits) > 7 else f"&#{'x' if m[2] else ''}{digits};"
+
+    return html_lib.unescape(_LONG_NUMBER.sub(shortened, raw) if "&#" in raw else raw)
+
+
 @dataclass
 class Block:
     """text, its linked characters, the evidence of its surroundings, and whether it is a heading."""
@@ -182,7 +196,7 @@ def page_blocks(page: str) -> Iterator[Block]:
         nonlocal linked
         _, _, link, silent = tree.top()
         if not silent:
-            text = html_lib.unescape(raw)
+            text = characters(raw)
             parts.append(text)
             if link:
                 linked += len("".join(text.split()))
