@@ -33,11 +33,12 @@ other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.llm.exact_dedup import digest_filter, may_hold
@@ -132,6 +133,17 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarra
     return (low + high) / 2
 
 
+def check_column(width: int) -> Callable[[Column], Column]:
+    """A function of a column of texts: the check of each one's set, null for an empty set."""
+    from pyspark.sql.functions import pandas_udf
+
+    def checks(texts: pd.Series) -> pd.Series:
+        sets = [shingle_set(t, width) for t in texts]
+        return pd.Series([class_digest(x)[1] if len(x) else None for x in sets], dtype="Int64")
+
+    return pandas_udf(checks, "long")
+
+
 def sketch_documents(docs: DataFrame, id_col: str, text_col: str, width: int, key_bits: int) -> DataFrame:
     """id, n (set size), class_key, check, bands, regs; all but the first two are null for empty sets."""
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, n long, class_key long, check long, bands array<long>, regs binary"
@@ -337,12 +349,8 @@ def verified_strays(star: DataFrame, docs: DataFrame, classes: DataFrame, id_col
     return sent.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", "role").mapInArrow(compare, "src long, dst long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, key_bits: int = 64) -> DataFrame:
-    """One row per row of docs: id, n_shingles, component_id (the smallest identifier reachable), kept.
-
-    Two documents are linked when 100 x shared shingles >= percent x shingles of either. key_bits is the width of
-    the classes' keys, fewer for tests.
-    """
+def class_components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, key_bits: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(sketches, classes): a row per row of docs (id, n, class_key), and one per class (class_key, check, rep, component, component_id)."""
     sketches = stored(sketch_documents(docs, id_col, text_col, width, key_bits), "sketches")
     classes = stored(sketches.filter("n > 0").groupBy("class_key", "check").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("regs").alias("regs")), "classes")
     sketches, classes = keyed_apart(sketches, classes)
@@ -360,16 +368,50 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more = stored(verified_strays(strays, docs, classes, id_col, text_col, width, percent, floor), "stray-links")
     if not more.isEmpty():
         labels = connected_components(edges.unionByName(more))
-    named = relabel(classes.select("class_key", "rep").withColumn("component", F.col("class_key")), "component", labels)
+    named = relabel(classes.select("class_key", "check", "rep").withColumn("component", F.col("class_key")), "component", labels)
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    final = named.join(smallest, "component").select("class_key", "component_id")
-    out = sketches.select("id", F.col("n").alias("n_shingles"), "class_key").join(final, "class_key", "left")
+    return sketches.select("id", "n", "class_key"), named.join(smallest, "component")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, key_bits: int = 64) -> DataFrame:
+    """One row per row of docs: id, n_shingles, component_id (the smallest identifier reachable), kept.
+
+    Two documents are linked when 100 x shared shingles >= percent x shingles of either. key_bits is the width of
+    the classes' keys, fewer for tests.
+    """
+    sketches, classes = class_components(docs, id_col, text_col, width, percent, key_bits)
+    return _marked(sketches, classes)
+
+
+def _marked(sketches: DataFrame, classes: DataFrame) -> DataFrame:
+    out = sketches.select("id", F.col("n").alias("n_shingles"), "class_key").join(classes.select("class_key", "component_id"), "class_key", "left")
     component = F.when(F.col("class_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select("id", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each near-duplicate group; its columns are unchanged."""
-    mark = free_name(docs, "kept_id")
-    kept = near_groups(docs, id_col, text_col, width, percent).filter("kept").select(F.col("id").alias(mark)).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept[mark]), "left_semi")
+    """docs with one row of each near-duplicate group; its columns are unchanged.
+
+    Rows without words are groups of their own. Where rows share an identifier, the sets of their texts tell them
+    apart: of a group's rows with its smallest identifier one stays, whatever its other columns.
+    """
+    sketches, classes = class_components(docs, id_col, text_col, width, percent)
+    classes = stored(classes, "class-components")
+    again = stored(sketches.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"), "repeated-ids")
+    mark, kept = free_name(docs, "kept_id"), _marked(sketches, classes).filter("kept").select("id")
+    same = lambda ids: docs[id_col].eqNullSafe(ids[mark])
+    few = again.isEmpty()
+    kept = (kept if few else kept.join(again.select(F.col("id").alias("__id")), F.col("id").eqNullSafe(F.col("__id")), "left_anti")).select(F.col("id").alias(mark)).distinct()
+    sure = docs.join(kept, same(kept), "left_semi")
+    if few:
+        return sure
+    # The class of each group that has its smallest identifier.
+    first = classes.groupBy("component").agg(F.min_by(F.struct("check", "rep"), F.struct(F.col("rep").isNull(), "rep", "check")).alias("x"))
+    first = first.select(F.col("component").alias("__component"), F.col("x.check").alias("__check"), F.col("x.rep").alias("__rep"))
+    ids = again.select(F.col("id").alias(mark))
+    rows = docs.join(ids, same(ids), "left_semi")
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__id"), check_column(width)(F.col(text_col)).alias("__own"))
+    bare = rows.filter("__own is null").select("row.*")
+    met = rows.join(first, (F.col("__own") == F.col("__check")) & F.col("__id").eqNullSafe(F.col("__rep")))
+    one = met.groupBy("__component").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return sure.unionAll(bare).unionAll(one.select("row.*"))
