@@ -2,13 +2,15 @@
 workers that map the arrays into memory.
 
 Counting is one Spark job. Each task counts the bigrams of its texts and sends packed counts to the shard
-of the second word. A shard merges them, sorts its bigrams by hash, and writes two arrays of them (hash,
-count) and three of its words (hash, count, number of distinct predecessors). It sends on, for each first
-word, how many bigrams occur once, twice and more often, to the shard of that word, which merges and writes
-these. What comes to the driver are eleven totals.
-
-Scoring is a map: a task maps the shards and looks up the sorted hashes of a few thousand texts at a
-time. The arrays lie in the folder that driver and executors share, which must be mounted as a file system
+of the bigram's hash, so that no word's bigrams lie all in one. A shard merges them, sorts its bigrams by
+hash and writes hashes and counts. For the words of its bigrams it sends on how often each occurs, after
+how many distinct words, and how many bigrams that it begins occur once, twice and more often, to the shard of
+the word, which sums and writes these. What comes to the driver are eleven totals. Counts are 32 bits wide where
+all of an array fit, else 64.
+
+Scoring is a map: a task maps shards and looks up the sorted hashes of a few thousand texts at a
+time. A shard's arrays lie in one file, and a worker has a bounded number of them open. They lie in the folder
+that driver and executors share, which must be mounted as a file system
 for that; they are written under another name and renamed, so a repeated task does no harm.
 
 The order is two: on text with as many new words as the check's, distinct trigrams are three quarters of
@@ -93,11 +95,33 @@ def mounted(path: str) -> str:
     return path
 
 
-def save(folder: str, name: str, array: np.ndarray) -> None:
+def narrow(array: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits where all fit."""
+    return array.astype(np.uint32) if not len(array) or array.max() < 2**32 else array.astype(np.int64)
+
+
+def save(folder: str, name: str, *arrays: np.ndarray) -> None:
+    """One file: the number of arrays, then the bytes of an item and the items of each, then the arrays, which start at multiples of 8."""
     part = f"{folder}/.{name}-{uuid.uuid4().hex}"
     with open(part, "wb") as file:
-        np.save(file, array)
-    os.replace(part, f"{folder}/{name}.npy")
+        file.write(np.array([len(arrays), *(x for a in arrays for x in (a.itemsize, len(a)))], np.int64).tobytes())
+        for a in arrays:
+            file.write(a.tobytes() + bytes(-a.nbytes % 8))
+    os.replace(part, f"{folder}/{name}.bin")
+
+
+def mapped(path: str) -> list[np.ndarray] | None:
+    """The arrays of a file, mapped; hashes (the first) unsigned, counts by their width. None where there is no file."""
+    if not os.path.exists(path):
+        return None
+    whole = np.memmap(path, np.uint8, "r")
+    n = int(whole[:8].view(np.int64)[0])
+    heads = whole[8 : 8 + 16 * n].view(np.int64).reshape(n, 2).tolist()
+    at, out = 8 + 16 * n, []
+    for k, (width, count) in enumerate(heads):
+        out.append(whole[at : at + width * count].view(np.uint64 if k == 0 else {4: np.uint32, 8: np.int64}[width]))
+        at += width * count + -width * count % 8
+    return out
 
 
 def packed(*arrays: np.ndarray) -> bytes:
@@ -128,34 +152,40 @@ def by_shard(batches: Iterator[pa.RecordBatch]) -> dict[int, list[bytes]]:
     return out
 
 
+#: Files that a worker has open at most, and tokens of one task after which a count is sent, so that 32 bits hold it.
+MOST_OPEN, SEND_AT = 48, 1 << 31
 TOTALS = ("n1", "n2", "n3", "n4", "a1", "a2", "a3", "a4", "predecessors", "tokens", "words")
 
 
 def train(texts: DataFrame, folder: str, shards: int) -> dict[str, int]:
     """Count texts (text) and write the model's arrays below folder. Returns the totals."""
 
+    def sent(part: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        return blobs((part[0] % np.uint64(shards)).astype(np.int32), shards, part[1], part[2], part[3].astype(np.uint32))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        room = 0
+        room = tokens = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        def merged() -> tuple[np.ndarray, ...]:
             first, word, n = (np.concatenate(x) for x in zip(*held))
-            return summed(bigram_hash(first, word), first, word, n)[1:]
+            return summed(bigram_hash(first, word), first, word, n)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 first, word, _ = flat(batch.column("text").slice(at, 2000))
                 held.append((first, word, np.ones(len(word), np.int64)))
                 room += len(word)
+                tokens += len(word)
                 if room > COUNT_AT:
                     part = merged()
-                    held[:], room = [part], 0
-                    if len(part[0]) > COUNT_AT:
-                        yield blobs((part[1] % np.uint64(shards)).astype(np.int32), shards, part[0], part[1], part[2].astype(np.uint32))
+                    held[:], room = [part[1:]], 0
+                    if len(part[0]) > COUNT_AT or tokens > SEND_AT:
+                        yield sent(part)
                         held.clear()
+                        tokens = 0
         if held:
-            part = merged()
-            yield blobs((part[1] % np.uint64(shards)).astype(np.int32), shards, part[0], part[1], part[2].astype(np.uint32))
+            yield sent(merged())
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = mounted(folder)
@@ -163,34 +193,33 @@ def train(texts: DataFrame, folder: str, shards: int) -> dict[str, int]:
         for shard, parts in sorted(by_shard(batches).items()):
             first, word, n = (np.concatenate(x) for x in zip(*(unpacked(p, np.uint64, np.uint64, np.uint32) for p in parts)))
             hashes, first, word, n = summed(bigram_hash(first, word), first, word, n.astype(np.int64))
-            save(where, f"bigram-{shard}", hashes)
-            save(where, f"count-{shard}", np.minimum(n, 0xFFFFFFFF).astype(np.uint32))
-            words, tokens, before = summed(word, n, np.ones(len(n), np.int64), apart=False)
-            save(where, f"word-{shard}", words)
-            save(where, f"tokens-{shard}", tokens)
-            save(where, f"before-{shard}", before)
-            kinds = [np.int64(n == 1), np.int64(n == 2), np.int64(n > 2)]
-            follow = summed(first, *kinds, apart=False)
-            yield blobs((follow[0] % np.uint64(shards)).astype(np.int32), shards, follow[0], *(x.astype(np.uint32) for x in follow[1:]))
-            totals = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [int((before == k).sum()) for k in (1, 2, 3, 4)] + [len(n), int(n.sum()), len(words)]
+            save(where, f"bigrams-{shard}", hashes, narrow(n))
+            begun = summed(first, *(np.int64(x) for x in (n == 1, n == 2, n > 2)), apart=False)
+            ended = summed(word, n, np.ones(len(n), np.int64), apart=False)
+            none = [np.zeros(len(x[0]), np.int64) for x in (ended, begun)]
+            keys, *stats = summed(np.concatenate([begun[0], ended[0]]), *(np.concatenate([x, none[0]]) for x in begun[1:]), *(np.concatenate([none[1], x]) for x in ended[1:]), apart=False)
+            # Of a shard's bigrams a word begins or ends fewer than 2^32; how often it occurs may be more.
+            yield blobs((keys % np.uint64(shards)).astype(np.int32), shards, keys, *(stats[k].astype(np.uint32) for k in (0, 1, 2, 4)), stats[3])
+            totals = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [0] * 4 + [len(n), int(n.sum()), 0]
             yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([packed(np.array(totals, np.int64))], pa.binary())], names=["shard", "data"])
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = mounted(folder)
         totals = np.zeros(len(TOTALS), np.int64)
         for shard, parts in sorted(by_shard(batches).items()):
             if shard < 0:
                 totals += sum(unpacked(p, np.int64)[0] for p in parts)
                 continue
-            columns = [np.concatenate(x) for x in zip(*(unpacked(p, np.uint64, np.uint32, np.uint32, np.uint32) for p in parts))]
-            first, *kinds = summed(columns[0], *(c.astype(np.int64) for c in columns[1:]), apart=False)
-            save(where, f"context-{shard}", first)
-            save(where, f"kinds-{shard}", np.stack(kinds, axis=1))
+            columns = [np.concatenate(x) for x in zip(*(unpacked(p, np.uint64, *[np.uint32] * 4, np.int64) for p in parts))]
+            keys, *kinds, before, tokens = summed(columns[0], *(c.astype(np.int64) for c in columns[1:]), apart=False)
+            save(where, f"words-{shard}", keys, *(narrow(x) for x in (tokens, before, *kinds)))
+            totals[4:8] += [int((before == k).sum()) for k in (1, 2, 3, 4)]
+            totals[10] += int((tokens > 0).sum())
         yield pa.RecordBatch.from_arrays([pa.array([int(t)], pa.int64()) for t in totals], names=list(TOTALS))
 
     schema = "shard int, data binary"
     counted = texts.select("text").mapInArrow(count, schema).repartition(shards, "shard").mapInArrow(merge, schema)
-    found = counted.repartition(shards, "shard").mapInArrow(contexts, ", ".join(f"{t} long" for t in TOTALS))
+    found = counted.repartition(shards, "shard").mapInArrow(words, ", ".join(f"{t} long" for t in TOTALS))
     row = found.agg(*(F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TOTALS)).first()
     return {t: int(row[t]) for t in TOTALS}
 
@@ -207,50 +236,50 @@ def discounts(counts: list[int]) -> list[float]:
 
 
 class MappedModel:
-    """The model's arrays, mapped when they are first needed."""
+    """The model's arrays, mapped when they are needed, a bounded number of files at a time."""
 
     def __init__(self, folder: str, shards: int, totals: dict[str, int]):
         self.folder, self.shards, self.t = mounted(folder), shards, totals
         self.d2 = np.array([0.0, *discounts([totals[f"n{k}"] for k in (1, 2, 3, 4)])])
         self.d1 = np.array([0.0, *discounts([totals[f"a{k}"] for k in (1, 2, 3, 4)])])
-        self.open: dict[str, np.ndarray | None] = {}
+        self.open: dict[str, list[np.ndarray] | None] = {}
 
-    def array(self, name: str) -> np.ndarray | None:
+    def arrays(self, name: str) -> list[np.ndarray] | None:
         if name not in self.open:
-            path = f"{self.folder}/{name}.npy"
-            self.open[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            if len(self.open) >= MOST_OPEN:
+                del self.open[next(iter(self.open))]  # the oldest; with its last array goes the mapping
+            self.open[name] = mapped(f"{self.folder}/{name}.bin")
         return self.open[name]
 
-    def look_up(self, keys: np.ndarray, shards: np.ndarray, index: str, *values: str) -> list[np.ndarray]:
-        """The values stored for keys; zeros where there are none."""
-        out: list[np.ndarray] = [np.zeros(len(keys), np.int64) if v != "kinds" else np.zeros((len(keys), 3), np.int64) for v in values]
+    def look_up(self, keys: np.ndarray, index: str, columns: int) -> list[np.ndarray]:
+        """The values stored for keys, columns of them; zeros where there are none."""
+        out = [np.zeros(len(keys), np.int64) for _ in range(columns)]
+        shards = (keys % np.uint64(self.shards)).astype(np.int64)
         order = np.lexsort((keys, shards))
         bounds = np.searchsorted(shards[order], np.arange(self.shards + 1))
         for s in range(self.shards):
             mine = order[bounds[s] : bounds[s + 1]]
-            table = self.array(f"{index}-{s}") if len(mine) else None
-            if table is None or not len(table):
+            table = self.arrays(f"{index}-{s}") if len(mine) else None
+            if table is None or not len(table[0]):
                 continue
-            at = np.minimum(np.searchsorted(table, keys[mine]), len(table) - 1)
-            hit = table[at] == keys[mine]
-            for o, v in zip(out, values):
-                o[mine[hit]] = self.array(f"{v}-{s}")[at[hit]]
+            at = np.minimum(np.searchsorted(table[0], keys[mine]), len(table[0]) - 1)
+            hit = table[0][at] == keys[mine]
+            for o, v in zip(out, table[1:]):
+                o[mine[hit]] = v[at[hit]]
         return out
 
     def score(self, before: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each token: its training count, base log10 and the model's log10 probability."""
-        t, n = self.t, np.uint64(self.shards)
+        t = self.t
         known, inverse = np.unique(words, return_inverse=True)
-        count, continued = (x[inverse] for x in self.look_up(known, (known % n).astype(np.int64), "word", "tokens", "before"))
+        count, continued = (x[inverse] for x in self.look_up(known, "words", 2))
         base = np.log10((count + 0.5) / (t["tokens"] + 0.5 * (t["words"] + 1)))
         firsts, at = np.unique(before, return_inverse=True)
-        kinds = self.look_up(firsts, (firsts % n).astype(np.int64), "context", "kinds")[0]
-        total = self.look_up(firsts, (firsts % n).astype(np.int64), "word", "tokens")[0]
+        total, _, *kinds = self.look_up(firsts, "words", 5)
+        kinds = np.stack(kinds, axis=1)
         total = np.where(firsts == np.uint64(start_hash()), self.texts(), total)
         pairs, back = np.unique(bigram_hash(before, words), return_inverse=True)
-        shard = np.zeros(len(pairs), np.int64)
-        shard[back] = (words % n).astype(np.int64)
-        seen = self.look_up(pairs, shard, "bigram", "count")[0][back]
+        seen = self.look_up(pairs, "bigrams", 1)[0][back]
         uniform = 1 / (t["words"] + 1)
         if not t["predecessors"]:
             return count, base, np.full(len(words), np.log10(uniform))
@@ -266,7 +295,7 @@ class MappedModel:
         import xxhash
 
         end = np.array([xxhash.xxh3_64_intdigest(b" end")], np.uint64)
-        return int(self.look_up(end, (end % np.uint64(self.shards)).astype(np.int64), "word", "tokens")[0][0])
+        return int(self.look_up(end, "words", 1)[0][0])
 
 
 @functools.lru_cache(maxsize=1)
