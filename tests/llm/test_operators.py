@@ -367,8 +367,9 @@ def test_queries_against_their_sql(spark, name, tmp_path):
     pages.unionByName(spark.createDataFrame(extra, "page_id long, url string"), allowMissingColumns=True).write.parquet(f"{tmp_path}/pages.parquet")
     docs = spark.read.parquet(f"{SQL_ROOT}/documents.parquet")
     docs.unionByName(docs.limit(9)).unionByName(docs.limit(5).withColumn("text", F.upper("text")).withColumn("source", F.lit(None).cast("string"))).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SQL_ROOT}/conversations.parquet").write.parquet(f"{tmp_path}/conversations.parquet")
     con = duckdb.connect()
-    for t in ("pages", "documents"):
+    for t in ("pages", "documents", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
     df, found = Q.queries()[name](spark, str(tmp_path)), con.sql(Q.oracle_sql()[name])
     order = sorted(df.columns)

@@ -37,8 +37,8 @@ from twinfold.llm.shared import new_path, stored
 REVISIT_FROM = 1000
 #: Groups of equal payloads that are broadcast at most.
 BROADCAST_GROUPS = 50_000
-#: Bytes of an archive, of one read, and of a gap that a read spans.
-FILE_BYTES, READ_BYTES, GAP_BYTES = 1 << 30, 4 << 20, 64 << 10
+#: Bytes of an archive, of one read, of a gap that a read spans, and of what one task reads.
+FILE_BYTES, READ_BYTES, GAP_BYTES, TASK_BYTES = 1 << 30, 4 << 20, 64 << 10, 16 << 20
 INDEX = "id {kind}, url string, file string, offset long, length long, payload_bytes long, digest string, record_type string, refers_to {kind}"
 RECORD = "id {kind}, url string, record_type string, refers_to {kind}, payload binary, payload_bytes long, digest string"
 _DATE = "2000-01-01T00:00:00Z"
@@ -197,5 +197,8 @@ def read_records(selected: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(found, schema=arrow)
 
     arrow = pa.schema([(n, pa.binary() if n == "payload" else pa.int64() if n == "payload_bytes" else pa.string()) for n in names])
-    placed = selected.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    places = selected.select("file", "offset", "length")
+    # As many tasks as the records' bytes ask for; the rows that say where they lie are too few to tell.
+    tasks = 1 + (places.agg(F.sum("length").alias("n")).first()["n"] or 0) // TASK_BYTES
+    placed = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return placed.mapInArrow(read, schema).withColumn("id", F.col("id").cast(kind)).withColumn("refers_to", F.col("refers_to").cast(kind))
