@@ -123,6 +123,40 @@ def undo(groups: DataFrame, rejections: DataFrame, log: DataFrame) -> tuple[Data
     return groups, flagged(rejections, picked).filter(~(F.col("chosen") & (F.col("rule_name") == "MANUAL"))).drop("chosen"), rest
 
 
+def membership_history(groups: DataFrame, log: DataFrame) -> DataFrame:
+    """photo_id, group_id, from_action, to_action: where each photo of groups was, from one action on up to another (null: still).
+
+    Taken from the present state and the log: going back over a photo's splits, the last first, one that led to where
+    it is brought it from its source. A photo that a split lists, but that wasn't in its source, didn't move.
+    """
+    events = log.filter("action_type = 'split'").select(F.explode("photo_ids").alias("photo_id"), F.struct("action_id", "source_group_id", "new_group_id").alias("e")).distinct()
+    listed = events.groupBy("photo_id").agg(F.sort_array(F.collect_list("e"), asc=False).alias("events"))
+    kind = groups.schema["group_id"].dataType
+    start = F.struct(F.col("group_id").alias("at"), F.lit(None).cast("long").alias("until"), F.array().cast(f"array<struct<group_id:{kind.simpleString()},from_action:bigint,to_action:bigint>>").alias("found"))
+
+    def back(state, e):
+        moved = state["at"] == e["new_group_id"]
+        piece = F.struct(state["at"].alias("group_id"), e["action_id"].alias("from_action"), state["until"].alias("to_action"))
+        return F.struct(F.when(moved, e["source_group_id"]).otherwise(state["at"]).cast(kind).alias("at"), F.when(moved, e["action_id"]).otherwise(state["until"]).alias("until"), F.when(moved, F.array_append(state["found"], piece)).otherwise(state["found"]).alias("found"))
+
+    none = F.array().cast("array<struct<action_id:bigint,source_group_id:bigint,new_group_id:bigint>>")
+    whole = groups.join(listed, "photo_id", "left").withColumn("h", F.aggregate(F.coalesce("events", none), start, back))
+    first = F.struct(F.col("h.at").alias("group_id"), F.lit(0).cast("long").alias("from_action"), F.col("h.until").alias("to_action"))
+    return whole.select("photo_id", F.explode(F.array_append("h.found", first)).alias("x")).select("photo_id", "x.*")
+
+
+def rejection_history(rejections: DataFrame, log: DataFrame) -> DataFrame:
+    """rejections plus from_action: the action that first listed a photo rejected by hand; 0 for those that no action did."""
+    listed = log.filter("action_type = 'reject'").select(F.explode("photo_ids").alias("photo_id"), "action_id").groupBy("photo_id").agg(F.min("action_id").alias("from_action"))
+    found = rejections.join(listed, "photo_id", "left")
+    return found.withColumn("from_action", F.coalesce(F.when(F.col("rule_name") == "MANUAL", F.col("from_action")), F.lit(0).cast("long"))).withColumn("to_action", F.lit(None).cast("long"))
+
+
+def as_of(history: DataFrame, action_id: int) -> DataFrame:
+    """What held after an action (0: before the first)."""
+    return history.filter((F.col("from_action") <= action_id) & (F.col("to_action").isNull() | (F.col("to_action") > action_id))).drop("from_action", "to_action")
+
+
 def upsert(table: DataFrame, rows: DataFrame, *key: str) -> DataFrame:
     """table with rows put in place of those with the same key."""
     return table.join(rows.select(*key), list(key), "left_anti").unionByName(rows)

@@ -35,6 +35,12 @@ def _blocks(df: DataFrame, key: str, blocks: int, left: bool) -> DataFrame:
     return spread.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__own")))).withColumnRenamed("__own", "__j")
 
 
+def block_sides(rows: DataFrame, key: str, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """rows as the left and the right of all block pairs (__i, __j), with columns prefixed a_ and b_."""
+    side = lambda p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in rows.columns])
+    return _blocks(side("a"), f"a_{key}", blocks, True), _blocks(side("b"), f"b_{key}", blocks, False)
+
+
 def block_join(rows: DataFrame, key: str, condition: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], blocks: int | None = None) -> DataFrame:
     """Each pair of rows that meets the (symmetric) condition once, in either order, with columns prefixed a_ and b_.
 
@@ -46,9 +52,7 @@ def block_join(rows: DataFrame, key: str, condition: Callable[[Callable[[str], C
         cores = rows.sparkSession.sparkContext.defaultParallelism
         blocks = max(math.ceil(rows.count() / math.sqrt(PAIRS_PER_TASK)), math.ceil(math.sqrt(8 * cores)), 1)
     tasks = blocks * (blocks + 1) // 2
-    side = lambda p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in rows.columns])
-    a = _blocks(side("a"), f"a_{key}", blocks, True).repartition(tasks, "__i", "__j")
-    b = _blocks(side("b"), f"b_{key}", blocks, False).repartition(tasks, "__i", "__j")
+    a, b = (x.repartition(tasks, "__i", "__j") for x in block_sides(rows, key, blocks))
     test = condition(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))
     once = (F.col("__i") < F.col("__j")) | (F.col(f"a_{key}") < F.col(f"b_{key}"))
     return a.join(b, ["__i", "__j"]).filter(once & test).drop("__i", "__j")
@@ -60,26 +64,39 @@ def bands_of(bits: int, bands: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(ends, ends[1:])]
 
 
-def band_join(rows: DataFrame, column: str, threshold: int, bands: int, bits: int = 64) -> DataFrame:
-    """Pairs of rows with distinct values of column that are at most threshold bits apart, once each, in either order.
+def _band(value: Column, at: int, width: int) -> Column:
+    return F.shiftrightunsigned(value, at).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))
 
-    Columns are prefixed a_ and b_. rows must be stored, or cheap to read twice.
-    """
-    reach, places = threshold // bands, bands_of(bits, bands)
-    part = lambda c, at, width: F.shiftrightunsigned(c, at).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))
+
+def band_rows(rows: DataFrame, column: str, threshold: int, bands: int, bits: int = 64) -> DataFrame:
+    """rows once per band, with band and value, the band's bits of the column."""
+    own = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), _band(F.col(column), *p).alias("value")) for k, p in enumerate(bands_of(bits, bands))]))
+    return rows.withColumn("k", own).select("*", "k.band", "k.value").drop("k")
+
+
+def probe_rows(rows: DataFrame, column: str, threshold: int, bands: int, bits: int = 64) -> DataFrame:
+    """rows once per band and value within reach: with threshold bits between two columns, one band has threshold // bands at most."""
+    reach = threshold // bands
 
     def ball(k: int, at: int, width: int) -> Column:
-        centre, masks = part(F.col(f"b_{column}"), at, width), [sum(1 << i for i in x) for n in range(reach + 1) for x in combinations(range(width), n)]
+        centre, masks = _band(F.col(column), at, width), [sum(1 << i for i in x) for n in range(reach + 1) for x in combinations(range(width), n)]
         return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: F.struct(F.lit(k).alias("band"), centre.bitwiseXOR(m).alias("value")))
 
-    own = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), part(F.col(f"a_{column}"), *p).alias("value")) for k, p in enumerate(places)]))
+    probes = F.explode(F.concat(*[ball(k, *p) for k, p in enumerate(bands_of(bits, bands))]))
+    return rows.withColumn("k", probes).select("*", "k.band", "k.value").drop("k")
+
+
+def band_join(rows: DataFrame, column: str, threshold: int, bands: int, bits: int = 64) -> DataFrame:
+    """Pairs of rows with distinct values of column that are at most threshold bits apart, once each, in either order.
+
+    Columns are prefixed a_ and b_. rows must be stored, or cheap to read twice.
+    """
     side = lambda p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in rows.columns])
-    a = side("a").withColumn("k", own).select("*", "k.band", "k.value").drop("k")
-    b = side("b").withColumn("k", F.explode(F.concat(*[ball(k, *p) for k, p in enumerate(places)]))).select("*", "k.band", "k.value").drop("k")
+    a, b = band_rows(side("a"), f"a_{column}", threshold, bands, bits), probe_rows(side("b"), f"b_{column}", threshold, bands, bits)
     diff = F.col(f"a_{column}").bitwiseXOR(F.col(f"b_{column}"))
     first = F.lit(None).cast("int")
-    for k, p in reversed(list(enumerate(places))):
-        first = F.when(F.bit_count(part(diff, *p)) <= reach, F.lit(k)).otherwise(first)
+    for k, p in reversed(list(enumerate(bands_of(bits, bands)))):
+        first = F.when(F.bit_count(_band(diff, *p)) <= threshold // bands, F.lit(k)).otherwise(first)
     once = (F.col(f"a_{column}") < F.col(f"b_{column}")) & (F.bit_count(diff) <= threshold) & (first == F.col("band"))
     # Sizes are estimated before the explosion, so a broadcast of the probes must be ruled out here.
     return a.join(b.hint("merge"), ["band", "value"]).filter(once).drop("band", "value")
@@ -136,15 +153,20 @@ def banded_pairs(photos: DataFrame, threshold: int, column: str = "phash", bits:
     return across.unionByName(same)
 
 
-def all_pairs(photos: DataFrame, blocks: int | None = None, words: int = 4) -> DataFrame:
-    """photo_id_1 < photo_id_2, same_primary_group, and four distances of every pair of photos.
+#: Words of a wide hash, and the columns of a pair table.
+WIDE_WORDS = 4
+PAIR_INPUT = "photo_id_1 string, photo_id_2 string, same_primary_group int, phash_dist int, dhash_dist int, phash16_dist int, colorhash_dist int"
 
-    Photos need id, group_id (or null), phash, dhash, phash_16 (array of so many words) and colorhash.
-    """
-    spread = photos.select("id", "group_id", "phash", "dhash", *[F.get("phash_16", F.lit(k)).alias(f"w{k}") for k in range(words)], "colorhash")
+
+def spread_words(photos: DataFrame, words: int = WIDE_WORDS) -> DataFrame:
+    return photos.select("id", "group_id", "phash", "dhash", *[F.get("phash_16", F.lit(k)).alias(f"w{k}") for k in range(words)], "colorhash")
+
+
+def pair_distances(met: DataFrame, words: int = WIDE_WORDS) -> DataFrame:
+    """The row of a pair table for rows that met, with columns prefixed a_ and b_."""
     apart = lambda c: X.hamming(F.col(f"a_{c}"), F.col(f"b_{c}"))
     wide = sum((apart(f"w{k}") for k in range(1, words)), apart("w0"))
-    return block_join(spread, "id", lambda a, b: F.lit(True), blocks).select(
+    return met.select(
         F.least("a_id", "b_id").alias("photo_id_1"),
         F.greatest("a_id", "b_id").alias("photo_id_2"),
         F.coalesce((F.col("a_group_id") == F.col("b_group_id")).cast("int"), F.lit(0)).alias("same_primary_group"),
@@ -155,6 +177,14 @@ def all_pairs(photos: DataFrame, blocks: int | None = None, words: int = 4) -> D
     )
 
 
+def all_pairs(photos: DataFrame, blocks: int | None = None, words: int = WIDE_WORDS) -> DataFrame:
+    """photo_id_1 < photo_id_2, same_primary_group, and four distances of every pair of photos.
+
+    Photos need id, group_id (or null), phash, dhash, phash_16 (array of so many words) and colorhash.
+    """
+    return pair_distances(block_join(spread_words(photos, words), "id", lambda a, b: F.lit(True), blocks), words)
+
+
 #: Fields of a pair table's histogram and their bits in a packed key; distances stay below 2^10.
 SUMMARY = {"phash16_dist": 10, "colorhash_dist": 10, "phash_dist": 10, "dhash_dist": 10, "same_primary_group": 1}
 

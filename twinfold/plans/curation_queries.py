@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from twinfold.operators import curate as M
 from twinfold.plans.register import Registry
+from twinfold.sources.scratch import stored
 
 R = Registry()
 _NEXT = "(SELECT coalesce(max(group_id), 0) + 1 FROM members)"
@@ -41,6 +42,15 @@ def _undone(c):
     return M.undo(groups, c.small("rejections"), log)[0]
 
 
+def _history(c):
+    """Two splits of group 10 and one of group 20, as it was after the first."""
+    groups, log = M.split(c.small("members"), _log(c), 10, _pick(c, 10, 2))
+    groups, log = M.split(stored(groups, "groups"), stored(log, "log"), 20, _pick(c, 20, 2))
+    groups, log = M.split(stored(groups, "groups"), stored(log, "log"), 10, _pick(c, 10, 1))
+    return M.as_of(M.membership_history(stored(groups, "groups"), stored(log, "log")), 1)
+
+
+R.add("m6_as_of", _history, f"SELECT photo_id, CASE WHEN {_PICK.format(g=10, e=2)} THEN {_NEXT} ELSE group_id END AS group_id FROM members", "members")
 R.add("m6_undo", _undone, "SELECT photo_id, group_id FROM members", "members")
 R.add(
     "m7_delete_junk",

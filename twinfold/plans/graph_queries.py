@@ -8,10 +8,12 @@ from twinfold.functions import exprs as X
 from twinfold.operators import catalog as C
 from twinfold.operators import cluster as K
 from twinfold.operators import grouping as G
+from twinfold.operators import incremental as I
 from twinfold.operators import similarity as S
 from twinfold.operators.components import connected_components
+from twinfold.operators.pair_jobs import PairJob
 from twinfold.plans.register import Registry
-from twinfold.sources.scratch import stored
+from twinfold.sources.scratch import new_path, stored
 
 R = Registry()
 _DIST = "CAST(bit_count(xor(a.{x}_hi, b.{x}_hi)) + bit_count(xor(a.{x}_lo, b.{x}_lo)) AS INT)"
@@ -226,6 +228,27 @@ def _cells_linked(c):
     return K.complete_linkage(near, "photo_id_1", "photo_id_2", ("phash16_dist", "colorhash_dist"))
 
 
+def _grown(c):
+    """The catalog's components after three batches, of which each meets only itself and what came before."""
+    hashed = stored(c.hashes.filter("phash is not null").join(c.bare.select("id", "L"), "id"), "hashes")
+    catalog = I.GrowingCatalog.empty(hashed)
+    for k in range(3):
+        catalog, _ = I.insert_photos(catalog, hashed.filter(F.col("L") % 3 == k))
+    return catalog.labels
+
+
+R.add("s10_grown_components", _grown, "SELECT node, label FROM components", "components")
+
+
+def _resumed(c):
+    """The pair table's histogram by group and phash distance, from a job that is taken up again after 5 of 12 steps."""
+    folder = new_path(c.spark, "pair-job")
+    wide = stored(_wide(c), "wide")
+    PairJob(c.spark, folder).start(wide, steps=12).run(5)
+    return PairJob(c.spark, folder).start(wide.limit(0)).run().pairs().groupBy("same_primary_group", "phash_dist").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+R.add("j2_resumed_pairs", _resumed, f"SELECT same_primary_group, phash_dist, count(*) AS pairs FROM ({_WIDE}) GROUP BY 1, 2", "hashes", "members")
 R.add("g10_composite_groups", lambda c: G.composite_groups(G.component_groups(_near(c)), G.second_groups(*_second(c)), C.without(c.bare, c.small("decisions"))))
 
 QUERIES, ORACLES = R.queries, R.oracles
