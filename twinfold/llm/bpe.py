@@ -68,7 +68,8 @@ class TokenAutomaton:
                 self.made[vocab[sign]] = -1
         for time, (left, right) in enumerate(merges):
             self._gadget(vocab[left], vocab[right], vocab[left + right], time)
-        self.longest = max(map(len, self.ids), default=1)
+        #: All beginnings of labels, with the token of those that are labels themselves (else -1).
+        self.starts: dict[bytes, int] = {label[:k]: -1 for label in self.ids for k in range(1, len(label))} | self.ids
         self.table.clear()
 
     def _gadget(self, a: int, b: int, c: int, time: int) -> None:
@@ -110,37 +111,43 @@ class TokenAutomaton:
         A place that was reached and can't be left is dead for good, since the tokens up to any place
         are unique; so no place is left twice, and the time stays linear in the word.
         """
-        ids, table, longest, n = self.ids, self.table, self.longest, len(word)
+        ids, table, n = self.ids, self.table, len(word)
         if (whole := ids.get(word)) is not None:
             return [whole]
         if len(table) > TABLE_LIMIT:
             table.clear()
         tokens: list[int] = []
-        starts: list[int] = []
+        tried: list[tuple[int, list[tuple[int, int]]]] = []
         dead: set[int] = set()
-        at, end = 0, min(n, longest)
+        at, options = 0, self.matches(word, 0)
         while at < n:
-            last = tokens[-1] if tokens else -1
-            while end > at:
-                if end not in dead and (token := ids.get(word[at:end])) is not None:
-                    if last < 0:
-                        break
-                    lost = table.get((last, token))
-                    if (self._lost(last, token) if lost is None else lost) == NEVER:
-                        break
-                end -= 1
-            if end > at:
+            last, taken = tokens[-1] if tokens else -1, False
+            while options and not taken:
+                end, token = options.pop()
+                if end not in dead:
+                    lost = NEVER if last < 0 else table.get((last, token))
+                    taken = (self._lost(last, token) if lost is None else lost) == NEVER
+            if taken:
                 tokens.append(token)
-                starts.append(at)
-                at, end = end, min(n, end + longest)
+                tried.append((at, options))
+                at, options = end, self.matches(word, end)
             elif tokens:
                 dead.add(at)
                 tokens.pop()
-                at, end = starts.pop(), at - 1
+                at, options = tried.pop()
             else:
                 raise ValueError("the vocabulary lacks a byte of the word")
         return tokens
 
+    def matches(self, word: bytes, at: int) -> list[tuple[int, int]]:
+        """(end, token) of the labels that the word has at a place, shortest first: a walk down the tree of labels."""
+        starts, out, end = self.starts, [], at + 1
+        while (token := starts.get(word[at:end])) is not None and end <= len(word):
+            if token >= 0:
+                out.append((end, token))
+            end += 1
+        return out
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
