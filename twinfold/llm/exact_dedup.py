@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from twinfold.llm.shared import free_name, lower_az, new_path, stored
 
 SALTS = 8
-#: Batches that a table is dealt into, and runs of one size class that are merged.
-BATCHES, FAN_OUT = 5, 4
+#: Rows that a memtable takes at least, batches that a table is dealt into at most, and runs of one size class that are merged.
+MEMTABLE_ROWS, BATCHES, FAN_OUT = 50_000, 5, 4
 #: Rows of a filter, 12 bytes each, and the bits that a digest sets in its word.
 FILTER_SLOTS, FILTER_BITS = 1 << 18, 4
 
@@ -171,20 +171,24 @@ class Indexed:
     mixed: DataFrame
 
 
-def index_texts(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column] = sha256_bytes, batches: int = BATCHES) -> Indexed:
+def index_texts(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column] = sha256_bytes, batches: int | None = None) -> Indexed:
+    """batches defaults to as many memtables as the rows fill, up to BATCHES."""
     spark = docs.sparkSession
     texts = _hashed(docs, id_col, text_col, digest)
-    rows = stored(texts.select("id", "digest", F.pmod(F.xxhash64(F.col("id"), F.lit(1)), F.lit(batches)).cast("int").alias("batch")), "digests")
+    rows = stored(texts.select("id", "digest"), "digests")
+    if batches is None:
+        batches = min(BATCHES, max(1, -(-rows.count() // MEMTABLE_ROWS)))
+    dealt = rows.withColumn("batch", F.pmod(F.xxhash64(F.col("id"), F.lit(1)), F.lit(batches)))
     index = DigestIndex(spark, new_path(spark, "digest-index"))
     hits = None
     for batch in range(batches):
-        found = index.append(rows.filter(F.col("batch") == batch).select("id", "digest"))
+        found = index.append(dealt.filter(F.col("batch") == batch).select("id", "digest"))
         hits = found if hits is None else hits.unionByName(found)
     index.compact()
     hits = stored(hits.distinct(), "hits")
     hit_filter = stored(digest_filter(hits), "hit-filter")
     mixed = stored(_mixed_digests(texts, hits, hit_filter), "mixed-digests")
-    return Indexed(texts, rows.select("id", "digest"), index.table(), hit_filter, mixed)
+    return Indexed(texts, rows, index.table(), hit_filter, mixed)
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", digest: Callable[[Column], Column] = sha256_bytes) -> DataFrame:
