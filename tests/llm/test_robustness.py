@@ -4,19 +4,22 @@ import html
 import math
 import random
 import resource
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from twinfold.llm.bpe import Encoder, load_automaton
+from twinfold.llm.exact_dedup import drop_copies, exact_groups
 from twinfold.llm.html_text import characters, extract_pages, main_text
 from twinfold.llm.near_dedup import keep_one, near_groups
 from twinfold.llm.ngram_lm import MappedModel, flat, mapped, narrow, save, score_documents, train
+from twinfold.llm.queries import default_vocabulary
 from twinfold.llm.shared import new_path
 
-import pyarrow as pa  # noqa: E402
-
 PROSE = "The storm that came over the hills in the night was one of the worst that people in the village had seen for many years."
 
 
@@ -119,3 +122,29 @@ def test_probabilities_sum_to_one_over_shards(spark, talk):
     for first in firsts:
         p = 10 ** model.score(np.full(len(every), first), every)[2]
         assert abs(p.sum() - 1) < 1e-9
+
+
+def test_any_number_of_memtables_gives_the_same_groups(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(k, rng.choice(["A b", "a B", "c", "", None, f"own {k}"]), "s", 1, "r") for k in range(60)]
+    df = spark.createDataFrame(rows, DOCS)
+    found = []
+    for size in (50_000, 25, 1):  # one, three, five
+        monkeypatch.setattr("twinfold.llm.exact_dedup.MEMTABLE_ROWS", size)
+        found.append((Counter(tuple(r) for r in exact_groups(df, keep="largest").collect()), Counter(r["doc_id"] for r in drop_copies(df, keep="largest").collect())))
+    assert found[0] == found[1] == found[2] and len(found[0][1]) == len({(t or "").lower() for _, t, *_ in rows})
+
+
+def test_long_words_are_quick():
+    from tokenizers import Tokenizer
+
+    path = default_vocabulary()
+    automaton, library = load_automaton(path), Tokenizer.from_file(path)
+    encoder = Encoder(automaton)
+    rng = random.Random(5)
+    for word in ("ab" * 100_000, " " * 200_000, "1" * 200_000, "".join(rng.choice("ab") for _ in range(200_000)), "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(100_000)), "\u00e9" * 50_000):
+        began = time.perf_counter()
+        automaton.encode_word(word.encode())
+        assert time.perf_counter() - began < 3, word[:9]
+        text = word[:20_000]
+        assert encoder.encode(text) == ",".join(map(str, library.encode(text, add_special_tokens=False).ids)), word[:9]
