@@ -37,6 +37,9 @@ TABLE_LIMIT, WORD_LIMIT = 300_000, 150_000
 HAND_ON = 400_000
 NEVER = 1 << 60
 
+#: Bytes of a word from which on its places are looked up in the tree of labels.
+LONG_WORD = 200
+
 
 def byte_signs() -> dict[str, int]:
     """The printable sign of each byte in vocabulary files: itself where printable, else from 256 on."""
@@ -68,8 +71,7 @@ class TokenAutomaton:
                 self.made[vocab[sign]] = -1
         for time, (left, right) in enumerate(merges):
             self._gadget(vocab[left], vocab[right], vocab[left + right], time)
-        #: All beginnings of labels, with the token of those that are labels themselves (else -1).
-        self.starts: dict[bytes, int] = {label[:k]: -1 for label in self.ids for k in range(1, len(label))} | self.ids
+        self.longest = max(map(len, self.ids), default=1)
         self.table.clear()
 
     def _gadget(self, a: int, b: int, c: int, time: int) -> None:
@@ -139,10 +141,18 @@ class TokenAutomaton:
                 raise ValueError("the vocabulary lacks a byte of the word")
         return tokens
 
+    @functools.cached_property
+    def starts(self) -> dict[bytes, int]:
+        """All beginnings of labels, with the token of those that are labels themselves (else -1); made when a long word asks for it."""
+        return {label[:k]: -1 for label in self.ids for k in range(1, len(label))} | self.ids
+
     def matches(self, word: bytes, at: int) -> list[tuple[int, int]]:
-        """(end, token) of the labels that the word has at a place, shortest first: a walk down the tree of labels."""
+        """(end, token) of the labels that the word has at a place, shortest first; in a long word by a walk down the tree of labels."""
+        ids, n = self.ids, len(word)
+        if n <= LONG_WORD:
+            return [(end, token) for end in range(at + 1, min(n, at + self.longest) + 1) if (token := ids.get(word[at:end])) is not None]
         starts, out, end = self.starts, [], at + 1
-        while (token := starts.get(word[at:end])) is not None and end <= len(word):
+        while end <= n and (token := starts.get(word[at:end])) is not None:
             if token >= 0:
                 out.append((end, token))
             end += 1
