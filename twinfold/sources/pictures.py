@@ -218,7 +218,7 @@ def _webp_size(data: bytes) -> tuple[int, int] | None:
 
 
 def picture_size(data: bytes) -> tuple[int, int] | None:
-    """(width, height); None where the header is missing, cut off or says zero."""
+    """(width, height); None where the header is missing, cut off or says zero. A PNG's is given as it stands."""
     try:
         kind, size = kind_of(data), None
         if kind == "jpeg":
@@ -240,7 +240,7 @@ def picture_size(data: bytes) -> tuple[int, int] | None:
             size = _webp_size(data)
         elif kind == "heic":
             size = HeicItems(data).size()
-        return size if size and size[0] > 0 and size[1] > 0 else None
+        return size if size and (kind == "png" or min(size) > 0) else None
     except IndexError:
         return None
 

@@ -182,7 +182,7 @@ def raster(data: bytes) -> np.ndarray | None:
     """Rows of pixels of 1 (gray), 2 (gray, alpha), 3 or 4 bytes, before EXIF turns them. None where that can't be had."""
     read = {"png": _png, "bmp": _bmp, "gif": _gif}.get(kind_of(data))
     size = picture_size(data)
-    if read is None or size is None or size[0] * size[1] > MOST_PIXELS:
+    if read is None or size is None or not 0 < size[0] * size[1] <= MOST_PIXELS:
         return None
     try:
         return np.ascontiguousarray(read(data, *size))
