@@ -12,6 +12,7 @@ BAD_DEFAULT = ("2012-12-31", "23:00:00")
 MONTHS = [(name, k + 1) for k, name in enumerate("january february march april may june july august september october november december".split())]
 MONTHS += [(name[:3], k) for name, k in MONTHS if name != "may"]
 
+#: The published patterns of dates in file names, in the order in which they are tried.
 _TIMED = (r"(\d{4})(\d{2})(\d{2})[_-](\d{2})(\d{2})(\d{2})", r"(\d{4})-(\d{2})-(\d{2})[_ ](?:at )?(\d{2})\.(\d{2})\.(\d{2})", r"(\d{4})-(\d{2})-(\d{2})[_-](\d{2})(\d{2})(\d{2})")
 _PLAIN = (r"(\d{4})(\d{2})(\d{2})(?!\d)", r"(\d{4})-(\d{2})-(\d{2})(?!\d)")
 

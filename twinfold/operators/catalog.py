@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from twinfold.functions import exprs as X
+from twinfold.operators.ranges import RangedTable, neighbours_in_order
 from twinfold.operators.rules import with_paths
 
 # ---- selections -------------------------------------------------------------
@@ -72,7 +73,7 @@ def missing_tables(spark: SparkSession, names: list[str]) -> list[str]:
 
 
 def page_by_rule(decisions: DataFrame, rule: str, page: int, size: int = 50) -> DataFrame:
-    return decisions.filter(F.col("rule_name") == rule).orderBy("photo_id").offset((page - 1) * size).limit(size)
+    return RangedTable.of(decisions.filter(F.col("rule_name") == rule), "photo_id").page(page, size)
 
 
 def search_paths(paths: DataFrame, text: str, score: Column, top: int = 50) -> DataFrame:
@@ -234,15 +235,13 @@ def review_order(groups: DataFrame, photos: DataFrame) -> DataFrame:
 
 
 def neighbours(groups: DataFrame) -> DataFrame:
-    """group_id, previous, next among the groups; one row per group is sorted as a whole."""
-    w = Window.orderBy("group_id")
-    ids = groups.select("group_id").distinct()
-    return ids.select("group_id", F.lag("group_id").over(w).alias("previous"), F.lead("group_id").over(w).alias("next"))
+    """group_id, previous, next among the groups."""
+    return neighbours_in_order(groups, "group_id")
 
 
 def page(rows: DataFrame, number: int, size: int, *order: str) -> DataFrame:
-    """One page; numbers below one count as one."""
-    return rows.orderBy(*order).offset((max(1, number) - 1) * size).limit(size)
+    """One page of rows; whoever turns several keeps the RangedTable."""
+    return RangedTable.of(rows, *order).page(number, size)
 
 
 def nearest_cells(pairs: DataFrame, p: int, c: int, reach: int = 0, limit: int = 24) -> DataFrame:

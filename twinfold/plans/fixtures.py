@@ -129,11 +129,14 @@ def ctes() -> dict[str, str]:
         "merged": "SELECT photo_id, coalesce(new, group_id) AS group_id FROM members LEFT JOIN merges ON old = group_id",
         "firsts": "SELECT label, row_number() OVER (ORDER BY label) - 1 AS group_id FROM (SELECT DISTINCT label FROM components)",
         "comp_groups": "SELECT node AS photo_id, CAST(group_id AS BIGINT) AS group_id FROM components JOIN firsts USING (label)",
+        "held": "SELECT id AS photo_id, concat('a', CAST(floor(L / 5) AS BIGINT)) AS tier FROM photos WHERE L % 3 <> 0 AND id NOT IN (SELECT photo_id FROM decisions) UNION ALL SELECT id, concat('b', CAST(floor((L + 2) / 5) AS BIGINT)) FROM photos WHERE L % 3 <> 2",
+        "touching": "SELECT DISTINCT x.tier AS a, y.tier AS b FROM held x JOIN held y USING (photo_id)",
+        "tier_reach": "SELECT a AS node, b AS other FROM touching UNION SELECT r.node, t.b FROM tier_reach r JOIN touching t ON t.a = r.other",
     }
     return out | _TABLES
 
 
-NEEDS = {"listed": ["paths"], "inventory": ["paths"], "words": ["photos"], "hashed": ["words"], "hashes": ["hashed"], "near": ["hashes"], "reach": ["near"], "components": ["reach"], "firsts": ["components"], "comp_groups": ["components", "firsts"], "near8": ["hashes"], "reach8": ["near8"], "legacy_groups": ["reach8"], "unlinked": ["near", "members"], "bridge": ["unlinked"], "group_reach": ["bridge"], "merges": ["group_reach"], "merged": ["merges", "members"]} | {t: ["photos"] for t in _TABLES}
+NEEDS = {"listed": ["paths"], "inventory": ["paths"], "words": ["photos"], "hashed": ["words"], "hashes": ["hashed"], "near": ["hashes"], "reach": ["near"], "components": ["reach"], "firsts": ["components"], "comp_groups": ["components", "firsts"], "near8": ["hashes"], "reach8": ["near8"], "legacy_groups": ["reach8"], "unlinked": ["near", "members"], "bridge": ["unlinked"], "group_reach": ["bridge"], "merges": ["group_reach"], "merged": ["merges", "members"], "held": ["photos", "decisions"], "touching": ["held"], "tier_reach": ["touching"]} | {t: ["photos"] for t in _TABLES}
 
 
 def sql(body: str, *tables: str) -> str:
@@ -148,5 +151,5 @@ def sql(body: str, *tables: str) -> str:
 
     for t in tables:
         add(t)
-    recursive = "RECURSIVE " if {"reach", "reach8", "group_reach"} & set(order) else ""
+    recursive = "RECURSIVE " if {"reach", "reach8", "group_reach", "tier_reach"} & set(order) else ""
     return f"WITH {recursive}" + ",\n".join(f"{n} AS ({ctes()[n]})" for n in order) + "\n" + body if order else body

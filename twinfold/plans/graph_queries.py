@@ -250,5 +250,20 @@ def _resumed(c):
 
 R.add("j2_resumed_pairs", _resumed, f"SELECT same_primary_group, phash_dist, count(*) AS pairs FROM ({_WIDE}) GROUP BY 1, 2", "hashes", "members")
 R.add("g10_composite_groups", lambda c: G.composite_groups(G.component_groups(_near(c)), G.second_groups(*_second(c)), C.without(c.bare, c.small("decisions"))))
+_TIER = "SELECT id AS photo_id, CAST(floor((L + {0}) / 5) AS BIGINT) AS group_id FROM photos WHERE L % 3 <> {0}"
+
+
+def _tier(c, k):
+    return c.spark.sql(_TIER.format(k).replace("FROM photos", "FROM {photos}"), photos=c.bare.select("id", "L"))
+
+
+R.add(
+    "g10_composite_of_tiers",
+    lambda c: G.composite_groups(_tier(c, 0), _tier(c, 2), C.without(c.bare, c.small("decisions"))),
+    """SELECT photo_id, dense_rank() OVER (ORDER BY label) - 1 AS group_id FROM (
+    SELECT photo_id, label, count(*) OVER (PARTITION BY label) AS n FROM (
+    SELECT h.photo_id, min(l.photo_id) AS label FROM held h JOIN tier_reach r ON r.node = h.tier JOIN held l ON l.tier = r.other GROUP BY h.photo_id)) WHERE n > 1""",
+    "tier_reach",
+)
 
 QUERIES, ORACLES = R.queries, R.oracles
