@@ -310,6 +310,14 @@ def test_mixing(docs, rows, none):
     for s in sizes:
         assert target[s] == pytest.approx(want[s])
         assert abs(taken[s] - want[s]) <= 1
+    for r in out:  # what finishes before the end is whole, what begins later is left, one item of a source is cut
+        ends = [r["finish_time"] + e * r["source_size"] / weight[r["source"]] for e in range(2)]
+        begins = [x - r["size"] / weight[r["source"]] for x in ends]
+        whole, left_out = sum(x <= r["level"] for x in ends), sum(x >= r["level"] for x in begins)
+        assert r["size"] == 0 or whole * r["size"] <= r["taken"] <= (2 - left_out) * r["size"]
+        assert whole + left_out >= 1
+    cut = Counter(r["source"] for r in out if r["size"] and r["taken"] % r["size"])
+    assert max(cut.values(), default=0) <= 1 and len({r["level"] for r in out}) == 1
     assert as_bag(out) == as_bag(mix_sources(docs.repartition(7), [5.0, 2.0, 1.0]).collect())
     assert mix_sources(none, [5.0, 2.0, 1.0]).count() == 0
     assert mixed_rows(docs, [5.0, 2.0, 1.0]).columns == docs.columns

@@ -57,10 +57,10 @@ def source_targets(sources: DataFrame, weights: list[float], budget_ratio: float
 def _placed(docs: DataFrame, weights: list[float], budget_ratio: float, max_epochs: int, seed: int, id_col: str, source_col: str, text_col: str, payload: list[Column]) -> DataFrame:
     """payload columns, id, source, size, source_size, weight, target, start, taken of each row of docs.
 
-    An item is a row in one epoch. Its virtual finish time, times its source's weight, is the number of the
-    source's words up to and with it; the budget ends at the virtual time at which target words of the source
-    have been served. Items that finish by then are taken whole, those that start later not at all, and the one
-    that is being served in part.
+    An item is a row in one epoch. Its virtual finish time is the number of the source's words up to and with it,
+    divided by the source's weight; level is the virtual time at which the budget ends. Items that finish by
+    then are taken whole, those that start later not at all, and the one that is in service in part: the words
+    that the source has been served by then, whole ones.
     """
     spread = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"))), 1, 15), 16, 10).cast("long")  # 60 bits
     full = docs.select(F.struct(*payload).alias("payload"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), spread.alias("h")).withColumn("slice", F.shiftright("h", 60 - SLICE_BITS).cast("int"))
@@ -68,27 +68,37 @@ def _placed(docs: DataFrame, weights: list[float], budget_ratio: float, max_epoc
     slices = sized.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     slices = slices.withColumn("before", F.coalesce(F.sum("slice_size").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget_ratio, max_epochs)
-    offsets = slices.alias("s").join(targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select("s.source", "slice", "before", "source_size", "weight", "target")
+    offsets = slices.alias("s").join(targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select("s.source", "slice", "before", "source_size", "weight", "level", "target")
     line = Window.partitionBy("d.source", "d.slice").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         (full if payload else sized.withColumn("payload", F.struct()))
         .alias("d")
         .join(offsets.alias("o"), F.col("d.source").eqNullSafe(F.col("o.source")) & (F.col("d.slice") == F.col("o.slice")))
-        .select("payload", "id", "d.source", "size", "source_size", "weight", "target", (F.col("before") + F.sum("size").over(line) - F.col("size")).alias("start"))
+        .select("payload", "id", "d.source", "size", "source_size", "weight", "level", "target", (F.col("before") + F.sum("size").over(line) - F.col("size")).alias("start"))
     )
-    served = F.floor("target")
-    parts = [F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), served - e * F.col("source_size") - F.col("start"))) for e in range(max_epochs)]
+    none = F.lit(0).cast("long")
+    parts = []
+    for epoch in range(max_epochs):
+        begun = epoch * F.col("source_size") + F.col("start")
+        in_service = F.greatest(none, F.least(F.col("size"), F.floor(F.col("level") * F.col("weight")) - begun))
+        parts.append(F.when(finish_time(epoch) <= F.col("level"), F.col("size")).when(begun / F.col("weight") >= F.col("level"), none).otherwise(in_service))
     return placed.withColumn("taken", sum(parts[1:], parts[0]))
 
 
+def finish_time(epoch: int) -> Column:
+    """The virtual finish time of an item in the epoch."""
+    return (epoch * F.col("source_size") + F.col("start") + F.col("size")) / F.col("weight")
+
+
 def mix_sources(docs: DataFrame, weights: list[float], budget_ratio: float = 1.5, max_epochs: int = 2, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id, source, size, source_size, target, start, finish_time, taken.
+    """One row per row of docs: id, source, size, source_size, target, start, finish_time, level, taken.
 
     start is the number of the source's shuffled words before the document; finish_time its virtual
-    finish time in the first epoch; taken the words the mix takes of it over all epochs.
+    finish time in the first epoch; level the virtual time at which the budget ends; taken the words the mix
+    takes of it over all epochs.
     """
-    out = _placed(docs, weights, budget_ratio, max_epochs, seed, id_col, source_col, text_col, []).withColumn("finish_time", (F.col("start") + F.col("size")) / F.col("weight"))
-    return out.repartitionByRange("finish_time", "id").sortWithinPartitions("finish_time", "id").select("id", "source", "size", "source_size", "target", "start", "finish_time", "taken")
+    out = _placed(docs, weights, budget_ratio, max_epochs, seed, id_col, source_col, text_col, []).withColumn("finish_time", finish_time(0))
+    return out.repartitionByRange("finish_time", "id").sortWithinPartitions("finish_time", "id").select("id", "source", "size", "source_size", "target", "start", "finish_time", "level", "taken")
 
 
 def mixed_rows(docs: DataFrame, weights: list[float], budget_ratio: float = 1.5, max_epochs: int = 2, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
