@@ -536,6 +536,31 @@ def test_digest_index_merges_by_size_and_looks_up_through_filters(spark, tmp_pat
     assert passed.count() < len(known) // 3 + 10 and {w[0] for w in want} <= {bytes(r["digest"]) for r in passed.collect()}
 
 
+@pytest.mark.parametrize("slots", [1 << 10, 1 << 18, 1 << 20])
+def test_filters_of_any_size_lose_nothing_and_pass_little(spark, slots):
+    """Up to 2^18 slots a filter is broadcast, a larger one is joined by slot."""
+    from twinfold.llm.exact_dedup import digest_filter, may_hold, slots_for
+
+    rows = slots_for(6000) * 8
+    assert rows == 8192 and [slots_for(n) for n in (0, 1, 8192, 8193, 10**9)] == [1024, 1024, 1024, 2048, 1 << 27]
+    digests = spark.range(2 * rows).selectExpr("id", "unhex(sha2(cast(id AS string), 256)) AS digest")
+    out = may_hold(digests, digest_filter(digests.filter(f"id < {rows}"), slots), slots=slots)
+    known, passed = (out.filter(f"may_hold AND id {sign} {rows}").count() for sign in ("<", ">="))
+    assert known == rows and passed < 0.06 * rows
+    assert ("BroadcastHashJoin" in out._jdf.queryExecution().optimizedPlan().toString() or "broadcast" in out._jdf.queryExecution().optimizedPlan().toString()) == (slots <= 1 << 18)
+
+
+def test_runs_above_the_broadcast_bound_are_looked_up_alike(spark, tmp_path, monkeypatch):
+    from twinfold.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "FILTER_SLOTS", 256)  # each run has more
+    digests = spark.range(3000).selectExpr("id % 2000 AS id", "unhex(sha2(cast(id % 2000 AS string), 256)) AS digest")
+    index = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index")
+    assert index.append(digests.filter("id < 1500")).count() == 1000
+    assert index.append(digests.filter("id >= 1000")).count() == 500
+    assert index.lookup(digests.select("digest").distinct()).count() == 2000
+
+
 def test_columns_of_any_name_survive(spark):
     names = ["doc_id", "text", "source", "__turn", "__digest", "__id", "__times", "__mix_id", "digest", "turn", "may_hold", "row", "payload", "slice", "h", "id", "salt", "word", "slot"]
     rows = [(k, f"word{k % 7} and more", f"s{k % 2}", *[f"{c}{k}" for c in names[3:]]) for k in range(14)]

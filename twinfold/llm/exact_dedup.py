@@ -6,8 +6,10 @@ fan-out in rows) are merged into one of the next as soon as there are as many as
 rewritten a logarithmic number of times; a merged entry keeps the smallest and the largest identifier and the
 number of rows. A lookup asks the filter of each run first and reads a run for what passes alone.
 
-Filters are of a blocked Bloom kind: a table of (slot, word) with at most FILTER_SLOTS rows, which is small
-enough to broadcast whatever the run's size; beyond some ten digests a slot it passes more, and loses none.
+Filters are of a blocked Bloom kind: a table of (slot, word) with eight digests a slot or fewer, made when a run
+is first asked. Up to FILTER_SLOTS rows it is broadcast; a larger run's filter meets the digests asked by slot, and
+shuffles some two bytes for each of its digests instead of the entries. The filter of hits, which texts are held
+against in the scan, has FILTER_SLOTS rows at most; beyond some ten hits a slot it passes more, and loses none.
 
 Digests met twice, within a batch or by lookup, are hits, and hits are verified byte by byte before they
 count as copies. The texts of hits alone are shuffled for that, once: a filter of the hits, broadcast, tells
@@ -35,30 +37,36 @@ from twinfold.llm.shared import free_name, lower_az, new_path, stored
 SALTS = 8
 #: Rows that a memtable takes at least, batches that a table is dealt into at most, and runs of one size class that are merged.
 MEMTABLE_ROWS, BATCHES, FAN_OUT = 50_000, 5, 4
-#: Rows of a filter, 12 bytes each, and the bits that a digest sets in its word.
+#: Rows of a filter that is broadcast, 12 bytes each, and the bits that a digest sets in its word.
 FILTER_SLOTS, FILTER_BITS = 1 << 18, 4
 
 
-def digest_filter(digests: DataFrame) -> DataFrame:
+def slots_for(rows: int) -> int:
+    """Slots of a filter of so many digests: a power of two that gives each eight or fewer on average."""
+    return 1 << max(10, math.ceil(math.log2(max(rows, 1) / 8)))
+
+
+def digest_filter(digests: DataFrame, slots: int = FILTER_SLOTS) -> DataFrame:
     """slot, word: the filter of a table of digests."""
-    slot, mask = _place(F.col("digest"))
+    slot, mask = _place(F.col("digest"), slots)
     return digests.groupBy(slot.alias("slot")).agg(F.bit_or(mask).alias("word"))
 
 
-def _place(digest: Column) -> tuple[Column, Column]:
-    """(slot, mask) of a digest."""
+def _place(digest: Column, slots: int) -> tuple[Column, Column]:
+    """(slot, mask) of a digest: low bits of its hash name the slot, high ones the bits in the word."""
     h = F.xxhash64(digest)
-    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 18 + 6 * k).bitwiseAND(F.lit(63)).cast("int")) for k in range(FILTER_BITS)]
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 40 + 6 * k).bitwiseAND(F.lit(63)).cast("int")) for k in range(FILTER_BITS)]
     mask = bits[0]
     for b in bits[1:]:
         mask = mask.bitwiseOR(b)
-    return h.bitwiseAND(F.lit(FILTER_SLOTS - 1)), mask
+    return h.bitwiseAND(F.lit(slots - 1).cast("long")), mask
 
 
-def may_hold(rows: DataFrame, table: DataFrame, digest: str = "digest") -> DataFrame:
-    """rows plus may_hold: false where the filter rules the digest out. The filter has FILTER_SLOTS rows at most."""
-    slot, mask = _place(F.col(digest))
-    words = F.broadcast(table.select(F.col("slot").alias("__slot"), F.col("word").alias("__word")))
+def may_hold(rows: DataFrame, table: DataFrame, digest: str = "digest", slots: int = FILTER_SLOTS) -> DataFrame:
+    """rows plus may_hold: false where the filter rules the digest out. Filters up to FILTER_SLOTS are broadcast."""
+    slot, mask = _place(F.col(digest), slots)
+    words = table.select(F.col("slot").alias("__slot"), F.col("word").alias("__word"))
+    words = F.broadcast(words) if slots <= FILTER_SLOTS else words
     joined = rows.withColumns({"__at": slot, "__mask": mask}).join(words, F.col("__at") == F.col("__slot"), "left")
     return joined.withColumn("may_hold", F.coalesce(F.col("__word").bitwiseAND(F.col("__mask")) == F.col("__mask"), F.lit(False))).drop("__at", "__mask", "__slot", "__word")
 
@@ -71,23 +79,33 @@ def combined(rows: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Run:
     path: str
-    filter_path: str
     rows: int
 
+    @property
+    def slots(self) -> int:
+        return slots_for(self.rows)
+
 
 class DigestIndex:
     """digest -> (smallest, largest, copies), as sorted runs with filters below one folder."""
 
     def __init__(self, spark: SparkSession, path: str, runs: list[Run] | None = None, fan_out: int = FAN_OUT):
         self.spark, self.path, self.runs, self.fan_out, self.flushed = spark, path.rstrip("/"), list(runs or []), fan_out, 0
+        self.filters: set[str] = set()
 
     def _flush(self, entries: DataFrame) -> Run:
         path = f"{self.path}/run-{self.flushed:05d}"
         self.flushed += 1
         entries.sortWithinPartitions("digest").write.parquet(path)
         written = self.spark.read.schema(entries.schema).parquet(path)
-        digest_filter(written).write.parquet(f"{path}-filter")
-        return Run(path, f"{path}-filter", written.count())
+        return Run(path, written.count())
+
+    def filter_of(self, run: Run) -> DataFrame:
+        """The run's filter; the first call writes it beside the run."""
+        if run.path not in self.filters:
+            digest_filter(self.spark.read.parquet(run.path), run.slots).write.mode("overwrite").parquet(f"{run.path}-filter")
+            self.filters.add(run.path)
+        return self.spark.read.parquet(f"{run.path}-filter")
 
     def append(self, rows: DataFrame) -> DataFrame:
         """Take a batch of rows (id, digest). Returns its hits: digests that repeat in it or are known already."""
@@ -131,7 +149,7 @@ class DigestIndex:
         """The merged entries of those of the distinct digests given that are known."""
         found = None
         for run in self.runs:
-            asked = may_hold(digests.select("digest"), self.spark.read.parquet(run.filter_path)).filter("may_hold").select("digest")
+            asked = may_hold(digests.select("digest"), self.filter_of(run), slots=run.slots).filter("may_hold").select("digest")
             entries = self.spark.read.parquet(run.path).join(asked, "digest", "left_semi")
             found = entries if found is None else found.unionByName(entries)
         if found is None:
@@ -185,7 +203,8 @@ def index_texts(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[C
         found = index.append(dealt.filter(F.col("batch") == batch).select("id", "digest"))
         hits = found if hits is None else hits.unionByName(found)
     index.compact()
-    hits = stored(hits.distinct(), "hits")
+    if batches > 1:  # one batch names each digest once
+        hits = stored(hits.distinct(), "hits")
     hit_filter = stored(digest_filter(hits), "hit-filter")
     mixed = stored(_mixed_digests(texts, hits, hit_filter), "mixed-digests")
     return Indexed(texts, rows, index.table(), hit_filter, mixed)
