@@ -681,3 +681,16 @@ def test_pairs_at_the_threshold_are_found(spark):
     assert near == below == 200
     got = {r["id"]: r["component_id"] for r in near_groups(spark.createDataFrame(rows, "doc_id long, text string, similar boolean")).collect()}
     assert got == {i: i - i % 2 if similar else i for i, _, similar in rows}
+
+
+@pytest.mark.parametrize("heavy", [0, 1, 3, 1000])
+def test_hubs_meet_their_figures_however_many_are_broadcast(spark, monkeypatch, heavy):
+    from twinfold.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "HEAVY", heavy)
+    rows = spark.createDataFrame([(h, m) for h, n in ((1, 40), (2, 9), (3, 9), (4, 1)) for m in range(n)], "hub long, member long")
+    counts = rows.filter("hub <> 2").groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
+    for how in ("inner", "left"):
+        got = near_dedup.with_hub(rows, counts, "hub", "n", how)
+        assert as_bag(got.select("hub", "member", "n").collect()) == as_bag(rows.join(counts, "hub", how).select("hub", "member", "n").collect())
+    assert near_dedup.with_hub(rows.limit(0), counts.limit(0), "hub", "n").count() == 0

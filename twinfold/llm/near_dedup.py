@@ -48,8 +48,8 @@ from twinfold.operators.components import connected_components, relabel
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 BASE, RATE = 1.02, 20.0
-#: Members that meet one copy of their hub's set, and groups that a hub's rows are dealt into where they meet its figures.
-STAR, SALTS = 200, 16
+#: Members that meet one copy of their hub's set, and how many hubs (or buckets), those with most rows, are broadcast with their figures.
+STAR, HEAVY = 200, 1000
 #: Bytes of sets, and the most classes, on either side of a block.
 BLOCK_BYTES, BLOCK_ROWS = 4_000_000, 1024
 #: How far the share of equal registers of two strays may lie below the floor of the estimate.
@@ -188,11 +188,16 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
     return passed.join(asked, F.col("id").eqNullSafe(F.col("rep"))).drop("id", "may_hold")
 
 
-def with_hub(rows: DataFrame, per_hub: DataFrame, hub: str, member: str, how: str = "inner") -> DataFrame:
-    """rows with the columns of per_hub (one row per hub), in SALTS groups per hub, so that a large hub's rows are spread."""
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(member), F.lit(SALTS)).cast("int"))
-    return dealt.join(per_hub.withColumn("salt", F.explode(salts)), [hub, "salt"], how).drop("salt")
+def with_hub(rows: DataFrame, per_hub: DataFrame, hub: str, weight: str, how: str = "inner") -> DataFrame:
+    """rows with the columns of per_hub (one row per hub; weight: how many of rows have it).
+
+    The HEAVY hubs of most rows are broadcast, so their rows stay where they are; of any other hub there are
+    at most 1 / HEAVY of all rows, which meet in one task.
+    """
+    figures = stored(per_hub, "per-hub")
+    heavy = F.broadcast(figures.orderBy(F.desc(weight), hub).limit(HEAVY))
+    rest = rows.join(heavy.select(hub), hub, "left_anti").join(figures, hub, how)
+    return rows.join(heavy, hub).unionByName(rest)
 
 
 def likely(pairs: DataFrame, classes: DataFrame, floor: float, percent: int) -> DataFrame:
@@ -201,9 +206,9 @@ def likely(pairs: DataFrame, classes: DataFrame, floor: float, percent: int) ->
     A hub with many members is met by them in several parts.
     """
     side = lambda s: classes.select(F.col("class_key").alias(s), F.col("n").alias(f"n_{s}"), F.col("regs").alias(f"regs_{s}"))
-    large = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("parts")).filter("parts > 1")
+    large = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("members")).select("b", "members", F.ceil(F.col("members") / STAR).cast("int").alias("parts")).filter("parts > 1")
     parts = F.coalesce("parts", F.lit(1))
-    dealt = with_hub(pairs, large, "b", "a", "left").withColumn("part", F.pmod(F.xxhash64("a"), parts).cast("int")).drop("parts")
+    dealt = with_hub(pairs, large, "b", "members", "left").withColumn("part", F.pmod(F.xxhash64("a"), parts).cast("int")).drop("parts")
     hubs = pairs.select("b").distinct().join(side("b"), "b").join(large, "b", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
     full = dealt.join(hubs, ["b", "part"]).join(side("a"), "a").select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
     full = full.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
@@ -226,7 +231,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str,
     """
     counts = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("members"))
     parts = counts.withColumn("parts", F.ceil(F.col("members") / STAR).cast("int"))
-    to_hub = with_hub(pairs, parts.drop("members"), "b", "a").select(F.col("a").alias("class_key"), F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), "parts").cast("int").alias("part"))
+    to_hub = with_hub(pairs, parts, "b", "members").select(F.col("a").alias("class_key"), F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), "parts").cast("int").alias("part"))
     own = parts.select(F.col("b").alias("class_key"), F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     wanted = to_hub.unionByName(own).groupBy("class_key").agg(F.collect_list(F.struct("hub", "part")).alias("groups"))
     wanted = wanted.join(classes.select("class_key", "check", "rep"), "class_key").select("rep", "class_key", "check", "groups")
@@ -271,10 +276,10 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str,
 def star_table(buckets: DataFrame) -> DataFrame:
     """hub, class_key: who shares a bucket with which hub (bucket, class_key); hubs are members of their stars."""
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    degrees = buckets.join(sizes, "bucket").groupBy("class_key").agg(F.sum("size").alias("degree"))
+    degrees = with_hub(buckets, sizes, "bucket", "size").groupBy("class_key").agg(F.sum("size").alias("degree"))
     ranked = stored(buckets.join(degrees, "class_key").select("bucket", "class_key", "degree"), "ranked")
-    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("degree", F.col("class_key").alias("hub"))).alias("x")).select("bucket", "x.hub")
-    return ranked.join(hubs, "bucket").select("hub", "class_key").distinct()
+    hubs = ranked.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("degree", F.col("class_key").alias("hub"))).alias("x")).select("bucket", "size", "x.hub")
+    return with_hub(ranked, hubs, "bucket", "size").select("hub", "class_key").distinct()
 
 
 def verified_strays(star: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, percent: int, floor: float) -> DataFrame:
@@ -286,8 +291,8 @@ def verified_strays(star: DataFrame, docs: DataFrame, classes: DataFrame, id_col
     size = classes.select(F.col("class_key").alias("hub"), F.col("n").alias("hub_n"))
     room = F.greatest(F.lit(8), F.least(F.lit(BLOCK_ROWS), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("hub_n")))))
     counts = star.groupBy("hub").agg(F.count(F.lit(1)).alias("k"), F.count_if("stray").alias("s")).filter("s > 0").join(size, "hub")
-    blocks = counts.select("hub", F.ceil(F.col("k") / room).cast("int").alias("rows"), F.ceil(F.col("s") / room).cast("int").alias("queries"))
-    dealt = with_hub(star, blocks, "hub", "class_key").withColumn("h", F.xxhash64("class_key"))
+    blocks = counts.select("hub", "k", F.ceil(F.col("k") / room).cast("int").alias("rows"), F.ceil(F.col("s") / room).cast("int").alias("queries"))
+    dealt = with_hub(star, blocks, "hub", "k").withColumn("h", F.xxhash64("class_key"))
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     own = lambda n: F.array(F.pmod("h", n).cast("int"))
     as_row = dealt.select("class_key", "hub", "component", "stray", F.lit(1).alias("role"), own("rows").alias("i"), upto("queries").alias("j"))
