@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from twinfold.operators.cluster import complete_linkage, single_linkage_extend
 from twinfold.operators.components import connected_components
+from twinfold.operators.meeting import group_links
 from twinfold.operators.ordering import numbered_rows
 from twinfold.operators.similarity import banded_pairs
 from twinfold.sources.scratch import stored
@@ -55,6 +56,14 @@ def bridges(unlinked: DataFrame, groups: DataFrame, min_bridges: int = 50) -> Da
     return both.groupBy(F.least("g1", "g2").alias("lo"), F.greatest("g1", "g2").alias("hi")).agg(F.count(F.lit(1)).alias("bridges")).filter(F.col("bridges") >= min_bridges).select(F.col("lo").alias("g1"), F.col("hi").alias("g2"), "bridges")
 
 
+def bridges_at(members: DataFrame, most: int, min_bridges: int = 50, column: str = "phash", blocks: int | None = None) -> DataFrame:
+    """g1 < g2, bridges: group pairs joined by enough pairs at most so far apart by one hash; these are counted, not written.
+
+    members: id, group_id and the hash; a photo is in one group.
+    """
+    return group_links(members, column, most, blocks).filter(F.col("bridges") >= min_bridges)
+
+
 def merge_map(group_pairs: DataFrame) -> DataFrame:
     """old -> new (the smallest id reachable) for groups that change."""
     return connected_components(group_pairs, "g1", "g2").filter("node <> label").select(F.col("node").alias("old"), F.col("label").alias("new"))
