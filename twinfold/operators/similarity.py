@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinfold.functions import exprs as X
+from twinfold.operators import meeting as M
 from twinfold.sources.scratch import stored
 
 #: Pairs that one task of a full join meets.
@@ -202,10 +203,50 @@ def pair_summary(pairs: DataFrame) -> DataFrame:
     return counted.select(*[(f - 1).alias(name) for f, name in zip(fields, SUMMARY)], "count")
 
 
+def pair_counts(photos: DataFrame, fields: list[str], blocks: int | None = None, words: int = WIDE_WORDS) -> DataFrame:
+    """The histogram of the pair table of photos by some of its fields, without any pair; the count is called count where all are asked.
+
+    Photos without one of the hashes make no pair.
+    """
+    found = M.pair_counts(spread_words(photos, words), fields, blocks=blocks, count=words)
+    return found.withColumnRenamed("pairs", "count") if "phash16_dist" in fields else found
+
+
+def pair_totals(photos: DataFrame, words: int = WIDE_WORDS) -> DataFrame:
+    """pairs, the sums of the four distances, and pairs of one group, over all pairs of photos, in time linear in photos.
+
+    A bit that n photos have and m don't adds n * m to the sum of distances. Photos without one of the hashes make no pair.
+    """
+    import numpy as np
+
+    wide = [f"w{k}" for k in range(words)]
+    columns = ["phash", "dhash", *wide, "colorhash"]
+    rows = stored(spread_words(photos, words).select("group_id", *M.numbers(columns)).dropna(subset=columns), "totals")
+
+    def bits(batches):
+        import pyarrow as pa
+
+        total, n = np.zeros((len(columns), 64), np.int64), 0
+        for batch in batches:
+            n += len(batch)
+            for k, c in enumerate(columns if len(batch) else []):
+                total[k] += np.unpackbits(batch.column(c).to_numpy().view(np.uint8).reshape(len(batch), 8), axis=1).sum(axis=0, dtype=np.int64)
+        place = np.indices(total.shape).reshape(2, -1).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(place[0]), pa.array(place[1]), pa.array(total.ravel()), pa.array(np.full(total.size, n))], ["field", "bit", "ones", "n"])
+
+    each = rows.select(*columns).mapInArrow(bits, "field int, bit int, ones long, n long").groupBy("field", "bit").agg(F.sum("ones").alias("ones"), F.sum("n").alias("n"))
+    apart = lambda *names: F.sum(F.when(F.col("field").isin([columns.index(c) for c in names]), F.col("ones") * (F.col("n") - F.col("ones"))))
+    pairs = F.coalesce(F.max("n"), F.lit(0)).alias("n")
+    sums = each.agg(pairs, apart("phash").alias("phash_dist"), apart("dhash").alias("dhash_dist"), apart(*wide).alias("phash16_dist"), apart("colorhash").alias("colorhash_dist"))
+    sizes = rows.filter("group_id is not null").groupBy("group_id").agg(F.count(F.lit(1)).alias("m"))
+    same = sizes.agg(F.coalesce(F.sum(F.expr("m * (m - 1) div 2")), F.lit(0)).alias("same_primary_group"))
+    some = lambda c: F.when(F.col("n") > 1, F.col(c)).alias(c)
+    return sums.crossJoin(same).select(F.expr("n * (n - 1) div 2").alias("pairs"), *[some(c) for c in ("phash_dist", "dhash_dist", "phash16_dist", "colorhash_dist", "same_primary_group")])
+
+
 def distance_histogram(photos: DataFrame, column: str = "phash", blocks: int | None = None) -> DataFrame:
-    """dist -> pairs over all pairs, without writing any pair."""
-    dist = X.hamming(F.col(f"a_{column}"), F.col(f"b_{column}"))
-    return block_join(photos.select("id", column), "id", lambda a, b: F.lit(True), blocks).groupBy(dist.alias("dist")).agg(F.count(F.lit(1)).alias("pairs"))
+    """dist -> pairs over all pairs of photos that have the hash, without writing any pair."""
+    return M.pair_counts(photos, [f"{column}_dist"], blocks=blocks).withColumnRenamed(f"{column}_dist", "dist")
 
 
 #: Fixed value: photos in a published sample.
@@ -231,14 +272,63 @@ def compared_pairs(sample: DataFrame, low: int = 10, high: int = 14, blocks: int
     return block_join(rows, "id", lambda a, b: p.between(low, high), blocks).select(F.least("a_id", "b_id").alias("id_1"), F.greatest("a_id", "b_id").alias("id_2"), p.alias("phash_dist"), d.alias("dhash_dist"))
 
 
-def pairs_between(members: DataFrame, condition: Column, keep: int | None = None) -> DataFrame:
+def pairs_between(members: DataFrame, condition: Column, keep: int | None = None, side_rows: int = 16_384) -> DataFrame:
     """For group pairs (g1, g2) with members (g1, g2, side, id, phash, dhash): pairs across that meet condition.
 
-    keep takes the worst few of each group pair, by distance.
+    condition is on phash_dist and dhash_dist. keep takes the worst few of each group pair, by distance. A group
+    pair meets in tiles of about side_rows members a side, and each tile gives its worst few.
     """
-    a = members.filter("side = 1").select("g1", "g2", F.col("id").alias("id_1"), F.col("phash").alias("p1"), F.col("dhash").alias("d1"))
-    b = members.filter("side = 2").select("g1", "g2", F.col("id").alias("id_2"), F.col("phash").alias("p2"), F.col("dhash").alias("d2"))
-    met = a.join(b, ["g1", "g2"]).withColumn("phash_dist", X.hamming(F.col("p1"), F.col("p2"))).withColumn("dhash_dist", X.hamming(F.col("d1"), F.col("d2"))).filter(condition)
+    import numpy as np
+    import pyarrow as pa
+
+    span = members.sparkSession.range(65 * 65).select(F.expr("int(id div 65)").alias("phash_dist"), F.expr("int(id % 65)").alias("dhash_dist"))
+    allowed = np.zeros((65, 65), bool)
+    for r in span.filter(condition).collect():
+        allowed[r["phash_dist"], r["dhash_dist"]] = True
+    rows = stored(members.filter("side in (1, 2) and g1 is not null and g2 is not null and phash is not null and dhash is not null").select("g1", "g2", "side", "id", "phash", "dhash"), "between")
+    parts = lambda side: F.ceil(F.sum((F.col("side") == side).cast("long")) / side_rows).cast("int")
+    plan = rows.groupBy("g1", "g2").agg(parts(1).alias("n1"), parts(2).alias("n2")).filter("n1 > 0 and n2 > 0")
+    own, other = F.when(F.col("side") == 1, F.col("n1")).otherwise(F.col("n2")), F.when(F.col("side") == 1, F.col("n2")).otherwise(F.col("n1"))
+    dealt = rows.join(plan, ["g1", "g2"]).withColumn("own", F.pmod(F.xxhash64("id"), own).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), other - 1)))
+    place = lambda k: F.when(F.col("side") == k, F.col("own")).otherwise(F.col("other"))
+    spread = dealt.withColumn("__tile", F.struct("g1", "g2", place(1).alias("x"), place(2).alias("y"))).withColumn("__second", F.col("side").cast("int") - 1)
+    kinds = {x.name: x.dataType.simpleString() for x in rows.schema}
+    schema = f"g1 {kinds['g1']}, g2 {kinds['g2']}, id_1 {kinds['id']}, id_2 {kinds['id']}, phash_dist int, dhash_dist int"
+
+    def visit(a, b):
+        if b is None:
+            return
+        tile = M.Tile(a, b)
+        one, two, n = M.ranked(a, b)
+        bound, best = [0], [np.zeros((4, 0), np.int64)]
+
+        def test(t, x, y):
+            p, d = t.apart("phash", x, y), t.apart("dhash", x, y)
+            far = p.astype(np.uint16) * np.uint16(65) + d
+            return (far >= bound[0]) & allowed.ravel()[far]
+
+        shape = pa.schema([("g1", a["g1"].type), ("g2", a["g2"].type), ("id_1", a["id"].type), ("id_2", a["id"].type), ("phash_dist", pa.int32()), ("dhash_dist", pa.int32())])
+
+        def given(x, y):
+            first = pa.array(np.zeros(len(x), np.int64))
+            far = [M.at_pairs(tile, c, x, y).astype(np.int32) for c in ("phash", "dhash")]
+            return M.sent(shape, [a["g1"].take(first), a["g2"].take(first), a["id"].take(pa.array(x)), b["id"].take(pa.array(y)), *far])
+
+        for x, y in M.hits(tile, test):
+            if not keep:
+                yield from given(x, y)
+                continue
+            far = M.at_pairs(tile, "phash", x, y).astype(np.int64) * 65 + M.at_pairs(tile, "dhash", x, y)
+            both = np.concatenate([best[0], np.stack([-far, one[x] * n + two[y], x, y])], axis=1)
+            best[0] = both[:, np.lexsort((both[1], both[0]))[:keep]]
+            if best[0].shape[1] == keep:
+                bound[0] = int(-best[0][0, -1])
+        if keep:
+            yield from given(best[0][2], best[0][3])
+
+    slim = spread.select("g1", "g2", "id", "phash", "dhash", F.xxhash64("__tile.*").alias("__tile"), "__second")
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism * 16, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = M.met(slim, visit, schema, tasks)
     if keep:
         order = Window.partitionBy("g1", "g2").orderBy(F.desc("phash_dist"), F.desc("dhash_dist"), "id_1", "id_2")
         met = met.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= keep).drop("turn")
