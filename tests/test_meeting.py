@@ -53,3 +53,92 @@ def test_bridges_of_many_groups(spark, monkeypatch):
     monkeypatch.setattr(M, "BINS", 100)  # more group pairs than a table may have
     got = counts(G.bridges_at(spark.createDataFrame(rows, "id string, group_id long, phash long"), 0, 1, blocks=2))
     assert len(got) == 40 * 39 // 2 and set(got.values()) == {4}
+
+
+@pytest.mark.parametrize("blocks", [1, 4, None])
+def test_counts_are_those_of_the_pair_table(spark, blocks, monkeypatch):
+    rows = near_words(2, 101)
+    df = spark.createDataFrame(rows + [("nohash", 1, None, None, None, None)], SCHEMA)
+    table = [pair_row(a, b)[2:] for a, b in combinations(rows, 2)]
+    assert {(r["dist"],): r["pairs"] for r in S.distance_histogram(df, blocks=blocks).collect()} == Counter((t[1],) for t in table)
+    assert counts(S.pair_counts(df, ["phash_dist", "dhash_dist"], blocks)) == Counter(t[1:3] for t in table)
+    assert counts(S.pair_counts(df, ["same_primary_group", "phash_dist"], blocks)) == Counter(t[:2] for t in table)
+    want = Counter((t[3], t[4], t[1], t[2], t[0]) for t in table)
+    assert counts(S.pair_counts(df, list(S.SUMMARY), blocks)) == want
+    monkeypatch.setattr(M, "BINS", 10)
+    assert counts(S.pair_counts(df, list(S.SUMMARY), blocks)) == want
+
+
+def test_keys_beyond_the_bounds_seen_so_far(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    monkeypatch.setattr(M, "BUFFER", 700)
+    monkeypatch.setattr(M, "PIECE", (4, 32))
+    wide = [[(1 << rng.randrange(k // 4 + 1)) - 1 for k in range(90)] for _ in range(6)]
+    tile = pa.table(dict(zip(["w0", "w1", "w2", "w3", "colorhash", "phash"], wide)))
+    visit, _ = M.counting(["phash16_dist", "colorhash_dist", "phash_dist"])
+    got = Counter()
+    for batch in visit(tile, None):
+        for *key, n in zip(*[c.to_pylist() for c in batch.columns]):
+            got[tuple(key)] += n
+    rows = list(zip(*wide))
+    assert got == Counter((sum(apart(x[k], y[k]) for k in range(4)), apart(x[4], y[4]), apart(x[5], y[5])) for x, y in combinations(rows, 2))
+
+
+def test_totals_are_those_of_the_pair_table(spark):
+    rows = near_words(3, 60)
+    table = [pair_row(a, b)[2:] for a, b in combinations(rows, 2)]
+    df = spark.createDataFrame(rows + [("nohash", 1, None, 1, [1] * 4, 1)], SCHEMA)
+    assert tuple(S.pair_totals(df).first()) == (len(table), *(sum(t[k] for t in table) for k in (1, 2, 3, 4, 0)))
+
+    for few in (0, 1):
+        assert tuple(S.pair_totals(spark.createDataFrame(rows[:few], SCHEMA)).first()) == (0, None, None, None, None, None)
+
+
+@pytest.mark.parametrize("blocks", [1, 4])
+def test_pairs_in_limits_and_nearest_pairs(spark, blocks):
+    rows = near_words(5, 90)
+    photos = S.spread_words(spark.createDataFrame(rows + [("nohash", 1, None, None, None, None)], SCHEMA))
+    table = [pair_row(a, b) for a, b in combinations(rows, 2)]
+    limits = spark.createDataFrame([(c, 90 + 5 * c) for c in range(9)], "colorhash_dist int, max_phash16 int")
+    want = sorted((t[0], t[1], t[5], t[6]) for t in table if t[6] < 9 and t[5] <= 90 + 5 * t[6])
+    assert len(want) > 50 and sorted(map(tuple, G.pairs_within(photos, limits, blocks).collect())) == want
+    zone = spark.createDataFrame([(7, 80, 100), (5, 0, 70)], "colorhash_dist int, lo int, hi int")
+    want = sorted((t[0], t[1], t[5], t[6]) for t in table if t[6] == 7 and 80 <= t[5] <= 100 or t[6] == 5 and t[5] <= 70)
+    assert want and sorted(map(tuple, G.pairs_met_in_zone(photos, zone, blocks).collect())) == want
+    off = sorted((abs(t[5] - 100) + abs(t[6] - 7), t[0], t[1]) for t in table)
+    want = [(a, b, o) for o, a, b in off if o <= 12][:24]
+    assert len(want) == 24 and list(map(tuple, M.nearest_pairs(photos, 100, 7, 12, 24, blocks).collect())) == want
+
+
+@pytest.mark.parametrize("side_rows", [4, 1000])
+def test_worst_pairs_of_two_groups_meet_in_tiles(spark, side_rows):
+    from pyspark.sql import functions as F
+
+    rows = near_words(6, 60)
+    sides = [(g, g + 1, s, r[0], r[2], r[3]) for k, r in enumerate(rows) for g, s in ((k % 3, 1), (k % 3 - 1, 2))]
+    df = spark.createDataFrame(sides, "g1 long, g2 long, side int, id string, phash long, dhash long")
+    far = [(a[0], a[1], a[3], b[3], apart(a[4], b[4]), apart(a[5], b[5])) for a in sides for b in sides if a[:2] == b[:2] and (a[2], b[2]) == (1, 2)]
+    far = sorted((t for t in far if t[4] > 8 or t[5] % 2), key=lambda t: (t[0], -t[4], -t[5], t[2], t[3]))
+    test = (F.col("phash_dist") > 8) | (F.col("dhash_dist") % 2 == 1)
+    assert sorted(map(tuple, S.pairs_between(df, test, None, side_rows).collect())) == sorted(far)
+    want = [t for g in {t[0] for t in far} for t in [x for x in far if x[0] == g][:5]]
+    assert sorted(map(tuple, S.pairs_between(df, test, 5, side_rows).collect())) == sorted(want)
+
+
+
+def test_a_job_by_fields_keeps_counts_and_goes_on(spark):
+    from twinfold.operators.pair_jobs import PairJob
+    from twinfold.sources.scratch import new_path
+
+    rows = near_words(7, 50)
+    df = spark.createDataFrame(rows, SCHEMA)
+    folder, by = new_path(spark, "job"), ["same_primary_group", "phash_dist"]
+    job = PairJob(spark, folder, by).start(df, steps=5)
+    job.run(2)
+    assert job.remaining() == [2, 3, 4]
+    again = PairJob(spark, folder, by).start(df.limit(0)).run()
+    want = Counter(pair_row(a, b)[2:4] for a, b in combinations(rows, 2))
+    assert again.remaining() == [] and counts(again.counts()) == want
+    assert sum(r["pairs"] for r in again.manifest().collect()) == 50 * 49 // 2 and not again._has("pairs/step=0")
