@@ -9,19 +9,23 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from twinfold.operators.meeting import blocks_for, counting, met, needed, numbers, tiles
 from twinfold.operators.similarity import PAIRS_PER_TASK, PAIR_INPUT, block_sides, pair_distances, spread_words
 
 MANIFEST = "step int, pairs long"
 
 
 class PairJob:
-    """folder must be one that driver and executors share; photos as all_pairs takes them."""
+    """folder must be one that driver and executors share; photos as all_pairs takes them.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    A job by fields of the pair table keeps of each step its pairs' counts by these, instead of the pairs.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, by: list[str] | None = None):
+        self.spark, self.folder, self.by = spark, folder.rstrip("/"), by
 
     def _has(self, name: str) -> bool:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}/_SUCCESS")
@@ -31,6 +35,8 @@ class PairJob:
         """Fix the photos and the plan, unless that was done before: then photos and numbers are ignored."""
         if not self._has("plan"):
             spread_words(photos).write.mode("overwrite").parquet(f"{self.folder}/photos")
+            if blocks is None and self.by:
+                blocks = blocks_for(self.spark.read.parquet(f"{self.folder}/photos").count(), max(self.spark.sparkContext.defaultParallelism, steps))
             if blocks is None:
                 blocks = max(math.ceil(self.spark.read.parquet(f"{self.folder}/photos").count() / math.sqrt(PAIRS_PER_TASK)), math.ceil(math.sqrt(8 * steps)))
             self.spark.createDataFrame([], MANIFEST).write.mode("overwrite").parquet(f"{self.folder}/manifest")
@@ -45,8 +51,22 @@ class PairJob:
         steps = self.spark.read.parquet(f"{self.folder}/plan").first()["steps"]
         return [r["step"] for r in self.spark.range(steps).select(F.col("id").cast("int").alias("step")).join(self.manifest(), "step", "left_anti").orderBy("step").collect()]
 
+    def _count(self, step: int, plan: Row) -> None:
+        columns = needed(self.by)
+        rows = self.spark.read.parquet(f"{self.folder}/photos").select("id", *numbers(columns)).dropna(subset=[c for c in columns if c != "group_id"])
+        spread = tiles(rows.select(F.xxhash64("id").alias("__key"), *columns), "__key", plan["blocks"])
+        visit, schema = counting(self.by)
+        part = f"{self.folder}/counts/step={step}"
+        tasks = math.ceil(plan["blocks"] * (plan["blocks"] + 1) / 2 / plan["steps"])
+        met(spread.filter(F.pmod("__tile", F.lit(plan["steps"])) == step), visit, schema, tasks).write.mode("overwrite").parquet(part)
+        found = self.spark.read.schema(schema).parquet(part).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"))
+        found.select(F.lit(step).alias("step"), "pairs").coalesce(1).write.mode("append").parquet(f"{self.folder}/manifest")
+
     def step(self, step: int) -> None:
         plan = self.spark.read.parquet(f"{self.folder}/plan").first()
+        if self.by:
+            self._count(step, plan)
+            return
         mine = F.pmod(F.xxhash64("__i", "__j"), F.lit(plan["steps"])) == step
         a, b = (x.filter(mine) for x in block_sides(self.spark.read.parquet(f"{self.folder}/photos"), "id", plan["blocks"]))
         once = (F.col("__i") < F.col("__j")) | (F.col("a_id") < F.col("b_id"))
@@ -61,6 +81,13 @@ class PairJob:
             self.step(step)
         return self
 
+    def counts(self) -> DataFrame:
+        """The fields that the job goes by, and pairs: those of the finished steps."""
+        steps = [r["step"] for r in self.manifest().select("step").distinct().collect()]
+        schema = self.spark.createDataFrame([], counting(self.by)[1]).schema
+        parts = self.spark.read.schema(schema).parquet(*[f"{self.folder}/counts/step={s}" for s in steps]) if steps else self.spark.createDataFrame([], schema)
+        return parts.groupBy(*self.by).agg(F.sum("pairs").alias("pairs"))
+
     def pairs(self) -> DataFrame:
         """The pairs of the finished steps."""
         steps = [r["step"] for r in self.manifest().select("step").distinct().collect()]
