@@ -154,3 +154,20 @@ def test_walk_finds_dotted_folders_and_trashes_are_rejected(spark, tmp_path):
     decided = rules.decide(ingest.photos_of(rows), paths, paths.selectExpr("source_path AS path")).join(paths, "photo_id")
     assert [(r["filename"], r["decision"], r["rule_name"]) for r in decided.collect()] == [("y.jpg", "reject", "TRASHES")]
     assert ingest.scan_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_scan_without_contents_reads_none(spark, tmp_path, monkeypatch):
+    from twinfold.plans import registry
+    from twinfold.sources import ingest
+
+    (tmp_path / ".dotted").mkdir()
+    (tmp_path / ".dotted" / "a.bin").write_bytes(b"x" * 70)
+    (tmp_path / "Thumbs.db").write_bytes(b"x")
+    (tmp_path / "b.jpg").write_bytes(b"")
+    columns = ["source_path", "filename", "mtime", "file_size"]
+    whole = sorted(map(tuple, ingest.scan_files(spark, str(tmp_path)).select(*columns).collect()))
+    bare = ingest.scan_files(spark, str(tmp_path), contents=False)
+    assert bare.columns == columns and sorted(map(tuple, bare.collect())) == whole
+    monkeypatch.setattr(ingest, "read_contents", None)  # would be called, and fail, if contents were read
+    rows = registry.queries()["s1_s8_scanned_files"](spark, str(tmp_path)).collect()
+    assert sorted((r["filename"], r["file_size"], r["timed"]) for r in rows) == [("a.bin", 70, True), ("b.jpg", 0, True)]

@@ -298,7 +298,7 @@ R.add(
     lambda c: ingest.describe_files(_pictures(c)).select("source_path", "mime_type", "width", "height", "exif_make", "exif_model"),
     "SELECT '/in/' || page_id AS source_path, CASE page_id % 3 WHEN 0 THEN 'image/png' ELSE 'image/tiff' END AS mime_type, CASE page_id % 3 WHEN 0 THEN page_id % 4096 END AS width, CASE page_id % 3 WHEN 0 THEN CAST(length(url) AS BIGINT) END AS height, CASE page_id % 3 WHEN 1 THEN 'Maker ' || page_id END AS exif_make, CAST(NULL AS VARCHAR) AS exif_model FROM pages WHERE page_id % 3 < 2",
 )
-R.add("s1_s8_scanned_files", lambda c: ingest.scan_files(c.spark, c.dir).select("filename", "file_size", F.col("mtime").isNotNull().alias("timed")))
+R.add("s1_s8_scanned_files", lambda c: ingest.scan_files(c.spark, c.dir, contents=False).select("filename", "file_size", F.col("mtime").isNotNull().alias("timed")))
 
 
 def _config(c):

@@ -19,17 +19,20 @@ from twinfold.sources.pictures import TEXT_TAGS, exif_entries, picture_size
 SKIP_NAMES = (".DS_Store", "Thumbs.db", "desktop.ini", ".picasa.ini")
 
 
-def scan_files(spark: SparkSession, root: str) -> DataFrame:
+def scan_files(spark: SparkSession, root: str, contents: bool = True) -> DataFrame:
     """source_path, filename, mtime, file_size, content of all regular files below root, in dotted folders too.
 
+    A content is a whole file in a task's memory; who needs none asks for no contents, and the column is left out.
+
     Folders are listed by tasks (see walk), and so are contents read. A store that tasks can't list by themselves
     is left to Spark's own listing, which knows no names that start with a dot or underscore.
     """
     skipped = F.col("filename").isin(*SKIP_NAMES) | F.col("filename").startswith("._")
     if listable(root):
-        return read_contents(walk(spark, root).filter(~skipped))
+        found = walk(spark, root).filter(~skipped)
+        return read_contents(found) if contents else found
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select(F.col("path").alias("source_path"), X.basename(F.col("path")).alias("filename"), F.col("modificationTime").alias("mtime"), F.col("length").alias("file_size"), "content").filter(~skipped)
+    return files.select(F.col("path").alias("source_path"), X.basename(F.col("path")).alias("filename"), F.col("modificationTime").alias("mtime"), F.col("length").alias("file_size"), *(["content"] if contents else [])).filter(~skipped)
 
 
 EXIF = "exif_make string, exif_model string, exif_software string, exif_datetime string, exif_datetime_original string, exif_datetime_digitized string"
