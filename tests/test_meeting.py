@@ -142,3 +142,15 @@ def test_a_job_by_fields_keeps_counts_and_goes_on(spark):
     want = Counter(pair_row(a, b)[2:4] for a, b in combinations(rows, 2))
     assert again.remaining() == [] and counts(again.counts()) == want
     assert sum(r["pairs"] for r in again.manifest().collect()) == 50 * 49 // 2 and not again._has("pairs/step=0")
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_expansion_shuffles_no_expanded_rows(spark, several):
+    photos = [("e", "a"), ("e", "b"), ("e", "b"), ("e", "z"), ("f", "c"), ("f", None), (None, "a"), (None, "a")]
+    groups = [("a", 1), ("b", 1), ("c", 1), ("d", 2), ("z", None), ("a", 1)] + [("a", 2), ("c", 2)] * several
+    df = G.expand_to_groups(spark.createDataFrame(photos, "entity string, photo_id string"), spark.createDataFrame(groups, "photo_id string, group_id long"))
+    mates = {(e, m) for e, p in photos for x, g in groups for m, h in groups if p == x and g is not None and g == h}
+    got = list(map(tuple, df.collect()))
+    assert len(got) == len(set(got)) and set(got) == mates | set(photos)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Aggregate" if several else "Union")
