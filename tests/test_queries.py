@@ -55,3 +55,14 @@ def test_shortest_path_lists_no_paths(spark):
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() >= 0
+
+
+def test_second_groups_make_no_row_of_a_far_pair(spark, monkeypatch):
+    from twinfold.operators import similarity
+
+    def fail(*args):
+        raise AssertionError("all pairs as rows")
+
+    monkeypatch.setattr(similarity, "all_pairs", fail)
+    monkeypatch.setattr(similarity, "block_join", fail)
+    assert registry.queries()["g3_complete_linkage_cells"](spark, SF).count() >= 0
