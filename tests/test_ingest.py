@@ -171,3 +171,49 @@ def test_a_scan_without_contents_reads_none(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ingest, "read_contents", None)  # would be called, and fail, if contents were read
     rows = registry.queries()["s1_s8_scanned_files"](spark, str(tmp_path)).collect()
     assert sorted((r["filename"], r["file_size"], r["timed"]) for r in rows) == [("a.bin", 70, True), ("b.jpg", 0, True)]
+
+
+def test_text_hashes_hold_a_piece_of_a_batch(spark):
+    """Words of a long batch are objects for a piece of it only, and hashes are those of the majority of distinct words."""
+    import hashlib
+    import threading
+
+    import psutil
+
+    from pyspark.sql import functions as F
+
+    from twinfold.sources.ingest import text_hashes
+
+    def wanted(text, salt):
+        words = {w for w in text.lower().split(" ") if w}
+        digests = [int.from_bytes(hashlib.md5((salt + w).encode()).digest()[:8], "big") for w in words]
+        bits = sum(1 << b for b in range(64) if 2 * sum(d >> b & 1 for d in digests) > len(words))
+        return (bits - (1 << 64) if bits >> 63 else bits) if words else None
+
+    texts = ["", None, "  ", "One one two", " ".join(map(str, range(255))), " ".join(map(str, range(40_000))), "x", " ".join(map(str, range(700)))]
+    got = {r["id"]: (r["phash"], r["dhash"]) for r in text_hashes(spark.createDataFrame(list(zip("abcdefgh", texts)), "id string, text string").coalesce(1)).collect()}
+    assert got == {i: (wanted(t or "", ""), wanted(t or "", "d:")) for i, t in zip("abcdefgh", texts)}
+
+    def resident():
+        total = 0
+        for p in psutil.Process().children(recursive=True):
+            try:
+                total = max(total, p.memory_info().rss if "python" in p.name() else 0)
+            except psutil.Error:
+                pass
+        return total
+
+    peak, done = [0], threading.Event()
+
+    def watch():
+        while not done.wait(0.05):
+            peak[0] = max(peak[0], resident())
+
+    watcher = threading.Thread(target=watch)
+    before = resident()
+    watcher.start()
+    long = spark.range(0, 2000, 1, 1).select(F.col("id").cast("string").alias("id"), F.expr("array_join(transform(sequence(1, 1500), x -> concat(id, '_', x)), ' ')").alias("text"))
+    assert text_hashes(long).filter("phash is not null").count() == 2000
+    done.set()
+    watcher.join()
+    assert peak[0] - before < 400 << 20, (before, peak[0])

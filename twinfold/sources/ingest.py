@@ -149,6 +149,10 @@ def write_tsv(query: DataFrame, path: str) -> None:
     query.write.mode("overwrite").option("sep", "\t").option("nullValue", "").option("emptyValue", "").option("header", "true").csv(path)
 
 
+#: Words that are digested at once, and words whose bits are summed at once; a longer text goes by itself.
+TEXT_WORDS, SUM_WORDS = 1 << 18, 1 << 15
+
+
 def text_hashes(photos: DataFrame, salts: tuple[str, str] = ("", "d:")) -> DataFrame:
     """photos (id, text) plus phash and dhash: 64-bit majority hashes of the distinct words, one per salt.
 
@@ -158,21 +162,49 @@ def text_hashes(photos: DataFrame, salts: tuple[str, str] = ("", "d:")) -> DataF
     import hashlib
 
     import numpy as np
-
-    def bits(words: list[bytes], salt: bytes) -> int | None:
-        if not words:
-            return None
-        digests = np.frombuffer(b"".join(hashlib.md5(salt + w).digest()[:8] for w in words), np.uint8).reshape(-1, 8)
-        ones = np.unpackbits(digests, axis=1).sum(axis=0)
-        return int.from_bytes(np.packbits(2 * ones > len(words)).tobytes(), "big", signed=True)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def sums(bits: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """How often each of 64 bits, a byte each, is set in each run of rows; up to 255 rows add up without a carry."""
+        pieces = -(-np.diff(starts, append=len(bits)) // 255)
+        first = np.cumsum(pieces) - pieces
+        cuts = np.repeat(starts, pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(first, pieces))
+        return np.add.reduceat(np.add.reduceat(bits, cuts, axis=0).view(np.uint8), first, axis=0, dtype=np.int32)
+
+    def part(ids, words):
+        """The hashes of some rows: each distinct word is digested once, and bits are summed word by word for all rows."""
+        sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        some, flat = np.flatnonzero(sizes), pc.list_flatten(words).dictionary_encode()
+        places, spelled = flat.indices.to_numpy(), [w.encode() for w in flat.dictionary.to_pylist()]
+        starts = np.cumsum(sizes[some]) - sizes[some]
+        out = []
+        for salt in salts:
+            held = np.zeros(len(sizes), np.int64)
+            if len(some):
+                digests = np.frombuffer(b"".join(hashlib.md5(salt.encode() + w).digest()[:8] for w in spelled), np.uint8).reshape(-1, 8)
+                bits = np.unpackbits(digests, axis=1).view(np.uint64)
+                ones = np.concatenate([sums(bits[places[starts[a] : end]], starts[a:b] - starts[a]) for a, b, end in spans(starts, len(places), SUM_WORDS)])
+                held[some] = np.packbits(2 * ones > sizes[some, None], axis=1).view(">i8").ravel()
+            out.append(pa.array(held, mask=sizes == 0))
+        return pa.RecordBatch.from_arrays([ids, *out], ["id", "phash", "dhash"])
+
+    def spans(starts: np.ndarray, total: int, most: int) -> Iterator[tuple[int, int, int]]:
+        """(first row, row after the last, end of its words) of runs of rows with so many words at most, or one row."""
+        a = 0
+        while a < len(starts):
+            b = max(a + 1, int(np.searchsorted(starts, starts[a] + most)))
+            yield a, b, int(starts[b]) if b < len(starts) else total
+            a = b
+
+    def run(batches):
         for batch in batches:
-            lists = [[w.encode() for w in x] for x in batch["words"]]
-            yield pd.DataFrame({"id": batch["id"], "phash": pd.array([bits(x, salts[0].encode()) for x in lists], "Int64"), "dhash": pd.array([bits(x, salts[1].encode()) for x in lists], "Int64")})
+            sizes = pc.fill_null(pc.list_value_length(batch.column("words")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for a, b, _ in spans(np.cumsum(sizes) - sizes, int(sizes.sum()), TEXT_WORDS):
+                yield part(batch.column("id").slice(a, b - a), batch.column("words").slice(a, b - a))
 
     words = F.array_distinct(F.filter(F.split(F.lower(F.trim("text")), r"[ \t\n\r\f\x0b]+"), lambda w: w != ""))
-    return photos.select("id", words.alias("words")).mapInPandas(run, "id string, phash long, dhash long")
+    return photos.select("id", words.alias("words")).mapInArrow(run, "id string, phash long, dhash long")
 
 
 def picture_hashes(files: DataFrame, wanted: tuple[str, ...] = ("phash", "dhash", "phash_16", "colorhash", "pixel_digest")) -> DataFrame:
