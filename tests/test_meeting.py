@@ -154,3 +154,21 @@ def test_expansion_shuffles_no_expanded_rows(spark, several):
     assert len(got) == len(set(got)) and set(got) == mates | set(photos)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.startswith("Aggregate" if several else "Union")
+
+
+def test_scenes_out_of_tiles_of_bands(spark):
+    rng = random.Random(8)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    base = [rng.getrandbits(64) for _ in range(3)]
+    rows = {(signed(rng.choice(base) ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(13)))), rng.randrange(3)): rng.random() < 0.3 for _ in range(300)}
+    rows |= {(p, 9): True for p, _ in list(rows)[:5]}
+    df = spark.createDataFrame([(p, d, f) for (p, d), f in rows.items()], "phash long, dhash long, fresh boolean")
+    mask = (1 << 64) - 1
+    close = {frozenset(x) for x in combinations(rows, 2) if ((x[0][0] ^ x[1][0]) & mask).bit_count() <= 14}
+    for head in (1, 4):
+        sides = lambda df: [frozenset({(r["a_phash"], r["a_dhash"]), (r["b_phash"], r["b_dhash"])}) for r in S.band_meet(df, S.SCENE_BITS, S.SCENE_BANDS, head).collect()]  # noqa: B023, E731
+        got = sides(df)
+        assert len(got) == len(set(got)) and set(got) == {x for x in close if any(rows[y] for y in x)}
+        every = sides(df.selectExpr("phash", "dhash", "true AS fresh"))
+        assert len(every) == len(close) and set(every) == close
+    assert S.band_tiles(df, "phash", S.SCENE_BITS, S.SCENE_BANDS, S.BLOCK_BITS).count() == 55 * len(rows)
