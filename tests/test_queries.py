@@ -66,3 +66,19 @@ def test_second_groups_make_no_row_of_a_far_pair(spark, monkeypatch):
     monkeypatch.setattr(similarity, "all_pairs", fail)
     monkeypatch.setattr(similarity, "block_join", fail)
     assert registry.queries()["g3_complete_linkage_cells"](spark, SF).count() >= 0
+
+
+def test_violations_are_counted_without_pairs_of_a_cluster(spark, monkeypatch):
+    """Three photos in one cluster with two links, and two clusters that could merge: counted, and no cluster meets itself."""
+    from types import SimpleNamespace
+
+    from twinfold.plans import graph_queries as Q
+
+    near = spark.createDataFrame([("a", "b", 1, 1), ("b", "c", 1, 1), ("c", "d", 2, 2), ("e", "f", 1, 1)], "id_1 string, id_2 string, phash_dist int, dhash_dist int")
+    clusters = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "e"), ("f", "f")], "photo_id string, cluster_id string")
+    monkeypatch.setattr(Q, "_near", lambda c: near)
+    monkeypatch.setattr(Q.K, "complete_linkage", lambda pairs: clusters)
+    found = Q._violations(SimpleNamespace())
+    assert [tuple(r) for r in found.collect()] == [(6, 1, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan
