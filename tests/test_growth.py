@@ -57,6 +57,18 @@ def test_what_meets_follows_the_batch(spark):
     assert grown.index.count() == catalog.index.count()  # its hash was known
 
 
+def test_a_large_batch_makes_no_row_of_a_probe(spark, monkeypatch):
+    def fail(*args):
+        raise AssertionError("probes as rows")
+
+    monkeypatch.setattr("twinfold.operators.incremental.probe_rows", fail)
+    rows = spark.createDataFrame(hashed_rows(80, 7), HASHED)
+    first, one = insert_photos(GrowingCatalog.empty(spark.createDataFrame([], HASHED)), rows.filter("id < '050'"))
+    _, two = insert_photos(first, rows.filter("id >= '050'"))
+    found = [tuple(r) for r in one.unionByName(two).collect()]
+    assert len(found) == len(set(found)) and set(found) == {tuple(r) for r in similar_pairs(rows).collect()}
+
+
 def wide(spark, n):
     rng = random.Random(n)
     word = lambda: rng.getrandbits(63)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from twinfold.functions import exprs as X
 from twinfold.operators.components import connected_components, relabel
-from twinfold.operators.similarity import SCENE_BANDS, SCENE_BITS, band_rows, probe_rows
+from twinfold.operators.similarity import SCENE_BANDS, SCENE_BITS, band_meet, band_rows, probe_rows
 from twinfold.sources.scratch import stored
 
 
@@ -34,13 +34,30 @@ class GrowingCatalog:
         return cls(stored(none, "catalog"), stored(band_rows(none.select("phash"), "phash", SCENE_BITS, SCENE_BANDS), "catalog-index"), stored(ids, "catalog-labels"))
 
 
+#: A batch with at least one in so many of all hashes meets the index in tiles of bands; a smaller one looks its bands up.
+TILED_SHARE = 8
+
+
+def _near_hashes(fresh: DataFrame, index: DataFrame) -> DataFrame:
+    """phash, other: each hash of fresh and the hashes of index within a scene's reach, itself too."""
+    known = index.filter("band = 0").select("phash")
+    if fresh.count() * TILED_SHARE < known.count():
+        probes = probe_rows(fresh, "phash", SCENE_BITS, SCENE_BANDS)
+        met = probes.join(index.withColumnRenamed("phash", "other").hint("merge"), ["band", "value"]).select("phash", "other")
+        return met.filter(F.bit_count(F.col("phash").bitwiseXOR(F.col("other"))) <= SCENE_BITS).distinct()
+    marked = known.join(fresh.withColumn("fresh", F.lit(True)), "phash", "left").select("phash", F.lit(0).cast("long").alias("dhash"), F.coalesce("fresh", F.lit(False)).alias("fresh"))
+    once = stored(band_meet(stored(marked, "met"), SCENE_BITS, SCENE_BANDS).select("a_phash", "b_phash"), "near-once")
+    both = once.toDF("phash", "other").unionByName(once.toDF("other", "phash"))
+    itself = fresh.select("phash", F.col("phash").alias("other"))
+    return both.join(fresh, "phash", "left_semi").unionByName(itself)
+
+
 def new_pairs(catalog: GrowingCatalog, batch: DataFrame, index: DataFrame) -> DataFrame:
     """id_1 < id_2, phash_dist, dhash_dist of the pairs of one scene with a photo of the batch, each once.
 
     batch has ids that the catalog lacks; index has the bands of both.
     """
-    probes = probe_rows(batch.select("phash").distinct(), "phash", SCENE_BITS, SCENE_BANDS)
-    near = stored(probes.join(index.withColumnRenamed("phash", "other").hint("merge"), ["band", "value"]).select("phash", "other").filter(F.bit_count(F.col("phash").bitwiseXOR(F.col("other"))) <= SCENE_BITS).distinct(), "near-new")
+    near = stored(_near_hashes(batch.select("phash").distinct(), index), "near-new")
     mine = batch.select("id", "phash", "dhash")
     both = catalog.photos.withColumn("fresh", F.lit(False)).unionByName(mine.withColumn("fresh", F.lit(True)))
     theirs = both.toDF("y", "other", "d", "fresh")

@@ -132,9 +132,9 @@ def band_meet(rows: DataFrame, threshold: int, bands: int, head: int | None = No
     import numpy as np
     import pyarrow as pa
 
-    plan, reach = bands_of(64, bands), threshold // bands
+    plan, reach, n = bands_of(64, bands), threshold // bands, rows.count()
     if head is None:
-        head = min(max(math.ceil(math.log2(max(rows.count(), 1) / BAND_ROWS)), BLOCK_BITS), min(w for _, w in plan))
+        head = min(max(math.ceil(math.log2(max(n, 1) / BAND_ROWS)), BLOCK_BITS), min(w for _, w in plan))
     names = ["a_phash", "a_dhash", "b_phash", "b_dhash"]
     part = lambda p, at, width: (p >> np.uint64(at)) & np.uint64((1 << width) - 1)
 
@@ -198,7 +198,7 @@ def band_meet(rows: DataFrame, threshold: int, bands: int, head: int | None = No
 
     spread = band_tiles(rows.select("phash", "dhash", "fresh"), "phash", threshold, bands, head)
     tasks = max(rows.sparkSession.sparkContext.defaultParallelism * 16, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return M.met(spread, visit, ", ".join(f"{n} long" for n in names), tasks)
+    return M.met(spread, visit, ", ".join(f"{c} long" for c in names), min(tasks, 1 + n // 500))
 
 
 #: The most bits of phash between two photos of one scene, and the bands that find them.
