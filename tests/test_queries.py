@@ -82,3 +82,11 @@ def test_violations_are_counted_without_pairs_of_a_cluster(spark, monkeypatch):
     assert [tuple(r) for r in found.collect()] == [(6, 1, 1)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" not in plan
+
+
+def test_pair_lookup_finds_pairs_once(spark, monkeypatch):
+    from twinfold.plans import graph_queries as Q
+
+    calls, real = [], Q.S.similar_pairs
+    monkeypatch.setattr(Q.S, "similar_pairs", lambda h: calls.append(1) or real(h))
+    assert registry.queries()["j12_pair_lookup"](spark, SF).count() > 0 and len(calls) == 1
