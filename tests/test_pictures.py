@@ -261,3 +261,17 @@ def test_same_pictures(spark):
     got = {r["id"]: r for r in rows.collect()}
     assert got["a"]["phash"] == got["b"]["phash"] and got["a"]["colorhash"] == got["c"]["colorhash"]
     assert all(got[k]["phash"] is None and got[k]["pixel_digest"] is None for k in "efn")
+
+
+def test_pictures_of_one_header_are_hashed_together(monkeypatch):
+    rng = np.random.default_rng(5)
+    some = [bmp(rng.integers(0, 256, (h, 8, 3), dtype=np.uint8), down) for h in (1, 33, 400) for down in (False, True) for _ in range(20)]
+    some += [png(rng.integers(0, 256, (9, 7, 3), dtype=np.uint8)), b"", b"BM", some[0][:-1], bmp(np.full((40, 8, 3), 77, np.uint8))]
+    wanted = ("phash", "dhash", "phash_16", "colorhash", "pixel_digest")
+    made = []
+    decode = rasters._bmps
+    monkeypatch.setattr(rasters, "_bmps", lambda files, *size: made.append(len(files)) or decode(files, *size))
+    found = rasters.many_hashes(some, wanted)
+    assert len(made) <= 2 * 8 and max(made) == 20  # 6 headers and one more, a look at the first of each
+    assert found == [rasters.picture_hashes(data, wanted) for data in some]
+    assert found[-2] == {} and len(found[-1]) == len(wanted)

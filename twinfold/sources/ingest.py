@@ -215,9 +215,9 @@ def picture_hashes(files: DataFrame, wanted: tuple[str, ...] = ("phash", "dhash"
     from pyspark.sql.functions import pandas_udf
 
     def read(content: pd.Series) -> pd.DataFrame:
-        from twinfold.sources.rasters import picture_hashes as hashes
+        from twinfold.sources.rasters import many_hashes
 
-        rows = [hashes(bytes(c) if c is not None else b"", wanted) for c in content]
+        rows = many_hashes([bytes(c) if c is not None else b"" for c in content], wanted)
         return pd.DataFrame([[r.get(n) for n in wanted] for r in rows], columns=list(wanted), dtype=object)
 
     found = files.withColumn("__h", pandas_udf(read, ", ".join(f"{n} string" for n in wanted))("content"))
