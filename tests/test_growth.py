@@ -132,3 +132,15 @@ def test_history_is_replay(spark):
         assert dict(map(tuple, curate.as_of(history, k).collect())) == want, k
         assert {r["photo_id"]: (r["group_id"], r["rule_name"]) for r in curate.as_of(refusals, k).collect()} == kept, k
     assert history.groupBy("photo_id").agg(F.count_if(F.col("to_action").isNull()).alias("n")).filter("n <> 1").count() == 0
+
+
+def test_tiles_are_cut_without_the_whole_text_beside_each(spark, tmp_path):
+    from twinfold.plans import picture_queries
+    from twinfold.plans.fixtures import catalog
+
+    spark.createDataFrame([(1, "abcdefghi" * 40), (2, "x"), (3, ""), (4, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tiles = picture_queries._tiles(catalog(spark, str(tmp_path)))
+    plan = tiles._jdf.queryExecution().optimizedPlan().toString()
+    assert "hex(" not in plan and "sequence" not in next(line for line in plan.splitlines() if "Generate" in line).split("posexplode")[0]
+    rows = {(r["doc_id"], r["tile"]): bytes(r["content"])[1078:] for r in tiles.collect()}
+    assert len(rows) == 6 and rows[1, 4] == (b"abcdefghi" + bytes(3)) * 8 and rows[2, 0] == b"x" + bytes(95)

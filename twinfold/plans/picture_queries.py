@@ -124,12 +124,12 @@ R.add(
 def _tiles(c):
     """Each document cut into gray pictures of 9 x 8 pixels, a byte of text each; what is missing at the end is black."""
     docs = c.table("documents").selectExpr("doc_id", "encode(coalesce(text, ''), 'UTF-8') AS b").filter("octet_length(b) > 0")
-    tiles = docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.floor((F.octet_length("b") - 1) / 72))).alias("tile"), "b")
-    digits = F.rpad(F.hex(F.substring(F.col("b"), (72 * F.col("tile") + 1).cast("int"), F.lit(72))), 144, "0")
-    rows = F.concat(*[F.concat(F.substring(digits, 18 * k + 1, 18), F.lit("000000")) for k in range(8)])
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.octet_length("b") - 1) / 72)), lambda k: F.substring(F.col("b"), (72 * k + 1).cast("int"), F.lit(72)))
+    tiles = docs.select("doc_id", F.posexplode(cut).alias("tile", "part")).select("doc_id", F.col("tile").cast("long"), F.expr("rpad(part, 72, X'00')").alias("part"))
+    rows = [x for k in range(8) for x in (F.substring("part", 9 * k + 1, 9), F.expr("X'000000'"))]
     grays = "".join(f"{k:02x}" * 3 + "00" for k in range(256))
     head = _hex("BM") + "00" * 8 + "36040000" + "28000000" + "09000000" + "f8ffffff" + "01000800" + "00" * 24 + grays
-    return tiles.select("doc_id", "tile", F.unhex(F.concat(F.lit(head), rows)).alias("content"))
+    return tiles.select("doc_id", "tile", F.concat(F.lit(bytes.fromhex(head)), *rows).alias("content"))
 
 
 def _dhash_sql(half: int) -> str:
