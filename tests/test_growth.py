@@ -144,3 +144,28 @@ def test_tiles_are_cut_without_the_whole_text_beside_each(spark, tmp_path):
     assert "hex(" not in plan and "sequence" not in next(line for line in plan.splitlines() if "Generate" in line).split("posexplode")[0]
     rows = {(r["doc_id"], r["tile"]): bytes(r["content"])[1078:] for r in tiles.collect()}
     assert len(rows) == 6 and rows[1, 4] == (b"abcdefghi" + bytes(3)) * 8 and rows[2, 0] == b"x" + bytes(95)
+
+
+def test_losers_meet_folded_classes(spark, monkeypatch):
+    from twinfold.operators import survivors as V
+
+    rng = random.Random(3)
+    rows = [(f"m{k:03d}", k % 3, rng.choice([0, 1, 3, 7, 15, 127, None]), rng.choice([5, 9, 12, None]), rng.randrange(1, 50)) for k in range(240)]
+    members = stored(spark.createDataFrame(rows, "id string, group_id long, phash long, dhash long, res long"), "folded")
+    near = V.near_hashes(members.filter("dhash is not null"))
+
+    def forbidden(*_):
+        raise AssertionError("classes meet one by one")
+
+    monkeypatch.setattr(V, "same_photos", forbidden)
+    found = V._best_of_same(members.filter("res < 30"), members, near, F.max("b_res").alias("most"), F.min("b_first").alias("first"), F.max("b_last").alias("last"))
+    got = {r["id"]: (r["most"], r["first"], r["last"]) for r in found.collect()}
+
+    def same(a, b):
+        if a[1] != b[1] or None in (a[2], a[3], b[2], b[3]):
+            return False
+        bits = (a[2] ^ b[2]).bit_count()
+        return bits <= V.SURE_BITS or bits <= V.SAME_BITS and a[3] == b[3]
+
+    want = {a[0]: (max(b[4] for b in met), min(b[0] for b in met), max(b[0] for b in met)) for a in rows if a[4] < 30 and (met := [b for b in rows if same(a, b)])}
+    assert got == want and len(want) > 50
