@@ -169,3 +169,14 @@ def test_losers_meet_folded_classes(spark, monkeypatch):
 
     want = {a[0]: (max(b[4] for b in met), min(b[0] for b in met), max(b[0] for b in met)) for a in rows if a[4] < 30 and (met := [b for b in rows if same(a, b)])}
     assert got == want and len(want) > 50
+
+
+def test_planned_rank_makes_hashes_once(spark, monkeypatch):
+    from twinfold.plans import fixtures, rule_queries
+
+    class Once(fixtures.Catalog):
+        @property
+        def photos(self):
+            raise AssertionError("hashes are made again")
+
+    assert rule_queries._members(Once(spark, "/root/testdata/sf0.001")).columns

@@ -75,9 +75,9 @@ R.add(
 
 
 def _members(c):
-    """Members of the groups that similar hashes make, with all that the rules look at."""
+    """Members of the groups that similar hashes make, with all that the planned order looks at; the hashes, made once for the pairs, aren't."""
     groups = component_groups(stored(similar_pairs(c.hashes), "near"))
-    return stored(C.members_with_paths(groups, c.photos.select("id", "width", "height", "file_size", "phash", "dhash", "exif_make", "L"), c.paths), "members")
+    return stored(C.members_with_paths(groups, c.bare.select("id", "width", "height", "file_size", "exif_make"), c.paths), "members")
 
 
 def _coarse(c):
