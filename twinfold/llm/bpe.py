@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinfold.llm.shared import kept_tables
+
 #: The split before the merges that byte-level vocabularies of this kind share.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Transitions, and words with their encodings in one generation of two, that a worker keeps.
@@ -206,10 +208,9 @@ class Encoder:
         return ",".join(out)
 
 
-@functools.lru_cache(maxsize=1)
 def worker_encoder(path: str) -> Encoder:
-    """One automaton, with its tables, for all tasks of a Python worker."""
-    return Encoder(load_automaton(path))
+    """One automaton, with its tables, for all tasks of a Python worker, until another operator's tasks let it go."""
+    return kept_tables(("bpe", path), lambda: Encoder(load_automaton(path)))
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

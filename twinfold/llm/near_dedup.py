@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.llm.exact_dedup import digest_filter, may_hold
-from twinfold.llm.shared import free_name, stored
+from twinfold.llm.shared import free_name, let_go, stored
 from twinfold.operators.components import connected_components, relabel
 
 BANDS, ROWS = 24, 4
@@ -149,6 +149,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, width: int, ke
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, n long, class_key long, check long, bands array<long>, regs binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             sizes, keys, checks, bands, regs = [], [], [], [], []
             for x in batch.column("text"):
@@ -214,6 +215,7 @@ def likely(pairs: DataFrame, classes: DataFrame, floor: float, percent: int) ->
     full = full.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             if batch.num_rows:
                 regs = [np.frombuffer(b"".join(batch.column(f"regs_{s}").to_pylist()), np.uint16).reshape(-1, REGISTERS) for s in "ab"]
@@ -238,6 +240,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str,
     texts = wanted_texts(docs, wanted, id_col, text_col).select("text", "class_key", "check", "groups")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         schema = pa.schema([("hub", pa.int64()), ("part", pa.int32()), ("member", pa.bool_()), ("class_key", pa.int64()), ("items", pa.binary())])
         for batch in batches:
             rows, room = [], 0
@@ -255,6 +258,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str,
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hub, items = None, np.empty(0, np.uint64)
         for batch in batches:
             src, dst = [], []
@@ -303,6 +307,7 @@ def verified_strays(star: DataFrame, docs: DataFrame, classes: DataFrame, id_col
     schema = pa.schema([("hub", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("role", pa.int32()), ("class_key", pa.int64()), ("component", pa.int64()), ("stray", pa.bool_()), ("regs", pa.binary()), ("items", pa.binary())])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             rows, bytes_held = [], 0
             for text, key, check, regs, groups in zip(*(batch.column(c) for c in ("text", "class_key", "check", "regs", "groups"))):
@@ -321,6 +326,7 @@ def verified_strays(star: DataFrame, docs: DataFrame, classes: DataFrame, id_col
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         block, queries, matrix = None, [], None
         for batch in batches:
             src, dst = [], []

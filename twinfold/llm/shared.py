@@ -1,13 +1,17 @@
-"""What the training-data operators share: scratch tables, words, ASCII lower case."""
+"""What the training-data operators share: scratch tables, words, ASCII lower case, what a worker keeps."""
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinfold.sources.scratch import new_path, scratch_dir, stored
 
-__all__ = ["LOWER", "UPPER", "WORD", "free_name", "lower_az", "new_path", "read_table", "scratch_dir", "stored"]
+__all__ = ["LOWER", "UPPER", "WORD", "free_name", "kept_tables", "let_go", "lower_az", "new_path", "read_table", "scratch_dir", "stored"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word, everywhere in this subpackage: a run without ASCII white space.
@@ -29,3 +33,23 @@ def free_name(table: DataFrame, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: What this Python worker keeps from one task to the next, by the names of its makers.
+_KEPT: dict[tuple, object] = {}
+
+
+def kept_tables(key: tuple, make: Callable[[], object]) -> object:
+    """What make returns, once for all tasks of a worker that ask for the key one after the other; one key's at a time."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Frees what tasks of other operators have left in this worker: workers outlive the stages."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
