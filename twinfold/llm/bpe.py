@@ -11,6 +11,9 @@ table. Since the automaton is deterministic and unambiguous, a word has exactly
 sequence, and each of its prefixes as well: encoding keeps the last token of each prefix and moves on by
 transitions from there, in time linear in the word.
 
+Texts are cut into words by the kinds of their characters, a slice of many texts at once in numpy; Arrow numbers
+the distinct words of a slice, and only those are looked up or encoded one by one.
+
 Decoding emits the labels (byte strings) of the arcs that the ids name, and reads them as UTF-8.
 
 Cases: null counts as empty text, which has no tokens; a text may have any length: it is taken word by
@@ -19,9 +22,9 @@ word; repeated rows are encoded each; empty tables give no rows; other columns a
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,12 +38,14 @@ from twinfold.llm.shared import kept_tables
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Transitions, and words with their encodings in one generation of two, that a worker keeps.
 TABLE_LIMIT, WORD_LIMIT = 300_000, 150_000
-#: Tokens that a worker holds before it hands a batch of rows on.
-HAND_ON = 400_000
+#: Characters that a worker cuts and encodes at once, and after which it hands a batch of rows on.
+HAND_ON = 1_000_000
 NEVER = 1 << 60
 
-#: Bytes of a word from which on its places are looked up in the tree of labels.
-LONG_WORD = 200
+#: Bytes of a place by which the longest label that may begin there is known.
+HEAD = 4
+#: Kinds of characters for the split.
+OTHER, LETTER, NUMBER, SPACE = range(4)
 
 
 def byte_signs() -> dict[str, int]:
@@ -73,7 +78,10 @@ class TokenAutomaton:
                 self.made[vocab[sign]] = -1
         for time, (left, right) in enumerate(merges):
             self._gadget(vocab[left], vocab[right], vocab[left + right], time)
-        self.longest = max(map(len, self.ids), default=1)
+        self.reach: dict[bytes, int] = {}
+        for label in self.ids:
+            if len(label) >= HEAD:
+                self.reach[label[:HEAD]] = max(len(label), self.reach.get(label[:HEAD], 0))
         self.table.clear()
 
     def _gadget(self, a: int, b: int, c: int, time: int) -> None:
@@ -115,51 +123,38 @@ class TokenAutomaton:
         A place that was reached and can't be left is dead for good, since the tokens up to any place
         are unique; so no place is left twice, and the time stays linear in the word.
         """
-        ids, table, n = self.ids, self.table, len(word)
-        if (whole := ids.get(word)) is not None:
+        known, table, reach, n = self.ids.get, self.table, self.reach.get, len(word)
+        if (whole := known(word)) is not None:
             return [whole]
         if len(table) > TABLE_LIMIT:
             table.clear()
         tokens: list[int] = []
-        tried: list[tuple[int, list[tuple[int, int]]]] = []
+        places: list[int] = []
         dead: set[int] = set()
-        at, options = 0, self.matches(word, 0)
+        at, last, end = 0, -1, min(n, reach(word[:HEAD], HEAD - 1))
         while at < n:
-            last, taken = tokens[-1] if tokens else -1, False
-            while options and not taken:
-                end, token = options.pop()
-                if end not in dead:
+            while end > at:
+                token = known(word[at:end])
+                if token is not None and end not in dead:
                     lost = NEVER if last < 0 else table.get((last, token))
-                    taken = (self._lost(last, token) if lost is None else lost) == NEVER
-            if taken:
+                    if (self._lost(last, token) if lost is None else lost) == NEVER:
+                        break
+                end -= 1
+            if end > at:
                 tokens.append(token)
-                tried.append((at, options))
-                at, options = end, self.matches(word, end)
-            elif tokens:
+                places.append(at)
+                at, last = end, token
+                end += reach(word[at : at + HEAD], HEAD - 1)
+                if end > n:
+                    end = n
+            elif tokens:  # back to the place before, and on with its shorter labels
                 dead.add(at)
                 tokens.pop()
-                at, options = tried.pop()
+                at, end, last = places.pop(), at - 1, tokens[-1] if tokens else -1
             else:
                 raise ValueError("the vocabulary lacks a byte of the word")
         return tokens
 
-    @functools.cached_property
-    def starts(self) -> dict[bytes, int]:
-        """All beginnings of labels, with the token of those that are labels themselves (else -1); made when a long word asks for it."""
-        return {label[:k]: -1 for label in self.ids for k in range(1, len(label))} | self.ids
-
-    def matches(self, word: bytes, at: int) -> list[tuple[int, int]]:
-        """(end, token) of the labels that the word has at a place, shortest first; in a long word by a walk down the tree of labels."""
-        ids, n = self.ids, len(word)
-        if n <= LONG_WORD:
-            return [(end, token) for end in range(at + 1, min(n, at + self.longest) + 1) if (token := ids.get(word[at:end])) is not None]
-        starts, out, end = self.starts, [], at + 1
-        while end <= n and (token := starts.get(word[at:end])) is not None:
-            if token >= 0:
-                out.append((end, token))
-            end += 1
-        return out
-
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -172,6 +167,17 @@ def load_automaton(path: str) -> TokenAutomaton:
     return TokenAutomaton(spec["model"]["vocab"], merges, {t["content"]: t["id"] for t in spec.get("added_tokens", [])})
 
 
+def char_kinds() -> np.ndarray:
+    """The kind of each code point, as the split's classes have it."""
+    import regex
+
+    every, kinds = "".join(map(chr, range(0x110000))), np.full(0x110000, OTHER, np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for found in regex.finditer(pattern, every):
+            kinds[found.start() : found.end()] = kind
+    return kinds
+
+
 class Encoder:
     """Texts to ids and back, with a table of the words met."""
 
@@ -179,33 +185,114 @@ class Encoder:
         import regex
 
         self.automaton, self.words, self.older = automaton, {}, {}
-        self.split = regex.compile(SPLIT)
+        self.kinds = char_kinds()
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(automaton.special, key=len, reverse=True))) + ")") if automaton.special else None
-
-    def _word(self, word: str) -> str:
-        """The encoding of a word that the newer generation lacks; a full one becomes the older."""
-        found = self.words.get(word) or self.older.get(word)
+        self.special_words = {text.encode(): array("i", [i]).tobytes() for text, i in automaton.special.items()}
+        self.gap = regex.compile(r"\S(?=\s)")
+        ids = range(max(automaton.labels, default=-1) + 1)
+        self.labels = pa.array([automaton.labels.get(i, b"") for i in ids], pa.large_binary())
+        self.decimals = pa.array([b"%d," % i for i in ids], pa.large_binary())
+
+    def _word(self, word: bytes) -> bytes:
+        """The encoding of a word, as 32-bit ids, that the newer generation lacks; a full one becomes the older."""
+        found = self.older.get(word) or self.special_words.get(word)
         if found is None:
-            found = ",".join(map(str, self.automaton.encode_word(word.encode())))
+            found = array("i", self.automaton.encode_word(word)).tobytes()
         if len(word) <= 64:
             if len(self.words) >= WORD_LIMIT:
                 self.words, self.older = {}, self.words
             self.words[word] = found
         return found
 
+    def _parts(self, text: str) -> Iterator[str]:
+        """The special tokens of a text and what is between them; long parts are cut where white space begins, which ends a word."""
+        special = self.automaton.special
+        for part in self.special.split(text) if self.special and any(s in text for s in special) else [text]:
+            at = 0
+            while part not in special and len(part) - at > HAND_ON and (found := self.gap.search(part, at + HAND_ON)):
+                yield part[at : found.end()]
+                at = found.end()
+            yield part[at:]
+
+    def _starts(self, code: np.ndarray, firsts: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Where the words of parts begin that lie one after the other: SPLIT's matches. whole: of each part, whether it is one word."""
+        n, kind = len(code), self.kinds[code]
+        first = np.zeros(n + 1, bool)
+        first[firsts] = first[n] = True
+        change = first[:n].copy()
+        change[1:] |= kind[1:] != kind[:-1]
+        inside = change[1:] & ~first[1:n]  # a run ends before this character, its part doesn't
+        blank, start = code == 32, change.copy()
+        start[1:] &= ~(inside & blank[:-1])  # a blank joins the run after it
+        start[:-1] |= inside & (kind[:-1] == SPACE)  # and white space before a run leaves it its last character
+        for at in np.flatnonzero(start & (code == 39)).tolist():
+            two = code[at + 1 : at + 3].tolist() if not first[at + 1] else []
+            two = two[:1] if len(two) == 2 and first[at + 2] else two
+            tail = "".join(map(chr, two))
+            length = 2 if tail[:1] in ("s", "t", "m", "d") else 3 if tail in ("re", "ve", "ll") else 0
+            if length:
+                start[at + 1] = False
+                if at + length < n:
+                    start[at + length] = True
+        if whole.any():
+            for at in np.flatnonzero(whole).tolist():
+                start[firsts[at] + 1 : firsts[at + 1] if at + 1 < len(firsts) else n] = False
+        return np.flatnonzero(start)
+
+    def _slice(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of parts, one after the other, and where those of each begin (and the last end)."""
+        parts_at = np.cumsum([0, *map(len, parts)])
+        text = "".join(parts)
+        if not text:
+            return np.empty(0, np.int32), np.zeros(len(parts) + 1, np.int64)
+        full = np.diff(parts_at) > 0
+        whole = np.array([p in self.automaton.special for p in parts])
+        begin = self._starts(np.frombuffer(text.encode("utf-32-le"), np.uint32), parts_at[:-1][full], whole[full])
+        data = text.encode()
+        at_byte = begin if len(data) == len(text) else np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)[begin]
+        edges = pa.py_buffer(np.append(at_byte, len(data)).astype(np.int64))
+        words = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, edges, pa.py_buffer(data)]).dictionary_encode()
+        _, edges, data = words.dictionary.buffers()
+        edges, data = np.frombuffer(edges, np.int64)[: len(words.dictionary) + 1].tolist(), data.to_pybytes()
+        packed = []
+        for a, b in zip(edges, edges[1:]):
+            word = data[a:b]
+            packed.append(self.words.get(word) or self._word(word))  # the generation may change on the way
+        taken = pa.array(packed, pa.large_binary()).take(words.indices)
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(begin) + 1] // 4
+        return np.frombuffer(taken.buffers()[2], np.int32)[: ends[-1]], ends[np.searchsorted(begin, parts_at)]
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, one after the other, and where those of each begin (and the last end)."""
+        ids, counts = [], [np.zeros(1, np.int64)]
+        parts: list[str] = []
+        owned, held = [0], 0
+        for text in texts:
+            of_text = 0
+            for part in self._parts(text):
+                if parts and held + len(part) > HAND_ON:
+                    found, at = self._slice(parts)
+                    ids.append(found)
+                    counts.append(np.diff(at))
+                    parts, held = [], 0
+                parts.append(part)
+                held += len(part)
+                of_text += 1
+            owned.append(owned[-1] + of_text)
+        found, at = self._slice(parts)
+        ids.append(found)
+        counts.append(np.diff(at))
+        return np.concatenate(ids), np.cumsum(np.concatenate(counts))[owned]
+
     def encode(self, text: str) -> str:
         """The ids in decimal, joined by commas."""
-        special = self.automaton.special
-        parts = self.special.split(text) if self.special and any(s in text for s in special) else [text]
-        out: list[str] = []
-        for part in parts:
-            if part in special:
-                out.append(str(special[part]))
-            elif part:
-                for at in range(0, len(pieces := self.split.findall(part)), 50_000):
-                    known = self.words.get  # the generation may change between two slices
-                    out.extend([known(w) or self._word(w) for w in pieces[at : at + 50_000]])
-        return ",".join(out)
+        return ",".join(map(str, self.encode_all([text])[0].tolist()))
+
+    def joined(self, table: pa.Array, ids: np.ndarray, at: np.ndarray) -> list[memoryview]:
+        """For each text, the entries of a table (labels or decimals) that its ids name, one after the other."""
+        taken = table.take(pa.array(ids))
+        edges, data = np.frombuffer(taken.buffers()[1], np.int64)[at].tolist(), memoryview(taken.buffers()[2] or b"")
+        return [data[a:b] for a, b in zip(edges, edges[1:])]
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -222,29 +309,22 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(vocabulary)
-        labels = {str(i): b for i, b in encoder.automaton.labels.items()}
         for batch in batches:
-            start, held = 0, 0
-            counts, hashes, backs, all_ids, texts = [], [], [], [], []
+            start, held, texts = 0, 0, []
             for row, text in enumerate(batch.column("text")):
-                joined = encoder.encode(text.as_py() or "")
-                ids = joined.split(",") if joined else []
-                decoded = b"".join(map(labels.__getitem__, ids)).decode("utf-8", "replace")
-                counts.append(len(ids))
-                hashes.append(hashlib.sha256(joined.encode()).hexdigest())
-                backs.append(hashlib.sha256(decoded.encode()).hexdigest())
-                if with_ids:
-                    all_ids.append(np.array(ids, dtype=np.int32))
-                    texts.append(decoded)
-                held += len(ids)
+                texts.append(text.as_py() or "")
+                held += len(texts[-1])
                 if held < HAND_ON and row + 1 < batch.num_rows:
                     continue
-                columns = [batch.column("id").slice(start, len(counts)), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(backs, pa.string())]
+                ids, at = encoder.encode_all(texts)
+                hashes = [hashlib.sha256(joined[:-1]).hexdigest() for joined in encoder.joined(encoder.decimals, ids, at)]
+                decoded = [str(label, "utf-8", "replace") for label in encoder.joined(encoder.labels, ids, at)]
+                backs = [hashlib.sha256(back.encode()).hexdigest() for back in decoded]
+                columns = [batch.column("id").slice(start, len(texts)), pa.array(np.diff(at), pa.int64()), pa.array(hashes, pa.string()), pa.array(backs, pa.string())]
                 names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    columns, names = [*columns, pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], [*names, "ids", "decoded"]
+                    columns, names = [*columns, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids)), pa.array(decoded, pa.string())], [*names, "ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-                start, held = row + 1, 0
-                counts, hashes, backs, all_ids, texts = [], [], [], [], []
+                start, held, texts = row + 1, 0, []
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
