@@ -90,3 +90,33 @@ def test_pair_lookup_finds_pairs_once(spark, monkeypatch):
     calls, real = [], Q.S.similar_pairs
     monkeypatch.setattr(Q.S, "similar_pairs", lambda h: calls.append(1) or real(h))
     assert registry.queries()["j12_pair_lookup"](spark, SF).count() > 0 and len(calls) == 1
+
+
+@pytest.mark.parametrize("name", ["g2_complete_linkage", "g2_violations", "g3_complete_linkage_cells", "g4_single_linkage_extend", "g5_primary_groups", "g9_second_groups", "g10_composite_groups"])
+def test_linkage_goes_by_numbers(spark, monkeypatch, name):
+    """Edges hold numbers, not digests, and the result has the ids again."""
+    from twinfold.operators import cluster, grouping
+    from twinfold.plans import graph_queries as Q
+
+    kinds, real = set(), cluster.complete_linkage
+
+    def linkage(edges, *args, **named):
+        kinds.update(kind for c, kind in edges.dtypes if c.startswith(("id_", "photo_id")))
+        return real(edges, *args, **named)
+
+    monkeypatch.setattr(Q.K, "complete_linkage", linkage)
+    monkeypatch.setattr(grouping, "complete_linkage", linkage)
+    found = registry.queries()[name](spark, SF)
+    assert kinds == {"bigint"}
+    assert name == "g2_violations" or {len(r["photo_id"]) for r in found.select("photo_id").collect()} <= {64}
+
+
+def test_numbers_follow_the_order_of_keys(spark):
+    from twinfold.operators.ordering import by_number, named
+
+    keys = [hashlib.sha256(str(k).encode()).hexdigest() for k in range(300)]
+    rows, names = by_number(spark.createDataFrame(list(zip(keys, range(300))), "id string, n int").repartition(5), "id")
+    assert rows.dtypes == [("id", "bigint"), ("n", "int")]
+    assert sorted((r["id"], r["n"]) for r in rows.collect()) == [(k, n) for k, (_, n) in enumerate(sorted(zip(keys, range(300))))]
+    back = named(rows.withColumn("again", rows["id"]), names, "id", "again")
+    assert back.columns == ["id", "n", "again"] and sorted(map(tuple, back.collect())) == sorted((k, n, k) for n, k in enumerate(keys))
