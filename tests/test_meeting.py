@@ -172,3 +172,16 @@ def test_scenes_out_of_tiles_of_bands(spark):
         every = sides(df.selectExpr("phash", "dhash", "true AS fresh"))
         assert len(every) == len(close) and set(every) == close
     assert S.band_tiles(df, "phash", S.SCENE_BITS, S.SCENE_BANDS, S.BLOCK_BITS).count() == 55 * len(rows)
+
+
+def test_bridges_are_added_up_without_places_of_pairs(spark, monkeypatch):
+    def fail(*args):
+        raise AssertionError("places of pairs")
+
+    rng = random.Random(10)
+    rows = [(f"{k:03d}", rng.choice([None, 3, 4, *range(10, 40)]), rng.getrandbits(3)) for k in range(200)]
+    want = Counter((min(a[1], b[1]), max(a[1], b[1])) for a, b in combinations(rows, 2) if None not in (a[1], b[1]) and a[1] != b[1] and apart(a[2], b[2]) <= 1)
+    monkeypatch.setattr(M, "hits", fail)
+    monkeypatch.setattr(M, "PIECE", (4, 32))
+    for blocks in (1, 3):
+        assert counts(G.bridges_at(spark.createDataFrame(rows, "id string, group_id long, phash long"), 1, 1, blocks=blocks)) == want

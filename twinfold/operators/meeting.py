@@ -395,26 +395,41 @@ def group_links(members: DataFrame, column: str, most: int, blocks: int | None =
     slim = rows.select(F.xxhash64("id").alias("__key"), "group_id", column)
 
     def visit(a: pa.Table, b: pa.Table | None) -> Iterator[pa.RecordBatch]:
-        tile = Tile(a, b)
-        both = pa.chunked_array([*tile.a["group_id"].chunks, *tile.b["group_id"].chunks]).combine_chunks().dictionary_encode()
-        codes, n = both.indices.to_numpy().astype(np.int64), len(both.dictionary)
+        both = pa.chunked_array([*a["group_id"].chunks, *(a if b is None else b)["group_id"].chunks]).combine_chunks().dictionary_encode()
+        codes = both.indices.to_numpy()
         one, two = codes[: len(a)], codes[len(a) :]
         shape = pa.schema([("x", both.dictionary.type), ("y", both.dictionary.type), ("bridges", pa.int64())])
-        table = np.zeros(n * n, np.int64) if n * n <= BINS else None
-
-        def given(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            yield from sent(shape, [both.dictionary.take(pa.array(keys // n)), both.dictionary.take(pa.array(keys % n)), counts])
-
-        for x, y in hits(tile, lambda t, rows, columns: (t.apart(column, rows, columns) <= most) & (one[rows, None] != two[None, columns])):
-            key = np.minimum(one[x], two[y]) * n + np.maximum(one[x], two[y])
-            if table is None:
-                yield from given(*np.unique(key, return_counts=True))
-            else:
-                found = np.bincount(key)
-                table[: len(found)] += found
-        if table is not None and table.any():
-            keys = np.flatnonzero(table)
-            yield from given(keys, table[keys])
+        order, other = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
+        x, y = words(a, column)[order], words(a if b is None else b, column)[other]
+        one, two = one[order], two[other]
+        starts = np.flatnonzero(np.diff(two, prepend=-1))
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def given() -> Iterator[pa.RecordBatch]:
+            u, v, n = (np.concatenate(c) for c in zip(*held))
+            yield from sent(shape, [both.dictionary.take(pa.array(u)), both.dictionary.take(pa.array(v)), n])
+
+        # Rows of a group follow each other: of these, links are added up by column, and then by the columns' groups.
+        cuts = [*np.flatnonzero(np.diff(one, prepend=-1)).tolist(), len(one)]
+        for s, e in zip(cuts, cuts[1:]):
+            first = int(np.searchsorted(two, one[s], "right")) if b is None else 0
+            links = np.zeros(len(two), np.int64)
+            for c in range(first, len(two), PIECE[1]):
+                there = y[None, c : c + PIECE[1]]
+                for r in range(s, e, PIECE[0]):
+                    near = np.bitwise_count(x[r : min(r + PIECE[0], e), None] ^ there) <= most
+                    links[c : c + PIECE[1]] += np.add.reduce(near.view(np.uint8), axis=0, dtype=np.uint8)
+            n = np.add.reduceat(links, starts)
+            n[two[starts] == one[s]] = 0
+            some = np.flatnonzero(n)
+            held.append((np.full(len(some), one[s]), two[starts][some], n[some]))
+            size += len(some)
+            if size > BATCH:
+                yield from given()
+                held, size = [], 0
+        if size:
+            yield from given()
 
     found = meet(slim, "__key", visit, f"x {kind}, y {kind}, bridges long", blocks)
     return found.groupBy(F.least("x", "y").alias("g1"), F.greatest("x", "y").alias("g2")).agg(F.sum("bridges").alias("bridges"))
