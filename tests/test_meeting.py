@@ -185,3 +185,15 @@ def test_bridges_are_added_up_without_places_of_pairs(spark, monkeypatch):
     monkeypatch.setattr(M, "PIECE", (4, 32))
     for blocks in (1, 3):
         assert counts(G.bridges_at(spark.createDataFrame(rows, "id string, group_id long, phash long"), 1, 1, blocks=blocks)) == want
+
+
+def test_each_tile_is_a_task_of_its_own(spark):
+    import pyarrow as pa
+
+    def sizes(a, b):
+        yield pa.RecordBatch.from_pydict({"rows": [len(a) + (0 if b is None else len(b))]})
+
+    for blocks in (1, 5):
+        spread = M.tiles(spark.range(400), "id", blocks)
+        found = M.met_singly(spread, sizes, "rows long", M.tile_codes(blocks))
+        assert found.rdd.glom().map(len).collect() == [1] * (blocks * (blocks + 1) // 2)

@@ -79,17 +79,28 @@ def tiles(rows: DataFrame, key: str, blocks: int) -> DataFrame:
     return spread.withColumn("__tile", tile).withColumn("__second", side).drop("__own", "__other")
 
 
+def tile_codes(blocks: int) -> list[int]:
+    """__tile of the tiles of so many blocks."""
+    return [i * blocks + j for i in range(blocks) for j in range(i, blocks)]
+
+
 def met(spread: DataFrame, visit: Visit, schema: str, tasks: int) -> DataFrame:
     """What visit gives for the tiles of spread."""
     return spread.repartition(tasks, "__tile").sortWithinPartitions("__tile", "__second").mapInArrow(settled(visit), schema)
 
 
+def met_singly(spread: DataFrame, visit: Visit, schema: str, codes: list[int]) -> DataFrame:
+    """What visit gives for the tiles of these codes, of which spread has no others: each is a task of its own."""
+    place = F.array_position(F.lit(codes), F.col("__tile")) - 1
+    return spread.repartitionById(len(codes), place.cast("int")).sortWithinPartitions("__tile", "__second").mapInArrow(settled(visit), schema)
+
+
 def meet(rows: DataFrame, key: str, visit: Visit, schema: str, blocks: int | None = None) -> DataFrame:
     """What visit gives for all tiles of rows, which are stored first. Each pair of rows lies in one tile, once."""
     rows = stored(rows, "block-rows")
     if blocks is None:
         blocks = blocks_for(rows.count(), rows.sparkSession.sparkContext.defaultParallelism)
-    return met(tiles(rows, key, blocks), visit, schema, blocks * (blocks + 1) // 2)
+    return met_singly(tiles(rows, key, blocks), visit, schema, tile_codes(blocks))
 
 
 def pieces(n: int, m: int | None) -> Iterator[tuple[slice, slice, np.ndarray | None]]:

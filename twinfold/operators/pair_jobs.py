@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.operators.meeting import blocks_for, counting, met, needed, numbers, tiles
+from twinfold.operators.meeting import blocks_for, counting, met_singly, needed, numbers, tile_codes, tiles
 from twinfold.operators.similarity import PAIRS_PER_TASK, PAIR_INPUT, block_sides, pair_distances, spread_words
 
 MANIFEST = "step int, pairs long"
@@ -36,7 +36,8 @@ class PairJob:
         if not self._has("plan"):
             spread_words(photos).write.mode("overwrite").parquet(f"{self.folder}/photos")
             if blocks is None and self.by:
-                blocks = blocks_for(self.spark.read.parquet(f"{self.folder}/photos").count(), max(self.spark.sparkContext.defaultParallelism, steps))
+                # As many tiles a step as a table that is made at once has for two of its cores.
+                blocks = blocks_for(self.spark.read.parquet(f"{self.folder}/photos").count(), self.spark.sparkContext.defaultParallelism * max(steps // 2, 1))
             if blocks is None:
                 blocks = max(math.ceil(self.spark.read.parquet(f"{self.folder}/photos").count() / math.sqrt(PAIRS_PER_TASK)), math.ceil(math.sqrt(8 * steps)))
             self.spark.createDataFrame([], MANIFEST).write.mode("overwrite").parquet(f"{self.folder}/manifest")
@@ -57,8 +58,9 @@ class PairJob:
         spread = tiles(rows.select(F.xxhash64("id").alias("__key"), *columns), "__key", plan["blocks"])
         visit, schema = counting(self.by)
         part = f"{self.folder}/counts/step={step}"
-        tasks = math.ceil(plan["blocks"] * (plan["blocks"] + 1) / 2 / plan["steps"])
-        met(spread.filter(F.pmod("__tile", F.lit(plan["steps"])) == step), visit, schema, tasks).write.mode("overwrite").parquet(part)
+        codes = [c for c in tile_codes(plan["blocks"]) if c % plan["steps"] == step]
+        found = met_singly(spread.filter(F.pmod("__tile", F.lit(plan["steps"])) == step), visit, schema, codes) if codes else self.spark.createDataFrame([], schema)
+        found.write.mode("overwrite").parquet(part)
         found = self.spark.read.schema(schema).parquet(part).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"))
         found.select(F.lit(step).alias("step"), "pairs").coalesce(1).write.mode("append").parquet(f"{self.folder}/manifest")
 
@@ -86,7 +88,7 @@ class PairJob:
         steps = [r["step"] for r in self.manifest().select("step").distinct().collect()]
         schema = self.spark.createDataFrame([], counting(self.by)[1]).schema
         parts = self.spark.read.schema(schema).parquet(*[f"{self.folder}/counts/step={s}" for s in steps]) if steps else self.spark.createDataFrame([], schema)
-        return parts.groupBy(*self.by).agg(F.sum("pairs").alias("pairs"))
+        return parts.groupBy(*self.by).agg(F.sum("pairs").alias("pairs")).filter("pairs > 0")
 
     def pairs(self) -> DataFrame:
         """The pairs of the finished steps."""
