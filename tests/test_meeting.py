@@ -197,3 +197,34 @@ def test_each_tile_is_a_task_of_its_own(spark):
         spread = M.tiles(spark.range(400), "id", blocks)
         found = M.met_singly(spread, sizes, "rows long", M.tile_codes(blocks))
         assert found.rdd.glom().map(len).collect() == [1] * (blocks * (blocks + 1) // 2)
+
+
+def test_pairs_of_one_group_are_counted_apart(spark):
+    """Few pairs have one group here, so all pairs are counted without the flag, and those few are taken off."""
+    rng = random.Random(11)
+    rows = [(i, rng.choice([None, *range(40)]), *rest) for i, _, *rest in near_words(11, 120)]
+    table = [pair_row(a, b)[2:] for a, b in combinations(rows, 2)]
+    assert 0 < sum(t[0] for t in table) < len(table) / 20
+    df = spark.createDataFrame(rows, SCHEMA)
+    for blocks in (1, 3):
+        assert counts(S.pair_counts(df, ["same_primary_group", "phash_dist"], blocks)) == Counter(t[:2] for t in table)
+        assert counts(S.pair_counts(df, list(S.SUMMARY), blocks)) == Counter((t[3], t[4], t[1], t[2], t[0]) for t in table)
+
+
+def test_columns_alike_are_compared_once(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    p, d, x, c = ([rng.getrandbits(60) for _ in range(70)] for _ in range(4))
+    tile = pa.table({"w0": p, "w1": d, "w2": x, "w3": p, "phash": p, "dhash": d, "colorhash": c})
+    calls, real = [], M.np.bitwise_count
+    monkeypatch.setattr(M.np, "bitwise_count", lambda v: calls.append(v.size) or real(v))
+    fields = ["phash16_dist", "colorhash_dist", "phash_dist", "dhash_dist"]
+    visit, _ = M.counting(fields)
+    got = Counter()
+    for batch in visit(tile.slice(0, 30), tile.slice(30)):
+        for *key, n in zip(*[col.to_pylist() for col in batch.columns]):
+            got[tuple(key)] += n
+    far = lambda v, i, j: apart(v[i], v[j])
+    assert got == Counter((2 * far(p, i, j) + far(d, i, j) + far(x, i, j), far(c, i, j), far(p, i, j), far(d, i, j)) for i in range(30) for j in range(30, 70))
+    assert sum(calls) == 4 * 30 * 40
